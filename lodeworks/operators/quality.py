@@ -86,7 +86,11 @@ def summary(df: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
 
 
 def violations(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = ()) -> DataFrame:
-    """Q5: one row per failed check: the keys, ``failed_column`` and ``rule``."""
+    """Q5: one row per failed check: the keys, ``failed_column`` and ``rule``.
+
+    Clean rows are filtered first, at the scan where possible, so only invalid rows pay for
+    the per-column array.
+    """
     nulls = [
         F.when(named(c).isNull(), F.struct(F.lit(c).alias("failed_column"), F.lit(NOT_NULL).alias("rule")))
         for c in business_columns(df)
@@ -98,7 +102,10 @@ def violations(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = ()) -
         )
         for r in rules
     ]
-    failed = F.filter(F.array(*nulls, *extra), lambda v: v.isNotNull())
-    return df.select(*[named(k) for k in keys], F.explode(failed).alias("__v")).select(
-        *[named(k) for k in keys], "__v.failed_column", "__v.rule"
+    failed = F.array(*nulls, *extra).cast("array<struct<failed_column:string,rule:string>>")
+    found = F.filter(failed, lambda v: v.isNotNull())
+    return (
+        df.filter(is_invalid(df, rules))
+        .select(*[named(k) for k in keys], F.explode(found).alias("__v"))
+        .select(*[named(k) for k in keys], "__v.failed_column", "__v.rule")
     )
