@@ -8,17 +8,29 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from lodeworks.functions.columns import pinned_now
 from lodeworks.storage import Folders
 
 RUNNING, SUCCEEDED, FAILED = "RUNNING", "SUCCEEDED", "FAILED"
 
-RUN_SCHEMA = StructType.fromDDL(
-    "job_name string, job_run_id string, status string, start_time timestamp, end_time timestamp, "
-    "attempt int, params map<string,string>, rows_read long, column_count int, rows_written long, "
-    "rows_valid long, rows_invalid long, error_type string, error_message string"
+RUN_SCHEMA = (
+    T.StructType()
+    .add("job_name", "string")
+    .add("job_run_id", "string")
+    .add("status", "string")
+    .add("start_time", "timestamp")
+    .add("end_time", "timestamp")
+    .add("attempt", "integer")
+    .add("params", T.MapType(T.StringType(), T.StringType()))
+    .add("rows_read", "long")
+    .add("column_count", "integer")
+    .add("rows_written", "long")
+    .add("rows_valid", "long")
+    .add("rows_invalid", "long")
+    .add("error_type", "string")
+    .add("error_message", "string")
 )
 
 

@@ -21,12 +21,19 @@ NOT_NULL = "not_null"
 
 @dataclass(frozen=True)
 class Rule:
-    """A caller's check (Q6): rows where ``violated`` is true get ``message``; NULL is no violation."""
+    """A caller's check (Q6): rows where ``violated`` is true get ``message``; NULL is no violation.
+
+    ``violated`` is a Column or SQL text; ``column`` names the column at fault, if one is.
+    """
 
     message: str
-    violated: Column
+    violated: Column | str
     column: str | None = None
 
+    def broken(self) -> Column:
+        test = F.expr(self.violated) if isinstance(self.violated, str) else self.violated
+        return F.coalesce(test, F.lit(False))
+
 
 def business_columns(df: DataFrame) -> list[str]:
     """the columns under quality control; lineage and issue columns are exempt."""
@@ -35,7 +42,7 @@ def business_columns(df: DataFrame) -> list[str]:
 
 def _violations(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[str, Column]]:
     nulls = [(f"Null value in {c}", named(c).isNull()) for c in business_columns(df)]
-    return nulls + [(r.message, F.coalesce(r.violated, F.lit(False))) for r in rules]
+    return nulls + [(r.message, r.broken()) for r in rules]
 
 
 def is_invalid(df: DataFrame, rules: Sequence[Rule] = ()) -> Column:
@@ -50,7 +57,7 @@ def is_invalid(df: DataFrame, rules: Sequence[Rule] = ()) -> Column:
 def is_valid(df: DataFrame, rules: Sequence[Rule] = ()) -> Column:
     """Complement of `is_invalid`, spelled as a conjunction for pushdown."""
     keep = [named(c).isNotNull() for c in business_columns(df)]
-    return all_of(keep + [~F.coalesce(r.violated, F.lit(False)) for r in rules])
+    return all_of(keep + [~r.broken() for r in rules])
 
 
 def annotate(df: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
@@ -97,7 +104,7 @@ def violations(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = ()) -
     ]
     extra = [
         F.when(
-            F.coalesce(r.violated, F.lit(False)),
+            r.broken(),
             F.struct(F.lit(r.column).cast("string").alias("failed_column"), F.lit(r.message).alias("rule")),
         )
         for r in rules

@@ -61,8 +61,8 @@ class IncrementalIngest:
     def _home(self, generation: int) -> str:
         return f"{self.root}/g{generation}"
 
-    def run(self, run_ts: datetime | str | None = None) -> int:
-        """Take everything that is new, stop, and return the number of rows taken.
+    def run(self, run_ts: datetime | str | None = None) -> None:
+        """Take everything that is new, then stop.
 
         A large backlog is worked off in several batches when ``options`` sets
         ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``; each batch commits on its own.
@@ -81,9 +81,7 @@ class IncrementalIngest:
         )
         if self.partition_cols:
             writer = writer.partitionBy(*self.partition_cols)
-        query = writer.start()
-        query.awaitTermination()
-        return sum(p["numInputRows"] for p in query.recentProgress)
+        writer.start().awaitTermination()
 
     def reset(self) -> int:
         """B2: the next run takes every file again, into a new generation."""
