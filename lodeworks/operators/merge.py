@@ -4,15 +4,17 @@ Keys match null-safely, so a NULL key matches a NULL key. Of several source rows
 key the last by ``order_by`` updates the destination; a key the destination lacks has all of
 its source rows inserted.
 
-How it holds up with hot keys:
+How it holds up at scale and with hot keys:
 
 * the source is cut to one row per key before its shuffle: Spark ranks within each map task
   first (``WindowGroupLimit``), so a key owning a third of the source ships a few rows;
-* the destination's keys are made distinct, with map-side combine, before the anti join;
-* the two remaining wide sides (destination in the left join, source in the anti join) are
-  the sides AQE splits when one key is hot, and the other side then holds one row per key.
+* inserts need to know which source keys exist. The destination's keys are first reduced to
+  those the source has, then made distinct with map-side combine. For a small source that
+  first step is a broadcast, and the destination's keys are never shuffled;
+* in every join the side that may hold a hot key is the left one and the other side holds
+  one row per key, which is what AQE needs to split the hot key over several tasks.
 
-Neither join is hinted: Spark broadcasts the small side only when its measured size allows.
+No join is hinted: Spark broadcasts a side only when its measured size allows.
 """
 
 from __future__ import annotations
@@ -117,8 +119,11 @@ def update_rows(
     )
 
 
-def _distinct_keys(dest: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return dest.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
+def _known_keys(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct source keys that ``dest`` has."""
+    offered = source.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
+    present = dest.select(*[named(k) for k in keys]).join(offered, _same_key(keys), "left_semi")
+    return present.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
 
 
 def insert_rows(
@@ -126,7 +131,7 @@ def insert_rows(
 ) -> DataFrame:
     """Every source row whose key ``dest`` lacks, duplicates included, with all its columns."""
     control = _control_columns(source, dest, order_by)
-    return source.join(_distinct_keys(dest, keys), _same_key(keys), "left_anti").select(
+    return source.join(_known_keys(source, dest, keys), _same_key(keys), "left_anti").select(
         *[
             named(c).cast(dest.schema[c].dataType).alias(c) if c in dest.columns else named(c)
             for c in source.columns
@@ -153,7 +158,7 @@ def merge(
 
 def merge_counts(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: ``rows_updated`` (every source row), split into ``updated`` and ``inserted``."""
-    known = _distinct_keys(dest, keys).withColumn(_HIT, F.lit(True))
+    known = _known_keys(source, dest, keys).withColumn(_HIT, F.lit(True))
     hit = F.col(_HIT).isNotNull()
     return source.join(known, _same_key(keys), "left").agg(
         F.count(F.lit(1)).alias("rows_updated"),

@@ -20,7 +20,7 @@ from lodeworks.queries.base import (
 )
 from lodeworks.queries.stamps import BRONZE_SQL, SILVER_SQL
 from lodeworks.sinks.writers import write_dataset
-from lodeworks.streaming.incremental import IncrementalIngest
+from lodeworks.streaming.incremental import IncrementalIngest, incremental_split
 
 registry = Registry()
 
@@ -202,3 +202,42 @@ def bookmark_reset(spark, sf_dir):
     ingest.reset()
     ingest.run(RUN_TS)
     return naive(ingest.read(), "bronze_ingest_timestamp")
+
+
+def _split_landing(spark, sf_dir):
+    """The bronze ingest of `_landing` with blanked cells, and the silver step behind it."""
+    layout = fresh_layout(spark)
+    ingest, deliver = _landing(spark, sf_dir, layout)
+    ingest.transforms = (blank_some,)
+    deliver()
+    ingest.run(RUN_TS)
+    bronze = ingest.read()
+    sides = incremental_split(
+        spark,
+        f"{ingest.root}/g0/data",
+        "parquet",
+        bronze.schema,
+        layout.table_path("events"),
+        source_label="bronze/events",
+    )
+    for side in sides:
+        side.run(RUN_TS)
+    deliver()
+    ingest.run(RUN_TS)
+    for side in sides:
+        side.run(RUN_TS)
+        side.run(RUN_TS)
+    return tuple(naive(side.read(), "bronze_ingest_timestamp", "silver_process_timestamp") for side in sides)
+
+
+@registry.query("incremental_valid", f"{_STAMPED} FROM dirty WHERE {ISSUES_SQL} IS NULL")
+def incremental_valid(spark, sf_dir):
+    return _split_landing(spark, sf_dir)[0]
+
+
+@registry.query(
+    "incremental_invalid",
+    f"{_STAMPED}, {ISSUES_SQL} AS data_quality_issues FROM dirty WHERE {ISSUES_SQL} IS NOT NULL",
+)
+def incremental_invalid(spark, sf_dir):
+    return _split_landing(spark, sf_dir)[1]

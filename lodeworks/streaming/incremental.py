@@ -12,22 +12,29 @@ batches it has written: a fresh checkpoint over old output would be skipped sile
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from lodeworks.errors import DataError
-from lodeworks.functions.lineage import Transform, apply_transforms, stamp_bronze
+from lodeworks.functions.lineage import Transform, apply_transforms, stamp_bronze, stamp_silver
 from lodeworks.layout import parse_partition_cols
+from lodeworks.operators import quality
 from lodeworks.sinks.writers import SINKS
 from lodeworks.sources.readers import SILVER_SOURCES, require_format
 from lodeworks.storage import Folders
 
 
+Stamp = Callable[[DataFrame, str, datetime | str | None], DataFrame]
+
+
 class IncrementalIngest:
-    """Ingest of a growing folder into Parquet, each file once per generation."""
+    """Ingest of a growing folder into files, each source file once per generation.
+
+    ``stamp`` adds the layer's lineage columns and ``transforms`` follow it.
+    """
 
     def __init__(
         self,
@@ -41,6 +48,7 @@ class IncrementalIngest:
         partition_cols: str | Iterable[str] | None = None,
         transforms: Iterable[Transform] = (),
         source_label: str | None = None,
+        stamp: Stamp = stamp_bronze,
     ):
         self.spark = spark
         self.source_path = source_path
@@ -52,6 +60,7 @@ class IncrementalIngest:
         self.partition_cols = parse_partition_cols(partition_cols)
         self.transforms = tuple(transforms)
         self.source_label = source_label or source_path
+        self.stamp = stamp
         self.folders = Folders(spark)
 
     def generations(self) -> list[int]:
@@ -72,7 +81,7 @@ class IncrementalIngest:
         if self.fmt == "csv":
             reader = reader.option("header", True)
         incoming = reader.options(**self.options).load(self.source_path)
-        stamped = apply_transforms(stamp_bronze(incoming, self.source_label, run_ts), self.transforms)
+        stamped = apply_transforms(self.stamp(incoming, self.source_label, run_ts), self.transforms)
         writer = (
             stamped.writeStream.format(self.sink_format)
             .option("path", f"{home}/data")
@@ -100,3 +109,30 @@ class IncrementalIngest:
         for part in parts[1:]:
             out = out.unionByName(part, allowMissingColumns=True)
         return out
+
+
+def incremental_split(
+    spark: SparkSession,
+    source_path: str,
+    fmt: str,
+    schema: StructType | str,
+    root: str,
+    rules: Sequence[quality.Rule] = (),
+    **settings,
+) -> tuple[IncrementalIngest, IncrementalIngest]:
+    """The silver step over new files only: one ingest of the valid rows, one of the invalid.
+
+    Each keeps its own bookmark, so a failure of one leaves the other exact.
+    """
+
+    def ingest(name: str, keep: Transform) -> IncrementalIngest:
+        steps = [*settings.get("transforms", ()), keep]
+        home = f"{root.rstrip('/')}/{name}"
+        return IncrementalIngest(
+            spark, source_path, fmt, schema, home, **{**settings, "transforms": steps, "stamp": stamp_silver}
+        )
+
+    return (
+        ingest("valid", lambda df: quality.valid_rows(df, rules)),
+        ingest("invalid", lambda df: quality.invalid_rows(df, rules)),
+    )
