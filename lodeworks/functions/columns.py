@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,22 +21,8 @@ def named(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def fold(parts: Sequence[Column], combine: Callable[[Column, Column], Column], empty: Column) -> Column:
-    """Combine predicates as a balanced tree, so thousands of columns stay shallow."""
-    if not parts:
-        return empty
-    if len(parts) == 1:
-        return parts[0]
-    mid = len(parts) // 2
-    return combine(fold(parts[:mid], combine, empty), fold(parts[mid:], combine, empty))
-
-
 def all_of(parts: Sequence[Column]) -> Column:
-    return fold(parts, lambda a, b: a & b, F.lit(True))
-
-
-def any_of(parts: Sequence[Column]) -> Column:
-    return fold(parts, lambda a, b: a | b, F.lit(False))
+    return reduce(and_, parts)
 
 
 def clock(run_ts: datetime | str | None) -> Column:

@@ -12,12 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.functions.columns import all_of, any_of, named
+from lodeworks.functions.columns import named, quoted
 
 ISSUES = "data_quality_issues"
 RESERVED_PREFIXES = ("bronze_", "silver_")
 NOT_NULL = "not_null"
 
+_VIOLATIONS = "array<struct<failed_column:string,rule:string>>"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -40,9 +42,16 @@ def business_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != ISSUES and not c.startswith(RESERVED_PREFIXES)]
 
 
-def _violations(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[str, Column]]:
-    nulls = [(f"Null value in {c}", named(c).isNull()) for c in business_columns(df)]
-    return nulls + [(r.message, r.broken()) for r in rules]
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _each_null(df: DataFrame, form: str) -> list[str]:
+    """``form`` filled in per checked column. SQL text keeps thousands of columns one JVM call."""
+    return [
+        form.format(column=quoted(c), name=_sql_text(c), message=_sql_text(f"Null value in {c}"))
+        for c in business_columns(df)
+    ]
 
 
 def is_invalid(df: DataFrame, rules: Sequence[Rule] = ()) -> Column:
@@ -51,19 +60,30 @@ def is_invalid(df: DataFrame, rules: Sequence[Rule] = ()) -> Column:
     The ``IS NULL OR ...`` form reaches the file scan, so a read of invalid rows skips row
     groups whose statistics show no NULL.
     """
-    return any_of([bad for _, bad in _violations(df, rules)])
+    tests = _each_null(df, "{column} IS NULL")
+    bad = F.expr(" OR ".join(tests)) if tests else F.lit(False)
+    for rule in rules:
+        bad = bad | rule.broken()
+    return bad
 
 
 def is_valid(df: DataFrame, rules: Sequence[Rule] = ()) -> Column:
     """Complement of `is_invalid`, spelled as a conjunction for pushdown."""
-    keep = [named(c).isNotNull() for c in business_columns(df)]
-    return all_of(keep + [~r.broken() for r in rules])
+    tests = _each_null(df, "{column} IS NOT NULL")
+    good = F.expr(" AND ".join(tests)) if tests else F.lit(True)
+    for rule in rules:
+        good = good & ~rule.broken()
+    return good
 
 
 def annotate(df: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
     """Q1: add ``data_quality_issues``, the messages in column order, NULL for clean rows."""
-    notes = [F.when(bad, F.lit(message)) for message, bad in _violations(df, rules)]
-    text = F.nullif(F.concat_ws(", ", *notes), F.lit("")) if notes else F.lit(None).cast("string")
+    notes = _each_null(df, "CASE WHEN {column} IS NULL THEN {message} END")
+    parts = [F.expr(f"concat_ws(', ', {', '.join(notes)})")] if notes else []
+    if rules:
+        parts = [F.nullif(p, F.lit("")) for p in parts]
+        parts = [F.concat_ws(", ", *parts, *[F.when(r.broken(), F.lit(r.message)) for r in rules])]
+    text = F.nullif(parts[0], F.lit("")) if parts else F.lit(None).cast("string")
     return df.withColumn(ISSUES, text)
 
 
@@ -98,10 +118,8 @@ def violations(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = ()) -
     Clean rows are filtered first, at the scan where possible, so only invalid rows pay for
     the per-column array.
     """
-    nulls = [
-        F.when(named(c).isNull(), F.struct(F.lit(c).alias("failed_column"), F.lit(NOT_NULL).alias("rule")))
-        for c in business_columns(df)
-    ]
+    form = "CASE WHEN {column} IS NULL THEN named_struct('failed_column', {name}, 'rule', '" + NOT_NULL + "') END"
+    failed = F.expr(f"array({', '.join(_each_null(df, form))})").cast(_VIOLATIONS)
     extra = [
         F.when(
             r.broken(),
@@ -109,7 +127,8 @@ def violations(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule] = ()) -
         )
         for r in rules
     ]
-    failed = F.array(*nulls, *extra).cast("array<struct<failed_column:string,rule:string>>")
+    if extra:
+        failed = F.concat(failed, F.array(*extra).cast(_VIOLATIONS))
     found = F.filter(failed, lambda v: v.isNotNull())
     return (
         df.filter(is_invalid(df, rules))
