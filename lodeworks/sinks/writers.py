@@ -20,7 +20,7 @@ _MICROS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-_DEFAULTS: dict[str, dict[str, str]] = {
+SINK_DEFAULTS: dict[str, dict[str, str]] = {
     "csv": {"header": "true", **_MICROS},
     "json": dict(_MICROS),
     "parquet": {},
@@ -29,6 +29,7 @@ _DEFAULTS: dict[str, dict[str, str]] = {
 
 # Writer side of `sources.readers.TEXT_SAFE_CSV`.
 TEXT_SAFE_CSV = {
+    "nullValue": "\\N",
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -84,7 +85,7 @@ def write_dataset(
     if cluster:
         df = cluster_for(df, parts)
     df, seen = observed_rows(df)
-    writer = df.write.format(fmt).options(**{**_DEFAULTS[fmt], **(options or {})}).mode(mode)
+    writer = df.write.format(fmt).options(**{**SINK_DEFAULTS[fmt], **(options or {})}).mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)

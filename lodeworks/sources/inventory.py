@@ -1,7 +1,8 @@
 """File inventories as DataFrames.
 
 The ``binaryFile`` source lists files and hands out path, size and time; the content column
-is pruned unless asked for, so an inventory opens no file.
+is pruned unless asked for, so an inventory opens no file. Like all of Spark's file sources it
+passes over hidden names (``_*``, ``.*``) and files of length zero.
 """
 
 from __future__ import annotations

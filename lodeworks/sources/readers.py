@@ -12,10 +12,12 @@ BRONZE_SOURCES = ("csv", "json", "parquet", "orc", "jdbc")
 SILVER_SOURCES = ("csv", "json", "parquet", "orc")
 SMALL_SOURCES = ("csv", "json", "parquet")
 
-# Reader options that bring back any text a CSV written by `sinks.writers.TEXT_SAFE_CSV` holds:
-# embedded newlines, quotes and edge blanks. `multiLine` files are read whole, one task per file,
-# so it is opt-in; the plain CSV scan stays splittable.
+# Reader options that bring back the text a CSV written by `sinks.writers.TEXT_SAFE_CSV` holds:
+# embedded newlines, quotes, edge blanks, and empty text apart from NULL (written as \N, the one
+# value it cannot hold). `multiLine` files are read whole, one task per file, so it is opt-in; the
+# plain CSV scan stays splittable.
 TEXT_SAFE_CSV = {
+    "nullValue": "\\N",
     "multiLine": "true",
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",

@@ -22,8 +22,8 @@ from lodeworks.errors import DataError
 from lodeworks.functions.lineage import Transform, apply_transforms, stamp_bronze, stamp_silver
 from lodeworks.layout import parse_partition_cols
 from lodeworks.operators import quality
-from lodeworks.sinks.writers import SINKS
-from lodeworks.sources.readers import SILVER_SOURCES, require_format
+from lodeworks.sinks.writers import SINK_DEFAULTS, SINKS
+from lodeworks.sources.readers import SILVER_SOURCES, read_source, require_format
 from lodeworks.storage import Folders
 
 
@@ -70,6 +70,9 @@ class IncrementalIngest:
     def _home(self, generation: int) -> str:
         return f"{self.root}/g{generation}"
 
+    def _steps(self, incoming: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
+        return apply_transforms(self.stamp(incoming, self.source_label, run_ts), self.transforms)
+
     def run(self, run_ts: datetime | str | None = None) -> None:
         """Take everything that is new, then stop.
 
@@ -81,9 +84,10 @@ class IncrementalIngest:
         if self.fmt == "csv":
             reader = reader.option("header", True)
         incoming = reader.options(**self.options).load(self.source_path)
-        stamped = apply_transforms(self.stamp(incoming, self.source_label, run_ts), self.transforms)
         writer = (
-            stamped.writeStream.format(self.sink_format)
+            self._steps(incoming, run_ts)
+            .writeStream.format(self.sink_format)
+            .options(**SINK_DEFAULTS[self.sink_format])
             .option("path", f"{home}/data")
             .option("checkpointLocation", f"{home}/checkpoint")
             .trigger(availableNow=True)
@@ -102,12 +106,13 @@ class IncrementalIngest:
     def read(self) -> DataFrame:
         """All rows of all generations. Each folder is read whole, so the sink's log is honoured."""
         homes = [f"{self._home(g)}/data" for g in self.generations()]
-        parts = [self.spark.read.format(self.sink_format).load(h) for h in homes if self.folders.exists(h)]
+        schema = self._steps(self.spark.createDataFrame([], self.schema)).schema
+        parts = [read_source(self.spark, self.sink_format, h, schema=schema) for h in homes if self.folders.exists(h)]
         if not parts:
             raise DataError("Nothing has been ingested yet", source="incremental", path=self.root)
         out = parts[0]
         for part in parts[1:]:
-            out = out.unionByName(part, allowMissingColumns=True)
+            out = out.unionByName(part)
         return out
 
 

@@ -1,0 +1,189 @@
+"""T1-T10, K8, K10, K11 on hand-made frames."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodeworks.errors import DataError
+from lodeworks.operators.tables import TableStore
+from tests.conftest import rows
+
+
+@pytest.fixture
+def people(spark):
+    return spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", None)], "id int, name string, p string")
+
+
+def test_created_partitioned_table_is_readable_and_empty(store):
+    assert not store.exists("t")
+    path = store.create("t", "id int, p string", ["p"])
+    assert path == store.layout.table_path("t")
+    assert store.exists("t") and store.read("t").count() == 0
+    assert store.partition_columns("t") == ["p"]
+
+
+def test_create_without_schema_makes_only_the_folder(store):
+    path = store.create("t")
+    assert os.path.isdir(path) and not store.exists("t")
+
+
+def test_append_creates_then_adds(store, people):
+    assert store.append("t", people, "p").get["rows"] == 3
+    assert store.append("t", people).get["rows"] == 3
+    assert store.read("t").count() == 6
+    assert rows(store.read("t").filter("p IS NULL").select("id")) == [(3,), (3,)]
+
+
+def test_append_to_missing_table_with_schema(store, people):
+    store.append("t", people.select("id", "name"), schema="id bigint, name string, note string")
+    assert store.schema("t").simpleString() == "struct<id:bigint,name:string,note:string>"
+
+
+def test_append_goes_by_name_and_widens(store, people):
+    store.append("t", people, ["p"])
+    store.append("t", people.select("p", F.lit(1.5).alias("score"), "id"))
+    assert store.read("t").columns == ["id", "name", "score", "p"]
+    assert rows(store.read("t", ["id", "name", "score"], "id = 1")) == [(1, "a", None), (1, None, 1.5)]
+
+
+def test_default_partition_columns_come_from_the_layout(spark, layout, people):
+    from dataclasses import replace
+
+    store = TableStore(spark, replace(layout, partition_cols=("p",)))
+    store.append("t", people)
+    assert store.partition_columns("t") == ["p"]
+
+
+def test_overwrite_from_itself(store, people):
+    store.append("t", people, ["p"])
+    old = store.location("t")
+    store.overwrite("t", store.read("t", predicate="id > 1"))
+    assert rows(store.read("t", ["id"])) == [(2,), (3,)]
+    assert store.partition_columns("t") == ["p"]
+    assert store.location("t") != old and not store.folders.exists(old)
+
+
+def test_failed_overwrite_leaves_the_table(store, people):
+    store.append("t", people)
+    broken = store.read("t").withColumn("name", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(DataError) as e:
+        store.overwrite("t", broken)
+    assert e.value.to_dict()["details"] == {"source": "tables", "table": "t"}
+    assert store.read("t").count() == 3
+    assert store.names() == ["t"]
+    assert len(store.folders.children(store.layout.table_path("t"))) == 1
+
+
+def test_unknown_mode(store, people):
+    with pytest.raises(ValueError, match="upsert"):
+        store.write("t", people, mode="upsert")
+
+
+def test_limit(store, spark):
+    store.append("t", spark.range(10))
+    assert [store.read("t", limit=n).count() for n in (None, 0, 3)] == [10, 0, 3]
+
+
+def test_filter_on_an_unprojected_column(store, people):
+    store.append("t", people)
+    assert rows(store.read("t", ["name"], F.col("id") >= 2)) == [("b",), ("c",)]
+
+
+def test_missing_table(store):
+    for call in (store.read, store.schema, store.stats, store.partitions, store.schema_rows):
+        with pytest.raises(DataError):
+            call("nope")
+
+
+def test_copy(store, people):
+    store.append("t", people, ["p"])
+    store.copy("t", "u")
+    assert rows(store.read("u")) == rows(store.read("t"))
+    assert store.partition_columns("u") == ["p"]
+    store.append("t", people)
+    with pytest.raises(DataError, match="already exists"):
+        store.copy("t", "u")
+    assert store.read("u").count() == 3
+    store.copy("t", "u", overwrite=True)
+    assert store.read("u").count() == 6
+    with pytest.raises(DataError, match="does not exist"):
+        store.copy("nope", "v")
+
+
+def test_merge(store, people, spark):
+    store.append("t", people, ["p"])
+    store.append("s", spark.createDataFrame([(1, "A", "z"), (9, "N", "x"), (9, "M", "x")], "id int, name string, p string"))
+    result = store.merge("s", "t", ["id"])
+    assert (result.rows_updated, result.updated, result.inserted) == (3, 1, 2)
+    assert result.path == store.layout.table_path("t")
+    assert rows(store.read("t", ["id", "name", "p"])) == [
+        (1, "A", "z"), (2, "b", "y"), (3, "c", None), (9, "M", "x"), (9, "N", "x"),
+    ]
+    assert store.partition_columns("t") == ["p"]
+
+
+def test_merge_needs_both_tables(store, people):
+    store.append("t", people)
+    with pytest.raises(DataError, match="Source"):
+        store.merge("nope", "t", ["id"])
+    with pytest.raises(DataError, match="Destination"):
+        store.merge("t", "nope", ["id"])
+
+
+def test_ambiguous_merge_leaves_the_table(store, people):
+    store.append("t", people)
+    store.append("s", people.unionByName(people))
+    with pytest.raises(DataError, match="ambiguous merge"):
+        store.merge("s", "t", ["id"])
+    assert rows(store.read("t")) == rows(people)
+
+
+def test_names_skip_views_and_drop_removes_files(store, people):
+    store.append("t", people)
+    store.append("u", people)
+    people.createOrReplaceTempView("some_view")
+    assert store.names() == ["t", "u"]
+    assert rows(store.listing()) == [("t",), ("u",)]
+    store.drop("t")
+    store.drop("t")
+    assert store.names() == ["u"] and not os.path.exists(store.layout.table_path("t"))
+
+
+def test_stats_and_partitions(store, people):
+    store.append("t", people, ["p"])
+    stats = store.stats("t").first()
+    assert (stats.table_name, stats.row_count, stats.column_count, stats.partition_count) == ("t", 3, 3, 3)
+    assert stats.columns == ["id", "name", "p"] and stats.file_count == 3
+    assert stats.size_mb == stats.size_bytes / 1048576 > 0
+    assert rows(store.partitions("t")) == [("x", 1, 1), ("y", 1, 1), (None, 1, 1)]
+
+
+def test_stats_of_an_empty_table(store):
+    store.create("t", "id int, p string", ["p"])
+    stats = store.stats("t").first()
+    assert (stats.row_count, stats.partition_count) == (0, 0)
+
+
+def test_attach_takes_the_newest_complete_snapshot(spark, store, people):
+    from dataclasses import replace
+
+    store.append("t", people, ["p"])
+    schema = store.schema("t")
+    unfinished = f"{store.layout.table_path('t')}/snapshot-99999999T000000000000-0"
+    store.folders.make(unfinished)
+    other = TableStore(spark, replace(store.layout, database=store.layout.database + "_b"))
+    other.attach("t", schema, ["p"])
+    assert rows(other.read("t")) == rows(store.read("t"))
+    assert other.partition_columns("t") == ["p"]
+    with pytest.raises(DataError):
+        other.attach("nope")
+
+
+def test_stale_reader_after_swap_sees_new_rows(store, people):
+    store.append("t", people)
+    assert store.read("t").count() == 3
+    store.overwrite("t", people.limit(1))
+    assert store.read("t").count() == 1
