@@ -8,9 +8,9 @@ How it holds up at scale and with hot keys:
 
 * the source is cut to one row per key before its shuffle: Spark ranks within each map task
   first (``WindowGroupLimit``), so a key owning a third of the source ships a few rows;
-* inserts need to know which source keys exist. The destination's keys are first reduced to
-  those the source has, then made distinct with map-side combine. For a small source that
-  first step is a broadcast, and the destination's keys are never shuffled;
+* inserts need to know which source keys exist. The destination's keys are made distinct with
+  map-side combine before their shuffle. When the source's keys are few, by Spark's estimate,
+  the destination's keys are cut to those first by a broadcast, and hardly any is shuffled;
 * in every join the side that may hold a hot key is the left one and the other side holds
   one row per key, which is what AQE needs to split the hot key over several tasks.
 
@@ -119,10 +119,33 @@ def update_rows(
     )
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of ``df``."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _worth_broadcasting(offered: DataFrame, present: DataFrame) -> bool:
+    """Whether ``offered`` is below the broadcast limit and far smaller than ``present``."""
+    limit = offered.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = _estimated_bytes(offered)
+    return size <= limit and size * 8 <= _estimated_bytes(present)
+
+
+def _offered_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return source.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
+
+
+def matching_rows(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``dest`` whose key ``source`` has."""
+    return dest.join(_offered_keys(source, keys), _same_key(keys), "left_semi")
+
+
 def _known_keys(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct source keys that ``dest`` has."""
-    offered = source.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
-    present = dest.select(*[named(k) for k in keys]).join(offered, _same_key(keys), "left_semi")
+    """Distinct keys of ``dest``, at least all those that ``source`` has too."""
+    offered = _offered_keys(source, keys)
+    present = dest.select(*[named(k) for k in keys])
+    if _worth_broadcasting(offered, present):
+        present = present.join(offered, _same_key(keys), "left_semi")
     return present.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
 
 

@@ -22,12 +22,12 @@ from datetime import datetime, timezone
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from lodeworks.errors import DataError
 from lodeworks.functions.columns import named, quoted
 from lodeworks.layout import LakeLayout, parse_partition_cols
-from lodeworks.operators.merge import merge
+from lodeworks.operators.merge import matching_rows, merge, update_set
 from lodeworks.operators.scans import scan
 from lodeworks.sinks.writers import cluster_for, observed_rows
 from lodeworks.sources.inventory import file_rollup
@@ -47,6 +47,12 @@ class MergeResult:
     inserted: int
 
 
+def _column_or_null(df: DataFrame, field: StructField) -> Column:
+    if field.name in df.columns:
+        return named(field.name)
+    return F.lit(None).cast(field.dataType).alias(field.name)
+
+
 class TableStore:
     """The tables of one layout."""
 
@@ -226,20 +232,18 @@ class TableStore:
         """K11; ``df`` may read the table being replaced."""
         return self.write(table, df, partition_cols, "overwrite", **kwargs)
 
-    def _append(self, table: str, df: DataFrame, cluster: bool) -> Observation:
+    def _widen(self, table: str, df: DataFrame) -> DataFrame:
+        """Give the table the columns only ``df`` has; returns ``df`` in the table's column order."""
         have = self.schema(table)
         fresh = [f for f in df.schema if f.name not in have.names]
         if fresh:
             added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fresh)
             self.spark.sql(f"ALTER TABLE {self._id(table)} ADD COLUMNS ({added})")
             have = self.schema(table)
-        # insertInto goes by position: give every table column in table order.
-        aligned = df.select(
-            *[
-                named(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in have
-            ]
-        )
+        return df.select(*[_column_or_null(df, f) for f in have])
+
+    def _append(self, table: str, df: DataFrame, cluster: bool) -> Observation:
+        aligned = self._widen(table, df)  # insertInto goes by position
         if cluster:
             aligned = cluster_for(aligned, self.partition_columns(table))
         aligned, seen = observed_rows(aligned)
@@ -303,22 +307,67 @@ class TableStore:
         keys: Sequence[str],
         update_columns: Sequence[str] | None = None,
         order_by: Sequence[str] = (),
+        touched_only: bool = False,
     ) -> MergeResult:
         """Upsert the rows of ``source`` into ``dest``, keeping its partitioning.
 
-        The counts come from file footers: updates never change the number of rows, so what
-        the table gained is what was inserted.
+        By default a new snapshot replaces the table. ``touched_only`` rewrites, inside the
+        current snapshot, just the partitions that matching or new rows fall into; the others
+        are neither read nor written. It applies to partitioned tables whose partition columns
+        the merge does not update, and falls back to a new snapshot otherwise. Spark moves the
+        rewritten partitions into place one after another when the job commits, so a driver
+        lost in that moment can leave some of them old: run the merge again.
+
+        The counts need no extra join: updates never change the number of rows, so what the
+        table gained is what was inserted.
         """
         self._require(source, "Source")
         self._require(dest, "Destination")
         incoming, current = self.read(source), self.read(dest)
-        before, offered = current.count(), incoming.count()
+        offered = incoming.count()
+        parts = self.partition_columns(dest)
+        moves = set(parts) & set(update_set(incoming, current, keys, update_columns, order_by))
         with self._reporting(dest, "merge into"):
-            merged = merge(incoming, current, keys, update_columns, order_by)
-            self._replace(dest, merged, self.partition_columns(dest), True)
-        inserted = self.read(dest).count() - before
+            if touched_only and parts and not moves:
+                current = current.filter(self._in_touched(incoming, current, keys, parts))
+                merged = merge(incoming, current, keys, update_columns, order_by)
+                before = current.count()
+                after = self._replace_partitions(dest, merged, parts).get["rows"]
+            else:
+                merged = merge(incoming, current, keys, update_columns, order_by)
+                before = current.count()
+                after = self._replace(dest, merged, parts, True).get["rows"]
+        inserted = after - before
         return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
 
+    def _in_touched(self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str]) -> Column:
+        """A partition predicate for every partition a merge may change.
+
+        The partition values come to the driver, which holds a table's partition list anyway.
+        """
+        fields = [dest.schema[p] for p in parts]
+        touched = source.select(*[_column_or_null(source, f).cast(f.dataType).alias(f.name) for f in fields])
+        if not set(parts) <= set(keys):
+            touched = touched.unionByName(matching_rows(source, dest, keys).select(*[named(p) for p in parts]))
+        values = touched.distinct().collect()
+        specs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in values]
+        return F.struct(*[named(p) for p in parts]).isin(specs)
+
+    def _replace_partitions(self, table: str, df: DataFrame, parts: list[str]) -> Observation:
+        """Replace the partitions that ``df`` has rows of. ``df`` may read them: they go last."""
+        df, seen = observed_rows(cluster_for(self._widen(table, df), parts))
+        (
+            df.write.format(self.layout.table_format)
+            .option("compression", self.layout.compression)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*parts)
+            .mode("overwrite")
+            .save(self.location(table))
+        )
+        self.spark.sql(f"ALTER TABLE {self._id(table)} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(self._id(table))
+        return seen
+
     def attach(self, table: str, schema: StructType | None = None, partition_cols: Sequence[str] = ()) -> None:
         """Register the newest complete snapshot, for a session whose catalog lacks the table.
 

@@ -86,6 +86,27 @@ def table_merge_counts(spark, sf_dir):
     )
 
 
+_LATEST = """
+WITH src AS (SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, 'new' AS tag, o_orderpriority FROM orders WHERE o_orderstatus = 'P'
+             UNION ALL SELECT o_orderkey + 10000000, o_totalprice, 'new', 'none' FROM orders WHERE o_orderstatus = 'P')
+SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, coalesce(s.o_totalprice, o.o_totalprice) AS o_totalprice, o.o_orderdate,
+       CAST(NULL AS VARCHAR) AS tag, o.o_orderpriority
+FROM orders o LEFT JOIN src s ON s.o_orderkey = o.o_orderkey AND s.o_orderpriority = o.o_orderpriority
+UNION ALL SELECT o_orderkey, NULL, NULL, o_totalprice, NULL, tag, o_orderpriority FROM src WHERE o_orderkey >= 10000000"""
+
+
+@registry.query("table_merge_touched", _LATEST)
+def table_merge_touched(spark, sf_dir):
+    """Upsert that rewrites only the partitions it falls into, and adds one."""
+    store = _orders_store(spark, sf_dir, ["o_orderpriority"])
+    pending = store.read("orders", predicate="o_orderstatus = 'P'")
+    changed = pending.selectExpr("o_orderkey", "o_totalprice + 1 AS o_totalprice", "'new' AS tag", "o_orderpriority")
+    added = pending.selectExpr("o_orderkey + 10000000 AS o_orderkey", "o_totalprice", "'new' AS tag", "'none' AS o_orderpriority")
+    store.append("latest", changed.unionByName(added))
+    store.merge("latest", "orders", ["o_orderkey", "o_orderpriority"], touched_only=True)
+    return store.read("orders")
+
+
 @registry.query(
     "table_partitions",
     "SELECT o_orderstatus, o_orderpriority, count(*) AS row_count, true AS has_files FROM orders GROUP BY ALL",

@@ -93,6 +93,15 @@ def test_small_source_is_broadcast_and_destination_not_shuffled(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_few_source_keys_cut_the_destination_keys_before_their_shuffle(spark):
+    dest = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    few = spark.range(-3, 3).select(F.col("id").alias("l_orderkey"), F.lit(2.0).alias("l_tax"))
+    text = plan_of(m.insert_rows(few, dest, ["l_orderkey"]))
+    assert "LeftSemi" in text and "SortMergeJoin" not in text
+    many = dest.selectExpr("l_orderkey + 1 AS l_orderkey", "l_tax")
+    assert "LeftSemi" not in plan_of(m.insert_rows(many, dest, ["l_orderkey"]))
+
+
 def test_quality_is_one_narrow_stage(spark):
     df = spark.read.parquet(f"{SF_DIR}/events.parquet")
     for one in (quality.annotate(df), *quality.split(df), quality.violations(df, ["event_id"])):

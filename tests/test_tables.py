@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodeworks.errors import DataError
 from lodeworks.operators.tables import TableStore
+from lodeworks.sources.inventory import list_files
 from tests.conftest import rows
 
 
@@ -50,8 +52,6 @@ def test_append_goes_by_name_and_widens(store, people):
 
 
 def test_default_partition_columns_come_from_the_layout(spark, layout, people):
-    from dataclasses import replace
-
     store = TableStore(spark, replace(layout, partition_cols=("p",)))
     store.append("t", people)
     assert store.partition_columns("t") == ["p"]
@@ -125,6 +125,61 @@ def test_merge(store, people, spark):
     assert store.partition_columns("t") == ["p"]
 
 
+def _files(store, table):
+    return {r.relative_path for r in list_files(store.spark, store.location(table)).collect()}
+
+
+@pytest.mark.parametrize("keys", [["id"], ["id", "p"]])
+def test_merge_of_touched_partitions(store, spark, keys):
+    cols = "id int, name string, p string"
+    store.append("t", spark.createDataFrame([(i, "old", f"p{i % 4}") for i in range(40)] + [(99, "old", None)], cols), "p")
+    source = [(1, "new", "p1"), (5, "new", "p1"), (99, "new", None), (200, "new", "p2"), (201, "new", "p9")]
+    store.append("s", spark.createDataFrame(source, cols).withColumn("extra", F.lit(1)))
+    before, snapshot = _files(store, "t"), store.location("t")
+    result = store.merge("s", "t", keys, ["name"], touched_only=True)
+    assert (result.rows_updated, result.updated, result.inserted) == (5, 3, 2)
+    assert store.location("t") == snapshot
+    kept = {f for f in before if f.startswith(("p=p0/", "p=p3/"))}
+    assert before & _files(store, "t") == kept
+    got = store.read("t")
+    assert got.columns == ["id", "name", "extra", "p"] and got.count() == 43
+    assert rows(got.filter("name = 'new'").select("id", "extra", "p")) == [
+        (1, None, "p1"), (200, 1, "p2"), (201, 1, "p9"), (5, None, "p1"), (99, None, None),
+    ]
+    assert store.partitions("t").count() == 6
+    other = TableStore(spark, replace(store.layout, database=store.layout.database + "_b"))
+    other.attach("t", store.schema("t"), ["p"])
+    assert rows(other.read("t")) == rows(got)
+
+
+def test_touched_partitions_when_rows_match_elsewhere(store, spark):
+    """The source says nothing about partitions: matching rows tell, new rows go to NULL."""
+    store.append("t", spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, name string, p string"), "p")
+    store.append("s", spark.createDataFrame([(2, "B"), (3, "C")], "id int, name string"))
+    before = _files(store, "t")
+    assert store.merge("s", "t", ["id"], touched_only=True).inserted == 1
+    assert rows(store.read("t", ["id", "name", "p"])) == [(1, "a", "x"), (2, "B", "y"), (3, "C", None)]
+    assert {f for f in before & _files(store, "t")} == {f for f in before if f.startswith("p=x/")}
+
+
+def test_merge_that_moves_rows_takes_a_new_snapshot(store, spark):
+    cols = "id int, name string, p string"
+    store.append("t", spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], cols), "p")
+    store.append("s", spark.createDataFrame([(1, "A", "z")], cols))
+    old = store.location("t")
+    store.merge("s", "t", ["id"], touched_only=True)
+    assert rows(store.read("t")) == [(1, "A", "z"), (2, "b", "y")] and store.location("t") != old
+
+
+def test_empty_source_touches_nothing(store, spark, people):
+    store.append("t", people, "p")
+    store.append("s", people.select("id", "name").limit(0))
+    before = _files(store, "t")
+    result = store.merge("s", "t", ["id"], touched_only=True)
+    assert (result.rows_updated, result.inserted) == (0, 0)
+    assert _files(store, "t") == before and store.read("t").count() == 3
+
+
 def test_merge_needs_both_tables(store, people):
     store.append("t", people)
     with pytest.raises(DataError, match="Source"):
@@ -168,8 +223,6 @@ def test_stats_of_an_empty_table(store):
 
 
 def test_attach_takes_the_newest_complete_snapshot(spark, store, people):
-    from dataclasses import replace
-
     store.append("t", people, ["p"])
     schema = store.schema("t")
     unfinished = f"{store.layout.table_path('t')}/snapshot-99999999T000000000000-0"
