@@ -36,6 +36,9 @@ from lodeworks.storage import Folders
 
 _STAGING = "__staging_"
 
+# Partition values a merge names one by one; beyond this it rewrites the whole table.
+MAX_TOUCHED = 10_000
+
 
 @dataclass(frozen=True)
 class MergeResult:
@@ -314,7 +317,8 @@ class TableStore:
         By default a new snapshot replaces the table. ``touched_only`` rewrites, inside the
         current snapshot, just the partitions that matching or new rows fall into; the others
         are neither read nor written. It applies to partitioned tables whose partition columns
-        the merge does not update, and falls back to a new snapshot otherwise. Spark moves the
+        the merge does not update, and falls back to a new snapshot otherwise, or when more than
+        ``MAX_TOUCHED`` partitions are concerned. Spark moves the
         rewritten partitions into place one after another when the job commits, so a driver
         lost in that moment can leave some of them old: run the merge again.
 
@@ -328,8 +332,11 @@ class TableStore:
         parts = self.partition_columns(dest)
         moves = set(parts) & set(update_set(incoming, current, keys, update_columns, order_by))
         with self._reporting(dest, "merge into"):
+            touched = None
             if touched_only and parts and not moves:
-                current = current.filter(self._in_touched(incoming, current, keys, parts))
+                touched = self._in_touched(incoming, current, keys, parts)
+            if touched is not None:
+                current = current.filter(touched)
                 merged = merge(incoming, current, keys, update_columns, order_by)
                 before = current.count()
                 after = self._replace_partitions(dest, merged, parts).get["rows"]
@@ -340,16 +347,17 @@ class TableStore:
         inserted = after - before
         return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
 
-    def _in_touched(self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str]) -> Column:
-        """A partition predicate for every partition a merge may change.
-
-        The partition values come to the driver, which holds a table's partition list anyway.
-        """
+    def _in_touched(
+        self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str]
+    ) -> Column | None:
+        """A predicate for every partition a merge may change; None when there are too many."""
         fields = [dest.schema[p] for p in parts]
         touched = source.select(*[_column_or_null(source, f).cast(f.dataType).alias(f.name) for f in fields])
         if not set(parts) <= set(keys):
             touched = touched.unionByName(matching_rows(source, dest, keys).select(*[named(p) for p in parts]))
-        values = touched.distinct().collect()
+        values = touched.distinct().limit(MAX_TOUCHED + 1).collect()
+        if len(values) > MAX_TOUCHED:
+            return None
         specs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in values]
         return F.struct(*[named(p) for p in parts]).isin(specs)
 

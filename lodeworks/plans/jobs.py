@@ -8,7 +8,7 @@ its source just to count it.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
@@ -31,7 +31,7 @@ from lodeworks.sources.readers import (
     read_source,
     require_format,
 )
-from lodeworks.storage import work_folder
+from lodeworks.storage import Folders, work_folder
 
 
 @dataclass(frozen=True)
@@ -157,17 +157,16 @@ def process_silver(
         df = stamp_silver(df, job.source_label or job.source_path, job.run_ts or pinned_now())
         df = apply_transforms(df, job.transforms)
         if not _checks_wanted(job.quality_checks):
-            rows = store.write(job.table, df, job.partition_cols, job.mode).get["rows"]
-            run.audit = run.audit.succeeded(rows_read=rows, column_count=width, rows_written=rows)
+            total = store.write(job.table, df, job.partition_cols, job.mode).get["rows"]
+            run.audit = run.audit.succeeded(rows_read=total, column_count=width, rows_written=total)
             return run.audit
-        if job.stage:
-            df = _staged(spark, df)
-        any_invalid = Observation()
-        watched = df.observe(any_invalid, F.max(quality.is_invalid(df, job.rules)).alias("found"))
-        valid = store.write(job.table, quality.valid_rows(watched, job.rules), job.partition_cols, job.mode)
-        n_valid, n_invalid = valid.get["rows"], 0
-        if any_invalid.get["found"]:
-            n_invalid = write_quarantine(quality.invalid_rows(df, job.rules), layout, job.table)
+        with _staged(spark, df) if job.stage else nullcontext(df) as rows:
+            any_invalid = Observation()
+            watched = rows.observe(any_invalid, F.max(quality.is_invalid(rows, job.rules)).alias("found"))
+            valid = store.write(job.table, quality.valid_rows(watched, job.rules), job.partition_cols, job.mode)
+            n_valid, n_invalid = valid.get["rows"], 0
+            if any_invalid.get["found"]:
+                n_invalid = write_quarantine(quality.invalid_rows(rows, job.rules), layout, job.table)
         run.audit = run.audit.succeeded(
             rows_read=n_valid + n_invalid,
             column_count=width,
@@ -183,10 +182,15 @@ def write_quarantine(invalid: DataFrame, layout: LakeLayout, table: str) -> int:
     return write_dataset(invalid, layout.quarantine_path(table), "parquet").get["rows"]
 
 
-def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
+@contextmanager
+def _staged(spark: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared work folder, for as long as it is needed."""
     path = work_folder(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        Folders(spark).remove(path)
 
 
 def bronze_to_silver(

@@ -36,6 +36,12 @@ def _sorted(names, records):
     return sorted(plain, key=lambda t: [(v is None, type(v).__name__, str(v)) for v in t])
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def difference(df, con, sql: str) -> str | None:
     """None when both sides hold the same rows, otherwise what differs."""
     names = df.columns
@@ -45,6 +51,10 @@ def difference(df, con, sql: str) -> str | None:
     theirs = _sorted(theirs_names, result.fetchall())
     if sorted(names) != sorted(theirs_names):
         return f"columns {sorted(names)} != {sorted(theirs_names)}"
+    types = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in df.dtypes:
+        if SQL_TYPES.get(kind, kind) != types[name]:
+            return f"type of {name}: {kind} != {types[name]}"
     if len(mine) != len(theirs):
         return f"{len(mine)} rows != {len(theirs)}"
     for a, b in zip(mine, theirs):

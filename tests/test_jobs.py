@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 from datetime import datetime, timezone
 
@@ -116,6 +117,7 @@ def test_staged_split_of_unrepeatable_transforms(spark, layout, store, landing):
     if run.rows_invalid:
         dropped = {r.id for r in spark.read.parquet(layout.quarantine_path("t")).collect()}
     assert kept | dropped == {1, 2, 3} and not kept & dropped
+    assert not glob.glob(spark.conf.get("spark.checkpoint.dir") + "/lodeworks-stage-*")
 
 
 def test_silver_modes_and_partitions(spark, layout, store, landing):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodeworks.errors import DataError
+from lodeworks.operators import tables
 from lodeworks.operators.tables import TableStore
 from lodeworks.sources.inventory import list_files
 from tests.conftest import rows
@@ -171,6 +172,15 @@ def test_merge_that_moves_rows_takes_a_new_snapshot(store, spark):
     assert rows(store.read("t")) == [(1, "A", "z"), (2, "b", "y")] and store.location("t") != old
 
 
+def test_too_many_touched_partitions_take_a_new_snapshot(store, people, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_TOUCHED", 1)
+    store.append("t", people, "p")
+    store.append("s", people.withColumn("name", F.upper("name")))
+    old = store.location("t")
+    assert store.merge("s", "t", ["id", "p"], touched_only=True).updated == 3
+    assert rows(store.read("t", ["name"])) == [("A",), ("B",), ("C",)] and store.location("t") != old
+
+
 def test_empty_source_touches_nothing(store, spark, people):
     store.append("t", people, "p")
     store.append("s", people.select("id", "name").limit(0))
