@@ -16,6 +16,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_text(value: str) -> str:
+    """``value`` as one SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def named(name: str) -> Column:
     """The column called exactly ``name`` (dots are not taken as struct access)."""
     return F.col(quoted(name))

@@ -38,8 +38,12 @@ class LakeLayout:
     def bronze_path(self, dataset: str) -> str:
         return f"{self.bronze_root.rstrip('/')}/{self.bronze_prefix}{dataset}"
 
+    @property
+    def database_path(self) -> str:
+        return f"{self.silver_root.rstrip('/')}/{self.silver_prefix}"
+
     def table_path(self, table: str) -> str:
-        return f"{self.silver_root.rstrip('/')}/{self.silver_prefix}{table}"
+        return f"{self.database_path}{table}"
 
     def metadata_path(self, table: str) -> str:
         return f"{self.table_path(table)}/_metadata"

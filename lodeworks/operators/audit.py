@@ -23,6 +23,7 @@ RUN_SCHEMA = (
     .add("start_time", "timestamp")
     .add("end_time", "timestamp")
     .add("attempt", "integer")
+    .add("capacity", "integer")
     .add("params", T.MapType(T.StringType(), T.StringType()))
     .add("rows_read", "long")
     .add("column_count", "integer")
@@ -36,7 +37,10 @@ RUN_SCHEMA = (
 
 @dataclass(frozen=True)
 class RunAudit:
-    """One job run. Counters are None where the run did not get that far or does not apply."""
+    """One job run. Counters are None where the run did not get that far or does not apply.
+
+    ``capacity`` is the number of tasks the cluster could run at once when the job started.
+    """
 
     job_name: str
     status: str = RUNNING
@@ -44,6 +48,7 @@ class RunAudit:
     start_time: datetime = field(default_factory=pinned_now)
     end_time: datetime | None = None
     attempt: int = 1
+    capacity: int | None = None
     params: dict[str, str] = field(default_factory=dict)
     rows_read: int | None = None
     column_count: int | None = None

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.functions.columns import named, quoted
+from lodeworks.functions.columns import named, quoted, sql_text
 
 ISSUES = "data_quality_issues"
 RESERVED_PREFIXES = ("bronze_", "silver_")
@@ -42,14 +42,10 @@ def business_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != ISSUES and not c.startswith(RESERVED_PREFIXES)]
 
 
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _each_null(df: DataFrame, form: str) -> list[str]:
     """``form`` filled in per checked column. SQL text keeps thousands of columns one JVM call."""
     return [
-        form.format(column=quoted(c), name=_sql_text(c), message=_sql_text(f"Null value in {c}"))
+        form.format(column=quoted(c), name=sql_text(c), message=sql_text(f"Null value in {c}"))
         for c in business_columns(df)
     ]
 

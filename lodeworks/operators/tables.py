@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lodeworks.errors import DataError
-from lodeworks.functions.columns import named, quoted
+from lodeworks.functions.columns import named, quoted, sql_text
 from lodeworks.layout import LakeLayout, parse_partition_cols
 from lodeworks.operators.merge import matching_rows, merge, update_set
 from lodeworks.operators.scans import scan
@@ -63,7 +63,7 @@ class TableStore:
         self.spark = spark
         self.layout = layout
         self.folders = Folders(spark)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(layout.database)}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(layout.database)} LOCATION {sql_text(layout.database_path)}")
 
     # -- names and metadata ------------------------------------------------------------
 
@@ -393,7 +393,8 @@ class TableStore:
             columns = f"({schema.toDDL()})" if schema is not None else ""
             parts = f"PARTITIONED BY ({', '.join(map(quoted, partition_cols))})" if partition_cols else ""
             self.spark.sql(
-                f"CREATE TABLE {self._id(table)} {columns} USING {self.layout.table_format} {parts} LOCATION '{where}'"
+                f"CREATE TABLE {self._id(table)} {columns} USING {self.layout.table_format} {parts} "
+                f"LOCATION {sql_text(where)}"
             )
             if self.partition_columns(table):
                 self.spark.sql(f"ALTER TABLE {self._id(table)} RECOVER PARTITIONS")

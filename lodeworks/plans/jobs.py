@@ -87,8 +87,11 @@ class _Run:
 
 
 @contextmanager
-def _audited(log: AuditLog | None, job_name: str, params: Mapping[str, object]) -> Iterator[_Run]:
-    run = _Run(RunAudit(job_name, params={k: str(v) for k, v in params.items()}))
+def _audited(
+    spark: SparkSession, log: AuditLog | None, job_name: str, params: Mapping[str, object]
+) -> Iterator[_Run]:
+    capacity = spark.sparkContext.defaultParallelism
+    run = _Run(RunAudit(job_name, capacity=capacity, params={k: str(v) for k, v in params.items()}))
     try:
         yield run
     except Exception as e:
@@ -100,6 +103,15 @@ def _audited(log: AuditLog | None, job_name: str, params: Mapping[str, object])
         log.append(run.audit)
 
 
+def _rows_read(source: DataFrame, transforms: Sequence[Transform], written: int) -> int:
+    """How many rows the source had.
+
+    Without transforms that is what was written. Transforms may add or drop rows, so then the
+    source is counted: from file footers for Parquet and ORC, by one more scan for text.
+    """
+    return source.count() if transforms else written
+
+
 def ingest_bronze(spark: SparkSession, job: BronzeJob, log: AuditLog | None = None) -> RunAudit:
     """Read, stamp, transform, append."""
     params = {
@@ -109,18 +121,19 @@ def ingest_bronze(spark: SparkSession, job: BronzeJob, log: AuditLog | None = No
         "file_format": job.file_format,
         "partition_cols": ",".join(parse_partition_cols(job.partition_cols)),
     }
-    with _audited(log, job.job_name, params) as run:
+    with _audited(spark, log, job.job_name, params) as run:
         require_format(job.source_type, job.sources, "source format")
         require_format(job.file_format, job.sinks, "file format")
-        df = read_source(spark, job.source_type, job.source_path, job.source_options, job.schema, job.sources)
-        width = len(df.columns)
+        source = read_source(spark, job.source_type, job.source_path, job.source_options, job.schema, job.sources)
         label = (job.source_label or job.source_path or "") if job.stamp_source else None
-        df = apply_transforms(stamp_bronze(df, label, job.run_ts or pinned_now()), job.transforms)
+        df = apply_transforms(stamp_bronze(source, label, job.run_ts or pinned_now()), job.transforms)
         seen = write_dataset(
             df, job.target_path, job.file_format, job.partition_cols, job.sink_options, allowed=job.sinks
         )
         rows = seen.get["rows"]
-        run.audit = run.audit.succeeded(rows_read=rows, column_count=width, rows_written=rows)
+        run.audit = run.audit.succeeded(
+            rows_read=_rows_read(source, job.transforms, rows), column_count=len(source.columns), rows_written=rows
+        )
     return run.audit
 
 
@@ -150,15 +163,19 @@ def process_silver(
         "partition_cols": ",".join(parse_partition_cols(job.partition_cols)),
         "apply_quality_checks": job.quality_checks,
     }
-    with _audited(log, job.job_name, params) as run:
+    with _audited(spark, log, job.job_name, params) as run:
         store = TableStore(spark, layout)
-        df = read_source(spark, job.source_format, job.source_path, job.source_options, job.schema, SILVER_SOURCES)
-        width = len(df.columns)
-        df = stamp_silver(df, job.source_label or job.source_path, job.run_ts or pinned_now())
+        source = read_source(
+            spark, job.source_format, job.source_path, job.source_options, job.schema, SILVER_SOURCES
+        )
+        width = len(source.columns)
+        df = stamp_silver(source, job.source_label or job.source_path, job.run_ts or pinned_now())
         df = apply_transforms(df, job.transforms)
         if not _checks_wanted(job.quality_checks):
             total = store.write(job.table, df, job.partition_cols, job.mode).get["rows"]
-            run.audit = run.audit.succeeded(rows_read=total, column_count=width, rows_written=total)
+            run.audit = run.audit.succeeded(
+                rows_read=_rows_read(source, job.transforms, total), column_count=width, rows_written=total
+            )
             return run.audit
         with _staged(spark, df) if job.stage else nullcontext(df) as rows:
             any_invalid = Observation()
@@ -168,7 +185,7 @@ def process_silver(
             if any_invalid.get["found"]:
                 n_invalid = write_quarantine(quality.invalid_rows(rows, job.rules), layout, job.table)
         run.audit = run.audit.succeeded(
-            rows_read=n_valid + n_invalid,
+            rows_read=_rows_read(source, job.transforms, n_valid + n_invalid),
             column_count=width,
             rows_written=n_valid,
             rows_valid=n_valid,

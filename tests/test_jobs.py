@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -120,12 +121,19 @@ def test_staged_split_of_unrepeatable_transforms(spark, layout, store, landing):
     assert not glob.glob(spark.conf.get("spark.checkpoint.dir") + "/lodeworks-stage-*")
 
 
+def test_rows_read_are_the_source_rows(spark, layout, store, landing):
+    bronze, silver = jobs(landing, layout, transforms=[lambda df: df.filter("id = 1")])
+    first, second = bronze_to_silver(spark, layout, replace(bronze, transforms=[lambda df: df.union(df)]), silver)
+    assert (first.rows_read, first.rows_written) == (3, 6)
+    assert (second.rows_read, second.rows_valid, second.rows_invalid) == (6, 2, 0)
+
+
 def test_silver_modes_and_partitions(spark, layout, store, landing):
     bronze, silver = jobs(landing, layout, partition_cols="name", quality_checks=False)
     bronze_to_silver(spark, layout, bronze, silver)
     process_silver(spark, layout, silver)
     assert store.read("t").count() == 6 and store.partition_columns("t") == ["name"]
-    process_silver(spark, layout, SilverJob(**{**vars(silver), "mode": "overwrite"}))
+    process_silver(spark, layout, replace(silver, mode="overwrite"))
     assert store.read("t").count() == 3
 
 
@@ -165,6 +173,7 @@ def test_audit(spark, layout, log, landing):
     ]
     assert run_history(log.runs(), "bronze_ingest").count() == 2
     assert log.runs().filter("params['table_name'] = 't'").count() == 1
+    assert log.runs().filter("capacity > 0 AND attempt = 1").count() == 3
     assert run_metrics(log.runs()).filter("duration_seconds > 0").count() == 3
 
 
