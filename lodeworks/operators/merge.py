@@ -6,8 +6,8 @@ its source rows inserted.
 
 How it holds up at scale and with hot keys:
 
-* the source is cut to one row per key before its shuffle: Spark ranks within each map task
-  first (``WindowGroupLimit``), so a key owning a third of the source ships a few rows;
+* the source is cut to one row per key by an aggregation, which Spark starts within each map
+  task, so a key owning a third of the source ships one row per task;
 * inserts need to know which source keys exist. The destination's keys are made distinct with
   map-side combine before their shuffle. When the source's keys are few, by Spark's estimate,
   the destination's keys are cut to those first by a broadcast, and hardly any is shuffled;
@@ -21,14 +21,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.functions.columns import all_of, named
 
 _KEY, _NEW = "__k_", "__n_"
-_HIT, _COPIES, _RANK = "__hit", "__copies", "__rank"
+_HIT, _COPIES, _LAST = "__hit", "__copies", "__last"
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -62,13 +62,23 @@ def update_set(
 def last_per_key(
     source: DataFrame, keys: Sequence[str], order_by: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """The last source row of each key. Ties fall to the greater column values, so reruns agree."""
-    ties = [c for c in columns if c not in order_by and _orderable(source.schema[c].dataType)]
-    newest = [named(c).desc_nulls_last() for c in [*order_by, *ties]]
-    ranked = source.withColumn(
-        _RANK, F.row_number().over(Window.partitionBy(*[named(k) for k in keys]).orderBy(*newest))
+    """The last source row of each key. Ties fall to the greater column values, so reruns agree.
+
+    A maximum over the ordering columns, NULL lowest, rather than a window: each map task
+    keeps one row per key, and a hot key is never gathered anywhere.
+    """
+    ranked = [*order_by, *[c for c in columns if c not in order_by and _orderable(source.schema[c].dataType)]]
+    rank = F.struct(*[named(c).alias(c) for c in ranked])
+    rest = [c for c in columns if c not in ranked]
+    if rest:
+        last = F.max_by(F.struct(*[named(c).alias(c) for c in columns]), rank)
+    else:
+        last = F.max(rank)
+    return (
+        source.groupBy(*[named(k) for k in keys])
+        .agg(last.alias(_LAST))
+        .select(*[named(k) for k in keys], *[F.col(_LAST).getField(c).alias(c) for c in columns])
     )
-    return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def _only_per_key(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -86,6 +86,19 @@ def test_ties_fall_the_same_way(spark):
     assert rows(m.merge(source, dest, ["k"], order_by=["seq"])) == [(1, "b")]
 
 
+def test_columns_without_an_order_travel_with_their_row(spark):
+    source = spark.sql("SELECT * FROM VALUES (1, map('a', 1), 2, 1), (1, map('b', 2), 1, 2) t(k, m, w, seq)")
+    dest = spark.sql("SELECT 1 AS k, map('z', 0) AS m, 0 AS w")
+    got = m.merge(source, dest, ["k"], order_by=["seq"]).collect()
+    assert [r.asDict() for r in got] == [{"k": 1, "m": {"b": 2}, "w": 1}]
+
+
+def test_odd_column_names(spark):
+    source = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "`k.1` int, `v.``1` string, seq int")
+    dest = spark.createDataFrame([(1, "a"), (2, "b")], "`k.1` int, `v.``1` string")
+    assert rows(m.merge(source, dest, ["k.1"], order_by=["seq"])) == [(1, "y"), (2, "b")]
+
+
 _key = st.one_of(st.none(), st.integers(0, 4))
 _val = st.one_of(st.none(), st.sampled_from("abc"))
 
