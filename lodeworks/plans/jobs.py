@@ -182,7 +182,7 @@ def process_silver(
             watched = rows.observe(any_invalid, F.max(quality.is_invalid(rows, job.rules)).alias("found"))
             valid = store.write(job.table, quality.valid_rows(watched, job.rules), job.partition_cols, job.mode)
             n_valid, n_invalid = valid.get["rows"], 0
-            if any_invalid.get["found"]:
+            if any_invalid.get.get("found"):
                 n_invalid = write_quarantine(quality.invalid_rows(rows, job.rules), layout, job.table)
         run.audit = run.audit.succeeded(
             rows_read=_rows_read(source, job.transforms, n_valid + n_invalid),

@@ -101,6 +101,17 @@ def test_clean_input_leaves_no_quarantine(spark, layout, store, landing):
     assert not os.path.exists(layout.quarantine_path("t"))
 
 
+@pytest.mark.parametrize("partition_cols", [None, "name"])
+@pytest.mark.parametrize("kept", ["false", "id = 2"])
+def test_no_valid_rows(spark, layout, store, landing, kept, partition_cols):
+    bronze, silver = jobs(landing, layout, partition_cols=partition_cols)
+    _, run = bronze_to_silver(spark, layout, replace(bronze, transforms=[lambda df: df.filter(kept)]), silver)
+    n = 0 if kept == "false" else 1
+    assert (run.rows_read, run.rows_valid, run.rows_invalid) == (n, 0, n)
+    assert store.read("t").count() == 0
+    assert os.path.exists(layout.quarantine_path("t")) == bool(n)
+
+
 @pytest.mark.parametrize("switch,checked", [(True, True), ("TRUE", True), ("false", False), ("yes", False), (False, False)])
 def test_bypass(spark, layout, store, landing, switch, checked):
     _, run = bronze_to_silver(spark, layout, *jobs(landing, layout, quality_checks=switch))
