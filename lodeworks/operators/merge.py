@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.functions.columns import all_of, named
+from lodeworks.sinks.writers import cluster_for
 
 _KEY, _NEW = "__k_", "__n_"
 _HIT, _COPIES, _LAST = "__hit", "__copies", "__last"
@@ -93,6 +94,22 @@ def _same_key(keys: Sequence[str]) -> Column:
     return all_of([named(k).eqNullSafe(named(_KEY + k)) for k in keys])
 
 
+def _replacements(
+    source: DataFrame, dest: DataFrame, keys: Sequence[str], cols: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """One row per source key: the key, the new values, and how many source rows claim it."""
+    if order_by:
+        picked = last_per_key(source, keys, order_by, cols).withColumn(_COPIES, F.lit(1))
+    else:
+        picked = _only_per_key(source, keys, cols)
+    return picked.select(
+        *[named(k).alias(_KEY + k) for k in keys],
+        *[named(c).cast(dest.schema[c].dataType).alias(_NEW + c) for c in cols],
+        _COPIES,
+        F.lit(True).alias(_HIT),
+    )
+
+
 def update_rows(
     source: DataFrame,
     dest: DataFrame,
@@ -106,16 +123,7 @@ def update_rows(
     that occurs more than once in the source is ambiguous and fails the query.
     """
     cols = update_set(source, dest, keys, update_columns, order_by)
-    if order_by:
-        picked = last_per_key(source, keys, order_by, cols).withColumn(_COPIES, F.lit(1))
-    else:
-        picked = _only_per_key(source, keys, cols)
-    new = picked.select(
-        *[named(k).alias(_KEY + k) for k in keys],
-        *[named(c).cast(dest.schema[c].dataType).alias(_NEW + c) for c in cols],
-        _COPIES,
-        F.lit(True).alias(_HIT),
-    )
+    new = _replacements(source, dest, keys, cols, order_by)
     joined = dest.join(new, _same_key(keys), "left")
     twice = F.lit("ambiguous merge: a matching key occurs more than once in the source; give order_by")
     hit = F.col(_HIT).isNotNull()
@@ -134,11 +142,10 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def _worth_broadcasting(offered: DataFrame, present: DataFrame) -> bool:
-    """Whether ``offered`` is below the broadcast limit and far smaller than ``present``."""
-    limit = offered.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = _estimated_bytes(offered)
-    return size <= limit and size * 8 <= _estimated_bytes(present)
+def _fits_broadcast(df: DataFrame) -> bool:
+    """Whether that estimate is below Spark's limit, so that Spark plans a broadcast of ``df``."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return _estimated_bytes(df) <= limit
 
 
 def _offered_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -154,7 +161,7 @@ def _known_keys(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> Data
     """Distinct keys of ``dest``, at least all those that ``source`` has too."""
     offered = _offered_keys(source, keys)
     present = dest.select(*[named(k) for k in keys])
-    if _worth_broadcasting(offered, present):
+    if _fits_broadcast(offered) and _estimated_bytes(offered) * 8 <= _estimated_bytes(present):
         present = present.join(offered, _same_key(keys), "left_semi")
     return present.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
 
@@ -179,14 +186,27 @@ def merge(
     keys: Sequence[str],
     update_columns: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Updated destination rows plus inserts.
 
     Source columns the destination lacks widen the result (NULL for existing rows); destination
     columns the source lacks are NULL on inserts (U1). Destination types are kept.
+
+    ``cluster_by`` names the partition columns the result will be written by. Rows are then
+    brought together by partition, except destination rows that a broadcast join leaves where
+    they were read, which is by partition already: a small merge into a large table shuffles
+    only its inserts.
     """
     updated = update_rows(source, dest, keys, update_columns, order_by)
-    return updated.unionByName(insert_rows(source, dest, keys, order_by), allowMissingColumns=True)
+    inserted = insert_rows(source, dest, keys, order_by)
+    if cluster_by:
+        cols = update_set(source, dest, keys, update_columns, order_by)
+        stay = not set(cols) & set(cluster_by)
+        if stay and _fits_broadcast(_replacements(source, dest, keys, cols, order_by)):
+            inserted = cluster_for(inserted, [c for c in cluster_by if c in inserted.columns])
+            return updated.unionByName(inserted, allowMissingColumns=True)
+    return cluster_for(updated.unionByName(inserted, allowMissingColumns=True), list(cluster_by))
 
 
 def merge_counts(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -337,13 +337,13 @@ class TableStore:
                 touched = self._in_touched(incoming, current, keys, parts)
             if touched is not None:
                 current = current.filter(touched)
-                merged = merge(incoming, current, keys, update_columns, order_by)
+                merged = merge(incoming, current, keys, update_columns, order_by, parts)
                 before = current.count()
                 after = self._replace_partitions(dest, merged, parts).get["rows"]
             else:
-                merged = merge(incoming, current, keys, update_columns, order_by)
+                merged = merge(incoming, current, keys, update_columns, order_by, parts)
                 before = current.count()
-                after = self._replace(dest, merged, parts, True).get["rows"]
+                after = self._replace(dest, merged, parts, cluster=False).get["rows"]
         inserted = after - before
         return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
 
@@ -355,7 +355,9 @@ class TableStore:
         touched = source.select(*[_column_or_null(source, f).cast(f.dataType).alias(f.name) for f in fields])
         if not set(parts) <= set(keys):
             touched = touched.unionByName(matching_rows(source, dest, keys).select(*[named(p) for p in parts]))
-        values = touched.distinct().limit(MAX_TOUCHED + 1).collect()
+        # As text, so that dates and times come back exactly, whatever the driver's time zone.
+        texts = touched.distinct().select(*[named(p).cast("string") for p in parts])
+        values = texts.limit(MAX_TOUCHED + 1).collect()
         if len(values) > MAX_TOUCHED:
             return None
         specs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in values]
@@ -363,7 +365,7 @@ class TableStore:
 
     def _replace_partitions(self, table: str, df: DataFrame, parts: list[str]) -> Observation:
         """Replace the partitions that ``df`` has rows of. ``df`` may read them: they go last."""
-        df, seen = observed_rows(cluster_for(self._widen(table, df), parts))
+        df, seen = observed_rows(self._widen(table, df))
         (
             df.write.format(self.layout.table_format)
             .option("compression", self.layout.compression)
@@ -398,3 +400,15 @@ class TableStore:
             )
             if self.partition_columns(table):
                 self.spark.sql(f"ALTER TABLE {self._id(table)} RECOVER PARTITIONS")
+
+    def attach_all(self) -> list[str]:
+        """`attach` every table folder of the layout that the catalog does not know; returns their names."""
+        home = self.layout.database_path.rstrip("/")
+        found = [
+            t
+            for t in self.folders.children(home)
+            if not self.exists(t) and any(s.startswith("snapshot-") for s in self.folders.children(f"{home}/{t}"))
+        ]
+        for table in found:
+            self.attach(table)
+        return found

@@ -36,7 +36,10 @@ from lodeworks.storage import Folders, work_folder
 
 @dataclass(frozen=True)
 class BronzeJob:
-    """E1. ``source_label`` is what ``bronze_source_path`` records; the path unless given."""
+    """E1. ``source_label`` is what ``bronze_source_path`` records; the path unless given.
+
+    ``cluster=False`` skips the shuffle by partition, for sources already grouped that way.
+    """
 
     source_type: str
     source_path: str | None
@@ -49,6 +52,7 @@ class BronzeJob:
     transforms: Sequence[Transform] = ()
     source_label: str | None = None
     stamp_source: bool = True
+    cluster: bool = True
     run_ts: datetime | str | None = None
     job_name: str = "bronze_ingest"
     sources: tuple[str, ...] = BRONZE_SOURCES
@@ -61,6 +65,7 @@ class SilverJob:
 
     ``stage=True`` writes the stamped rows to the shared work folder once and splits from
     there. Use it when ``transforms`` are not repeatable, or far dearer than writing the rows.
+    ``cluster=False`` skips the shuffle by partition, for a bronze layer with the same partitions.
     """
 
     source_path: str
@@ -75,6 +80,7 @@ class SilverJob:
     source_label: str | None = None
     mode: str = "append"
     stage: bool = False
+    cluster: bool = True
     run_ts: datetime | str | None = None
     job_name: str = "silver_process"
 
@@ -128,7 +134,13 @@ def ingest_bronze(spark: SparkSession, job: BronzeJob, log: AuditLog | None = No
         label = (job.source_label or job.source_path or "") if job.stamp_source else None
         df = apply_transforms(stamp_bronze(source, label, job.run_ts or pinned_now()), job.transforms)
         seen = write_dataset(
-            df, job.target_path, job.file_format, job.partition_cols, job.sink_options, allowed=job.sinks
+            df,
+            job.target_path,
+            job.file_format,
+            job.partition_cols,
+            job.sink_options,
+            cluster=job.cluster,
+            allowed=job.sinks,
         )
         rows = seen.get["rows"]
         run.audit = run.audit.succeeded(
@@ -172,7 +184,7 @@ def process_silver(
         df = stamp_silver(source, job.source_label or job.source_path, job.run_ts or pinned_now())
         df = apply_transforms(df, job.transforms)
         if not _checks_wanted(job.quality_checks):
-            total = store.write(job.table, df, job.partition_cols, job.mode).get["rows"]
+            total = store.write(job.table, df, job.partition_cols, job.mode, cluster=job.cluster).get["rows"]
             run.audit = run.audit.succeeded(
                 rows_read=_rows_read(source, job.transforms, total), column_count=width, rows_written=total
             )
@@ -180,7 +192,8 @@ def process_silver(
         with _staged(spark, df) if job.stage else nullcontext(df) as rows:
             any_invalid = Observation()
             watched = rows.observe(any_invalid, F.max(quality.is_invalid(rows, job.rules)).alias("found"))
-            valid = store.write(job.table, quality.valid_rows(watched, job.rules), job.partition_cols, job.mode)
+            good = quality.valid_rows(watched, job.rules)
+            valid = store.write(job.table, good, job.partition_cols, job.mode, cluster=job.cluster)
             n_valid, n_invalid = valid.get["rows"], 0
             if any_invalid.get.get("found"):
                 n_invalid = write_quarantine(quality.invalid_rows(rows, job.rules), layout, job.table)

@@ -102,6 +102,22 @@ def test_few_source_keys_cut_the_destination_keys_before_their_shuffle(spark):
     assert "LeftSemi" not in plan_of(m.insert_rows(many, dest, ["l_orderkey"]))
 
 
+def test_small_merge_shuffles_only_its_inserts(spark):
+    dest = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    few = spark.range(-3, 3).select(F.col("id").alias("l_orderkey"), F.lit(2.0).alias("l_tax"))
+    flagged = few.withColumn("l_returnflag", F.lit("A"))
+    for source, update in ((few, None), (flagged, ["l_tax"])):
+        text = plan_of(m.merge(source, dest, ["l_orderkey"], update, cluster_by=["l_returnflag"]))
+        union, inserts = text.index("Union"), text.index("LeftAnti")
+        assert text.count("REBALANCE") == (source is flagged)
+        assert "REBALANCE" not in text[union : text.index("LeftOuter")]
+        assert "REBALANCE" not in text[:union] and "SortMergeJoin" not in text[:inserts]
+    moving = plan_of(m.merge(flagged, dest, ["l_orderkey"], cluster_by=["l_returnflag"]))
+    assert moving.index("REBALANCE") < moving.index("Union")
+    large = dest.select("l_orderkey", "l_tax", "l_returnflag").distinct().unionByName(dest.select("l_orderkey", "l_tax", "l_returnflag"))
+    assert plan_of(m.merge(large, dest, ["l_orderkey"], ["l_tax"], cluster_by=["l_returnflag"])).count("REBALANCE") == 1
+
+
 def test_quality_is_one_narrow_stage(spark):
     df = spark.read.parquet(f"{SF_DIR}/events.parquet")
     for one in (quality.annotate(df), *quality.split(df), quality.violations(df, ["event_id"])):

@@ -245,6 +245,29 @@ def test_attach_takes_the_newest_complete_snapshot(spark, store, people):
         other.attach("nope")
 
 
+def test_attach_all(spark, store, people):
+    store.append("t", people, ["p"])
+    store.append("u", people)
+    store.create("only_a_folder")
+    other = TableStore(spark, replace(store.layout, database=store.layout.database + "_b"))
+    assert other.names() == []
+    assert other.attach_all() == ["t", "u"] and other.attach_all() == []
+    assert other.names() == ["t", "u"]
+    assert rows(other.read("t")) == rows(people) == rows(other.read("u"))
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double", "decimal(9,3)", "boolean", "int"])
+def test_touched_partitions_of_any_type(spark, store, kind):
+    text = {"boolean": "true", "date": "2024-03-10", "int": "7", "double": "0.1", "decimal(9,3)": "1.250"}.get(kind)
+    value = F.lit(text or "2024-03-10 02:30:00.123456").cast(kind)
+    store.append("t", spark.range(4).withColumns({"v": F.lit("a"), "p": F.when(F.col("id") < 2, value)}), "p")
+    store.append("s", spark.range(1, 2).withColumns({"v": F.lit("b"), "p": value}))
+    before = _files(store, "t")
+    assert store.merge("s", "t", ["id", "p"], touched_only=True).updated == 1
+    assert rows(store.read("t", ["id", "v"])) == [(0, "a"), (1, "b"), (2, "a"), (3, "a")]
+    assert len(before & _files(store, "t")) == len([f for f in before if "HIVE_DEFAULT" in f]) > 0
+
+
 def test_stale_reader_after_swap_sees_new_rows(store, people):
     store.append("t", people)
     assert store.read("t").count() == 3
