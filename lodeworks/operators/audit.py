@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,12 @@ class RunAudit:
         )
 
 
+def _literal(value) -> Column:
+    if isinstance(value, dict):
+        return F.create_map(*[F.lit(part) for pair in value.items() for part in pair])
+    return F.lit(value)
+
+
 class AuditLog:
     """Append-only run table. Each run writes its own folder, so jobs may finish together."""
 
@@ -75,8 +81,9 @@ class AuditLog:
         self.path = path.rstrip("/")
 
     def append(self, run: RunAudit) -> None:
-        row = self.spark.createDataFrame([tuple(asdict(run)[f] for f in RUN_SCHEMA.names)], RUN_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/run-{run.job_run_id}")
+        one = self.spark.range(0, 1, 1, 1)
+        row = one.select(*[_literal(getattr(run, f.name)).cast(f.dataType).alias(f.name) for f in RUN_SCHEMA])
+        row.write.mode("append").parquet(f"{self.path}/run-{run.job_run_id}")
 
     def runs(self) -> DataFrame:
         if not Folders(self.spark).exists(self.path):

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from lodeworks.functions.columns import named, quoted, sql_text
 
+# Fixed values that readers of the outputs match on: these names, and the issue text
+# "Null value in <column>" joined by ", ".
 ISSUES = "data_quality_issues"
 RESERVED_PREFIXES = ("bronze_", "silver_")
 NOT_NULL = "not_null"
