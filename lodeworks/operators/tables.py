@@ -240,8 +240,8 @@ class TableStore:
         have = self.schema(table)
         fresh = [f for f in df.schema if f.name not in have.names]
         if fresh:
-            added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fresh)
-            self.spark.sql(f"ALTER TABLE {self._id(table)} ADD COLUMNS ({added})")
+            added = StructType([StructField(f.name, f.dataType) for f in fresh])
+            self.spark.sql(f"ALTER TABLE {self._id(table)} ADD COLUMNS ({added.toDDL()})")
             have = self.schema(table)
         return df.select(*[_column_or_null(df, f) for f in have])
 
@@ -253,13 +253,7 @@ class TableStore:
         aligned.write.insertInto(self._id(table))
         return seen
 
-    def _replace(
-        self,
-        table: str,
-        df: DataFrame,
-        partition_cols: list[str],
-        cluster: bool,
-    ) -> Observation:
+    def _replace(self, table: str, df: DataFrame, partition_cols: list[str], cluster: bool) -> Observation:
         old = self.location(table) if self.exists(table) else None
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         token = uuid.uuid4().hex[:8]
@@ -283,10 +277,16 @@ class TableStore:
             raise
         self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
         self.spark.sql(f"ALTER TABLE {self._id(staging)} RENAME TO {self._id(table)}")
-        if old is not None:
-            self.folders.remove(old)
+        self._remove_snapshot(table, old)
         return seen
 
+    def _remove_snapshot(self, table: str, location: str | None) -> None:
+        """Remove a replaced snapshot. Data that lies elsewhere is not this library's to remove."""
+        home = self.layout.table_path(table)
+        name = (location or "").rstrip("/").rsplit("/", 1)[-1]
+        if name.startswith("snapshot-") and name in self.folders.children(home):
+            self.folders.remove(f"{home}/{name}")
+
     def drop(self, table: str) -> None:
         """The catalog entry and every snapshot. Dropping a missing table does nothing."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
@@ -318,9 +318,9 @@ class TableStore:
         current snapshot, just the partitions that matching or new rows fall into; the others
         are neither read nor written. It applies to partitioned tables whose partition columns
         the merge does not update, and falls back to a new snapshot otherwise, or when more than
-        ``MAX_TOUCHED`` partitions are concerned. Spark moves the
-        rewritten partitions into place one after another when the job commits, so a driver
-        lost in that moment can leave some of them old: run the merge again.
+        ``MAX_TOUCHED`` partitions are concerned. Spark moves the rewritten partitions into place
+        one after another when the job commits, so a driver lost in that moment can leave some
+        of them old.
 
         The counts need no extra join: updates never change the number of rows, so what the
         table gained is what was inserted.

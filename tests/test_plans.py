@@ -114,7 +114,9 @@ def test_small_merge_shuffles_only_its_inserts(spark):
         assert "REBALANCE" not in text[:union] and "SortMergeJoin" not in text[:inserts]
     moving = plan_of(m.merge(flagged, dest, ["l_orderkey"], cluster_by=["l_returnflag"]))
     assert moving.index("REBALANCE") < moving.index("Union")
-    large = dest.select("l_orderkey", "l_tax", "l_returnflag").distinct().unionByName(dest.select("l_orderkey", "l_tax", "l_returnflag"))
+    large = dest.select("l_orderkey", "l_tax", "l_returnflag")
+    for _ in range(8):
+        large = large.union(large)
     assert plan_of(m.merge(large, dest, ["l_orderkey"], ["l_tax"], cluster_by=["l_returnflag"])).count("REBALANCE") == 1
 
 

@@ -67,6 +67,20 @@ def test_overwrite_from_itself(store, people):
     assert store.location("t") != old and not store.folders.exists(old)
 
 
+def test_overwrite_spares_data_that_lies_elsewhere(store, people, tmp_path):
+    elsewhere = str(tmp_path / "elsewhere")
+    people.write.parquet(elsewhere)
+    store.spark.sql(f"CREATE TABLE {store.layout.database}.t USING parquet LOCATION '{elsewhere}'")
+    store.overwrite("t", people.limit(1))
+    assert store.read("t").count() == 1 and store.spark.read.parquet(elsewhere).count() == 3
+
+
+def test_nested_columns_can_be_added(store, spark, people):
+    store.append("t", people)
+    store.append("t", people.select("id", F.struct(F.lit(1).alias("a b"), F.array(F.lit("x")).alias("c")).alias("n x")))
+    assert store.schema("t")["n x"].dataType.simpleString() == "struct<a b:int,c:array<string>>"
+
+
 def test_failed_overwrite_leaves_the_table(store, people):
     store.append("t", people)
     broken = store.read("t").withColumn("name", F.raise_error(F.lit("no")).cast("string"))
