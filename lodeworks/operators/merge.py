@@ -8,13 +8,14 @@ How it holds up at scale and with hot keys:
 
 * the source is cut to one row per key by an aggregation, which Spark starts within each map
   task, so a key owning a third of the source ships one row per task;
-* inserts need to know which source keys exist. The destination's keys are made distinct with
-  map-side combine before their shuffle. When the source's keys are few, by Spark's estimate,
-  the destination's keys are cut to those first by a broadcast, and hardly any is shuffled;
+* the destination's keys, needed to find the inserts, are made distinct with map-side combine
+  before their shuffle;
 * in every join the side that may hold a hot key is the left one and the other side holds
   one row per key, which is what AQE needs to split the hot key over several tasks.
 
-No join is hinted: Spark broadcasts a side only when its measured size allows.
+With ``small_source`` the caller vouches for a size that may be broadcast, as
+`operators.tables.TableStore.merge` does after measuring it. Then the destination is not
+shuffled at all. Without it no join is hinted.
 """
 
 from __future__ import annotations
@@ -116,6 +117,7 @@ def update_rows(
     keys: Sequence[str],
     update_columns: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
+    small_source: bool = False,
 ) -> DataFrame:
     """``dest`` with the update set of matching rows replaced, NULLs included.
 
@@ -124,7 +126,7 @@ def update_rows(
     """
     cols = update_set(source, dest, keys, update_columns, order_by)
     new = _replacements(source, dest, keys, cols, order_by)
-    joined = dest.join(new, _same_key(keys), "left")
+    joined = dest.join(F.broadcast(new) if small_source else new, _same_key(keys), "left")
     twice = F.lit("ambiguous merge: a matching key occurs more than once in the source; give order_by")
     hit = F.col(_HIT).isNotNull()
     if not order_by:
@@ -137,41 +139,34 @@ def update_rows(
     )
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of ``df``."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether that estimate is below Spark's limit, so that Spark plans a broadcast of ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return _estimated_bytes(df) <= limit
-
-
-def _offered_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return source.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
-
-
-def matching_rows(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
+def matching_rows(
+    source: DataFrame, dest: DataFrame, keys: Sequence[str], small_source: bool = False
+) -> DataFrame:
     """The rows of ``dest`` whose key ``source`` has."""
-    return dest.join(_offered_keys(source, keys), _same_key(keys), "left_semi")
+    offered = source.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
+    return dest.join(F.broadcast(offered) if small_source else offered, _same_key(keys), "left_semi")
 
 
-def _known_keys(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _known_keys(source: DataFrame, dest: DataFrame, keys: Sequence[str], small_source: bool) -> DataFrame:
     """Distinct keys of ``dest``, at least all those that ``source`` has too."""
-    offered = _offered_keys(source, keys)
     present = dest.select(*[named(k) for k in keys])
-    if _fits_broadcast(offered) and _estimated_bytes(offered) * 8 <= _estimated_bytes(present):
-        present = present.join(offered, _same_key(keys), "left_semi")
-    return present.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
+    if small_source:
+        present = matching_rows(source, present, keys, small_source)
+    known = present.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
+    return F.broadcast(known) if small_source else known
 
 
 def insert_rows(
-    source: DataFrame, dest: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+    source: DataFrame,
+    dest: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    small_source: bool = False,
 ) -> DataFrame:
     """Every source row whose key ``dest`` lacks, duplicates included, with all its columns."""
     control = _control_columns(source, dest, order_by)
-    return source.join(_known_keys(source, dest, keys), _same_key(keys), "left_anti").select(
+    known = _known_keys(source, dest, keys, small_source)
+    return source.join(known, _same_key(keys), "left_anti").select(
         *[
             named(c).cast(dest.schema[c].dataType).alias(c) if c in dest.columns else named(c)
             for c in source.columns
@@ -187,6 +182,7 @@ def merge(
     update_columns: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    small_source: bool = False,
 ) -> DataFrame:
     """Updated destination rows plus inserts.
 
@@ -194,24 +190,22 @@ def merge(
     columns the source lacks are NULL on inserts (U1). Destination types are kept.
 
     ``cluster_by`` names the partition columns the result will be written by. Rows are then
-    brought together by partition, except destination rows that a broadcast join leaves where
-    they were read, which is by partition already: a small merge into a large table shuffles
-    only its inserts.
+    brought together by partition, except destination rows that the broadcast of a small source
+    leaves where they were read, which is by partition already: such a merge shuffles only its
+    inserts.
     """
-    updated = update_rows(source, dest, keys, update_columns, order_by)
-    inserted = insert_rows(source, dest, keys, order_by)
-    if cluster_by:
-        cols = update_set(source, dest, keys, update_columns, order_by)
-        stay = not set(cols) & set(cluster_by)
-        if stay and _fits_broadcast(_replacements(source, dest, keys, cols, order_by)):
-            inserted = cluster_for(inserted, [c for c in cluster_by if c in inserted.columns])
-            return updated.unionByName(inserted, allowMissingColumns=True)
+    updated = update_rows(source, dest, keys, update_columns, order_by, small_source)
+    inserted = insert_rows(source, dest, keys, order_by, small_source)
+    moved = set(cluster_by) & set(update_set(source, dest, keys, update_columns, order_by))
+    if small_source and not moved:
+        inserted = cluster_for(inserted, [c for c in cluster_by if c in inserted.columns])
+        return updated.unionByName(inserted, allowMissingColumns=True)
     return cluster_for(updated.unionByName(inserted, allowMissingColumns=True), list(cluster_by))
 
 
 def merge_counts(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: ``rows_updated`` (every source row), split into ``updated`` and ``inserted``."""
-    known = _known_keys(source, dest, keys).withColumn(_HIT, F.lit(True))
+    known = _known_keys(source, dest, keys, False).withColumn(_HIT, F.lit(True))
     hit = F.col(_HIT).isNotNull()
     return source.join(known, _same_key(keys), "left").agg(
         F.count(F.lit(1)).alias("rows_updated"),

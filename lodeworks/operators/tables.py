@@ -39,6 +39,10 @@ _STAGING = "__staging_"
 # Partition values a merge names one by one; beyond this it rewrites the whole table.
 MAX_TOUCHED = 10_000
 
+# A merge source within both bounds is broadcast.
+SMALL_ROWS = 200_000
+SMALL_BYTES = 32 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class MergeResult:
@@ -50,6 +54,14 @@ class MergeResult:
     inserted: int
 
 
+def _is_small(df: DataFrame, rows: int) -> bool:
+    """Whether ``df``, of known row count, is small as text too: files may hide much by compression."""
+    if rows > SMALL_ROWS:
+        return False
+    text = F.octet_length(F.to_json(F.struct(*[named(c) for c in df.columns])))
+    return (df.agg(F.sum(text)).first()[0] or 0) <= SMALL_BYTES
+
+
 def _column_or_null(df: DataFrame, field: StructField) -> Column:
     if field.name in df.columns:
         return named(field.name)
@@ -322,39 +334,42 @@ class TableStore:
         one after another when the job commits, so a driver lost in that moment can leave some
         of them old.
 
-        The counts need no extra join: updates never change the number of rows, so what the
+        A source of at most ``SMALL_ROWS`` rows and ``SMALL_BYTES`` is broadcast, so that the
+        destination is not shuffled. The counts need no extra join: updates never change the number of rows, so what the
         table gained is what was inserted.
         """
         self._require(source, "Source")
         self._require(dest, "Destination")
         incoming, current = self.read(source), self.read(dest)
         offered = incoming.count()
+        small = _is_small(incoming, offered)
         parts = self.partition_columns(dest)
         moves = set(parts) & set(update_set(incoming, current, keys, update_columns, order_by))
         with self._reporting(dest, "merge into"):
             touched = None
             if touched_only and parts and not moves:
-                touched = self._in_touched(incoming, current, keys, parts)
+                touched = self._in_touched(incoming, current, keys, parts, small)
             if touched is not None:
                 current = current.filter(touched)
-                merged = merge(incoming, current, keys, update_columns, order_by, parts)
+                merged = merge(incoming, current, keys, update_columns, order_by, parts, small)
                 before = current.count()
                 after = self._replace_partitions(dest, merged, parts).get["rows"]
             else:
-                merged = merge(incoming, current, keys, update_columns, order_by, parts)
+                merged = merge(incoming, current, keys, update_columns, order_by, parts, small)
                 before = current.count()
                 after = self._replace(dest, merged, parts, cluster=False).get["rows"]
         inserted = after - before
         return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
 
     def _in_touched(
-        self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str]
+        self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str], small: bool
     ) -> Column | None:
         """A predicate for every partition a merge may change; None when there are too many."""
         fields = [dest.schema[p] for p in parts]
         touched = source.select(*[_column_or_null(source, f).cast(f.dataType).alias(f.name) for f in fields])
         if not set(parts) <= set(keys):
-            touched = touched.unionByName(matching_rows(source, dest, keys).select(*[named(p) for p in parts]))
+            matching = matching_rows(source, dest, keys, small).select(*[named(p) for p in parts])
+            touched = touched.unionByName(matching)
         # As text, so that dates and times come back exactly, whatever the driver's time zone.
         texts = touched.distinct().select(*[named(p).cast("string") for p in parts])
         values = texts.limit(MAX_TOUCHED + 1).collect()

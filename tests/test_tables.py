@@ -204,6 +204,29 @@ def test_empty_source_touches_nothing(store, spark, people):
     assert _files(store, "t") == before and store.read("t").count() == 3
 
 
+def test_only_a_source_of_measured_size_is_small(spark, monkeypatch):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), F.lit(1000)).alias("v"))
+    assert tables._is_small(df, 100) and tables._is_small(df.limit(0), 0)
+    assert not tables._is_small(df, tables.SMALL_ROWS + 1)
+    monkeypatch.setattr(tables, "SMALL_BYTES", 50_000)
+    assert not tables._is_small(df, 100)
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+@pytest.mark.parametrize("touched_only", [False, True])
+def test_merge_is_the_same_for_small_and_large_sources(store, spark, monkeypatch, limit, touched_only):
+    monkeypatch.setattr(tables, "SMALL_ROWS", limit)
+    cols = "id int, name string, p string"
+    store.append("t", spark.createDataFrame([(i % 7 or None, "old", f"p{i % 3}") for i in range(30)], cols), "p")
+    source = [(1, "new", "p1"), (None, "new", "p2"), (50, "new", "p0"), (50, "new", "p8")]
+    store.append("s", spark.createDataFrame(source, cols))
+    result = store.merge("s", "t", ["id"], ["name"], touched_only=touched_only)
+    assert (result.rows_updated, result.updated, result.inserted) == (4, 2, 2)
+    got = store.read("t")
+    assert got.count() == 32 and got.filter("name = 'new'").count() == 12
+    assert got.filter("name = 'new' AND (id IS NULL OR id IN (1, 50))").count() == 12
+
+
 def test_merge_needs_both_tables(store, people):
     store.append("t", people)
     with pytest.raises(DataError, match="Source"):
