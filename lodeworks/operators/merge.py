@@ -55,10 +55,10 @@ def update_set(
     update_columns: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
 ) -> list[str]:
-    """The columns J1 overwrites: the wanted ones that both sides have."""
+    """The columns J1 overwrites: the wanted ones that both sides have. Keys are equal as they are."""
+    wanted = source.columns if update_columns is None else dict.fromkeys(update_columns)
     skip = _control_columns(source, dest, order_by) | set(keys)
-    wanted = update_columns if update_columns is not None else [c for c in source.columns if c not in skip]
-    return [c for c in wanted if c in source.columns and c in dest.columns]
+    return [c for c in wanted if c in source.columns and c in dest.columns and c not in skip]
 
 
 def last_per_key(
@@ -92,6 +92,8 @@ def _only_per_key(source: DataFrame, keys: Sequence[str], columns: Sequence[str]
 
 
 def _same_key(keys: Sequence[str]) -> Column:
+    if not keys:
+        raise ValueError("a merge needs at least one key column")
     return all_of([named(k).eqNullSafe(named(_KEY + k)) for k in keys])
 
 

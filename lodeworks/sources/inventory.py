@@ -80,14 +80,10 @@ def file_rollup(spark: SparkSession, root: str) -> DataFrame:
 def check_outputs(spark: SparkSession, outputs: Sequence[tuple[str, str]]) -> DataFrame:
     """Per ``(label, folder)`` the file count, bytes and whether nothing has landed there."""
     folders = Folders(spark)
+    out = spark.createDataFrame([], "output string, file_count long, size_bytes long, is_empty boolean")
     none = spark.createDataFrame([(0, 0)], "size_bytes long, file_count long")
-    rows = [
-        (file_rollup(spark, folder) if folders.exists(folder) else none).select(
-            F.lit(label).alias("output"), "file_count", "size_bytes", (F.col("file_count") == 0).alias("is_empty")
-        )
-        for label, folder in outputs
-    ]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
+    for label, folder in outputs:
+        found = file_rollup(spark, folder) if folders.exists(folder) else none
+        is_empty = (F.col("file_count") == 0).alias("is_empty")
+        out = out.unionByName(found.select(F.lit(label).alias("output"), "file_count", "size_bytes", is_empty))
     return out

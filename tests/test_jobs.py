@@ -208,3 +208,4 @@ def test_outputs(spark, layout, landing):
     ]
     got = {r.output: r.is_empty for r in inventory.check_outputs(spark, outputs).collect()}
     assert got == {"bronze": False, "table": False, "quarantine": True, "empty": True}
+    assert inventory.check_outputs(spark, []).count() == 0

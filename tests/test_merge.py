@@ -80,6 +80,16 @@ def test_rerun_changes_nothing(spark, source, dest):
     assert rows(m.update_rows(updates, once, ["k"], order_by=["seq"])) == rows(once)
 
 
+def test_keys_among_the_update_columns(source, dest):
+    got = m.merge(source, dest, ["k"], update_columns=["k", "v", "v", "extra", "seq"], order_by=["seq"])
+    assert rows(got) == rows(m.merge(source, dest, ["k"], update_columns=["v"], order_by=["seq"]))
+
+
+def test_keys_are_needed(source, dest):
+    with pytest.raises(ValueError, match="key"):
+        m.merge(source, dest, [])
+
+
 def test_ties_fall_the_same_way(spark):
     source = spark.createDataFrame([(1, "a", 1), (1, "b", 1)], "k int, v string, seq int")
     dest = spark.createDataFrame([(1, "z")], "k int, v string")
