@@ -18,7 +18,7 @@ from lodeworks.operators.tables import TableStore  # noqa: E402
 def spark(tmp_path_factory):
     home = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,4]")  # a task may fail three times
         .appName("lodeworks-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")

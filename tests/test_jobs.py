@@ -7,7 +7,9 @@ import os
 from dataclasses import replace
 from datetime import datetime, timezone
 
+import pandas as pd
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from lodeworks.errors import PipelineError
@@ -196,6 +198,27 @@ def test_duration_needs_both_ends(spark, log):
     assert rows(got) == [("j", 2.5), ("k", None)]
 
 
+def _lose_first_tries(df):
+    """Every task that runs this fails twice before it gets through."""
+
+    @F.pandas_udf("boolean")
+    def shaky(s: pd.Series) -> pd.Series:
+        if TaskContext.get().attemptNumber() < 2:
+            raise RuntimeError("lost")
+        return s.notna()
+
+    return df.filter(shaky("id"))
+
+
+@pytest.mark.parametrize("partition_cols", [None, "name"])
+def test_lost_tasks_change_neither_rows_nor_counts(spark, layout, store, landing, partition_cols):
+    bronze, silver = jobs(landing, layout, partition_cols=partition_cols, transforms=[_lose_first_tries])
+    first, second = bronze_to_silver(spark, layout, replace(bronze, transforms=[_lose_first_tries]), silver)
+    assert (first.rows_read, first.rows_written) == (3, 3)
+    assert (second.rows_read, second.rows_valid, second.rows_invalid) == (3, 1, 2)
+    assert (store.read("t").count(), spark.read.parquet(layout.quarantine_path("t")).count()) == (1, 2)
+
+
 def test_outputs(spark, layout, landing):
     bronze, silver = jobs(landing, layout, transforms=[lambda df: df.fillna({"name": "?", "value": 0})])
     bronze_to_silver(spark, layout, bronze, silver)
