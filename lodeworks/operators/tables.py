@@ -130,7 +130,8 @@ class TableStore:
         """The folder of the current snapshot."""
         with self._reporting(table, "locate"):
             described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(table)}")
-            return described.filter("col_name = 'Location'").first()["data_type"]
+            # A column may have this name too; the table's own details come last.
+            return described.filter("col_name = 'Location'").collect()[-1]["data_type"]
 
     # -- reading -----------------------------------------------------------------------
 

@@ -67,6 +67,13 @@ def test_overwrite_from_itself(store, people):
     assert store.location("t") != old and not store.folders.exists(old)
 
 
+def test_columns_named_like_table_details(store, spark):
+    df = spark.createDataFrame([(1, "a", "x")], "Location int, Provider string, `# Partitioning` string")
+    store.append("t", df, "# Partitioning")
+    store.overwrite("t", store.read("t"))
+    assert rows(store.read("t")) == [(1, "a", "x")] and store.stats("t").first().file_count == 1
+
+
 def test_overwrite_spares_data_that_lies_elsewhere(store, people, tmp_path):
     elsewhere = str(tmp_path / "elsewhere")
     people.write.parquet(elsewhere)
