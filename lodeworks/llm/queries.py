@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import exact_dedup, mixing
+from lodeworks.llm import exact_dedup, mixing, simhash
 
 QUERIES = {
+    "op3_simhash_tiles": simhash.op3_simhash_tiles,
     "op5_mixing": mixing.op5_mixing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
