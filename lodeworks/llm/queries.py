@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import exact_dedup, mixing, simhash
+from lodeworks.llm import bpe, exact_dedup, mixing, simhash
 
 QUERIES = {
     "op3_simhash_tiles": simhash.op3_simhash_tiles,
+    "op4_bpe_rank_queue": bpe.op4_bpe_rank_queue,
     "op5_mixing": mixing.op5_mixing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
