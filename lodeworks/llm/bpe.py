@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm.frames import documents, text_of
+from lodeworks.llm.frames import documents, map_batches, text_of
 
 #: Pre-tokens (and runs of them) kept by one Python worker, and the longest that is kept, in bytes.
 KEPT, LONGEST = 600_000, 64
@@ -211,7 +211,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("body"))
-    return slim.mapInArrow(run, "doc_id long, ids binary")
+    return map_batches(slim, run, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -225,7 +225,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 body = pa.array([bpe.decode(x.as_py()) for x in part.column(1)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, body], ["doc_id", "ids", "body"])
 
-    return encoded.mapInArrow(run, "doc_id long, ids binary, body binary")
+    return map_batches(encoded, run, "doc_id long, ids binary, body binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

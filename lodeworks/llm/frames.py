@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +42,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = work_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str):
+    """``df`` through ``run`` in Arrow batches, with this package importable where the driver's folder is seen.
+
+    Machines that don't see it need the package installed or sent with ``--py-files``.
+    """
+    root, env = str(Path(__file__).parents[2]), df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df.mapInArrow(run, schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import bpe, exact_dedup, mixing, simhash
+from lodeworks.llm import bpe, exact_dedup, mixing, simhash, token_files
 
 QUERIES = {
+    "op2_repair_token_files": token_files.op2_repair_token_files,
     "op3_simhash_tiles": simhash.op3_simhash_tiles,
     "op4_bpe_rank_queue": bpe.op4_bpe_rank_queue,
     "op5_mixing": mixing.op5_mixing,

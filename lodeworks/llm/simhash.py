@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeworks.llm.components import components
-from lodeworks.llm.frames import documents, text_of, written
+from lodeworks.llm.frames import documents, map_batches, text_of, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_of()).alias("key"),
         text_of().cast("binary").alias("body"),
     )
-    return slim.mapInArrow(run, "id long, key long, fp long")
+    return map_batches(slim, run, "id long, key long, fp long")
 
 
 def _names(rows: np.ndarray, cols: np.ndarray, n: int, m: int) -> np.ndarray:
@@ -154,7 +154,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
             ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
-    return pairs.select("others", "fps").mapInArrow(run, "a long, b long")
+    return map_batches(pairs.select("others", "fps"), run, "a long, b long")
 
 
 def classes(stamped: DataFrame, radius: int = RADIUS) -> DataFrame:
