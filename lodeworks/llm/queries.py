@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import bpe, exact_dedup, mixing, simhash, token_files
+from lodeworks.llm import bpe, exact_dedup, mixing, simhash, token_files, winnowing
 
 QUERIES = {
     "op2_repair_token_files": token_files.op2_repair_token_files,
     "op3_simhash_tiles": simhash.op3_simhash_tiles,
     "op4_bpe_rank_queue": bpe.op4_bpe_rank_queue,
     "op5_mixing": mixing.op5_mixing,
+    "op6_winnowing": winnowing.op6_winnowing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
