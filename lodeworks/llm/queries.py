@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import bpe, exact_dedup, mixing, simhash, token_files, winnowing
+from lodeworks.llm import bpe, exact_dedup, mixing, simhash, token_files, toxicity, winnowing
 
 QUERIES = {
     "op2_repair_token_files": token_files.op2_repair_token_files,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_mixing": mixing.op5_mixing,
     "op6_winnowing": winnowing.op6_winnowing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {
