@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import bpe, exact_dedup, mixing, simhash, token_files, toxicity, winnowing
+from lodeworks.llm import bpe, exact_dedup, licenses, mixing, simhash, token_files, toxicity, url_filter, winnowing
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_repair_token_files": token_files.op2_repair_token_files,
     "op3_simhash_tiles": simhash.op3_simhash_tiles,
     "op4_bpe_rank_queue": bpe.op4_bpe_rank_queue,
     "op5_mixing": mixing.op5_mixing,
     "op6_winnowing": winnowing.op6_winnowing,
+    "op7_url_filter": url_filter.op7_url_filter,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {
+    "op1_license_scan": licenses.OP1_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }
