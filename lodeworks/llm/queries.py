@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import bpe, exact_dedup, licenses, mixing, simhash, token_files, toxicity, url_filter, winnowing
+from lodeworks.llm import bpe, exact_dedup, language_model, licenses, mixing, simhash, token_files, toxicity, url_filter, winnowing
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_mixing": mixing.op5_mixing,
     "op6_winnowing": winnowing.op6_winnowing,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op8_log_bilinear": language_model.op8_log_bilinear,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
