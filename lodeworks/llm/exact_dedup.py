@@ -93,13 +93,15 @@ def keep(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
     Rows are matched by id and digest, so a text that a third of the rows share is no hot key.
     """
-    names, work = docs.columns, "__digest"
-    accepted = index.rows().select(F.col("digest").alias(work), F.col("keep_id").alias("__keep_id"))
-    marked = docs.withColumn(work, digest_of()).withColumn("__id", F.col("doc_id").cast("long"))
-    kept = marked.join(
-        accepted, (marked[work] == accepted[work]) & marked["__id"].eqNullSafe(accepted["__keep_id"]), "left_semi"
-    )
-    once = Window.partitionBy("__id", work).orderBy(F.lit(0))
+    names = docs.columns
+
+    def key(digest: Column, row_id: str) -> Column:
+        return F.concat(digest, F.lit(":"), F.coalesce(F.col(row_id).cast("long").cast("string"), F.lit("")))
+
+    # One key column, so that the window needs no shuffle beyond the join's.
+    accepted = index.rows().select(key(F.col("digest"), "keep_id").alias("__key"))
+    kept = docs.withColumn("__key", key(digest_of(), "doc_id")).join(accepted, "__key", "left_semi")
+    once = Window.partitionBy("__key").orderBy(F.lit(0))
     return kept.withColumn("__copy", F.row_number().over(once)).filter("__copy = 1").select(*names)
 
 

@@ -37,7 +37,7 @@ from lodeworks.llm.frames import documents, map_batches, remainder, text_of, wri
 EVENTS, CLASSES, SIZE, KNOWN = 512, 128, 16, 200_000
 SUFFIX = 3
 #: Training: averaged rounds, tokens of a step, noise samples of a step, tokens shuffled together, step size.
-ROUNDS, STEP, NOISE, MIXED, RATE = 1, 2048, 24, 1 << 17, 0.15
+ROUNDS, STEP, NOISE, MIXED, RATE = 1, 1024, 48, 1 << 17, 0.06
 #: Distinct words a task counts before it passes them on.
 COUNTED = 400_000
 END = b""

@@ -65,6 +65,11 @@ def targets(sizes: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, most: int =
     )
 
 
+def _cell(source, bucket):
+    """Source and bucket as one value; no source is unlike the source that is empty."""
+    return F.concat(bucket.cast("string"), F.coalesce(F.concat(F.lit(":"), source), F.lit("")))
+
+
 def position(share, start, end):
     """The time in 0..1 at which a source with this schedule has given ``share`` of its words.
 
@@ -94,17 +99,14 @@ def plan(docs: DataFrame) -> DataFrame:
     sums = written(sums.withColumn("__before", F.coalesce(F.sum("__words").over(before), F.lit(0))), "buckets")
     shares = targets(sums.groupBy("source").agg(F.sum("__words").alias("source_size")))
     offsets = sums.alias("s").join(shares.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
-        F.col("s.source").alias("__source"), F.col("s.__bucket").alias("__b"), "__before",
+        _cell(F.col("s.source"), F.col("s.__bucket")).alias("__cell"), "__before",
         F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
         F.col("words").alias("__quota"), F.col("start").alias("__start"), F.col("end").alias("__end"),
     )
-    rows = sized.withColumn("__bucket", bucket)
-    rows = rows.join(
-        written(offsets, "offsets"),
-        rows["source"].eqNullSafe(F.col("__source")) & (rows["__bucket"] == F.col("__b")),
-    )
+    # One key column, so that the window needs no shuffle beyond the join's.
+    rows = sized.withColumn("__cell", _cell(F.col("source"), bucket)).join(written(offsets, "offsets"), "__cell")
     inside = (
-        Window.partitionBy("__source", "__b").orderBy("__order", "doc_id", "__size")
+        Window.partitionBy("__cell").orderBy("__order", "doc_id", "__size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     rows = rows.withColumn("__at", F.col("__before") + F.coalesce(F.sum("__size").over(inside), F.lit(0)))
@@ -122,7 +124,7 @@ def plan(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("__turns", turns)
     taken = F.aggregate("__turns", F.lit(0).cast("long"), lambda total, t: total + t["words"])
     return rows.withColumn("__taken", taken).drop(
-        "__order", "__bucket", "__source", "__b", "__before", "__at", "__quota", "__start", "__end"
+        "__order", "__cell", "__before", "__at", "__quota", "__start", "__end"
     )
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeworks.llm.components import components
@@ -178,12 +178,15 @@ def keep(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     names = docs.columns
     chosen = classes(written(fingerprints(docs), "fingerprints"), radius)
-    chosen = chosen.select(F.col("component_id").alias("__head"), F.col("key").alias("__head_key")).distinct()
-    marked = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__key", F.xxhash64(text_of()))
-    kept = marked.join(
-        chosen, F.col("__id").eqNullSafe(F.col("__head")) & (F.col("__key") == F.col("__head_key")), "left_semi"
-    )
-    once = Window.partitionBy("__id", "__key").orderBy(F.lit(0))
+
+    def key(row_id: str, text_key: Column) -> Column:
+        return F.concat(F.coalesce(F.col(row_id).cast("long").cast("string"), F.lit("")), F.lit(":"), text_key)
+
+    # One key column, so that the window needs no shuffle beyond the join's.
+    chosen = chosen.select(key("component_id", F.col("key").cast("string")).alias("__key")).distinct()
+    marked = docs.withColumn("__key", key("doc_id", F.xxhash64(text_of()).cast("string")))
+    kept = marked.join(chosen, "__key", "left_semi")
+    once = Window.partitionBy("__key").orderBy(F.lit(0))
     return kept.withColumn("__copy", F.row_number().over(once)).filter("__copy = 1").select(*names)
 
 

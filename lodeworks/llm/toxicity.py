@@ -244,19 +244,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def scored(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
-    """The named columns of ``docs``, and score."""
+    """The named columns of ``docs``, and __score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                score = pa.array(model.score(part.column(0).to_pylist()), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], score], [*columns, "__score"])
+                score = pa.array(model.score([t or "" for t in part.column(0).to_pylist()]), pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, score], [*part.schema.names, "__score"])
 
-    kinds = dict(docs.dtypes)
-    slim = docs.select(text_of().alias("__body"), *columns)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
-    return map_batches(slim, run, f"{schema}, __score double")
+    slim = docs.select("text", *[c for c in columns if c != "text"])
+    kinds = ", ".join(f"`{c}` {kind}" for c, kind in slim.dtypes)
+    return map_batches(slim, run, f"{kinds}, __score double").select(*columns, "__score")
 
 
 def held_out(column: str = "doc_id"):
