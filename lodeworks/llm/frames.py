@@ -40,7 +40,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, kept in the shared work folder, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = work_folder(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "none").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
