@@ -56,7 +56,9 @@ class DigestIndex:
 
     def absorb(self, stamped: DataFrame) -> None:
         """Append what is new in a delivery of (id, digest); of equal texts the largest id stays."""
-        newest = stamped.groupBy("digest").agg(F.max("id").alias("keep_id"))
+        # Written, as the optimizer would otherwise move the join below the aggregation, and a digest that many
+        # rows share would be shuffled row by row.
+        newest = written(stamped.groupBy("digest").agg(F.max("id").alias("keep_id")), "newest")
         fresh = newest.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         # Written aside first: a table can't be appended to while it is read.
         fresh = written(fresh.select("digest", F.col("keep_id").cast("long")), "digests")
