@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -45,3 +45,20 @@ def clock(run_ts: datetime | str | None) -> Column:
 def pinned_now() -> datetime:
     """The driver clock, read once per run so that every pass stamps the same value."""
     return datetime.now(timezone.utc)
+
+
+def spelled(names: Sequence[str], known: Sequence[str]) -> list[str]:
+    """``names``, each as ``known`` spells it, told apart the way the session's Spark does.
+
+    Names that ``known`` lacks stay as they are.
+    """
+    if (SparkSession.active().conf.get("spark.sql.caseSensitive") or "").lower() == "true":
+        return list(names)
+    by_lower = {k.lower(): k for k in known}
+    return [n if n in known else by_lower.get(n.lower(), n) for n in names]
+
+
+def spelled_as(df: DataFrame, known: Sequence[str]) -> DataFrame:
+    """``df`` with the columns that ``known`` names too spelled as there."""
+    names = spelled(df.columns, known)
+    return df if names == df.columns else df.toDF(*names)

@@ -13,9 +13,8 @@ How it holds up at scale and with hot keys:
 * in every join the side that may hold a hot key is the left one and the other side holds
   one row per key, which is what AQE needs to split the hot key over several tasks.
 
-With ``small_source`` the caller vouches for a size that may be broadcast, as
-`operators.tables.TableStore.merge` does after measuring it. Then the destination is not
-shuffled at all. Without it no join is hinted.
+No join is hinted: Spark broadcasts a side that its own threshold, or AQE's measure of it, allows.
+Column names are told apart as the session does it; the destination's spelling is kept.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodeworks.functions.columns import all_of, named
+from lodeworks.functions.columns import all_of, named, spelled, spelled_as
 from lodeworks.sinks.writers import cluster_for
 
 _KEY, _NEW = "__k_", "__n_"
@@ -43,6 +42,15 @@ def _orderable(kind: T.DataType) -> bool:
     return True
 
 
+def _aligned(
+    source: DataFrame, dest: DataFrame, *names: Sequence[str] | None
+) -> tuple[DataFrame, list[list[str] | None]]:
+    """The source and lists of names, all spelled as the destination does, or else the source."""
+    source = spelled_as(source, dest.columns)
+    known = [*dest.columns, *[c for c in source.columns if c not in dest.columns]]
+    return source, [None if n is None else spelled(n, known) for n in names]
+
+
 def _control_columns(source: DataFrame, dest: DataFrame, order_by: Sequence[str]) -> set[str]:
     """Ordering columns the destination does not have; they steer the merge and are not stored."""
     return {c for c in order_by if c not in dest.columns}
@@ -56,6 +64,7 @@ def update_set(
     order_by: Sequence[str] = (),
 ) -> list[str]:
     """The columns J1 overwrites: the wanted ones that both sides have. Keys are equal as they are."""
+    source, (keys, update_columns, order_by) = _aligned(source, dest, keys, update_columns, order_by)
     wanted = source.columns if update_columns is None else dict.fromkeys(update_columns)
     skip = _control_columns(source, dest, order_by) | set(keys)
     return [c for c in wanted if c in source.columns and c in dest.columns and c not in skip]
@@ -119,16 +128,16 @@ def update_rows(
     keys: Sequence[str],
     update_columns: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
-    small_source: bool = False,
 ) -> DataFrame:
     """``dest`` with the update set of matching rows replaced, NULLs included.
 
     All destination rows of a matching key are updated. Without ``order_by`` a matching key
     that occurs more than once in the source is ambiguous and fails the query.
     """
+    source, (keys, update_columns, order_by) = _aligned(source, dest, keys, update_columns, order_by)
     cols = update_set(source, dest, keys, update_columns, order_by)
     new = _replacements(source, dest, keys, cols, order_by)
-    joined = dest.join(F.broadcast(new) if small_source else new, _same_key(keys), "left")
+    joined = dest.join(new, _same_key(keys), "left")
     twice = F.lit("ambiguous merge: a matching key occurs more than once in the source; give order_by")
     hit = F.col(_HIT).isNotNull()
     if not order_by:
@@ -141,21 +150,16 @@ def update_rows(
     )
 
 
-def matching_rows(
-    source: DataFrame, dest: DataFrame, keys: Sequence[str], small_source: bool = False
-) -> DataFrame:
+def matching_rows(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of ``dest`` whose key ``source`` has."""
+    source, (keys,) = _aligned(source, dest, keys)
     offered = source.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
-    return dest.join(F.broadcast(offered) if small_source else offered, _same_key(keys), "left_semi")
+    return dest.join(offered, _same_key(keys), "left_semi")
 
 
-def _known_keys(source: DataFrame, dest: DataFrame, keys: Sequence[str], small_source: bool) -> DataFrame:
-    """Distinct keys of ``dest``, at least all those that ``source`` has too."""
-    present = dest.select(*[named(k) for k in keys])
-    if small_source:
-        present = matching_rows(source, present, keys, small_source)
-    known = present.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
-    return F.broadcast(known) if small_source else known
+def _known_keys(dest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of ``dest``."""
+    return dest.select(*[named(k).alias(_KEY + k) for k in keys]).distinct()
 
 
 def insert_rows(
@@ -163,11 +167,11 @@ def insert_rows(
     dest: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
-    small_source: bool = False,
 ) -> DataFrame:
     """Every source row whose key ``dest`` lacks, duplicates included, with all its columns."""
+    source, (keys, order_by) = _aligned(source, dest, keys, order_by)
     control = _control_columns(source, dest, order_by)
-    known = _known_keys(source, dest, keys, small_source)
+    known = _known_keys(dest, keys)
     return source.join(known, _same_key(keys), "left_anti").select(
         *[
             named(c).cast(dest.schema[c].dataType).alias(c) if c in dest.columns else named(c)
@@ -184,30 +188,25 @@ def merge(
     update_columns: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-    small_source: bool = False,
 ) -> DataFrame:
     """Updated destination rows plus inserts.
 
     Source columns the destination lacks widen the result (NULL for existing rows); destination
     columns the source lacks are NULL on inserts (U1). Destination types are kept.
 
-    ``cluster_by`` names the partition columns the result will be written by. Rows are then
-    brought together by partition, except destination rows that the broadcast of a small source
-    leaves where they were read, which is by partition already: such a merge shuffles only its
-    inserts.
+    ``cluster_by`` names the partition columns the result will be written by; rows are then
+    brought together by partition.
     """
-    updated = update_rows(source, dest, keys, update_columns, order_by, small_source)
-    inserted = insert_rows(source, dest, keys, order_by, small_source)
-    moved = set(cluster_by) & set(update_set(source, dest, keys, update_columns, order_by))
-    if small_source and not moved:
-        inserted = cluster_for(inserted, [c for c in cluster_by if c in inserted.columns])
-        return updated.unionByName(inserted, allowMissingColumns=True)
-    return cluster_for(updated.unionByName(inserted, allowMissingColumns=True), list(cluster_by))
+    updated = update_rows(source, dest, keys, update_columns, order_by)
+    inserted = insert_rows(source, dest, keys, order_by)
+    merged = updated.unionByName(inserted, allowMissingColumns=True)
+    return cluster_for(merged, spelled(cluster_by, merged.columns))
 
 
 def merge_counts(source: DataFrame, dest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: ``rows_updated`` (every source row), split into ``updated`` and ``inserted``."""
-    known = _known_keys(source, dest, keys, False).withColumn(_HIT, F.lit(True))
+    source, (keys,) = _aligned(source, dest, keys)
+    known = _known_keys(dest, keys).withColumn(_HIT, F.lit(True))
     hit = F.col(_HIT).isNotNull()
     return source.join(known, _same_key(keys), "left").agg(
         F.count(F.lit(1)).alias("rows_updated"),

@@ -1,23 +1,28 @@
-"""Catalog tables over immutable snapshots.
+"""Tables on storage, registered in the session's catalog as they are used.
 
-A table is an external Parquet table whose location is one snapshot folder::
+The folder of a table is its truth, whatever session looks at it::
 
-    <silver_root>/processed/<table>/snapshot-<time>-<id>/
+    <silver_root>/processed/<table>/snapshot-<time>-<id>/   a complete set of rows
+    <silver_root>/processed/<table>/delta-<time>-<id>/      partitions that replace those of the snapshot
+    <silver_root>/processed/<table>/_metadata/v<number>.json   schema, partition columns, snapshot, deltas
 
-Replacing a table (overwrite, copy, merge) writes a complete new snapshot under a staging
-name, then drops the old catalog entry and renames the staging entry: two catalog calls, no
-data moved. A failure before the swap leaves the old table as it was. Between the two calls
-the name is briefly absent, as plain Parquet has no transaction log; `attach` restores it
-from the newest complete snapshot.
+The version with the highest number counts; it appears by one rename, after the rows it speaks of are
+complete. So a failure at any moment leaves the version before, and every session and every reader sees
+all of a change or nothing. Replaced folders stay for readers that still use them until `vacuum`.
+
+For Spark each state of a table that isn't a mere append is a catalog entry of its own, and the table's
+name is a view of the current one. A DataFrame read earlier keeps the entry, and the files, it was made from.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -25,23 +30,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lodeworks.errors import DataError
-from lodeworks.functions.columns import named, quoted, sql_text
+from lodeworks.functions.columns import all_of, named, quoted, spelled, spelled_as, sql_text
 from lodeworks.layout import LakeLayout, parse_partition_cols
 from lodeworks.operators.merge import matching_rows, merge, update_set
 from lodeworks.operators.scans import scan
 from lodeworks.sinks.writers import cluster_for, observed_rows
-from lodeworks.sources.inventory import file_rollup
 from lodeworks.storage import Folders
 
 
-_STAGING = "__staging_"
+_ENTRY = "__v"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class _Version:
+    """One state of a table, as its metadata file has it. ``entry`` changes with all but appends."""
+
+    number: int
+    entry: str
+    snapshot: str
+    deltas: tuple[str, ...]
+    schema: StructType
+    partition_columns: tuple[str, ...]
 
-# Partition values a merge names one by one; beyond this it rewrites the whole table.
-MAX_TOUCHED = 10_000
+    def to_json(self) -> str:
+        return json.dumps({**self.__dict__, "schema": json.loads(self.schema.json())})
 
-# A merge source within both bounds is broadcast.
-SMALL_ROWS = 200_000
-SMALL_BYTES = 32 * 1024 * 1024
+    @classmethod
+    def of(cls, text: str) -> _Version:
+        found = json.loads(text)
+        lists = {k: tuple(found[k]) for k in ("deltas", "partition_columns")}
+        return cls(**{**found, **lists, "schema": StructType.fromJson(found["schema"])})
 
 
 @dataclass(frozen=True)
@@ -54,14 +73,6 @@ class MergeResult:
     inserted: int
 
 
-def _is_small(df: DataFrame, rows: int) -> bool:
-    """Whether ``df``, of known row count, is small as text too: files may hide much by compression."""
-    if rows > SMALL_ROWS:
-        return False
-    text = F.octet_length(F.to_json(F.struct(*[named(c) for c in df.columns])))
-    return (df.agg(F.sum(text)).first()[0] or 0) <= SMALL_BYTES
-
-
 def _column_or_null(df: DataFrame, field: StructField) -> Column:
     if field.name in df.columns:
         return named(field.name)
@@ -75,6 +86,7 @@ class TableStore:
         self.spark = spark
         self.layout = layout
         self.folders = Folders(spark)
+        self._known: dict[str, _Version] = {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(layout.database)} LOCATION {sql_text(layout.database_path)}")
 
     # -- names and metadata ------------------------------------------------------------
@@ -93,14 +105,113 @@ class TableStore:
         if not self.exists(table):
             raise DataError(f"{role} table {table} does not exist", source="tables", table=table)
 
+    def _in_catalog(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self._id(name))
+
+    def _stored(self, table: str) -> _Version | None:
+        """The current version on storage."""
+        home = self.layout.metadata_path(table)
+        numbers = [f for f in self.folders.files(home) if f.startswith("v") and f.endswith(".json")]
+        if not numbers:
+            return None
+        known = self._known.get(table)
+        if known is not None and numbers[-1] == _file_name(known.number):
+            return known
+        return _Version.of(self.spark.read.text(f"{home}/{numbers[-1]}", wholetext=True).first()[0])
+
+    def _current(self, table: str) -> str | None:
+        """The catalog entry of the table as storage has it now, made or brought up to date if need be.
+
+        A table that only the catalog knows is its own entry; None when there is none either.
+        """
+        stored = self._stored(table)
+        if stored is None:
+            self._known.pop(table, None)
+            return table if self._is_foreign(table) else None
+        entry = f"{table}{_ENTRY}{stored.entry}"
+        if self._known.get(table) == stored and self._in_catalog(entry):
+            return entry
+        with self._reporting(table, "attach"):
+            if self._in_catalog(entry):
+                have = self.spark.table(self._id(entry)).columns
+                fresh = [f for f in stored.schema if f.name not in have]
+                if fresh:
+                    self.spark.sql(f"ALTER TABLE {self._id(entry)} ADD COLUMNS ({StructType(fresh).toDDL()})")
+            else:
+                parts = ", ".join(map(quoted, stored.partition_columns))
+                self.spark.sql(
+                    f"CREATE TABLE {self._id(entry)} ({stored.schema.toDDL()}) USING {self.layout.table_format} "
+                    + (f"PARTITIONED BY ({parts}) " if parts else "")
+                    + f"LOCATION {sql_text(f'{self.layout.table_path(table)}/{stored.snapshot}')}"
+                )
+            if stored.partition_columns:
+                self.spark.sql(f"ALTER TABLE {self._id(entry)} RECOVER PARTITIONS")
+                for delta in stored.deltas:
+                    self._point(entry, f"{self.layout.table_path(table)}/{delta}", len(stored.partition_columns))
+            self.spark.catalog.refreshTable(self._id(entry))
+            self._show(table, entry)
+        self._known[table] = stored
+        return entry
+
+    def _is_foreign(self, table: str) -> bool:
+        """Whether the catalog has a table of this name itself, not a view that this class has made."""
+        return any(t.name == table.lower() and not t.isTemporary and t.tableType != "VIEW" for t in self._listed())
+
+    def _show(self, table: str, entry: str) -> None:
+        """Make the table's name a view of ``entry``. Files of a table the catalog had by this name stay."""
+        if self._is_foreign(table):
+            self.spark.sql(f"DROP TABLE {self._id(table)}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT * FROM {self._id(entry)}")
+
+    def _point(self, entry: str, delta: str, depth: int) -> None:
+        """Let the partitions that ``delta`` has folders of be read from there."""
+        found = [""]
+        for _ in range(depth):
+            found = [f"{f}/{c}".lstrip("/") for f in found for c in self.folders.children(f"{delta}/{f}") if "=" in c]
+        have = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self._id(entry)}").collect()}
+        fresh = [f for f in found if f not in have]
+        if fresh:
+            added = " ".join(f"PARTITION ({_spec(f)}) LOCATION {sql_text(f'{delta}/{f}')}" for f in fresh)
+            self.spark.sql(f"ALTER TABLE {self._id(entry)} ADD IF NOT EXISTS {added}")
+        for f in found:
+            if f in have:
+                at = sql_text(f"{delta}/{f}")
+                self.spark.sql(f"ALTER TABLE {self._id(entry)} PARTITION ({_spec(f)}) SET LOCATION {at}")
+
+    def _commit(
+        self,
+        table: str,
+        entry: str,
+        snapshot: str,
+        deltas: Sequence[str],
+        schema: StructType,
+        parts: Sequence[str],
+    ) -> None:
+        """The next version; from here on it is the table."""
+        last = self._stored(table)
+        version = _Version(last.number + 1 if last else 1, entry, snapshot, tuple(deltas), schema, tuple(parts))
+        self.folders.write_text(f"{self.layout.metadata_path(table)}/{_file_name(version.number)}", version.to_json())
+        if last is not None and self._known.get(table) == last and last.entry == entry:
+            self._known[table] = version  # this session's entry has what was appended through it
+        self._current(table)
+
+    def _entry(self, table: str) -> str:
+        """The identifier of the table's current entry; an unknown table fails as Spark reports it."""
+        return self._id(self._current(table) or table)
+
     def exists(self, table: str) -> bool:
-        """T1."""
-        return self.spark.catalog.tableExists(self._id(table))
+        """On storage, or known to the catalog alone."""
+        return self._current(table) is not None
+
+    def _listed(self):
+        return self.spark.catalog.listTables(quoted(self.layout.database))
 
     def names(self) -> list[str]:
-        """Table names, without the session's temporary views and unfinished replacements."""
-        found = self.spark.catalog.listTables(quoted(self.layout.database))
-        return sorted(t.name for t in found if not t.isTemporary and _STAGING not in t.name)
+        """The names of all tables of the layout, whichever session wrote them."""
+        home = self.layout.database_path.rstrip("/")
+        stored = [t for t in self.folders.children(home) if self._current(t) is not None]
+        listed = [t.name for t in self._listed() if not t.isTemporary and t.tableType != "VIEW" and _ENTRY not in t.name]
+        return sorted({*stored, *[t for t in listed if self._stored(t) is None]})
 
     def listing(self) -> DataFrame:
         """T6 as rows (U2: names are distinct)."""
@@ -109,7 +220,7 @@ class TableStore:
     def schema(self, table: str) -> StructType:
         """T3."""
         with self._reporting(table, "get the schema of"):
-            return self.spark.table(self._id(table)).schema
+            return self.spark.table(self._entry(table)).schema
 
     def schema_rows(self, table: str) -> DataFrame:
         """T3 as rows: ``position, name, type, nullable, is_partition``."""
@@ -124,12 +235,12 @@ class TableStore:
 
     def partition_columns(self, table: str) -> list[str]:
         with self._reporting(table, "get the partition columns of"):
-            return [c.name for c in self.spark.catalog.listColumns(self._id(table)) if c.isPartition]
+            return [c.name for c in self.spark.catalog.listColumns(self._entry(table)) if c.isPartition]
 
     def location(self, table: str) -> str:
         """The folder of the current snapshot."""
         with self._reporting(table, "locate"):
-            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(table)}")
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._entry(table)}")
             # A column may have this name too; the table's own details come last.
             return described.filter("col_name = 'Location'").collect()[-1]["data_type"]
 
@@ -144,22 +255,21 @@ class TableStore:
     ) -> DataFrame:
         """T5, S12."""
         with self._reporting(table, "read from"):
-            return scan(self.spark.table(self._id(table)), columns, predicate, limit)
+            return scan(self.spark.table(self._entry(table)), columns, predicate, limit)
 
-    def partitions(self, table: str) -> DataFrame:
-        """A3: one row per partition with ``row_count`` and ``file_count``.
+    def _files(self, table: str) -> DataFrame:
+        """A row per file that holds rows: partition values, ``__file``, ``__bytes`` and ``__rows``.
 
-        Only partition values and file names are read; rows are counted from file footers and
-        combined per file before the shuffle.
+        Only partition values and file names are read; rows are counted from file footers.
         """
-        parts = self.partition_columns(table)
-        keys = [named(c) for c in parts]
-        per_file = (
-            self.read(table)
-            .groupBy(*keys, F.col("_metadata.file_path").alias("__file"))
-            .agg(F.count(F.lit(1)).alias("__rows"))
-        )
-        return per_file.groupBy(*keys).agg(
+        keys = [named(c) for c in self.partition_columns(table)]
+        file = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__bytes")]
+        return self.read(table).groupBy(*keys, *file).agg(F.count(F.lit(1)).alias("__rows"))
+
+    def partitions(self, table: str) -> DataFrame:
+        """A3: one row per partition with ``row_count`` and ``file_count``, combined per file before the shuffle."""
+        keys = [named(c) for c in self.partition_columns(table)]
+        return self._files(table).groupBy(*keys).agg(
             F.sum("__rows").alias("row_count"), F.count(F.lit(1)).alias("file_count")
         )
 
@@ -170,15 +280,14 @@ class TableStore:
         of them for one cell.
         """
         parts = self.partition_columns(table)
-        rows = self.read(table)
-        if parts:
-            per_part = rows.groupBy(*[named(c) for c in parts]).agg(F.count(F.lit(1)).alias("n"))
-            counted = per_part.agg(F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("partition_count"))
-        else:
-            counted = rows.agg(F.count(F.lit(1)).alias("row_count"), F.lit(0).cast("long").alias("partition_count"))
-        files = file_rollup(self.spark, self.location(table))
-        totals = counted.unionByName(files, allowMissingColumns=True).agg(
-            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("row_count", "partition_count", "size_bytes", "file_count")]
+        per_part = self._files(table).groupBy(*[named(c) for c in parts]).agg(
+            F.sum("__rows").alias("r"), F.sum("__bytes").alias("b"), F.count(F.lit(1)).alias("f")
+        )
+        totals = per_part.agg(
+            F.coalesce(F.sum("r"), F.lit(0)).alias("row_count"),
+            F.coalesce(F.sum("b"), F.lit(0)).alias("size_bytes"),
+            F.coalesce(F.sum("f"), F.lit(0)).alias("file_count"),
+            (F.count(F.lit(1)) if parts else F.lit(0).cast("long")).alias("partition_count"),
         )
         columns = self.schema(table).names
         return totals.select(
@@ -248,61 +357,95 @@ class TableStore:
         """K11; ``df`` may read the table being replaced."""
         return self.write(table, df, partition_cols, "overwrite", **kwargs)
 
-    def _widen(self, table: str, df: DataFrame) -> DataFrame:
-        """Give the table the columns only ``df`` has; returns ``df`` in the table's column order."""
+    def _widen(self, table: str, df: DataFrame) -> tuple[StructType, DataFrame]:
+        """The table's schema with the columns only ``df`` has, and ``df`` in this order of columns."""
         have = self.schema(table)
-        fresh = [f for f in df.schema if f.name not in have.names]
-        if fresh:
-            added = StructType([StructField(f.name, f.dataType) for f in fresh])
-            self.spark.sql(f"ALTER TABLE {self._id(table)} ADD COLUMNS ({added.toDDL()})")
-            have = self.schema(table)
-        return df.select(*[_column_or_null(df, f) for f in have])
+        df = spelled_as(df, have.names)
+        parts = self.partition_columns(table)
+        fresh = [StructField(f.name, f.dataType) for f in df.schema if f.name not in have.names]
+        wide = StructType([f for f in have if f.name not in parts] + fresh + [f for f in have if f.name in parts])
+        return wide, df.select(*[_column_or_null(df, f) for f in wide])
 
     def _append(self, table: str, df: DataFrame, cluster: bool) -> Observation:
-        aligned = self._widen(table, df)  # insertInto goes by position
+        schema, aligned = self._widen(table, df)  # insertInto goes by position
+        parts = self.partition_columns(table)
+        entry, stored = self._entry(table), self._stored(table)
+        fresh = schema.fieldNames() != self.schema(table).fieldNames()
+        if fresh:
+            have = self.schema(table).names
+            added = StructType([f for f in schema if f.name not in have])
+            self.spark.sql(f"ALTER TABLE {entry} ADD COLUMNS ({added.toDDL()})")
+            if stored is not None:
+                self._show(table, f"{table}{_ENTRY}{stored.entry}")
         if cluster:
-            aligned = cluster_for(aligned, self.partition_columns(table))
+            aligned = cluster_for(aligned, parts)
         aligned, seen = observed_rows(aligned)
-        aligned.write.insertInto(self._id(table))
+        aligned.write.insertInto(entry)
+        if stored is not None:
+            # Tells other sessions of new columns, partitions and files.
+            self._commit(table, stored.entry, stored.snapshot, stored.deltas, schema, parts)
         return seen
 
-    def _replace(self, table: str, df: DataFrame, partition_cols: list[str], cluster: bool) -> Observation:
-        old = self.location(table) if self.exists(table) else None
-        stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    def _folder(self, kind: str) -> tuple[str, str]:
+        """Names of a new folder and of an entry that goes with it."""
         token = uuid.uuid4().hex[:8]
-        snapshot = f"{self.layout.table_path(table)}/snapshot-{stamp}-{token}"
-        staging = f"{table}{_STAGING}{token}"
-        if cluster:
-            df = cluster_for(df, partition_cols)
+        return f"{kind}-{datetime.now(timezone.utc).strftime(_STAMP)}-{token}", token
+
+    def _write(self, df: DataFrame, parts: Sequence[str], path: str) -> Observation:
         df, seen = observed_rows(df)
-        writer = (
-            df.write.format(self.layout.table_format)
-            .option("path", snapshot)
-            .option("compression", self.layout.compression)
-        )
-        if partition_cols:
-            writer = writer.partitionBy(*partition_cols)
+        writer = df.write.format(self.layout.table_format).option("compression", self.layout.compression)
+        if parts:
+            writer = writer.partitionBy(*parts)
         try:
-            writer.saveAsTable(self._id(staging))
+            writer.save(path)
         except Exception:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._id(staging)}")
-            self.folders.remove(snapshot)
+            self.folders.remove(path)
             raise
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
-        self.spark.sql(f"ALTER TABLE {self._id(staging)} RENAME TO {self._id(table)}")
-        self._remove_snapshot(table, old)
         return seen
 
-    def _remove_snapshot(self, table: str, location: str | None) -> None:
-        """Remove a replaced snapshot. Data that lies elsewhere is not this library's to remove."""
-        home = self.layout.table_path(table)
-        name = (location or "").rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith("snapshot-") and name in self.folders.children(home):
-            self.folders.remove(f"{home}/{name}")
+    def _replace(self, table: str, df: DataFrame, partition_cols: list[str], cluster: bool) -> Observation:
+        parts = spelled(partition_cols, df.columns)
+        df = df.select(*[named(c) for c in df.columns if c not in parts], *[named(c) for c in parts])
+        schema = StructType([StructField(f.name, f.dataType) for f in df.schema])
+        if cluster:
+            df = cluster_for(df, parts)
+        snapshot, token = self._folder("snapshot")
+        seen = self._write(df, parts, f"{self.layout.table_path(table)}/{snapshot}")
+        self._commit(table, token, snapshot, (), schema, parts)
+        return seen
+
+    def vacuum(self, table: str, older_than: timedelta = timedelta(days=7)) -> list[str]:
+        """Remove what the current version doesn't use and is older than that; returns the folders' names.
+
+        These are replaced snapshots and deltas and what unfinished writes have left. Data that lies elsewhere
+        is not this library's to remove. Readers and writers that are older than ``older_than`` must be done.
+        """
+        stored, home = self._stored(table), self.layout.table_path(table)
+        limit = (datetime.now(timezone.utc) - older_than).strftime(_STAMP)
+        used = {stored.snapshot, *stored.deltas} if stored else set()
+        gone = [
+            f for f in self.folders.children(home)
+            if f.split("-")[0] in ("snapshot", "delta") and f not in used and f.split("-")[1] < limit
+        ]
+        for folder in gone:
+            self.folders.remove(f"{home}/{folder}")
+        last = _file_name(stored.number) if stored else ""
+        for file in self.folders.files(self.layout.metadata_path(table)):
+            if gone and (file < last or file.endswith(".tmp")):
+                self.folders.remove(f"{self.layout.metadata_path(table)}/{file}")
+        for t in self._listed() if stored else ():
+            if t.name.startswith(f"{table}{_ENTRY}".lower()) and not t.name.endswith(f"{_ENTRY}{stored.entry}"):
+                where = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(t.name)}").filter("col_name = 'Location'")
+                if where.collect()[-1]["data_type"].rstrip("/").rsplit("/", 1)[-1] in gone:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._id(t.name)}")
+        return gone
 
     def drop(self, table: str) -> None:
-        """The catalog entry and every snapshot. Dropping a missing table does nothing."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
+        """The catalog entries and every snapshot. Dropping a missing table does nothing."""
+        for t in self._listed():
+            if t.name == table.lower() or t.name.startswith(f"{table}{_ENTRY}".lower()):
+                self.spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} {self._id(t.name)}")
+        self._known.pop(table, None)
         self.folders.remove(self.layout.table_path(table))
 
     def copy(self, source: str, dest: str, overwrite: bool = False) -> str:
@@ -327,104 +470,118 @@ class TableStore:
     ) -> MergeResult:
         """Upsert the rows of ``source`` into ``dest``, keeping its partitioning.
 
-        By default a new snapshot replaces the table. ``touched_only`` rewrites, inside the
-        current snapshot, just the partitions that matching or new rows fall into; the others
-        are neither read nor written. It applies to partitioned tables whose partition columns
-        the merge does not update, and falls back to a new snapshot otherwise, or when more than
-        ``MAX_TOUCHED`` partitions are concerned. Spark moves the rewritten partitions into place
-        one after another when the job commits, so a driver lost in that moment can leave some
-        of them old.
-
-        A source of at most ``SMALL_ROWS`` rows and ``SMALL_BYTES`` is broadcast, so that the
-        destination is not shuffled. The counts need no extra join: updates never change the number of rows, so what the
-        table gained is what was inserted.
+        By default a new snapshot replaces the table, so that the cost follows the destination's size.
+        ``touched_only`` rewrites just the partitions that matching or new rows fall into, into a delta of
+        their own; the others are neither read nor written. It applies to partitioned tables whose
+        partition columns the merge does not update; for others a new snapshot is the only way.
+
+        The counts need no extra join: updates never change the number of rows, so what the table gained
+        is what was inserted.
         """
         self._require(source, "Source")
         self._require(dest, "Destination")
         incoming, current = self.read(source), self.read(dest)
         offered = incoming.count()
-        small = _is_small(incoming, offered)
         parts = self.partition_columns(dest)
         moves = set(parts) & set(update_set(incoming, current, keys, update_columns, order_by))
         with self._reporting(dest, "merge into"):
-            touched = None
-            if touched_only and parts and not moves:
-                touched = self._in_touched(incoming, current, keys, parts, small)
-            if touched is not None:
-                current = current.filter(touched)
-                merged = merge(incoming, current, keys, update_columns, order_by, parts, small)
-                before = current.count()
-                after = self._replace_partitions(dest, merged, parts).get["rows"]
-            else:
-                merged = merge(incoming, current, keys, update_columns, order_by, parts, small)
-                before = current.count()
+            whole = not touched_only or not parts or bool(moves)
+            if not whole:
+                current = current.filter(self._in_touched(incoming, current, keys, parts))
+            merged = merge(incoming, current, keys, update_columns, order_by, parts)
+            before = current.count()
+            if whole:
                 after = self._replace(dest, merged, parts, cluster=False).get["rows"]
+            else:
+                after = self._replace_partitions(dest, merged, parts).get["rows"]
         inserted = after - before
         return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
 
-    def _in_touched(
-        self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str], small: bool
-    ) -> Column | None:
-        """A predicate for every partition a merge may change; None when there are too many."""
+    def _in_touched(self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str]) -> Column:
+        """A predicate for every partition of ``dest`` that a merge may change.
+
+        It names partitions that the destination has, which the catalog lists too, so it is no longer than
+        that list, however large the source is.
+        """
+        source = spelled_as(source, dest.columns)
         fields = [dest.schema[p] for p in parts]
+        have = dest.select(*[named(p) for p in parts]).distinct()
         touched = source.select(*[_column_or_null(source, f).cast(f.dataType).alias(f.name) for f in fields])
-        if not set(parts) <= set(keys):
-            matching = matching_rows(source, dest, keys, small).select(*[named(p) for p in parts])
+        if not set(parts) <= set(spelled(keys, dest.columns)):
+            matching = matching_rows(source, dest, keys).select(*[named(p) for p in parts])
             touched = touched.unionByName(matching)
+        touched = touched.distinct().toDF(*[f"__{i}" for i in range(len(parts))])
+        same = all_of([named(p).eqNullSafe(F.col(f"__{i}")) for i, p in enumerate(parts)])
         # As text, so that dates and times come back exactly, whatever the driver's time zone.
-        texts = touched.distinct().select(*[named(p).cast("string") for p in parts])
-        values = texts.limit(MAX_TOUCHED + 1).collect()
-        if len(values) > MAX_TOUCHED:
-            return None
-        specs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in values]
-        return F.struct(*[named(p) for p in parts]).isin(specs)
+        texts = have.join(touched, same, "left_semi").select(*[named(p).cast("string") for p in parts])
+        specs = [
+            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in texts.collect()
+        ]
+        return F.struct(*[named(p) for p in parts]).isin(specs) if specs else F.lit(False)
 
     def _replace_partitions(self, table: str, df: DataFrame, parts: list[str]) -> Observation:
-        """Replace the partitions that ``df`` has rows of. ``df`` may read them: they go last."""
-        df, seen = observed_rows(self._widen(table, df))
-        (
-            df.write.format(self.layout.table_format)
-            .option("compression", self.layout.compression)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .mode("overwrite")
-            .save(self.location(table))
-        )
-        self.spark.sql(f"ALTER TABLE {self._id(table)} RECOVER PARTITIONS")
-        self.spark.catalog.refreshTable(self._id(table))
+        """Put the partitions that ``df`` has rows of in place of those the table has."""
+        schema, df = self._widen(table, df)
+        stored = self._stored(table)
+        if stored is None:
+            raise DataError(f"Table {table} isn't one of this layout's", source="tables", table=table)
+        delta, token = self._folder("delta")
+        seen = self._write(df, parts, f"{self.layout.table_path(table)}/{delta}")
+        if seen.get["rows"]:
+            self._commit(table, token, stored.snapshot, (*stored.deltas, delta), schema, parts)
         return seen
 
     def attach(self, table: str, schema: StructType | None = None, partition_cols: Sequence[str] = ()) -> None:
-        """Register the newest complete snapshot, for a session whose catalog lacks the table.
+        """Register a table of the layout, as every other call does by itself.
 
-        Pass ``schema`` and ``partition_cols`` to keep partition types that folder names alone
-        cannot tell.
+        A folder of files without metadata becomes a table by this call: its newest complete snapshot, with
+        ``schema`` and ``partition_cols`` where folder names alone cannot tell types.
         """
+        if self._current(table) is not None:
+            return
         home = self.layout.table_path(table)
         done = [s for s in self.folders.children(home) if self.folders.exists(f"{home}/{s}/_SUCCESS")]
         snapshots = [s for s in done if s.startswith("snapshot-")]
         if not snapshots:
             raise DataError(f"No complete snapshot of table {table}", source="tables", table=table)
-        where = f"{home}/{snapshots[-1]}"
         with self._reporting(table, "attach"):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
-            columns = f"({schema.toDDL()})" if schema is not None else ""
-            parts = f"PARTITIONED BY ({', '.join(map(quoted, partition_cols))})" if partition_cols else ""
-            self.spark.sql(
-                f"CREATE TABLE {self._id(table)} {columns} USING {self.layout.table_format} {parts} "
-                f"LOCATION {sql_text(where)}"
-            )
-            if self.partition_columns(table):
-                self.spark.sql(f"ALTER TABLE {self._id(table)} RECOVER PARTITIONS")
+            found = self.spark.read.format(self.layout.table_format).load(f"{home}/{snapshots[-1]}").schema
+        if not partition_cols:
+            depth, at = [], f"{home}/{snapshots[-1]}"
+            while inner := [c for c in self.folders.children(at) if "=" in c]:
+                depth.append(unquote(inner[0].split("=", 1)[0]))
+                at = f"{at}/{inner[0]}"
+            partition_cols = spelled(depth, found.names)
+        schema = schema or found
+        parts = [f for f in schema if f.name in partition_cols]
+        schema = StructType([f for f in schema if f.name not in partition_cols] + parts)
+        self._commit(table, uuid.uuid4().hex[:8], snapshots[-1], (), schema, partition_cols)
 
     def attach_all(self) -> list[str]:
-        """`attach` every table folder of the layout that the catalog does not know; returns their names."""
+        """`attach` every table folder of the layout that the catalog does not show; returns their names."""
         home = self.layout.database_path.rstrip("/")
+        shown = {t.name for t in self._listed()}
         found = [
             t
             for t in self.folders.children(home)
-            if not self.exists(t) and any(s.startswith("snapshot-") for s in self.folders.children(f"{home}/{t}"))
+            if t.lower() not in shown and any(s.startswith("snapshot-") for s in self.folders.children(f"{home}/{t}"))
         ]
         for table in found:
             self.attach(table)
         return found
+
+
+_STAMP = "%Y%m%dT%H%M%S%f"
+
+
+def _file_name(number: int) -> str:
+    return f"v{number:012d}.json"
+
+
+def _spec(folder: str) -> str:
+    """The partition that a folder like ``a=1/b=x%20y`` holds, as SQL names it."""
+    pairs = [part.split("=", 1) for part in folder.split("/")]
+    return ", ".join(
+        f"{quoted(unquote(name))} = {'NULL' if value == _NULL_PARTITION else sql_text(unquote(value))}"
+        for name, value in pairs
+    )

@@ -12,7 +12,7 @@ from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -164,9 +164,9 @@ def process_silver(
 ) -> RunAudit:
     """Read, stamp, split by quality, write the table and the quarantine (K8, K9).
 
-    The table pass reads everything and notes on the way whether any row is invalid. Only then
-    does a second pass read the invalid rows; over Parquet or ORC it skips row groups whose
-    statistics show no NULL. A clean input is read once and leaves no quarantine files.
+    The quarantine goes first, so that whatever fails, no row is in neither place. Over Parquet or
+    ORC its pass skips row groups whose statistics show no NULL, and a look for one invalid row ends
+    at the first; an input without any leaves no quarantine files.
     """
     params = {
         "source_path": job.source_path,
@@ -190,13 +190,11 @@ def process_silver(
             )
             return run.audit
         with _staged(spark, df) if job.stage else nullcontext(df) as rows:
-            any_invalid = Observation()
-            watched = rows.observe(any_invalid, F.max(quality.is_invalid(rows, job.rules)).alias("found"))
-            good = quality.valid_rows(watched, job.rules)
-            valid = store.write(job.table, good, job.partition_cols, job.mode, cluster=job.cluster)
-            n_valid, n_invalid = valid.get["rows"], 0
-            if any_invalid.get.get("found"):
-                n_invalid = write_quarantine(quality.invalid_rows(rows, job.rules), layout, job.table)
+            invalid, n_invalid = quality.invalid_rows(rows, job.rules), 0
+            if not invalid.select(F.lit(1)).isEmpty():
+                n_invalid = write_quarantine(invalid, layout, job.table)
+            good = quality.valid_rows(rows, job.rules)
+            n_valid = store.write(job.table, good, job.partition_cols, job.mode, cluster=job.cluster).get["rows"]
         run.audit = run.audit.succeeded(
             rows_read=_rows_read(source, job.transforms, n_valid + n_invalid),
             column_count=width,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodeworks.functions.columns import named
+from lodeworks.functions.columns import named, spelled
 from lodeworks.layout import parse_partition_cols
 from lodeworks.sources.readers import require_format
 
@@ -81,7 +81,7 @@ def write_dataset(
         nested = [f.name for f in df.schema if isinstance(f.dataType, _NESTED)]
         if nested:
             raise ValueError(f"Unsupported column types for csv: {', '.join(nested)}")
-    parts = parse_partition_cols(partition_cols)
+    parts = spelled(parse_partition_cols(partition_cols), df.columns)
     if cluster:
         df = cluster_for(df, parts)
     df, seen = observed_rows(df)

@@ -9,6 +9,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,31 @@ class Folders:
         fs, p = self._at(path)
         fs.delete(p, True)
 
+    def write_text(self, path: str, text: str) -> None:
+        """A small file, there with all of its text or not at all; an existing one is not replaced."""
+        fs, p = self._at(path)
+        aside = self._path(f"{path}.{uuid.uuid4().hex}.tmp")
+        out = fs.create(aside, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not fs.rename(aside, p):
+            fs.delete(aside, False)
+            raise LakeError(f"{path} was written by someone else at the same time")
+
+    def backdate(self, path: str, names: Iterable[str], days: int) -> None:
+        """Make files in ``path`` look ``days`` older, as a copy that keeps times does."""
+        fs, _ = self._at(path)
+        for name in names:
+            at = self._path(f"{path}/{name}")
+            fs.setTimes(at, fs.getFileStatus(at).getModificationTime() - days * 86_400_000, -1)
+
+    def files(self, path: str) -> list[str]:
+        """Names of the files directly in ``path``, sorted; empty when it is missing."""
+        fs, p = self._at(path)
+        if not fs.exists(p):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
     def children(self, path: str) -> list[str]:
         """Names of the immediate sub-folders, sorted; empty when ``path`` is missing."""
         fs, p = self._at(path)

@@ -19,21 +19,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from lodeworks.errors import DataError
+from lodeworks.functions.columns import spelled
 from lodeworks.functions.lineage import Transform, apply_transforms, stamp_bronze, stamp_silver
 from lodeworks.layout import parse_partition_cols
 from lodeworks.operators import quality
-from lodeworks.sinks.writers import SINK_DEFAULTS, SINKS
+from lodeworks.sinks.writers import SINK_DEFAULTS, SINKS, cluster_for
 from lodeworks.sources.readers import SILVER_SOURCES, read_source, require_format
 from lodeworks.storage import Folders
 
 
+# A file counts however old it is beside the newest: copies and late deliveries keep their times. The list of
+# files seen, which the driver holds, then only shrinks when files go: see ``cleanSource`` at `IncrementalIngest`.
+_SOURCE_DEFAULTS = {"maxFileAge": "36500d"}
+
 Stamp = Callable[[DataFrame, str, datetime | str | None], DataFrame]
 
 
 class IncrementalIngest:
     """Ingest of a growing folder into files, each source file once per generation.
 
-    ``stamp`` adds the layer's lineage columns and ``transforms`` follow it.
+    ``stamp`` adds the layer's lineage columns and ``transforms`` follow it. Rows of a batch are
+    clustered by the partition columns before they are written. ``options`` go to the file source;
+    ``cleanSource`` with ``archive`` or ``delete`` keeps the source folder, and the list of files
+    seen, short over the years.
     """
 
     def __init__(
@@ -83,17 +91,19 @@ class IncrementalIngest:
         reader = self.spark.readStream.format(self.fmt).schema(self.schema)
         if self.fmt == "csv":
             reader = reader.option("header", True)
-        incoming = reader.options(**self.options).load(self.source_path)
+        incoming = reader.options(**{**_SOURCE_DEFAULTS, **self.options}).load(self.source_path)
+        rows = self._steps(incoming, run_ts)
+        parts = spelled(self.partition_cols, rows.columns)
         writer = (
-            self._steps(incoming, run_ts)
+            cluster_for(rows, parts)
             .writeStream.format(self.sink_format)
             .options(**SINK_DEFAULTS[self.sink_format])
             .option("path", f"{home}/data")
             .option("checkpointLocation", f"{home}/checkpoint")
             .trigger(availableNow=True)
         )
-        if self.partition_cols:
-            writer = writer.partitionBy(*self.partition_cols)
+        if parts:
+            writer = writer.partitionBy(*parts)
         writer.start().awaitTermination()
 
     def reset(self) -> int:

@@ -93,33 +93,6 @@ def test_small_source_is_broadcast_and_destination_not_shuffled(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_small_source_cuts_the_destination_keys_before_their_shuffle(spark, conf):
-    conf(autoBroadcastJoinThreshold="-1")
-    dest = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
-    few = spark.range(-3, 3).select(F.col("id").alias("l_orderkey"), F.lit(2.0).alias("l_tax"))
-    text = plan_of(m.insert_rows(few, dest, ["l_orderkey"], small_source=True))
-    assert "LeftSemi" in text and "SortMergeJoin" not in text
-    text = plan_of(m.insert_rows(few, dest, ["l_orderkey"]))
-    assert "LeftSemi" not in text and "Broadcast" not in text
-
-
-def test_small_merge_shuffles_only_its_inserts(spark):
-    dest = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
-    few = spark.range(-3, 3).select(F.col("id").alias("l_orderkey"), F.lit(2.0).alias("l_tax"))
-    flagged = few.withColumn("l_returnflag", F.lit("A"))
-    for source, update in ((few, None), (flagged, ["l_tax"])):
-        merged = m.merge(source, dest, ["l_orderkey"], update, cluster_by=["l_returnflag"], small_source=True)
-        text = plan_of(merged)
-        union, inserts = text.index("Union"), text.index("LeftAnti")
-        assert text.count("REBALANCE") == (source is flagged)
-        assert "REBALANCE" not in text[: text.index("LeftOuter")]
-        assert "REBALANCE" not in text[:union] and "SortMergeJoin" not in text[:inserts]
-    moving = plan_of(m.merge(flagged, dest, ["l_orderkey"], cluster_by=["l_returnflag"], small_source=True))
-    assert moving.index("REBALANCE") < moving.index("Union")
-    unknown = plan_of(m.merge(flagged, dest, ["l_orderkey"], ["l_tax"], cluster_by=["l_returnflag"]))
-    assert unknown.index("REBALANCE") < unknown.index("Union")
-
-
 def test_quality_is_one_narrow_stage(spark):
     df = spark.read.parquet(f"{SF_DIR}/events.parquet")
     for one in (quality.annotate(df), *quality.split(df), quality.violations(df, ["event_id"])):

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodeworks.errors import DataError
-from lodeworks.operators import tables
 from lodeworks.operators.tables import TableStore
-from lodeworks.sources.inventory import list_files
 from tests.conftest import rows
 
 
@@ -64,7 +63,7 @@ def test_overwrite_from_itself(store, people):
     store.overwrite("t", store.read("t", predicate="id > 1"))
     assert rows(store.read("t", ["id"])) == [(2,), (3,)]
     assert store.partition_columns("t") == ["p"]
-    assert store.location("t") != old and not store.folders.exists(old)
+    assert store.location("t") != old and store.folders.exists(old)
 
 
 def test_columns_named_like_table_details(store, spark):
@@ -96,7 +95,7 @@ def test_failed_overwrite_leaves_the_table(store, people):
     assert e.value.to_dict()["details"] == {"source": "tables", "table": "t"}
     assert store.read("t").count() == 3
     assert store.names() == ["t"]
-    assert len(store.folders.children(store.layout.table_path("t"))) == 1
+    assert len(store.folders.children(store.layout.table_path("t"))) == 2  # its snapshot and its metadata
 
 
 def test_unknown_mode(store, people):
@@ -148,7 +147,9 @@ def test_merge(store, people, spark):
 
 
 def _files(store, table):
-    return {r.relative_path for r in list_files(store.spark, store.location(table)).collect()}
+    """Files that the table reads, below its snapshot or delta."""
+    found = store.read(table).select(F.col("_metadata.file_path").alias("f")).distinct().collect()
+    return {r.f.split(f"/{table}/", 1)[1].split("/", 1)[1] for r in found}
 
 
 @pytest.mark.parametrize("keys", [["id"], ["id", "p"]])
@@ -193,15 +194,6 @@ def test_merge_that_moves_rows_takes_a_new_snapshot(store, spark):
     assert rows(store.read("t")) == [(1, "A", "z"), (2, "b", "y")] and store.location("t") != old
 
 
-def test_too_many_touched_partitions_take_a_new_snapshot(store, people, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_TOUCHED", 1)
-    store.append("t", people, "p")
-    store.append("s", people.withColumn("name", F.upper("name")))
-    old = store.location("t")
-    assert store.merge("s", "t", ["id", "p"], touched_only=True).updated == 3
-    assert rows(store.read("t", ["name"])) == [("A",), ("B",), ("C",)] and store.location("t") != old
-
-
 def test_empty_source_touches_nothing(store, spark, people):
     store.append("t", people, "p")
     store.append("s", people.select("id", "name").limit(0))
@@ -211,27 +203,23 @@ def test_empty_source_touches_nothing(store, spark, people):
     assert _files(store, "t") == before and store.read("t").count() == 3
 
 
-def test_only_a_source_of_measured_size_is_small(spark, monkeypatch):
-    df = spark.range(100).select("id", F.repeat(F.lit("x"), F.lit(1000)).alias("v"))
-    assert tables._is_small(df, 100) and tables._is_small(df.limit(0), 0)
-    assert not tables._is_small(df, tables.SMALL_ROWS + 1)
-    monkeypatch.setattr(tables, "SMALL_BYTES", 50_000)
-    assert not tables._is_small(df, 100)
-
-
-@pytest.mark.parametrize("limit", [0, 200_000])
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
 @pytest.mark.parametrize("touched_only", [False, True])
-def test_merge_is_the_same_for_small_and_large_sources(store, spark, monkeypatch, limit, touched_only):
-    monkeypatch.setattr(tables, "SMALL_ROWS", limit)
-    cols = "id int, name string, p string"
-    store.append("t", spark.createDataFrame([(i % 7 or None, "old", f"p{i % 3}") for i in range(30)], cols), "p")
-    source = [(1, "new", "p1"), (None, "new", "p2"), (50, "new", "p0"), (50, "new", "p8")]
-    store.append("s", spark.createDataFrame(source, cols))
-    result = store.merge("s", "t", ["id"], ["name"], touched_only=touched_only)
-    assert (result.rows_updated, result.updated, result.inserted) == (4, 2, 2)
-    got = store.read("t")
-    assert got.count() == 32 and got.filter("name = 'new'").count() == 12
-    assert got.filter("name = 'new' AND (id IS NULL OR id IN (1, 50))").count() == 12
+def test_merge_is_the_same_however_spark_joins(store, spark, broadcast, touched_only):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        cols = "id int, name string, p string"
+        store.append("t", spark.createDataFrame([(i % 7 or None, "old", f"p{i % 3}") for i in range(30)], cols), "p")
+        source = [(1, "new", "p1"), (None, "new", "p2"), (50, "new", "p0"), (50, "new", "p8")]
+        store.append("s", spark.createDataFrame(source, cols))
+        result = store.merge("s", "t", ["id"], ["name"], touched_only=touched_only)
+        assert (result.rows_updated, result.updated, result.inserted) == (4, 2, 2)
+        got = store.read("t")
+        assert got.count() == 32 and got.filter("name = 'new'").count() == 12
+        assert got.filter("name = 'new' AND (id IS NULL OR id IN (1, 50))").count() == 12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_merge_needs_both_tables(store, people):
@@ -276,25 +264,118 @@ def test_stats_of_an_empty_table(store):
     assert (stats.row_count, stats.partition_count) == (0, 0)
 
 
-def test_attach_takes_the_newest_complete_snapshot(spark, store, people):
+def another(store):
+    """The same layout through a catalog that has seen none of it."""
+    name = f"{store.layout.database}_{os.urandom(3).hex()}"
+    return TableStore(store.spark, replace(store.layout, database=name))
+
+
+def test_storage_is_the_truth(store, people):
+    """Every call through another catalog finds what is stored."""
     store.append("t", people, ["p"])
-    schema = store.schema("t")
+    other = another(store)
+    assert other.exists("t") and other.names() == ["t"] and other.partition_columns("t") == ["p"]
+    another(store).append("t", people.withColumn("p", F.lit("new")))
+    for one in (store, other, another(store)):
+        assert one.read("t").count() == 6 and one.read("t").filter("p = 'new'").count() == 3
+    another(store).append("t", people.withColumn("extra", F.lit(1)))
+    assert store.read("t").columns == other.read("t").columns == ["id", "name", "extra", "p"]
+    another(store).overwrite("t", people.limit(1))
+    assert store.read("t").count() == other.read("t").count() == 1
+    another(store).drop("t")
+    assert not store.exists("t") and not other.exists("t") and store.names() == []
+
+
+def test_types_survive_in_another_catalog(store, spark):
+    df = spark.createDataFrame([(1, "001"), (2, "1"), (3, None)], "id int, p string")
+    store.append("t", df, "p")
+    store.append("t", df.withColumn("extra", F.lit(2.5)))
+    other = another(store)
+    assert other.schema("t") == store.schema("t")
+    assert rows(other.read("t", ["id", "extra"], "p = '001'")) == [(1, 2.5), (1, None)]
+
+
+def test_a_lost_catalog_entry_is_made_again(store, people):
+    """As after a driver lost between two catalog calls."""
+    store.append("t", people, "p")
+    spark, db = store.spark, store.layout.database
+    for t in spark.catalog.listTables(db):
+        if not t.isTemporary:
+            spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} {db}.{t.name}")
+    store.append("t", people)
+    assert store.read("t").count() == 6 and spark.table(f"{db}.t").count() == 6
+
+
+def test_an_unfinished_write_changes_nothing_and_is_vacuumed(store, people):
+    store.append("t", people, "p")
+    home = store.layout.table_path("t")
+    for left in ("snapshot-20000101T000000000000-0", "delta-20000101T000000000000-0"):
+        store.folders.make(f"{home}/{left}/p=x")
+    assert another(store).read("t").count() == 3
+    assert store.vacuum("t") == ["delta-20000101T000000000000-0", "snapshot-20000101T000000000000-0"]
+    assert rows(another(store).read("t")) == rows(people)
+
+
+def test_held_frames_outlive_overwrite_and_merge(store, people, spark):
+    store.append("t", people, "p")
+    store.append("s", people.withColumn("name", F.upper("name")))
+    first = store.read("t")
+    store.merge("s", "t", ["id", "p"], touched_only=True)
+    second = store.read("t")
+    store.overwrite("t", people.limit(0))
+    assert rows(first) == rows(people)
+    assert rows(second.select("name")) == [("A",), ("B",), ("C",)]
+    assert store.read("t").count() == 0 and rows(first.filter("p = 'x'")) == [(1, "a", "x")]
+    assert store.vacuum("t") == []
+    assert len(store.vacuum("t", timedelta(0))) == 2 and store.read("t").count() == 0
+
+
+def test_a_failed_merge_of_touched_partitions_changes_none(store, spark):
+    cols = "id int, name string, p string"
+    store.append("t", spark.createDataFrame([(i, "old", f"p{i}") for i in range(6)], cols), "p")
+    source = spark.createDataFrame([(i, "new", f"p{i}") for i in range(6)], cols)
+    store.append("s", source)
+    real = store.folders.write_text
+    store.folders.write_text = lambda *a: (_ for _ in ()).throw(DataError("lost", source="tables", table="t"))
+    with pytest.raises(DataError):
+        store.merge("s", "t", ["id", "p"], touched_only=True)
+    store.folders.write_text = real
+    for one in (store, another(store)):
+        assert {r.name for r in one.read("t").collect()} == {"old"}
+    store.merge("s", "t", ["id", "p"], touched_only=True)
+    for one in (store, another(store)):
+        assert {r.name for r in one.read("t").collect()} == {"new"} and one.read("t").count() == 6
+    another(store).append("t", source)  # into partitions that lie in a delta, and stay there
+    assert store.read("t").count() == another(store).read("t").count() == 12
+
+
+def test_names_without_case(store, spark):
+    store.append("t", spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "Id int, V string, P string"), "p")
+    assert store.partition_columns("t") == ["P"]
+    store.append("t", spark.createDataFrame([("c", 3, "x")], "v string, ID int, p string"))
+    store.append("s", spark.createDataFrame([("B", 2, "y"), ("D", 4, "y")], "v string, iD int, p string"))
+    result = store.merge("s", "t", ["ID", "p"], ["v"], touched_only=True)
+    assert (result.updated, result.inserted) == (1, 1)
+    assert store.read("t").columns == ["Id", "V", "P"]
+    assert rows(store.read("t")) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "x"), (4, "D", "y")]
+
+
+def test_attach_adopts_files_without_metadata(store, people):
     unfinished = f"{store.layout.table_path('t')}/snapshot-99999999T000000000000-0"
+    people.write.partitionBy("p").parquet(f"{store.layout.table_path('t')}/snapshot-20240101T000000000000-0")
     store.folders.make(unfinished)
-    other = TableStore(spark, replace(store.layout, database=store.layout.database + "_b"))
-    other.attach("t", schema, ["p"])
-    assert rows(other.read("t")) == rows(store.read("t"))
-    assert other.partition_columns("t") == ["p"]
+    assert not store.exists("t")
+    store.attach("t")
+    assert rows(another(store).read("t", ["id", "name", "p"])) == rows(people)
     with pytest.raises(DataError):
-        other.attach("nope")
+        store.attach("nope")
 
 
-def test_attach_all(spark, store, people):
+def test_attach_all(store, people):
     store.append("t", people, ["p"])
     store.append("u", people)
     store.create("only_a_folder")
-    other = TableStore(spark, replace(store.layout, database=store.layout.database + "_b"))
-    assert other.names() == []
+    other = another(store)
     assert other.attach_all() == ["t", "u"] and other.attach_all() == []
     assert other.names() == ["t", "u"]
     assert rows(other.read("t")) == rows(people) == rows(other.read("u"))
