@@ -11,6 +11,7 @@ from lodeworks.operators import quality
 from lodeworks.queries.base import DIRTY_SQL, ISSUES_SQL, Registry, dirty, fresh_layout, table
 from lodeworks.sinks.writers import write_dataset
 from lodeworks.sources import inventory
+from lodeworks.storage import Folders
 
 registry = Registry()
 
@@ -18,15 +19,20 @@ _PREFIX = "concat('o_orderpriority=', o_orderpriority)"
 
 
 def _orders_folder(spark, sf_dir):
+    """One file and one empty marker in each folder, and the mark that Spark leaves of a finished write."""
     path = fresh_layout(spark).bronze_path("orders")
-    write_dataset(table(spark, sf_dir, "orders"), path, "parquet", ["o_orderpriority"])
+    orders = table(spark, sf_dir, "orders").coalesce(1)
+    write_dataset(orders, path, "parquet", ["o_orderpriority"], cluster=False)
+    folders = Folders(spark)
+    for folder in folders.children(path):
+        folders.write_text(f"{path}/{folder}/DONE", "")
     return path
 
 
 def _texts_folder(spark, sf_dir):
     """One line per document text, below one folder per language."""
     path = fresh_layout(spark).bronze_path("texts")
-    table(spark, sf_dir, "documents").select("text", "lang").write.partitionBy("lang").text(path)
+    table(spark, sf_dir, "documents").select("text", "lang").coalesce(1).write.partitionBy("lang").text(path)
     return path
 
 
@@ -34,10 +40,17 @@ def _folder():
     return F.regexp_extract("relative_path", "^(.*)/[^/]*$", 1).alias("folder")
 
 
-@registry.query("file_inventory", f"SELECT DISTINCT {_PREFIX} AS folder, true AS has_bytes FROM orders")
+@registry.query(
+    "file_inventory",
+    f"""SELECT DISTINCT {_PREFIX} AS folder, 2 AS files, 1 AS empty_files FROM orders
+        UNION ALL SELECT '', 1, 1""",
+)
 def file_inventory(spark, sf_dir):
-    files = inventory.list_files(spark, _orders_folder(spark, sf_dir), ".parquet")
-    return files.groupBy(_folder()).agg((F.min("length") > 0).alias("has_bytes"))
+    """Every folder's files, empty and hidden ones included; the write's own mark lies at the top."""
+    files = inventory.list_files(spark, _orders_folder(spark, sf_dir))
+    return files.groupBy(_folder()).agg(
+        F.count("*").cast("int").alias("files"), F.count_if(F.col("length") == 0).cast("int").alias("empty_files")
+    )
 
 
 @registry.query(
@@ -49,9 +62,13 @@ def file_sizes(spark, sf_dir):
     return files.groupBy(_folder()).agg(F.sum("length").alias("bytes"))
 
 
-@registry.query("file_rollup", "SELECT sum(strlen(text) + 1)::BIGINT AS size_bytes FROM documents")
+@registry.query(
+    "file_rollup",
+    """SELECT sum(strlen(text) + 1)::BIGINT AS size_bytes, count(DISTINCT lang) + 1 AS file_count FROM documents""",
+)
 def file_rollup(spark, sf_dir):
-    return inventory.file_rollup(spark, _texts_folder(spark, sf_dir)).select("size_bytes")
+    """A file for each language, and the mark of the finished write."""
+    return inventory.file_rollup(spark, _texts_folder(spark, sf_dir))
 
 
 @registry.query("prefix_list", f"SELECT DISTINCT {_PREFIX} AS prefix FROM orders")
@@ -76,15 +93,21 @@ def binary_scan(spark, sf_dir):
 
 @registry.query(
     "expected_files",
-    f"""SELECT DISTINCT {_PREFIX} AS folder, 'written' AS kind, true AS found FROM orders
-        UNION ALL SELECT DISTINCT {_PREFIX}, 'absent', false FROM orders""",
+    f"""SELECT DISTINCT {_PREFIX} AS folder, kind, kind <> 'absent' AS found
+        FROM orders, (VALUES ('written'), ('absent'), ('marker')) t(kind)
+        UNION ALL VALUES ('', 'success', true), ('', 'failure', false)""",
 )
 def expected_files(spark, sf_dir):
-    """Every file that was written, and for each one name that was not."""
+    """Every file that was written, the markers among them, and names that were not."""
     root = _orders_folder(spark, sf_dir)
-    written = inventory.list_files(spark, root).select("relative_path", F.lit("written").alias("kind"))
+    written = inventory.list_files(spark, root, ".parquet").select("relative_path", F.lit("written").alias("kind"))
     absent = written.select(F.concat("relative_path", F.lit(".absent")).alias("relative_path"), F.lit("absent").alias("kind"))
-    checked = inventory.check_expected(spark, root, written.unionByName(absent))
+    markers = inventory.list_prefixes(spark, root).select(
+        F.concat("prefix", F.lit("/DONE")).alias("relative_path"), F.lit("marker").alias("kind")
+    )
+    top = spark.createDataFrame([("_SUCCESS", "success"), ("_FAILURE", "failure")], markers.schema)
+    wanted = written.unionByName(absent).unionByName(markers).unionByName(top)
+    checked = inventory.check_expected(spark, root, wanted)
     return checked.groupBy(_folder(), "kind").agg(F.bool_and("found").alias("found"))
 
 

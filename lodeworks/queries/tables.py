@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from lodeworks.operators import merge as m
 from lodeworks.operators.tables import TableStore
 from lodeworks.queries import merging
 from lodeworks.queries.base import Registry, fresh_store, table
@@ -107,31 +109,29 @@ def table_merge_touched(spark, sf_dir):
     return store.read("orders")
 
 
+def _one_file_each(spark, sf_dir, parts):
+    """Orders in a table with one file in each partition."""
+    store = fresh_store(spark)
+    store.append("orders", table(spark, sf_dir, "orders").coalesce(1), parts, cluster=False)
+    return store
+
+
 @registry.query(
     "table_partitions",
-    "SELECT o_orderstatus, o_orderpriority, count(*) AS row_count, true AS has_files FROM orders GROUP BY ALL",
+    "SELECT o_orderstatus, o_orderpriority, count(*) AS row_count, 1::BIGINT AS file_count FROM orders GROUP BY ALL",
 )
 def table_partitions(spark, sf_dir):
-    """How many files a partition has depends on the cluster; that it has some does not."""
-    store = _orders_store(spark, sf_dir, "o_orderstatus,o_orderpriority")
-    found = store.partitions("orders")
-    return found.select("o_orderstatus", "o_orderpriority", "row_count", (F.col("file_count") > 0).alias("has_files"))
+    return _one_file_each(spark, sf_dir, "o_orderstatus,o_orderpriority").partitions("orders")
 
 
 @registry.query(
     "table_stats",
     """SELECT 'orders' AS table_name, count(*) AS row_count, 6 AS column_count,
-              count(DISTINCT o_orderstatus) AS partition_count, true AS has_bytes FROM orders""",
+              count(DISTINCT o_orderstatus) AS partition_count, count(DISTINCT o_orderstatus) AS file_count FROM orders""",
 )
 def table_stats(spark, sf_dir):
-    stats = _orders_store(spark, sf_dir).stats("orders")
-    return stats.select(
-        "table_name",
-        "row_count",
-        "column_count",
-        "partition_count",
-        ((F.col("size_bytes") > 0) & (F.col("file_count") > 0) & (F.col("size_mb") > 0)).alias("has_bytes"),
-    )
+    stats = _one_file_each(spark, sf_dir, ["o_orderstatus"]).stats("orders")
+    return stats.select("table_name", "row_count", "column_count", "partition_count", "file_count")
 
 
 @registry.query(
@@ -200,10 +200,56 @@ def table_create(spark, sf_dir):
     return store.read("orders").withColumn("rows_before", F.lit(before))
 
 
+def _elsewhere(store, spark):
+    """The same layout through a catalog that has seen none of it."""
+    return TableStore(spark, replace(store.layout, database=f"{store.layout.database}_{uuid.uuid4().hex[:6]}"))
+
+
 @registry.query("table_attach", "SELECT * FROM orders")
 def table_attach(spark, sf_dir):
-    """Another catalog picks the table up from its newest complete snapshot."""
-    store = _orders_store(spark, sf_dir)
-    other = TableStore(spark, replace(store.layout, database=store.layout.database + "_other"))
-    other.attach("orders", store.schema("orders"), ["o_orderstatus"])
+    """Another catalog picks the table up."""
+    other = _elsewhere(_orders_store(spark, sf_dir), spark)
+    other.attach("orders")
     return other.read("orders")
+
+
+@registry.query("append_new_catalog", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
+def append_new_catalog(spark, sf_dir):
+    """Two sessions append, a third reads."""
+    store = _orders_store(spark, sf_dir)
+    _elsewhere(store, spark).append("orders", table(spark, sf_dir, "orders"))
+    return _elsewhere(store, spark).read("orders")
+
+
+@registry.query(
+    "attach_evolved",
+    """SELECT o_orderkey, o_totalprice, CAST(NULL AS DOUBLE) AS extra, lpad(CAST(o_orderkey % 7 AS VARCHAR), 3, '0') AS code FROM orders
+       UNION ALL SELECT o_orderkey, NULL, o_totalprice, lpad(CAST(o_orderkey % 7 AS VARCHAR), 3, '0') FROM orders""",
+)
+def attach_evolved(spark, sf_dir):
+    """A column added later and partition values like 001 are the same in another catalog."""
+    orders, store = table(spark, sf_dir, "orders"), fresh_store(spark)
+    coded = orders.withColumn("code", F.lpad((F.col("o_orderkey") % 7).cast("string"), 3, "0"))
+    store.append("orders", coded.select("o_orderkey", "o_totalprice", "code"), "code")
+    store.append("orders", coded.select("o_orderkey", F.col("o_totalprice").alias("extra"), "code"))
+    other = _elsewhere(store, spark)
+    return other.read(other.names()[0])
+
+
+@registry.query("append_mixed_case", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
+def append_mixed_case(spark, sf_dir):
+    store, customer = fresh_store(spark), table(spark, sf_dir, "customer")
+    store.append("customer", customer, "C_MktSegment")
+    store.append("customer", customer.select(*reversed(customer.columns)).toDF(*[c.upper() for c in reversed(customer.columns)]))
+    return store.read("customer")
+
+
+@registry.query("merge_mixed_case", merging.MERGED)
+def merge_mixed_case(spark, sf_dir):
+    """Columns of the source in capitals."""
+    changes = merging.revisions(spark, sf_dir)
+    merged = m.merge(
+        changes.toDF(*[c.upper() if c != "tag" else c for c in changes.columns]), table(spark, sf_dir, "orders"),
+        [k.title() for k in merging.KEYS], order_by=merging.ORDER_BY,
+    )
+    return merged

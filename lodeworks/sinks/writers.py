@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.functions.columns import named, spelled
 from lodeworks.layout import parse_partition_cols
-from lodeworks.sources.readers import require_format
+from lodeworks.sources.readers import MARK, MARKED, require_format
 
 SINKS = ("csv", "json", "parquet", "orc")
 SMALL_SINKS = ("csv", "json", "parquet")
@@ -21,23 +21,41 @@ _MICROS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 SINK_DEFAULTS: dict[str, dict[str, str]] = {
-    "csv": {"header": "true", **_MICROS},
+    "csv": {
+        "header": "true",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+        **_MICROS,
+    },
     "json": dict(_MICROS),
     "parquet": {},
     "orc": {},
 }
 
-# Writer side of `sources.readers.TEXT_SAFE_CSV`.
-TEXT_SAFE_CSV = {
-    "nullValue": "\\N",
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
-
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
 
 
+def marked(df: DataFrame, besides: Sequence[str] = ()) -> DataFrame:
+    """``df`` with marks for line breaks, as `sources.readers.unmarked` expects them.
+
+    Columns ``besides`` become folder names, which are not text of a file.
+    """
+
+    def text(column: Column) -> Column:
+        for plain, mark in reversed(MARKED):
+            column = F.replace(column, F.lit(plain), F.lit(mark))
+        return column
+
+    strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in besides]
+    return df.withColumns({c: text(named(c)) for c in strings}) if strings else df
+
+
+def csv_options(columns: int) -> dict[str, str]:
+    """Writer options for rows of so many cells: a row of one cell must not look like an empty line."""
+    return {"nullValue": MARK, "quoteAll": "true"} if columns == 1 else {}
+
+
 def cluster_for(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     """Bring rows of one partition folder together without creating a hot task.
 
@@ -82,10 +100,14 @@ def write_dataset(
         if nested:
             raise ValueError(f"Unsupported column types for csv: {', '.join(nested)}")
     parts = spelled(parse_partition_cols(partition_cols), df.columns)
+    defaults = SINK_DEFAULTS[fmt]
+    if fmt == "csv":
+        df = marked(df, parts)
+        defaults = {**defaults, **csv_options(len(df.columns) - len(parts))}
     if cluster:
         df = cluster_for(df, parts)
     df, seen = observed_rows(df)
-    writer = df.write.format(fmt).options(**{**SINK_DEFAULTS[fmt], **(options or {})}).mode(mode)
+    writer = df.write.format(fmt).options(**{**defaults, **(options or {})}).mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)

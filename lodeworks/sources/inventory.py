@@ -2,7 +2,9 @@
 
 The ``binaryFile`` source lists files and hands out path, size and time; the content column
 is pruned unless asked for, so an inventory opens no file. Like all of Spark's file sources it
-passes over hidden names (``_*``, ``.*``) and files of length zero.
+passes over hidden names (``_*``, ``.*``) and files of length zero; these, often markers that
+something waits for, are added from the file system's own listing, which the driver walks
+once without keeping any other name.
 """
 
 from __future__ import annotations
@@ -35,22 +37,29 @@ def _relative(spark: SparkSession, root: str):
     return F.substring("path", F.lit(len(_qualified(spark, root)) + 2), F.length("path"))
 
 
+def _passed_over(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
+    """Files below ``root`` that are empty or hidden, as `_binary_files` spells the others."""
+    base = len(_qualified(spark, root)) + 1
+    found = [
+        (path, length, time)
+        for path, length, time in Folders(spark).walk(root)
+        if path.endswith(suffix) and (length == 0 or any(part[:1] in ("_", ".") for part in path[base:].split("/")))
+    ]
+    rows = spark.createDataFrame(found, "path string, length long, time long")
+    return rows.select("path", F.timestamp_millis("time").alias("modificationTime"), "length")
+
+
 def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
-    """Every data file below ``root`` whose name ends with ``suffix``."""
-    return _binary_files(spark, root, suffix).select(
-        "path", _relative(spark, root).alias("relative_path"), "length", "modificationTime"
-    )
+    """Every file below ``root`` whose name ends with ``suffix``."""
+    found = _binary_files(spark, root, suffix).select("path", "modificationTime", "length")
+    hidden = F.exists(F.split(_relative(spark, root), "/"), lambda part: F.substring(part, 1, 1).isin("_", "."))
+    found = found.filter((F.col("length") > 0) & ~hidden).unionByName(_passed_over(spark, root, suffix))
+    return found.select("path", _relative(spark, root).alias("relative_path"), "length", "modificationTime")
 
 
 def list_prefixes(spark: SparkSession, root: str) -> DataFrame:
-    """The immediate child folders of ``root`` that hold files somewhere below."""
-    parts = F.split("relative_path", "/")
-    return (
-        list_files(spark, root)
-        .filter(F.size(parts) > 1)
-        .select(F.get(parts, F.lit(0)).alias("prefix"))
-        .distinct()
-    )
+    """The immediate child folders of ``root``, from a listing of this one level."""
+    return spark.createDataFrame([(c,) for c in Folders(spark).children(root)], "prefix string")
 
 
 def read_objects(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:

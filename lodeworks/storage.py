@@ -9,7 +9,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +64,14 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
 
+    def walk(self, path: str) -> Iterator[tuple[str, int, int]]:
+        """(path, length, milliseconds) of every file below ``path``, one after another."""
+        fs, p = self._at(path)
+        found = fs.listFiles(p, True)
+        while found.hasNext():
+            status = found.next()
+            yield status.getPath().toString(), status.getLen(), status.getModificationTime()
+
     def children(self, path: str) -> list[str]:
         """Names of the immediate sub-folders, sorted; empty when ``path`` is missing."""
         fs, p = self._at(path)
@@ -72,6 +80,23 @@ class Folders:
         return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+_made: set[str] = set()
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove the work folders that this process has asked for, and the databases in them.
+
+    For callers that are done with every DataFrame read from there.
+    """
+    folders = Folders(spark)
+    for database in spark.catalog.listDatabases():
+        if any(folder in (database.locationUri or "") for folder in _made):
+            spark.sql(f"DROP DATABASE `{database.name}` CASCADE")
+    for folder in _made:
+        folders.remove(folder)
+    _made.clear()
+
+
 def work_folder(spark: SparkSession, label: str = "work") -> str:
     """A fresh folder name that every executor can reach.
 
@@ -86,4 +111,6 @@ def work_folder(spark: SparkSession, label: str = "work") -> str:
         base = tempfile.mkdtemp(prefix="lodeworks-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/lodeworks-{label}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/lodeworks-{label}-{uuid.uuid4().hex}"
+    _made.add(folder)
+    return folder

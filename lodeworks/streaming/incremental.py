@@ -23,8 +23,8 @@ from lodeworks.functions.columns import spelled
 from lodeworks.functions.lineage import Transform, apply_transforms, stamp_bronze, stamp_silver
 from lodeworks.layout import parse_partition_cols
 from lodeworks.operators import quality
-from lodeworks.sinks.writers import SINK_DEFAULTS, SINKS, cluster_for
-from lodeworks.sources.readers import SILVER_SOURCES, read_source, require_format
+from lodeworks.sinks.writers import SINK_DEFAULTS, SINKS, cluster_for, csv_options, marked
+from lodeworks.sources.readers import CSV_DEFAULTS, SILVER_SOURCES, read_source, require_format, unmarked
 from lodeworks.storage import Folders
 
 
@@ -90,14 +90,19 @@ class IncrementalIngest:
         home = self._home((self.generations() or [0])[-1])
         reader = self.spark.readStream.format(self.fmt).schema(self.schema)
         if self.fmt == "csv":
-            reader = reader.option("header", True)
+            reader = reader.options(**CSV_DEFAULTS)
         incoming = reader.options(**{**_SOURCE_DEFAULTS, **self.options}).load(self.source_path)
+        if self.fmt == "csv":
+            incoming = unmarked(incoming)
         rows = self._steps(incoming, run_ts)
         parts = spelled(self.partition_cols, rows.columns)
+        options = SINK_DEFAULTS[self.sink_format]
+        if self.sink_format == "csv":
+            rows, options = marked(rows, parts), {**options, **csv_options(len(rows.columns) - len(parts))}
         writer = (
             cluster_for(rows, parts)
             .writeStream.format(self.sink_format)
-            .options(**SINK_DEFAULTS[self.sink_format])
+            .options(**options)
             .option("path", f"{home}/data")
             .option("checkpointLocation", f"{home}/checkpoint")
             .trigger(availableNow=True)

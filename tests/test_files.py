@@ -32,6 +32,21 @@ def test_inventory(spark, tmp_path):
     assert rows(inventory.check_expected(spark, root, wanted)) == [("a/none.csv", 2, False), ("a/x.csv", 1, True)]
 
 
+def test_empty_and_hidden_files_are_listed(spark, tmp_path):
+    for name, body in {"_SUCCESS": b"", "d/DONE": b"", "d/data.csv": b"1", "_d/x": b"12", ".h": b"123", "e f/_x": b""}.items():
+        file = tmp_path / name
+        file.parent.mkdir(exist_ok=True)
+        file.write_bytes(body)
+    root = str(tmp_path)
+    listed = rows(inventory.list_files(spark, root).select("relative_path", "length"))
+    assert listed == [(".h", 3), ("_SUCCESS", 0), ("_d/x", 2), ("d/DONE", 0), ("d/data.csv", 1), ("e f/_x", 0)]
+    assert rows(inventory.list_files(spark, root, "DONE").select("length")) == [(0,)]
+    assert inventory.file_rollup(spark, root).first() == (6, 6)
+    wanted = spark.createDataFrame([("d/DONE",), ("_SUCCESS",), ("d/NONE",)], "relative_path string")
+    assert rows(inventory.check_expected(spark, root, wanted)) == [("_SUCCESS", True), ("d/DONE", True), ("d/NONE", False)]
+    assert rows(inventory.list_prefixes(spark, root)) == [("_d",), ("d",), ("e f",)]
+
+
 def test_rollup_of_an_empty_folder(spark, tmp_path):
     assert inventory.file_rollup(spark, str(tmp_path)).first() == (0, 0)
 

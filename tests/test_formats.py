@@ -59,8 +59,31 @@ def test_csv_text_safe(spark, tmp_path):
     text = ["a\nb", ' "quoted", ', "back\\slash\\", "", None, "tab\tand\r\nreturn", '"', '\\"']
     df = spark.createDataFrame(list(enumerate(text)), "id int, s string")
     path = str(tmp_path / "c")
-    write_dataset(df, path, "csv", options=writers.TEXT_SAFE_CSV)
-    assert rows(read_source(spark, "csv", path, readers.TEXT_SAFE_CSV, df.schema)) == rows(df)
+    write_dataset(df, path, "csv", )
+    assert rows(read_source(spark, "csv", path, schema=df.schema)) == rows(df)
+
+
+TEXTS = [
+    "a\nb", "a\r\nb", "\n", "", " ", " pad ", None, "\\N", "\\n", "\ue000", "\ue000n", "\ue000\n\ue000", 'say "x"', '"', "a,b", "\\",
+    "\u2028", "\x85", "null",
+]
+
+
+@pytest.mark.parametrize("columns", [1, 2])
+def test_csv_keeps_text_by_default(spark, tmp_path, columns):
+    """Rows of one cell too, which may look like empty lines; one row stays one line of the file."""
+    df = spark.createDataFrame([(t, t)[:columns] for t in TEXTS], ", ".join(f"c{i} string" for i in range(columns)))
+    path = str(tmp_path / "t")
+    write_dataset(df.coalesce(1), path, "csv")
+    assert rows(read_source(spark, "csv", path, schema=df.schema)) == rows(df)
+    assert len(spark.read.text(path, lineSep="\n").collect()) == len(TEXTS) + 1
+
+
+def test_csv_partition_values_keep_text(spark, tmp_path):
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(TEXTS) if t], "id int, v string, p string")
+    path = str(tmp_path / "t")
+    write_dataset(df, path, "csv", ["p"])
+    assert rows(read_source(spark, "csv", path, schema=df.schema).select("id", "v")) == rows(df.select("id", "v"))
 
 
 def test_json_lines_and_top_level_array(spark, tmp_path):

@@ -102,3 +102,34 @@ def test_unknown_formats(spark, tmp_path):
         IncrementalIngest(spark, "in", "jdbc", SCHEMA, str(tmp_path))
     with pytest.raises(ValueError, match="avro"):
         make(spark, tmp_path, sink_format="avro")
+
+
+def test_files_with_old_times_are_taken(spark, tmp_path, deliver):
+    ingest = make(spark, tmp_path)
+    deliver(0)
+    ingest.run()
+    first = set(ingest.folders.files(ingest.source_path))
+    deliver(3)
+    ingest.folders.backdate(ingest.source_path, set(ingest.folders.files(ingest.source_path)) - first, days=30)
+    ingest.run()
+    assert ids(ingest.read()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_batches_are_clustered_by_partition(spark, tmp_path):
+    """Four source files of fifty values each make about fifty files, not two hundred."""
+    df = spark.range(400).select((F.col("id") % 50).cast("int").alias("id"), F.col("id").cast("string").alias("name"))
+    df.repartition(4).write.csv(str(tmp_path / "in"), header=True)
+    ingest = make(spark, tmp_path, partition_cols="ID", options={"maxFilesPerTrigger": "4"})
+    ingest.run()
+    got = ingest.read()
+    assert got.count() == 400 and len(got.inputFiles()) <= 60
+
+
+def test_text_from_csv_is_whole(spark, tmp_path):
+    from lodeworks.sinks.writers import write_dataset
+
+    df = spark.createDataFrame([(1, "a\nb"), (2, ""), (3, None), (4, " x ")], SCHEMA)
+    write_dataset(df, str(tmp_path / "in"), "csv")
+    ingest = make(spark, tmp_path, sink_format="csv")
+    ingest.run()
+    assert rows(ingest.read().select("id", "name")) == rows(df)

@@ -16,6 +16,7 @@ from lodeworks.errors import PipelineError
 from lodeworks.functions.lineage import normalise_ingest_timestamp, stamp_bronze, stamp_silver
 from lodeworks.operators import quality
 from lodeworks.operators.audit import AuditLog, RunAudit, run_history, run_metrics
+from lodeworks.operators.tables import TableStore
 from lodeworks.plans.jobs import BronzeJob, SilverJob, bronze_to_silver, ingest_bronze, process_silver, small_ingest
 from lodeworks.sources import inventory
 from tests.conftest import rows
@@ -232,3 +233,31 @@ def test_outputs(spark, layout, landing):
     got = {r.output: r.is_empty for r in inventory.check_outputs(spark, outputs).collect()}
     assert got == {"bronze": False, "table": False, "quarantine": True, "empty": True}
     assert inventory.check_outputs(spark, []).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+@pytest.mark.parametrize("parts", ["", "p"])
+@pytest.mark.parametrize("kind", ["true", "false", "null"])
+def test_constant_rules_lose_no_row(spark, layout, tmp_path, kind, parts, mode):
+    source = str(tmp_path / "bronze")
+    spark.range(20).select("id", (F.col("id") % 3).cast("string").alias("p")).write.parquet(source)
+    rules = [] if kind == "null" else [quality.Rule("always", kind)]
+    blank = [lambda df: df.withColumn("gone", F.lit(None).cast("string"))] if kind == "null" else []
+    job = SilverJob(source, "parquet", "t", parts, rules=rules, transforms=blank, mode=mode)
+    for run in (1, 2):
+        audit = process_silver(spark, layout, job)
+        good = 20 if kind == "false" else 0
+        assert (audit.rows_valid, audit.rows_invalid) == (good, 20 - good)
+        kept = good * (run if mode == "append" else 1)
+        assert TableStore(spark, layout).read("t").count() == kept
+        if not good:
+            assert spark.read.parquet(layout.quarantine_path("t")).count() == 20 * run
+
+
+def test_empty_text_through_csv_stays_valid(spark, layout, tmp_path):
+    spark.createDataFrame([(1, ""), (2, "a\nb"), (3, None)], "id int, v string").write.parquet(str(tmp_path / "in"))
+    bronze = BronzeJob("parquet", str(tmp_path / "in"), layout.bronze_path("t"), "csv")
+    stamped = "id int, v string, bronze_ingest_timestamp string, bronze_ingest_date string, bronze_ingest_time string, bronze_source_path string"
+    _, audit = bronze_to_silver(spark, layout, bronze, SilverJob(bronze.target_path, "csv", "t", schema=stamped))
+    assert (audit.rows_valid, audit.rows_invalid) == (2, 1)
+    assert rows(TableStore(spark, layout).read("t", ["id", "v"])) == [(1, ""), (2, "a\nb")]
