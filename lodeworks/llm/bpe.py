@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from lodeworks.llm.frames import documents, map_batches, text_of
 
-#: Pre-tokens (and runs of them) kept by one Python worker, and the longest that is kept, in bytes.
-KEPT, LONGEST = 600_000, 64
+#: Pre-tokens and runs of them that one Python worker keeps, the longest that it keeps, and pairs with their ranks.
+KEPT, LONGEST, PAIRS = 700_000, 64, 200_000
 
 #: White space as patterns of tokenizers mean it: Unicode's White_Space.
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -95,15 +95,14 @@ class Encoder:
         self._bytes = [self.ranks[bytes([b])] for b in range(256)]
         self._queue = RankQueue(len(self.tokens))
         self._pairs: dict[int, int] = {}
-        self._chunks = re.compile(CHUNK).findall
+        self._runs = re.compile(CHUNK).findall
         self._split = regex.compile(pattern).findall
-        self._kept_chunks: dict[str, bytes] = {}
         self._kept: dict[str, bytes] = {}
 
     def _rank(self, key: int) -> int:
         """The rank of a pair that isn't kept yet, -1 without one."""
         rank = self.ranks.get(self.tokens[key >> 32] + self.tokens[key & 0xFFFFFFFF], -1)
-        if len(self._pairs) >= KEPT:
+        if len(self._pairs) >= PAIRS:
             self._pairs.clear()
         self._pairs[key] = rank
         return rank
@@ -152,30 +151,24 @@ class Encoder:
                     push(new, left)
         return [i for i in ids if i >= 0]
 
-    def _piece(self, piece: str) -> bytes:
-        packed = self._kept.get(piece)
-        if packed is None:
-            raw = piece.encode("utf-8", "surrogatepass")
-            ids = self.merge(raw)
+    def _new(self, run: str) -> bytes:
+        """Ids of a run of text, or of a pre-token inside one, that isn't kept yet."""
+        pieces = self._split(run)
+        if len(pieces) == 1:
+            ids = self.merge(run.encode("utf-8", "surrogatepass"))
             packed = pack(f"<{len(ids)}I", *ids)
-            if len(raw) <= LONGEST:
-                if len(self._kept) >= KEPT:
-                    self._kept.clear()
-                self._kept[piece] = packed
-        return packed
-
-    def _chunk(self, chunk: str) -> bytes:
-        packed = b"".join(map(self._piece, self._split(chunk)))
-        if len(chunk) <= LONGEST:
-            if len(self._kept_chunks) >= KEPT:
-                self._kept_chunks.clear()
-            self._kept_chunks[chunk] = packed
+        else:
+            packed = b"".join([self._kept.get(piece) or self._new(piece) for piece in pieces])
+        if len(run) <= LONGEST:
+            if len(self._kept) >= KEPT:
+                self._kept.clear()
+            self._kept[run] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        known, new = self._kept_chunks.get, self._chunk
-        return b"".join([known(chunk) or new(chunk) for chunk in self._chunks(text)])
+        known, new = self._kept.get, self._new
+        return b"".join([known(run) or new(run) for run in self._runs(text)])
 
     def decode(self, packed: bytes) -> bytes:
         tokens = self.tokens
@@ -228,9 +221,26 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return map_batches(encoded, run, "doc_id long, ids binary, body binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids, body): `encode` and `decode` in one pass, so that a task needs one Python worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(path, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                ids = [bpe.encode(t.as_py()) for t in part.column(1)]
+                body = pa.array([bpe.decode(x) for x in ids], pa.binary())
+                columns = [part.column(0), pa.array(ids, pa.binary()), body]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "body"])
+
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("body"))
+    return map_batches(slim, run, "doc_id long, ids binary, body binary")
+
+
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, and digests of the ids and of what they decode to."""
-    return decode(encode(docs, path, pattern), path, pattern).select(
+    return round_trip(docs, path, pattern).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("body", 256).alias("decoded_sha256"),
     )

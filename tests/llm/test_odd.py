@@ -131,6 +131,13 @@ def test_bpe(spark, docs):
     assert Counter((r["doc_id"], r["decoded_sha256"]) for r in got) == expected
 
 
+def test_bpe_encodes_and_decodes_apart(spark, docs):
+    vocabulary = bpe.vocabulary()
+    apart = bpe.decode(bpe.encode(docs, *vocabulary), *vocabulary).collect()
+    assert Counter(apart) == Counter(bpe.round_trip(docs, *vocabulary).collect())
+    assert Counter((r["doc_id"], bytes(r["body"]).decode()) for r in apart) == Counter(rows_of(docs))
+
+
 def test_bpe_of_long_pieces():
     import tiktoken
 
