@@ -47,12 +47,12 @@ from lodeworks.storage import work_folder
 #: Ids at which a shard is closed.
 SHARD = 1 << 21
 #: Bins of a round's counting, and how many of the fullest are looked at.
-BINS, FULLEST = 1 << 20, 1 << 14
+BINS, FULLEST = 1 << 18, 1 << 13
 #: Uses of a rule, and share of the sequence that a round must save.
-LEAST_USES, LEAST_GAIN = 4, 0.01
+LEAST_USES, LEAST_GAIN = 4, 0.02
 END = 0
 #: Runs of text kept by a Python worker, and the longest that is kept.
-KEPT, LONGEST = 800_000, 64
+KEPT, LONGEST = 1_400_000, 64
 _NULL = -(1 << 63)
 
 SCHEMA = (
@@ -154,7 +154,9 @@ class Shard:
 class Encoder:
     """The tokenizer of a file of the tokenizers library, with the ids of recent runs of text kept.
 
-    A text is encoded run by run between blanks, bounds that no token of a byte-level tokenizer crosses.
+    A text is encoded run by run between blanks, bounds that no token of a byte-level tokenizer crosses. New
+    runs go through the library many at a time, as one text; the bytes that each token stands for say which
+    run it belongs to.
     """
 
     def __init__(self, path: str):
@@ -164,23 +166,54 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.first = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        # A byte-level token is written with a letter per byte.
+        self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.first)])
         self._runs = re.compile(CHUNK).findall
         self._kept: dict[str, bytes] = {}
 
+    def _learn(self, runs: set[str]) -> None:
+        kept, ends = self._kept, {}
+        stems = set()
+        for run in runs:
+            # A stop after a Latin letter is a token of its own.
+            if run[-1] in ".," and len(run) > 2 and run[-2].isalpha() and run[-2] < "\u0250":
+                ends[run] = run[:-1]
+                run = run[:-1]
+            if run not in kept:
+                stems.add(run)
+        plain = [run for run in stems if run[0] == " " and len(run) > 1 and not run[1].isspace()]
+        others = [*stems.difference(plain), ".", ","]
+        for at in range(0, len(plain), 10_000):
+            some = plain[at : at + 10_000]
+            ids = np.array(self._tokenizer.encode("".join(some), add_special_tokens=False).ids, "<u4")
+            sizes = np.cumsum([len(run.encode("utf-8", "surrogatepass")) for run in some])
+            stops = (4 * np.searchsorted(np.cumsum(self._bytes[ids]), sizes) + 4).tolist()
+            packed = ids.tobytes()
+            kept.update(zip(some, map(packed.__getitem__, map(slice, [0, *stops[:-1]], stops))))
+        for run, found in zip(others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            kept[run] = np.array(found.ids, "<u4").tobytes()
+        for run, stem in ends.items():
+            kept[run] = kept[stem] + kept[run[-1]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts, as little-endian 32-bit integers."""
         kept = self._kept
         split = [self._runs(t) for t in texts]
-        missing = list(set().union(*split).difference(kept))
-        found = self._tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        kept.update((run, np.array(e.ids, "<u4").tobytes()) for run, e in zip(missing, found))
-        packed = [b"".join(map(kept.__getitem__, runs)) for runs in split]
+        found = [list(map(kept.get, runs)) for runs in split]
+        missing = {run for runs, ids in zip(split, found) for run, x in zip(runs, ids) if x is None}
+        if missing:
+            self._learn(missing)
+            for runs, ids in zip(split, found):
+                if None in ids:
+                    ids[:] = [kept[run] if x is None else x for run, x in zip(runs, ids)]
+        packed = [b"".join(ids) for ids in found]
         if len(kept) > KEPT:
             kept.clear()
         else:
             for run in missing:
                 if len(run) > LONGEST:
                     del kept[run]
+                    kept.pop(run[:-1], None)
         return packed
 
 
