@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from lodeworks.llm.frames import documents, map_batches, remainder, text_of, written
 
 #: Events, of which so many are classes of words; size of a vector; words sent to all tasks at most.
-EVENTS, CLASSES, SIZE, KNOWN = 512, 128, 16, 200_000
+EVENTS, CLASSES, SIZE, KNOWN = 1024, 512, 16, 200_000
 SUFFIX = 3
 #: Training: averaged rounds, tokens of a step, noise samples of a step, tokens shuffled together, step size.
 ROUNDS, STEP, NOISE, MIXED, RATE = 1, 1024, 48, 1 << 17, 0.06
