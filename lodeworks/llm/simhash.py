@@ -36,18 +36,22 @@ TILE = 4096
 QUARTER = 16
 
 
+def shingles(text: bytes, size: int = SHINGLE) -> list[int]:
+    """Hashes of each ``size`` neighbouring words; of fewer words, or none, a single one."""
+    words = text.lower().split()
+    if len(words) <= size:
+        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
+    row, digest = b" ".join(words), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = [0, *ends[:-size].tolist()]
+    return [digest(row[s:e], SEED) for s, e in zip(starts, (ends[size - 1 :] - 1).tolist())]
+
+
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     """The fingerprint of a whole text, unsigned."""
-    words = text.lower().split()
-    if not words:
+    if not text or text.isspace():
         return 0
-    if len(words) <= size:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        row, digest = b" ".join(words), xxhash.xxh64_intdigest
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = [0, *ends[:-size].tolist()]
-        hashes = [digest(row[s:e], SEED) for s, e in zip(starts, (ends[size - 1 :] - 1).tolist())]
+    hashes = shingles(text, size)
     table = np.array(hashes, np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(table), 8192):
@@ -176,8 +180,12 @@ def keep(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Rows that repeat both id and text are cut to one.
     """
+    return only(docs, classes(written(fingerprints(docs), "fingerprints"), radius))
+
+
+def only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that (component_id, key) name, each once."""
     names = docs.columns
-    chosen = classes(written(fingerprints(docs), "fingerprints"), radius)
 
     def key(row_id: str, text_key: Column) -> Column:
         return F.concat(F.coalesce(F.col(row_id).cast("long").cast("string"), F.lit("")), F.lit(":"), text_key)
