@@ -212,7 +212,7 @@ class Encoder:
         else:
             for run in missing:
                 if len(run) > LONGEST:
-                    del kept[run]
+                    kept.pop(run, None)  # it may have gone with the run that a stop follows
                     kept.pop(run[:-1], None)
         return packed
 
