@@ -166,7 +166,8 @@ def classes(stamped: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     That is the row with the smallest id and, among those, the smallest key.
     """
-    distinct = written(stamped.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("least")), "distinct")
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("least")
+    distinct = written(stamped.groupBy("fp").agg(least), "distinct")
     named = components(written(links(distinct.select("fp"), radius), "links"))
     placed = distinct.join(named, distinct["fp"] == named["node"], "left")
     placed = written(placed.select("fp", "least", F.coalesce("component", "fp").alias("component")), "placed")
