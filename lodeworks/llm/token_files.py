@@ -2,10 +2,11 @@
 
 Documents are range-partitioned and sorted by id, encoded, ended with id 0 and gathered into shards of
 whole documents. A shard's ids are compressed by Re-Pair: frequent pairs of neighbours are replaced by
-nonterminals, again and again, until a round saves less than ``LEAST_GAIN`` of the sequence. A round
-counts pairs in hashed bins, takes the most frequent pair of each of the fullest bins, counts those
+nonterminals, again and again, until no pair has ``LEAST_USES`` places without overlap. A round
+counts pairs in hashed bins, takes a pair of each of the fullest bins, counts those
 exactly, settles overlaps from left to right in favour of the more frequent, and replaces all at once;
-a rule is made only for a pair replaced at least ``LEAST_USES`` times.
+a rule is made only for a pair replaced at least ``LEAST_USES`` times. Once such a round would save less than
+``LEAST_GAIN`` of the sequence, rounds count all pairs exactly instead.
 
 The format is a Parquet table, a row per shard in order of ``shard``:
 
@@ -47,9 +48,9 @@ from lodeworks.storage import work_folder
 #: Ids at which a shard is closed.
 SHARD = 1 << 21
 #: Bins of a round's counting, and how many of the fullest are looked at.
-BINS, FULLEST = 1 << 18, 1 << 13
-#: Uses of a rule, and share of the sequence that a round must save.
-LEAST_USES, LEAST_GAIN = 4, 0.02
+BINS, FULLEST = 1 << 20, 1 << 14
+#: Uses of a rule, and share of the sequence that a round by bins must save; below it all pairs are counted.
+LEAST_USES, LEAST_GAIN = 4, 0.01
 END = 0
 #: Runs of text kept by a Python worker, and the longest that is kept.
 KEPT, LONGEST = 1_400_000, 64
@@ -65,31 +66,20 @@ def repair(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     """(rules, lengths, sequence) of ids below ``first``."""
     sequence = ids.astype(np.uint32)
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    most, shift = np.zeros(BINS, np.uint64), np.uint64(64 - BINS.bit_length() + 1)
+    exact, turn = False, 0
     while len(sequence) > 1:
         pairs = sequence[:-1].astype(np.uint64)
         pairs <<= np.uint64(32)
         pairs |= sequence[1:]
-        bins = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64)
-        counts = np.bincount(bins, minlength=BINS)
-        least = max(LEAST_USES, int(np.partition(counts, BINS - FULLEST)[BINS - FULLEST]))
-        at = np.flatnonzero((counts >= least)[bins])
-        # A bin stands for one pair, the last seen in it; others wait for a later round.
-        most[bins[at]] = pairs[at]
-        at = at[most[bins[at]] == pairs[at]]
-        counts = np.bincount(bins[at], minlength=BINS)
-        counts[counts < LEAST_USES] = 0
-        at = at[counts[bins[at]] > 0]
-        at = _apart(at, counts[bins[at]])
-        used = np.bincount(bins[at], minlength=BINS)
-        chosen = np.flatnonzero(used >= LEAST_USES)
-        at = at[used[bins[at]] >= LEAST_USES]
-        if len(at) - 2 * len(chosen) < LEAST_GAIN * len(sequence):
+        turn += 1
+        at, rule, new = _all_pairs(pairs, turn) if exact else _full_bins(pairs, turn)
+        if not exact and len(at) - 2 * len(new) < LEAST_GAIN * len(sequence):
+            exact = True
+            continue
+        if not len(new):
             break
-        made = np.zeros(BINS, np.uint32)
-        made[chosen] = first + len(rules) + np.arange(len(chosen))
-        new = np.stack([most[chosen] >> np.uint64(32), most[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-        sequence[at] = made[bins[at]]
+        new = np.stack([new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        sequence[at] = first + len(rules) + rule
         left = np.ones(len(sequence), bool)
         left[at + 1] = False
         sequence = sequence[left]
@@ -98,6 +88,68 @@ def repair(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return rules, lengths, sequence
 
 
+def _bins(pairs: np.ndarray, turn: int) -> np.ndarray:
+    """A bin for each pair, by another hash in every round."""
+    by = (0x9E3779B97F4A7C15 * (2 * turn - 1)) & 0xFFFFFFFFFFFFFFFF
+    return ((pairs * np.uint64(by)) >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+
+
+def _full_bins(pairs: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, number of the rule at each, pairs of the rules): a pair of each of the fullest bins."""
+    bins = _bins(pairs, turn)
+    counts = np.bincount(bins, minlength=BINS)
+    least = max(LEAST_USES, int(np.partition(counts, BINS - FULLEST)[BINS - FULLEST]))
+    at = np.flatnonzero((counts >= least)[bins])
+    # A bin stands for one pair, the last seen in it; others wait for a round that bins them apart.
+    most = np.zeros(BINS, np.uint64)
+    most[bins[at]] = pairs[at]
+    at = at[most[bins[at]] == pairs[at]]
+    counts = np.bincount(bins[at], minlength=BINS)
+    at = at[counts[bins[at]] >= LEAST_USES]
+    at = _apart(at, counts[bins[at]])
+    used = np.bincount(bins[at], minlength=BINS)
+    chosen = np.flatnonzero(used >= LEAST_USES)
+    at = at[used[bins[at]] >= LEAST_USES]
+    number = np.zeros(BINS, np.uint32)
+    number[chosen] = np.arange(len(chosen))
+    return at, number[bins[at]], most[chosen]
+
+
+def _all_pairs(pairs: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for all pairs with ``LEAST_USES``; no rule only if none has as many places without overlap."""
+    bins = _bins(pairs, turn)
+    at = np.flatnonzero((np.bincount(bins, minlength=BINS) >= LEAST_USES)[bins])
+    kinds, kind, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
+    often = counts[kind] >= LEAST_USES
+    at, kind = at[often], kind[often]
+    of = np.zeros(len(pairs), np.int64)
+    of[at] = kind
+    best = _apart(at, counts[kind])
+    used = np.bincount(of[best], minlength=len(kinds))
+    if not (used >= LEAST_USES).any():
+        # Pairs block each other: one after the other, the more frequent first, at the places still free.
+        order = np.argsort(kind, kind="stable")
+        ends = np.cumsum(np.bincount(kind, minlength=len(kinds)))
+        taken, best = np.zeros(len(pairs) + 2, bool), []
+        for k in np.argsort(-counts, kind="stable").tolist():
+            if counts[k] < LEAST_USES:
+                break
+            places = at[order[ends[k] - counts[k] : ends[k]]]
+            # taken is shifted by one: the place before, the place, the place after.
+            places = places[~(taken[places] | taken[places + 1] | taken[places + 2])]
+            places = _apart(places, np.ones(len(places), np.int64))
+            if len(places) >= LEAST_USES:
+                taken[places + 1] = True
+                best.append(places)
+        best = np.sort(np.concatenate(best)) if best else np.zeros(0, np.int64)
+        used = np.bincount(of[best], minlength=len(kinds))
+    chosen = np.flatnonzero(used >= LEAST_USES)
+    best = best[used[of[best]] >= LEAST_USES]
+    number = np.zeros(len(kinds), np.uint32)
+    number[chosen] = np.arange(len(chosen))
+    return best, number[of[best]], kinds[chosen]
+
+
 def _apart(at: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Places of pairs without overlaps: the more frequent of two neighbours, of equals every second."""
     touching = at[1:] == at[:-1] + 1
