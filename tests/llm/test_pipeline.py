@@ -6,28 +6,17 @@ import hashlib
 from collections import Counter
 
 import duckdb
-import numpy as np
 import pytest
 
 import corpus_pipeline
-from lodeworks.llm import bpe, simhash, toxicity
+from lodeworks.llm import bpe, toxicity
 from lodeworks.llm.frames import documents
 from tests.llm.odd import odd
+from tests.llm.test_near_copies import _kept
 
 SF_DIR = "/root/testdata/sf0.01"
 
 
-def _near(rows):
-    prints = np.array([simhash.fingerprint((r["text"] or "").encode()) for r in rows], np.uint64)
-    name = np.arange(len(rows))
-    linked = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3
-    while True:
-        lower = np.where(linked, name[None, :], len(rows)).min(1)
-        if (lower == name).all():
-            return [r for i, r in enumerate(rows) if name[i] == i]
-        name = lower
-
-
 def _mixed(rows):
     sizes = Counter()
     for r in rows:
@@ -64,8 +53,8 @@ def test_run(spark):
     last = {}
     for r in sorted(clean, key=lambda r: r["doc_id"]):
         last[r["text"]] = r
-    unlike = _near(sorted(last.values(), key=lambda r: r["doc_id"]))
-    mixed = Counter(_mixed(unlike))
+    unlike = _kept([(r["doc_id"], r["text"]) for r in last.values()])
+    mixed = Counter(_mixed([r for r in last.values() if r["doc_id"] in set(unlike)]))
     encoder, texts = bpe.Encoder(*bpe.vocabulary()), {r["doc_id"]: r["text"] for r in rows}
     got = corpus_pipeline.run(spark, SF_DIR).collect()
     assert Counter(r["doc_id"] for r in got) == mixed
