@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from lodeworks.llm import bpe, exact_dedup, language_model, licenses, mixing, simhash, token_files, toxicity, url_filter, winnowing
+from lodeworks.llm import (
+    bpe,
+    exact_dedup,
+    language_model,
+    licenses,
+    mixing,
+    simhash,
+    token_files,
+    toxicity,
+    turn_repair,
+    url_filter,
+    winnowing,
+)
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_log_bilinear": language_model.op8_log_bilinear,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_turn_repair": turn_repair.op13_turn_repair,
 }
 
 ORACLE = {
