@@ -9,6 +9,7 @@ from lodeworks.llm import (
     licenses,
     mixing,
     simhash,
+    token_counts,
     token_files,
     toxicity,
     turn_repair,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_log_bilinear": language_model.op8_log_bilinear,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_token_counts": token_counts.op12_token_counts,
     "op13_turn_repair": turn_repair.op13_turn_repair,
 }
 
