@@ -5,6 +5,7 @@ from __future__ import annotations
 from lodeworks.llm import (
     bpe,
     exact_dedup,
+    hard_negatives,
     language_model,
     licenses,
     mixing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_log_bilinear": language_model.op8_log_bilinear,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_token_counts": token_counts.op12_token_counts,
     "op13_turn_repair": turn_repair.op13_turn_repair,
 }
@@ -36,4 +38,5 @@ ORACLE = {
     "op1_license_scan": licenses.OP1_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
 }
