@@ -3,15 +3,19 @@
 The folder of a table is its truth, whatever session looks at it::
 
     <silver_root>/processed/<table>/snapshot-<time>-<id>/   a complete set of rows
-    <silver_root>/processed/<table>/delta-<time>-<id>/      partitions that replace those of the snapshot
-    <silver_root>/processed/<table>/_metadata/v<number>.json   schema, partition columns, snapshot, deltas
-
-The version with the highest number counts; it appears by one rename, after the rows it speaks of are
-complete. So a failure at any moment leaves the version before, and every session and every reader sees
-all of a change or nothing. Replaced folders stay for readers that still use them until `vacuum`.
-
-For Spark each state of a table that isn't a mere append is a catalog entry of its own, and the table's
-name is a view of the current one. A DataFrame read earlier keeps the entry, and the files, it was made from.
+    <silver_root>/processed/<table>/append-<time>-<id>/     rows that were added
+    <silver_root>/processed/<table>/delta-<time>-<id>/      partitions that replace those of all layers before
+    <silver_root>/processed/<table>/_metadata/v<number>.json   schema, partition columns, layers in order
+
+Every write puts its rows into a folder of its own, a layer, that nothing names yet; then a version that lists it
+appears by one rename. The version with the highest number counts. So a failure at any moment leaves the version
+before, a write that is tried again can't double rows, and every session and every reader sees all of a change
+or nothing. A version follows the one it was computed from: where another writer came between, appends are put on
+top of that, and all else is refused. Folders that aren't used any more stay for readers that still use them until `vacuum`.
+
+For Spark a table is a catalog entry with one more partition column, which holds the layer. A layer's partitions
+are added to it as they lie; the table's name is a view of the layers of the current version. A DataFrame
+read earlier keeps the layers, and the files, it was made from.
 """
 
 from __future__ import annotations
@@ -20,16 +24,17 @@ import json
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta, timezone
+from functools import cached_property
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BooleanType, NumericType, StringType, StructField, StructType
 
-from lodeworks.errors import DataError
+from lodeworks.errors import DataError, LakeError
 from lodeworks.functions.columns import all_of, named, quoted, spelled, spelled_as, sql_text
 from lodeworks.layout import LakeLayout, parse_partition_cols
 from lodeworks.operators.merge import matching_rows, merge, update_set
@@ -40,18 +45,27 @@ from lodeworks.storage import Folders
 
 _ENTRY = "__v"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Kinds of layers, by how their folders are called.
+_SNAPSHOT, _APPEND, _DELTA = "snapshot", "append", "delta"
+#: Runs that a version remembers, and versions whose files are kept, the current one included.
+RUNS, VERSIONS = 1000, 100
+#: Partitions that one statement adds.
+_ADDED = 500
 
 
 @dataclass(frozen=True)
 class _Version:
-    """One state of a table, as its metadata file has it. ``entry`` changes with all but appends."""
+    """One state of a table, as its metadata file has it. ``entry`` changes with all but appends.
+
+    ``runs`` has the rows of writes that were given a run id.
+    """
 
     number: int
     entry: str
-    snapshot: str
-    deltas: tuple[str, ...]
+    layers: tuple[str, ...]
     schema: StructType
     partition_columns: tuple[str, ...]
+    runs: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps({**self.__dict__, "schema": json.loads(self.schema.json())})
@@ -59,9 +73,19 @@ class _Version:
     @classmethod
     def of(cls, text: str) -> _Version:
         found = json.loads(text)
-        lists = {k: tuple(found[k]) for k in ("deltas", "partition_columns")}
+        if "snapshot" in found:  # as versions were written before appends had layers
+            found["layers"] = [found.pop("snapshot"), *found.pop("deltas")]
+        lists = {k: tuple(found[k]) for k in ("layers", "partition_columns")}
         return cls(**{**found, **lists, "schema": StructType.fromJson(found["schema"])})
 
+    @property
+    def layer_column(self) -> str:
+        """A name that no column has."""
+        name, have = "__layer", {n.lower() for n in self.schema.names}
+        while name in have:
+            name += "_"
+        return name
+
 
 @dataclass(frozen=True)
 class MergeResult:
@@ -73,12 +97,38 @@ class MergeResult:
     inserted: int
 
 
+@dataclass(frozen=True)
+class Written:
+    """What an earlier write of the same run has written; looks like an observation."""
+
+    rows: int
+
+    @cached_property
+    def get(self) -> dict[str, int]:
+        return {"rows": self.rows}
+
+
 def _column_or_null(df: DataFrame, field: StructField) -> Column:
     if field.name in df.columns:
         return named(field.name)
     return F.lit(None).cast(field.dataType).alias(field.name)
 
 
+def _stored_as(df: DataFrame, field: StructField) -> Column:
+    """The column of ``df`` as the table stores it: null if it lacks it, cast where values can't change their meaning."""
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    have, want = df.schema[field.name].dataType, field.dataType
+    if have == want:
+        return named(field.name)
+    text, logic = StringType, BooleanType
+    if (isinstance(have, text) and not isinstance(want, text)) or isinstance(want, logic) != isinstance(have, logic) and (
+        isinstance(want, (logic, NumericType)) and isinstance(have, (logic, NumericType))
+    ):
+        raise DataError(f"Column {field.name} is {want.simpleString()}, not {have.simpleString()}", source="tables")
+    return named(field.name).cast(want).alias(field.name)
+
+
 class TableStore:
     """The tables of one layout."""
 
@@ -86,6 +136,8 @@ class TableStore:
         self.spark = spark
         self.layout = layout
         self.folders = Folders(spark)
+        #: The version last read of each table, and the one its catalog entry was last brought up to.
+        self._read: dict[str, _Version] = {}
         self._known: dict[str, _Version] = {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(layout.database)} LOCATION {sql_text(layout.database_path)}")
 
@@ -109,141 +161,185 @@ class TableStore:
         return self.spark.catalog.tableExists(self._id(name))
 
     def _stored(self, table: str) -> _Version | None:
-        """The current version on storage."""
+        """The current version on storage, by one listing."""
         home = self.layout.metadata_path(table)
         numbers = [f for f in self.folders.files(home) if f.startswith("v") and f.endswith(".json")]
         if not numbers:
             return None
-        known = self._known.get(table)
-        if known is not None and numbers[-1] == _file_name(known.number):
-            return known
-        return _Version.of(self.spark.read.text(f"{home}/{numbers[-1]}", wholetext=True).first()[0])
-
-    def _current(self, table: str) -> str | None:
-        """The catalog entry of the table as storage has it now, made or brought up to date if need be.
-
-        A table that only the catalog knows is its own entry; None when there is none either.
-        """
-        stored = self._stored(table)
-        if stored is None:
-            self._known.pop(table, None)
-            return table if self._is_foreign(table) else None
-        entry = f"{table}{_ENTRY}{stored.entry}"
-        if self._known.get(table) == stored and self._in_catalog(entry):
+        read = self._read.get(table)
+        if read is None or numbers[-1] != _file_name(read.number):
+            read = self._read[table] = _Version.of(self.folders.read_text(f"{home}/{numbers[-1]}"))
+        return read
+
+    def _entry(self, table: str, version: _Version) -> str:
+        return f"{table}{_ENTRY}{version.entry}"
+
+    def _attach(self, table: str, version: _Version) -> str:
+        """The catalog entry of ``version``, made or brought up to date if need be, and the view that shows it."""
+        entry, known = self._entry(table, version), self._known.get(table)
+        if known == version and self._in_catalog(entry):
             return entry
         with self._reporting(table, "attach"):
+            registered: tuple[str, ...] = ()
             if self._in_catalog(entry):
                 have = self.spark.table(self._id(entry)).columns
-                fresh = [f for f in stored.schema if f.name not in have]
+                fresh = [f for f in version.schema if f.name not in have]
                 if fresh:
                     self.spark.sql(f"ALTER TABLE {self._id(entry)} ADD COLUMNS ({StructType(fresh).toDDL()})")
+                if known is not None and known.entry == version.entry:
+                    registered = known.layers
             else:
-                parts = ", ".join(map(quoted, stored.partition_columns))
+                data = [f for f in version.schema if f.name not in version.partition_columns]
+                parts = [version.schema[p] for p in version.partition_columns]
+                columns = StructType([*data, StructField(version.layer_column, StringType()), *parts])
+                names = ", ".join(map(quoted, (version.layer_column, *version.partition_columns)))
                 self.spark.sql(
-                    f"CREATE TABLE {self._id(entry)} ({stored.schema.toDDL()}) USING {self.layout.table_format} "
-                    + (f"PARTITIONED BY ({parts}) " if parts else "")
-                    + f"LOCATION {sql_text(f'{self.layout.table_path(table)}/{stored.snapshot}')}"
+                    f"CREATE TABLE {self._id(entry)} ({columns.toDDL()}) USING {self.layout.table_format} "
+                    f"PARTITIONED BY ({names}) LOCATION {sql_text(self.layout.table_path(table))}"
                 )
-            if stored.partition_columns:
-                self.spark.sql(f"ALTER TABLE {self._id(entry)} RECOVER PARTITIONS")
-                for delta in stored.deltas:
-                    self._point(entry, f"{self.layout.table_path(table)}/{delta}", len(stored.partition_columns))
+            self._register(table, version, entry, [x for x in version.layers if x not in registered])
             self.spark.catalog.refreshTable(self._id(entry))
-            self._show(table, entry)
-        self._known[table] = stored
+            self._show(table, version)
+        self._known[table] = version
         return entry
 
+    def _register(self, table: str, version: _Version, entry: str, layers: Sequence[str]) -> None:
+        """Add the partitions of layers to the entry, but for those that a later delta replaces."""
+        depth, home, specs = len(version.partition_columns), self.layout.table_path(table), []
+        hidden: set[str] = set()
+        for layer in reversed(version.layers):
+            if layer in layers or (layer.startswith(_DELTA) and layers):
+                found = self._partition_folders(f"{home}/{layer}", depth)
+                if layer in layers:
+                    specs += [(layer, f) for f in found if f not in hidden]
+                if layer.startswith(_DELTA):
+                    hidden |= set(found)
+        column = quoted(version.layer_column)
+        for at in range(0, len(specs), _ADDED):
+            added = " ".join(
+                f"PARTITION ({column} = {sql_text(layer)}{', ' + _spec(f) if f else ''}) "
+                f"LOCATION {sql_text(f'{home}/{layer}/{f}'.rstrip('/'))}"
+                for layer, f in specs[at : at + _ADDED]
+            )
+            self.spark.sql(f"ALTER TABLE {self._id(entry)} ADD IF NOT EXISTS {added}")
+
+    def _partition_folders(self, folder: str, depth: int) -> list[str]:
+        """The folders of partitions below a layer, such as ``a=1/b=x``."""
+        found = [""]
+        for _ in range(depth):
+            found = [f"{f}/{c}".lstrip("/") for f in found for c in self.folders.children(f"{folder}/{f}") if "=" in c]
+        return found
+
     def _is_foreign(self, table: str) -> bool:
         """Whether the catalog has a table of this name itself, not a view that this class has made."""
         return any(t.name == table.lower() and not t.isTemporary and t.tableType != "VIEW" for t in self._listed())
 
-    def _show(self, table: str, entry: str) -> None:
-        """Make the table's name a view of ``entry``. Files of a table the catalog had by this name stay."""
+    def _show(self, table: str, version: _Version) -> None:
+        """Make the table's name a view of a version. Files of a table the catalog had by this name stay."""
         if self._is_foreign(table):
             self.spark.sql(f"DROP TABLE {self._id(table)}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT * FROM {self._id(entry)}")
-
-    def _point(self, entry: str, delta: str, depth: int) -> None:
-        """Let the partitions that ``delta`` has folders of be read from there."""
-        found = [""]
-        for _ in range(depth):
-            found = [f"{f}/{c}".lstrip("/") for f in found for c in self.folders.children(f"{delta}/{f}") if "=" in c]
-        have = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self._id(entry)}").collect()}
-        fresh = [f for f in found if f not in have]
-        if fresh:
-            added = " ".join(f"PARTITION ({_spec(f)}) LOCATION {sql_text(f'{delta}/{f}')}" for f in fresh)
-            self.spark.sql(f"ALTER TABLE {self._id(entry)} ADD IF NOT EXISTS {added}")
-        for f in found:
-            if f in have:
-                at = sql_text(f"{delta}/{f}")
-                self.spark.sql(f"ALTER TABLE {self._id(entry)} PARTITION ({_spec(f)}) SET LOCATION {at}")
+        columns = ", ".join(map(quoted, version.schema.names))
+        layers = ", ".join(map(sql_text, version.layers))
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {columns} FROM {self._id(self._entry(table, version))} "
+            f"WHERE {quoted(version.layer_column)} IN ({layers})"
+        )
 
-    def _commit(
-        self,
-        table: str,
-        entry: str,
-        snapshot: str,
-        deltas: Sequence[str],
-        schema: StructType,
-        parts: Sequence[str],
-    ) -> None:
-        """The next version; from here on it is the table."""
-        last = self._stored(table)
-        version = _Version(last.number + 1 if last else 1, entry, snapshot, tuple(deltas), schema, tuple(parts))
-        self.folders.write_text(f"{self.layout.metadata_path(table)}/{_file_name(version.number)}", version.to_json())
-        if last is not None and self._known.get(table) == last and last.entry == entry:
-            self._known[table] = version  # this session's entry has what was appended through it
-        self._current(table)
-
-    def _entry(self, table: str) -> str:
-        """The identifier of the table's current entry; an unknown table fails as Spark reports it."""
-        return self._id(self._current(table) or table)
+    def _rows(self, table: str, version: _Version | None) -> DataFrame:
+        """All rows of a version; an unknown table fails as Spark reports it."""
+        if version is None:
+            return self.spark.table(self._id(table))
+        rows = self.spark.table(self._id(self._attach(table, version)))
+        rows = rows.filter(named(version.layer_column).isin(*version.layers))
+        return rows.select(*[named(c) for c in version.schema.names])
+
+    def _commit(self, table: str, base: _Version | None, version: _Version) -> _Version:
+        """Make ``version`` the one that follows ``base``; from here on it is the table."""
+        version = replace(version, number=base.number + 1 if base else 1)
+        home = self.layout.metadata_path(table)
+        self.folders.write_text(f"{home}/{_file_name(version.number)}", version.to_json())
+        self._read[table] = version
+        if version.number > VERSIONS:
+            self.folders.remove(f"{home}/{_file_name(version.number - VERSIONS)}")
+        self._attach(table, version)
+        return version
+
+    def _commit_alone(self, table: str, base: _Version | None, version: _Version) -> _Version:
+        """`_commit`, refused where another writer has changed the table since ``base``."""
+        try:
+            if (now := self._stored(table)) != base and (now and now.number) != (base and base.number):
+                raise LakeError("a newer version is there")
+            return self._commit(table, base, version)
+        except LakeError as e:
+            if isinstance(e, DataError):
+                raise
+            raise DataError(
+                f"Table {table} was changed by another writer; nothing was written", source="tables", table=table
+            ) from e
 
     def exists(self, table: str) -> bool:
         """On storage, or known to the catalog alone."""
-        return self._current(table) is not None
+        return self._stored(table) is not None or self._is_foreign(table)
 
     def _listed(self):
         return self.spark.catalog.listTables(quoted(self.layout.database))
 
     def names(self) -> list[str]:
-        """The names of all tables of the layout, whichever session wrote them."""
+        """The names of all tables of the layout, whichever session wrote them; only metadata is looked at."""
         home = self.layout.database_path.rstrip("/")
-        stored = [t for t in self.folders.children(home) if self._current(t) is not None]
+        stored = {t for t in self.folders.children(home) if self._stored(t) is not None}
+        lower = {t.lower() for t in stored}
         listed = [t.name for t in self._listed() if not t.isTemporary and t.tableType != "VIEW" and _ENTRY not in t.name]
-        return sorted({*stored, *[t for t in listed if self._stored(t) is None]})
+        return sorted({*stored, *[t for t in listed if t not in lower]})
 
     def listing(self) -> DataFrame:
         """T6 as rows (U2: names are distinct)."""
         return self.spark.createDataFrame([(n,) for n in self.names()], "table_name string")
 
+    def _schema(self, table: str, version: _Version | None) -> StructType:
+        return version.schema if version else self.spark.table(self._id(table)).schema
+
     def schema(self, table: str) -> StructType:
         """T3."""
         with self._reporting(table, "get the schema of"):
-            return self.spark.table(self._entry(table)).schema
+            return self._schema(table, self._stored(table))
 
     def schema_rows(self, table: str) -> DataFrame:
         """T3 as rows: ``position, name, type, nullable, is_partition``."""
-        parts = set(self.partition_columns(table))
+        with self._reporting(table, "get the schema of"):
+            version = self._stored(table)
+            schema, parts = self._schema(table, version), set(self._parts(table, version))
         rows = [
-            (i, f.name, f.dataType.simpleString(), f.nullable, f.name in parts)
-            for i, f in enumerate(self.schema(table).fields, start=1)
+            (i, f.name, f.dataType.simpleString(), f.nullable, f.name in parts) for i, f in enumerate(schema.fields, start=1)
         ]
         return self.spark.createDataFrame(
             rows, "position int, name string, type string, nullable boolean, is_partition boolean"
         )
 
+    def _parts(self, table: str, version: _Version | None) -> list[str]:
+        if version is not None:
+            return list(version.partition_columns)
+        return [c.name for c in self.spark.catalog.listColumns(self._id(table)) if c.isPartition]
+
     def partition_columns(self, table: str) -> list[str]:
         with self._reporting(table, "get the partition columns of"):
-            return [c.name for c in self.spark.catalog.listColumns(self._entry(table)) if c.isPartition]
+            return self._parts(table, self._stored(table))
 
     def location(self, table: str) -> str:
         """The folder of the current snapshot."""
         with self._reporting(table, "locate"):
-            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._entry(table)}")
+            version = self._stored(table)
+            if version is not None:
+                return f"{self.layout.table_path(table)}/{version.layers[0]}"
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(table)}")
             # A column may have this name too; the table's own details come last.
             return described.filter("col_name = 'Location'").collect()[-1]["data_type"]
 
+    def layers(self, table: str) -> list[str]:
+        """The folders that the current version is made of, in order."""
+        version = self._stored(table)
+        return list(version.layers) if version else []
+
     # -- reading -----------------------------------------------------------------------
 
     def read(
@@ -255,23 +351,25 @@ class TableStore:
     ) -> DataFrame:
         """T5, S12."""
         with self._reporting(table, "read from"):
-            return scan(self.spark.table(self._entry(table)), columns, predicate, limit)
+            return scan(self._rows(table, self._stored(table)), columns, predicate, limit)
 
-    def _files(self, table: str) -> DataFrame:
+    def _files(self, table: str, version: _Version | None, parts: Sequence[str]) -> DataFrame:
         """A row per file that holds rows: partition values, ``__file``, ``__bytes`` and ``__rows``.
 
         Only partition values and file names are read; rows are counted from file footers.
         """
-        keys = [named(c) for c in self.partition_columns(table)]
         file = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__bytes")]
-        return self.read(table).groupBy(*keys, *file).agg(F.count(F.lit(1)).alias("__rows"))
+        rows = self._rows(table, version)
+        return rows.groupBy(*[named(c) for c in parts], *file).agg(F.count(F.lit(1)).alias("__rows"))
 
     def partitions(self, table: str) -> DataFrame:
         """A3: one row per partition with ``row_count`` and ``file_count``, combined per file before the shuffle."""
-        keys = [named(c) for c in self.partition_columns(table)]
-        return self._files(table).groupBy(*keys).agg(
-            F.sum("__rows").alias("row_count"), F.count(F.lit(1)).alias("file_count")
-        )
+        with self._reporting(table, "get the partitions of"):
+            version = self._stored(table)
+            parts = self._parts(table, version)
+            return self._files(table, version, parts).groupBy(*[named(c) for c in parts]).agg(
+                F.sum("__rows").alias("row_count"), F.count(F.lit(1)).alias("file_count")
+            )
 
     def stats(self, table: str) -> DataFrame:
         """A2: one row of table statistics.
@@ -279,8 +377,11 @@ class TableStore:
         Partition values themselves come from `partitions`, as rows: a table may have too many
         of them for one cell.
         """
-        parts = self.partition_columns(table)
-        per_part = self._files(table).groupBy(*[named(c) for c in parts]).agg(
+        with self._reporting(table, "get statistics of"):
+            version = self._stored(table)
+            parts, columns = self._parts(table, version), self._schema(table, version).names
+            files = self._files(table, version, parts)
+        per_part = files.groupBy(*[named(c) for c in parts]).agg(
             F.sum("__rows").alias("r"), F.sum("__bytes").alias("b"), F.count(F.lit(1)).alias("f")
         )
         totals = per_part.agg(
@@ -289,7 +390,6 @@ class TableStore:
             F.coalesce(F.sum("f"), F.lit(0)).alias("file_count"),
             (F.count(F.lit(1)) if parts else F.lit(0).cast("long")).alias("partition_count"),
         )
-        columns = self.schema(table).names
         return totals.select(
             F.lit(table).alias("table_name"),
             F.lit(self.layout.table_path(table)).alias("table_path"),
@@ -317,7 +417,8 @@ class TableStore:
         if schema is None:
             self.folders.make(self.layout.table_path(table))
         else:
-            self._replace(table, self.spark.createDataFrame([], schema), self._partitioning(partition_cols), False)
+            empty = self.spark.createDataFrame([], schema)
+            self._replace(table, self._stored(table), empty, self._partitioning(partition_cols), False)
         return self.layout.table_path(table)
 
     def write(
@@ -328,64 +429,94 @@ class TableStore:
         mode: str = "append",
         schema: StructType | str | None = None,
         cluster: bool = True,
-    ) -> Observation:
+        run_id: str | None = None,
+    ) -> Observation | Written:
         """T4, K8: append or overwrite; the returned observation holds the row count.
 
         A missing table is created, with ``schema`` if given. ``cluster=False`` skips the
-        rebalance shuffle for rows already grouped by partition.
+        rebalance shuffle for rows already grouped by partition. A write with a ``run_id`` that
+        the table has already seen, of the last `RUNS` such, does nothing: a job that is tried
+        again can't write its rows twice.
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"Unsupported write mode: {mode}")
-        exists = self.exists(table)
-        if not exists and schema is not None:
+        version = self._stored(table)
+        if version is not None and run_id in version.runs:
+            return Written(version.runs[run_id])
+        if version is None and mode == "append" and self._is_foreign(table):
+            with self._reporting(table, "write to"):
+                return self._insert(table, df, cluster)
+        if version is None and schema is not None:
             self.create(table, schema, partition_cols)
-            exists = True
+            version = self._stored(table)
         with self._reporting(table, "write to"):
-            if exists and mode == "append":
-                return self._append(table, df, cluster)
-            if partition_cols is None and exists:
-                parts = self.partition_columns(table)
+            if version is not None and mode == "append":
+                return self._append(table, version, df, cluster, run_id)
+            if partition_cols is None and self.exists(table):
+                parts = self._parts(table, version)
             else:
                 parts = self._partitioning(partition_cols)
-            return self._replace(table, df, parts, cluster)
+            return self._replace(table, version, df, parts, cluster, run_id)
 
-    def append(self, table: str, df: DataFrame, partition_cols=None, **kwargs) -> Observation:
+    def written(self, table: str, run_id: str) -> int | None:
+        """The rows that a write of this run has put into the table; None if there was none."""
+        version = self._stored(table)
+        return version.runs.get(run_id) if version else None
+
+    def append(self, table: str, df: DataFrame, partition_cols=None, **kwargs) -> Observation | Written:
         """K10."""
         return self.write(table, df, partition_cols, "append", **kwargs)
 
-    def overwrite(self, table: str, df: DataFrame, partition_cols=None, **kwargs) -> Observation:
+    def overwrite(self, table: str, df: DataFrame, partition_cols=None, **kwargs) -> Observation | Written:
         """K11; ``df`` may read the table being replaced."""
         return self.write(table, df, partition_cols, "overwrite", **kwargs)
 
-    def _widen(self, table: str, df: DataFrame) -> tuple[StructType, DataFrame]:
-        """The table's schema with the columns only ``df`` has, and ``df`` in this order of columns."""
-        have = self.schema(table)
+    @staticmethod
+    def _widened(schema: StructType, parts: Sequence[str], df: DataFrame) -> StructType:
+        """``schema`` with the columns that only ``df`` has, partition columns last."""
+        fresh = [StructField(f.name, f.dataType) for f in df.schema if f.name not in schema.names]
+        return StructType([f for f in schema if f.name not in parts] + fresh + [schema[p] for p in parts])
+
+    def _insert(self, table: str, df: DataFrame, cluster: bool) -> Observation:
+        """Append to a table that only the catalog knows; its rows are Spark's to place."""
+        have = self.spark.table(self._id(table)).schema
+        parts = self._parts(table, None)
         df = spelled_as(df, have.names)
-        parts = self.partition_columns(table)
-        fresh = [StructField(f.name, f.dataType) for f in df.schema if f.name not in have.names]
-        wide = StructType([f for f in have if f.name not in parts] + fresh + [f for f in have if f.name in parts])
-        return wide, df.select(*[_column_or_null(df, f) for f in wide])
-
-    def _append(self, table: str, df: DataFrame, cluster: bool) -> Observation:
-        schema, aligned = self._widen(table, df)  # insertInto goes by position
-        parts = self.partition_columns(table)
-        entry, stored = self._entry(table), self._stored(table)
-        fresh = schema.fieldNames() != self.schema(table).fieldNames()
-        if fresh:
-            have = self.schema(table).names
-            added = StructType([f for f in schema if f.name not in have])
-            self.spark.sql(f"ALTER TABLE {entry} ADD COLUMNS ({added.toDDL()})")
-            if stored is not None:
-                self._show(table, f"{table}{_ENTRY}{stored.entry}")
-        if cluster:
-            aligned = cluster_for(aligned, parts)
-        aligned, seen = observed_rows(aligned)
-        aligned.write.insertInto(entry)
-        if stored is not None:
-            # Tells other sessions of new columns, partitions and files.
-            self._commit(table, stored.entry, stored.snapshot, stored.deltas, schema, parts)
+        wide = self._widened(have, parts, df)
+        added = StructType([f for f in wide if f.name not in have.names])
+        if added:
+            self.spark.sql(f"ALTER TABLE {self._id(table)} ADD COLUMNS ({added.toDDL()})")
+        aligned = df.select(*[_column_or_null(df, f) for f in wide])  # insertInto goes by position
+        aligned, seen = observed_rows(cluster_for(aligned, parts) if cluster else aligned)
+        aligned.write.insertInto(self._id(table))
         return seen
 
+    def _append(self, table: str, version: _Version, df: DataFrame, cluster: bool, run_id: str | None) -> Observation | Written:
+        df = spelled_as(df, version.schema.names)
+        parts, wide = version.partition_columns, self._widened(version.schema, version.partition_columns, df)
+        aligned = df.select(*[_stored_as(df, f) for f in wide])
+        if cluster:
+            aligned = cluster_for(aligned, list(parts))
+        layer, _ = self._folder(_APPEND)
+        seen = self._write(aligned, parts, f"{self.layout.table_path(table)}/{layer}")
+        while True:
+            # Whatever came between, the rows of a layer of their own can go on top.
+            now = self._stored(table)
+            if now is not None and run_id in now.runs:
+                self.folders.remove(f"{self.layout.table_path(table)}/{layer}")
+                return Written(now.runs[run_id])
+            have = {f.name: f.dataType for f in now.schema} if now else {}
+            if now is None or now.partition_columns != parts or any(have.get(f.name, f.dataType) != f.dataType for f in wide):
+                raise DataError(f"Table {table} was given another form by another writer", source="tables", table=table)
+            schema = self._widened(now.schema, parts, aligned)
+            following = replace(now, layers=(*now.layers, layer), schema=schema, runs=_with_run(now, run_id, seen))
+            try:
+                self._commit(table, now, following)
+                return seen
+            except LakeError as e:
+                if isinstance(e, DataError) or self._stored(table) == now:
+                    raise
+
     def _folder(self, kind: str) -> tuple[str, str]:
         """Names of a new folder and of an entry that goes with it."""
         token = uuid.uuid4().hex[:8]
@@ -403,29 +534,76 @@ class TableStore:
             raise
         return seen
 
-    def _replace(self, table: str, df: DataFrame, partition_cols: list[str], cluster: bool) -> Observation:
+    def _replace(
+        self,
+        table: str,
+        base: _Version | None,
+        df: DataFrame,
+        partition_cols: Sequence[str],
+        cluster: bool,
+        run_id: str | None = None,
+    ) -> Observation:
+        """A new snapshot in place of all layers of ``base``."""
         parts = spelled(partition_cols, df.columns)
         df = df.select(*[named(c) for c in df.columns if c not in parts], *[named(c) for c in parts])
         schema = StructType([StructField(f.name, f.dataType) for f in df.schema])
         if cluster:
             df = cluster_for(df, parts)
-        snapshot, token = self._folder("snapshot")
+        snapshot, token = self._folder(_SNAPSHOT)
         seen = self._write(df, parts, f"{self.layout.table_path(table)}/{snapshot}")
-        self._commit(table, token, snapshot, (), schema, parts)
+        runs = _with_run(base, run_id, seen)
+        self._commit_alone(table, base, _Version(0, token, (snapshot,), schema, tuple(parts), runs))
         return seen
 
+    def compact(self, table: str, whole: bool = False) -> list[str]:
+        """Fold layers into fewer, larger files; returns the folders that the table no longer uses.
+
+        Appends that no delta follows become one layer, at the cost of their rows alone. ``whole`` folds all layers
+        into a new snapshot. Adaptive execution sizes the files. Readers keep the old layers until `vacuum`; appends
+        that come meanwhile stay, and any other change refuses the fold.
+        """
+        self._require(table, "The")
+        version = self._stored(table)
+        if version is None:
+            raise DataError(f"Table {table} isn't one of this layout's", source="tables", table=table)
+        first = len(version.layers)
+        while first and version.layers[first - 1].startswith(_APPEND):
+            first -= 1
+        first = 0 if whole else first
+        folded = version.layers[first:]
+        if len(folded) < 2:
+            return []
+        with self._reporting(table, "compact"):
+            rows = self.spark.table(self._id(self._attach(table, version)))
+            rows = rows.filter(named(version.layer_column).isin(*folded)).select(*[named(c) for c in version.schema.names])
+            layer, token = self._folder(_APPEND if first else _SNAPSHOT)
+            parts = list(version.partition_columns)
+            grouped = cluster_for(rows, parts) if parts else rows.hint("rebalance")
+            self._write(grouped, parts, f"{self.layout.table_path(table)}/{layer}")
+            while True:
+                now = self._stored(table)
+                if now is None or now.layers[: len(version.layers)] != version.layers:
+                    raise DataError(f"Table {table} was changed by another writer", source="tables", table=table)
+                layers = (*version.layers[:first], layer, *now.layers[len(version.layers) :])
+                try:
+                    self._commit(table, now, replace(now, entry=token, layers=layers))
+                    return list(folded)
+                except LakeError as e:
+                    if isinstance(e, DataError) or self._stored(table) == now:
+                        raise
+
     def vacuum(self, table: str, older_than: timedelta = timedelta(days=7)) -> list[str]:
         """Remove what the current version doesn't use and is older than that; returns the folders' names.
 
-        These are replaced snapshots and deltas and what unfinished writes have left. Data that lies elsewhere
+        These are replaced layers and what unfinished writes have left. Data that lies elsewhere
         is not this library's to remove. Readers and writers that are older than ``older_than`` must be done.
         """
         stored, home = self._stored(table), self.layout.table_path(table)
         limit = (datetime.now(timezone.utc) - older_than).strftime(_STAMP)
-        used = {stored.snapshot, *stored.deltas} if stored else set()
+        used = set(stored.layers) if stored else set()
         gone = [
             f for f in self.folders.children(home)
-            if f.split("-")[0] in ("snapshot", "delta") and f not in used and f.split("-")[1] < limit
+            if f.split("-")[0] in (_SNAPSHOT, _APPEND, _DELTA) and f not in used and f.split("-")[1] < limit
         ]
         for folder in gone:
             self.folders.remove(f"{home}/{folder}")
@@ -433,10 +611,10 @@ class TableStore:
         for file in self.folders.files(self.layout.metadata_path(table)):
             if gone and (file < last or file.endswith(".tmp")):
                 self.folders.remove(f"{self.layout.metadata_path(table)}/{file}")
-        for t in self._listed() if stored else ():
-            if t.name.startswith(f"{table}{_ENTRY}".lower()) and not t.name.endswith(f"{_ENTRY}{stored.entry}"):
-                where = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(t.name)}").filter("col_name = 'Location'")
-                if where.collect()[-1]["data_type"].rstrip("/").rsplit("/", 1)[-1] in gone:
+        if gone and stored:
+            # Entries of earlier states show layers that are gone.
+            for t in self._listed():
+                if t.name.startswith(f"{table}{_ENTRY}".lower()) and not t.name.endswith(f"{_ENTRY}{stored.entry}"):
                     self.spark.sql(f"DROP TABLE IF EXISTS {self._id(t.name)}")
         return gone
 
@@ -446,6 +624,7 @@ class TableStore:
             if t.name == table.lower() or t.name.startswith(f"{table}{_ENTRY}".lower()):
                 self.spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} {self._id(t.name)}")
         self._known.pop(table, None)
+        self._read.pop(table, None)
         self.folders.remove(self.layout.table_path(table))
 
     def copy(self, source: str, dest: str, overwrite: bool = False) -> str:
@@ -480,20 +659,21 @@ class TableStore:
         """
         self._require(source, "Source")
         self._require(dest, "Destination")
-        incoming, current = self.read(source), self.read(dest)
-        offered = incoming.count()
-        parts = self.partition_columns(dest)
-        moves = set(parts) & set(update_set(incoming, current, keys, update_columns, order_by))
+        version = self._stored(dest)
         with self._reporting(dest, "merge into"):
+            incoming, current = self.read(source), self._rows(dest, version)
+            offered = incoming.count()
+            parts = self._parts(dest, version)
+            moves = set(parts) & set(update_set(incoming, current, keys, update_columns, order_by))
             whole = not touched_only or not parts or bool(moves)
             if not whole:
                 current = current.filter(self._in_touched(incoming, current, keys, parts))
             merged = merge(incoming, current, keys, update_columns, order_by, parts)
             before = current.count()
             if whole:
-                after = self._replace(dest, merged, parts, cluster=False).get["rows"]
+                after = self._replace(dest, version, merged, parts, cluster=False).get["rows"]
             else:
-                after = self._replace_partitions(dest, merged, parts).get["rows"]
+                after = self._replace_partitions(dest, version, merged).get["rows"]
         inserted = after - before
         return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
 
@@ -519,16 +699,17 @@ class TableStore:
         ]
         return F.struct(*[named(p) for p in parts]).isin(specs) if specs else F.lit(False)
 
-    def _replace_partitions(self, table: str, df: DataFrame, parts: list[str]) -> Observation:
+    def _replace_partitions(self, table: str, base: _Version | None, df: DataFrame) -> Observation:
         """Put the partitions that ``df`` has rows of in place of those the table has."""
-        schema, df = self._widen(table, df)
-        stored = self._stored(table)
-        if stored is None:
+        if base is None:
             raise DataError(f"Table {table} isn't one of this layout's", source="tables", table=table)
-        delta, token = self._folder("delta")
-        seen = self._write(df, parts, f"{self.layout.table_path(table)}/{delta}")
+        parts = base.partition_columns
+        schema = self._widened(base.schema, parts, df)
+        delta, token = self._folder(_DELTA)
+        rows = df.select(*[_column_or_null(df, f) for f in schema])
+        seen = self._write(rows, parts, f"{self.layout.table_path(table)}/{delta}")
         if seen.get["rows"]:
-            self._commit(table, token, stored.snapshot, (*stored.deltas, delta), schema, parts)
+            self._commit_alone(table, base, replace(base, entry=token, layers=(*base.layers, delta), schema=schema))
         return seen
 
     def attach(self, table: str, schema: StructType | None = None, partition_cols: Sequence[str] = ()) -> None:
@@ -537,7 +718,10 @@ class TableStore:
         A folder of files without metadata becomes a table by this call: its newest complete snapshot, with
         ``schema`` and ``partition_cols`` where folder names alone cannot tell types.
         """
-        if self._current(table) is not None:
+        version = self._stored(table)
+        if version is not None:
+            self._attach(table, version)
+        if version is not None or self._is_foreign(table):
             return
         home = self.layout.table_path(table)
         done = [s for s in self.folders.children(home) if self.folders.exists(f"{home}/{s}/_SUCCESS")]
@@ -555,7 +739,7 @@ class TableStore:
         schema = schema or found
         parts = [f for f in schema if f.name in partition_cols]
         schema = StructType([f for f in schema if f.name not in partition_cols] + parts)
-        self._commit(table, uuid.uuid4().hex[:8], snapshots[-1], (), schema, partition_cols)
+        self._commit_alone(table, None, _Version(0, uuid.uuid4().hex[:8], (snapshots[-1],), schema, tuple(partition_cols)))
 
     def attach_all(self) -> list[str]:
         """`attach` every table folder of the layout that the catalog does not show; returns their names."""
@@ -574,6 +758,14 @@ class TableStore:
 _STAMP = "%Y%m%dT%H%M%S%f"
 
 
+def _with_run(base: _Version | None, run_id: str | None, seen: Observation) -> dict[str, int]:
+    """The runs of ``base``, the oldest forgotten if there are too many, and this one."""
+    runs = dict(base.runs) if base else {}
+    if run_id is not None:
+        runs[run_id] = seen.get["rows"]
+    return dict(list(runs.items())[-RUNS:])
+
+
 def _file_name(number: int) -> str:
     return f"v{number:012d}.json"
 

@@ -7,6 +7,7 @@ its source just to count it.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field, replace
@@ -66,6 +67,8 @@ class SilverJob:
     ``stage=True`` writes the stamped rows to the shared work folder once and splits from
     there. Use it when ``transforms`` are not repeatable, or far dearer than writing the rows.
     ``cluster=False`` skips the shuffle by partition, for a bronze layer with the same partitions.
+    ``run_id`` names the piece of work, whoever tries it: a run that finds its id done does nothing, one
+    that finds half of it does the other half over.
     """
 
     source_path: str
@@ -82,6 +85,7 @@ class SilverJob:
     stage: bool = False
     cluster: bool = True
     run_ts: datetime | str | None = None
+    run_id: str | None = None
     job_name: str = "silver_process"
 
 
@@ -183,31 +187,76 @@ def process_silver(
         width = len(source.columns)
         df = stamp_silver(source, job.source_label or job.source_path, job.run_ts or pinned_now())
         df = apply_transforms(df, job.transforms)
-        if not _checks_wanted(job.quality_checks):
-            total = store.write(job.table, df, job.partition_cols, job.mode, cluster=job.cluster).get["rows"]
-            run.audit = run.audit.succeeded(
-                rows_read=_rows_read(source, job.transforms, total), column_count=width, rows_written=total
-            )
-            return run.audit
-        with _staged(spark, df) if job.stage else nullcontext(df) as rows:
-            invalid, n_invalid = quality.invalid_rows(rows, job.rules), 0
-            if not invalid.select(F.lit(1)).isEmpty():
-                n_invalid = write_quarantine(invalid, layout, job.table)
-            good = quality.valid_rows(rows, job.rules)
-            n_valid = store.write(job.table, good, job.partition_cols, job.mode, cluster=job.cluster).get["rows"]
+        checked = _checks_wanted(job.quality_checks)
+        done = store.written(job.table, job.run_id) if job.run_id is not None else None
+        if done is not None:
+            n_invalid = quarantined(spark, layout, job.table, job.run_id) if checked else 0
+        elif not checked:
+            done, n_invalid = _write_silver(store, job, df), 0
+        else:
+            with _staged(spark, df) if job.stage else nullcontext(df) as rows:
+                invalid, n_invalid = quality.invalid_rows(rows, job.rules), 0
+                if job.run_id is not None:
+                    _clear_quarantine(spark, layout, job.table, job.run_id)
+                if not invalid.select(F.lit(1)).isEmpty():
+                    n_invalid = write_quarantine(invalid, layout, job.table, job.run_id)
+                done = _write_silver(store, job, quality.valid_rows(rows, job.rules))
         run.audit = run.audit.succeeded(
-            rows_read=_rows_read(source, job.transforms, n_valid + n_invalid),
+            rows_read=_rows_read(source, job.transforms, done + n_invalid),
             column_count=width,
-            rows_written=n_valid,
-            rows_valid=n_valid,
-            rows_invalid=n_invalid,
+            rows_written=done,
+            **({"rows_valid": done, "rows_invalid": n_invalid} if checked else {}),
         )
     return run.audit
 
 
-def write_quarantine(invalid: DataFrame, layout: LakeLayout, table: str) -> int:
-    """K9: append rows to the table's quarantine; returns how many."""
-    return write_dataset(invalid, layout.quarantine_path(table), "parquet").get["rows"]
+def _write_silver(store: TableStore, job: SilverJob, rows: DataFrame) -> int:
+    seen = store.write(job.table, rows, job.partition_cols, job.mode, cluster=job.cluster, run_id=job.run_id)
+    return seen.get["rows"]
+
+
+def _run_mark(run_id: str) -> str:
+    """What the names of a run's quarantine files begin with, whatever the id is made of."""
+    return f"run-{hashlib.sha256(run_id.encode()).hexdigest()[:32]}-"
+
+
+def _run_files(spark: SparkSession, layout: LakeLayout, table: str, run_id: str) -> list[str]:
+    home, mark = layout.quarantine_path(table), _run_mark(run_id)
+    return [f"{home}/{name}" for name in Folders(spark).files(home) if name.startswith(mark)]
+
+
+def _clear_quarantine(spark: SparkSession, layout: LakeLayout, table: str, run_id: str) -> None:
+    """Take back what an unfinished try of this run has left."""
+    folders = Folders(spark)
+    for path in _run_files(spark, layout, table, run_id):
+        folders.remove(path)
+    stage = f"{layout.quarantine_path(table)}/_{_run_mark(run_id)}"
+    if folders.exists(stage):
+        folders.remove(stage)
+
+
+def quarantined(spark: SparkSession, layout: LakeLayout, table: str, run_id: str) -> int:
+    """How many rows a run has put into the quarantine, from file footers."""
+    files = _run_files(spark, layout, table, run_id)
+    return spark.read.parquet(*files).count() if files else 0
+
+
+def write_quarantine(invalid: DataFrame, layout: LakeLayout, table: str, run_id: str | None = None) -> int:
+    """K9: append rows to the table's quarantine; returns how many.
+
+    Rows of a named run are written aside, in a folder that readers pass over, and their files then moved in.
+    """
+    home = layout.quarantine_path(table)
+    if run_id is None:
+        return write_dataset(invalid, home, "parquet").get["rows"]
+    folders, mark = Folders(invalid.sparkSession), _run_mark(run_id)
+    stage = f"{home}/_{mark}"
+    rows = write_dataset(invalid, stage, "parquet").get["rows"]
+    for name in folders.files(stage):
+        if not name.startswith("_"):
+            folders.move(f"{stage}/{name}", f"{home}/{mark}{name}")
+    folders.remove(stage)
+    return rows
 
 
 @contextmanager

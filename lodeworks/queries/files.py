@@ -91,6 +91,23 @@ def binary_scan(spark, sf_dir):
     )
 
 
+@registry.query(
+    "binary_scan_all",
+    f"""SELECT DISTINCT {_PREFIX} AS folder, 1 AS empty, 1 AS bodies, true AS whole FROM orders
+        UNION ALL SELECT '', 1, 1, true""",
+)
+def binary_scan_all(spark, sf_dir):
+    """Bodies of a write's files, its empty markers and a hidden note of its own."""
+    root = _orders_folder(spark, sf_dir)
+    Folders(spark).write_text(f"{root}/_note", "12345")
+    bodies = inventory.read_objects(spark, root)
+    size = F.octet_length("content")
+    return bodies.groupBy(_folder()).agg(
+        F.count_if(size == 0).cast("int").alias("empty"), F.count_if(size > 0).cast("int").alias("bodies"),
+        F.bool_and(size == F.col("length")).alias("whole"),
+    )
+
+
 @registry.query(
     "expected_files",
     f"""SELECT DISTINCT {_PREFIX} AS folder, kind, kind <> 'absent' AS found

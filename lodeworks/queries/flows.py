@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lodeworks.operators import quality
@@ -23,7 +24,7 @@ from lodeworks.queries.base import (
 from lodeworks.queries.stamps import BRONZE_SQL, SILVER_SQL
 from lodeworks.sinks.writers import write_dataset
 from lodeworks.sources.readers import read_source
-from lodeworks.streaming.incremental import IncrementalIngest, incremental_split
+from lodeworks.streaming.incremental import IncrementalIngest, IncrementalTable, incremental_split
 
 registry = Registry()
 
@@ -151,6 +152,45 @@ def silver_two_sessions(spark, sf_dir):
     return _silver_rows(spark, replace(layout, database=layout.database + "_third"))
 
 
+def _retried(spark, sf_dir):
+    """A named silver run that fails after its quarantine, then before its commit, then succeeds, and comes once more."""
+    layout = fresh_layout(spark)
+    ingest_bronze(spark, _bronze_job(sf_dir, layout))
+    job, write, commit = _silver_job(layout, run_id="2024-06-01"), TableStore.write, TableStore._commit
+
+    def lost(*args, **kwargs):
+        raise ConnectionError("lost")
+
+    for method in ("write", "_commit"):
+        setattr(TableStore, method, lost)
+        try:
+            process_silver(spark, layout, job)
+        except ConnectionError:
+            continue
+        finally:
+            TableStore.write, TableStore._commit = write, commit
+        raise AssertionError("the run did not fail")
+    for _ in range(2):
+        process_silver(spark, layout, job)
+    return layout
+
+
+@registry.query("silver_retry", f"{_STAMPED} FROM dirty WHERE {ISSUES_SQL} IS NULL")
+def silver_retry(spark, sf_dir):
+    """Whatever step a run failed at, and however often it came: its valid rows once."""
+    return _silver_rows(spark, _retried(spark, sf_dir))
+
+
+@registry.query(
+    "quarantine_retry",
+    f"{_STAMPED}, {ISSUES_SQL} AS data_quality_issues FROM dirty WHERE {ISSUES_SQL} IS NOT NULL",
+)
+def quarantine_retry(spark, sf_dir):
+    """The same of its invalid rows."""
+    rows = spark.read.parquet(_retried(spark, sf_dir).quarantine_path("events"))
+    return naive(rows, "bronze_ingest_timestamp", "silver_process_timestamp")
+
+
 @registry.query(
     "bronze_ingest",
     f"WITH dirty AS ({DIRTY_SQL}) SELECT *, {BRONZE_SQL}, 'landing/events' AS bronze_source_path FROM dirty",
@@ -245,6 +285,33 @@ def incremental_partitioned(spark, sf_dir):
     return naive(ingest.read(), "bronze_ingest_timestamp")
 
 
+@registry.query("incremental_table", _LANDED)
+def incremental_table(spark, sf_dir):
+    """Two deliveries into a table; the second's batch fails after its append and comes again."""
+    layout = fresh_layout(spark)
+    files, deliver = _landing(spark, sf_dir, layout)
+    ingest = IncrementalTable(
+        spark, TableStore(spark, layout), "events", files.source_path, files.fmt, files.schema, f"{files.root}-table",
+        options=files.options, partition_cols=["event_type"], transforms=files.transforms, source_label=files.source_label,
+    )
+    deliver()
+    ingest.run(RUN_TS)
+    deliver()
+    append = ingest.store.append
+
+    def lost(*args, **kwargs):
+        append(*args, **kwargs)
+        raise ConnectionError("lost")
+
+    ingest.store.append = lost
+    try:
+        ingest.run(RUN_TS)
+    except PySparkException:
+        ingest.store.append = append
+    ingest.run(RUN_TS)
+    return naive(ingest.read(), "bronze_ingest_timestamp")
+
+
 @registry.query("bookmark_reset", f"{_LANDED} UNION ALL {_LANDED}")
 def bookmark_reset(spark, sf_dir):
     """After a reset everything is taken once more."""

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from lodeworks.errors import DataError
 from lodeworks.operators import merge as m
 from lodeworks.operators.tables import TableStore
 from lodeworks.queries import merging
@@ -187,6 +188,79 @@ def table_exists(spark, sf_dir):
     return known.unionByName(unknown)
 
 
+def losing_commits(folders):
+    """Let the next commit fail, as where a driver is lost between a write and its version."""
+    real = folders.write_text
+
+    def lost(path, text):
+        folders.write_text = real
+        raise ConnectionError(path)
+
+    folders.write_text = lost
+
+
+@registry.query("append_lost_commit", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
+def append_lost_commit(spark, sf_dir):
+    """An append that fails between its write and its commit, twice, and then succeeds: its rows once."""
+    store = _orders_store(spark, sf_dir)
+    for _ in range(2):
+        losing_commits(store.folders)
+        try:
+            store.append("orders", table(spark, sf_dir, "orders"))
+        except ConnectionError:
+            continue
+        raise AssertionError("the commit was not lost")
+    store.append("orders", table(spark, sf_dir, "orders"))
+    return _elsewhere(store, spark).read("orders")
+
+
+@registry.query("append_run_twice", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
+def append_run_twice(spark, sf_dir):
+    """Of two appends with one run id, by two sessions, the second adds nothing."""
+    store = _orders_store(spark, sf_dir)
+    store.append("orders", table(spark, sf_dir, "orders"), run_id="nightly")
+    _elsewhere(store, spark).append("orders", table(spark, sf_dir, "orders"), run_id="nightly")
+    return store.read("orders")
+
+
+@registry.query(
+    "table_compact",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(true AS BOOLEAN) AS fewer
+       FROM orders UNION ALL SELECT *, true FROM orders UNION ALL SELECT *, true FROM orders""",
+)
+def table_compact(spark, sf_dir):
+    """Appends folded into one layer, then all layers into one: fewer files each time, the same rows."""
+    store, files = _orders_store(spark, sf_dir), []
+    for _ in range(2):
+        store.append("orders", table(spark, sf_dir, "orders").repartition(4), cluster=False)
+    for whole in (None, False, True):
+        if whole is not None:
+            store.compact("orders", whole)
+        files.append(store.stats("orders").first()["file_count"])
+    return store.read("orders").withColumn("fewer", F.lit(files[0] > files[1] > files[2]))
+
+
+@registry.query("table_merge_conflict", merging.MERGED)
+def table_merge_conflict(spark, sf_dir):
+    """A merge that another one came before is refused, and finds nothing left to do when tried again."""
+    store = _orders_store(spark, sf_dir)
+    store.append("revisions", merging.revisions(spark, sf_dir))
+    other, write = _elsewhere(store, spark), store._write
+
+    def meanwhile(df, parts, path):
+        store._write = write
+        other.merge("revisions", "orders", merging.KEYS, order_by=merging.ORDER_BY)
+        return write(df, parts, path)
+
+    store._write = meanwhile
+    try:
+        store.merge("revisions", "orders", merging.KEYS, order_by=merging.ORDER_BY)
+    except DataError:
+        store.merge("revisions", "orders", merging.KEYS, order_by=merging.ORDER_BY)
+        return store.read("orders")
+    raise AssertionError("the later merge was not refused")
+
+
 @registry.query(
     "table_create",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 0 AS rows_before FROM orders""",

@@ -1,60 +1,41 @@
 """File inventories as DataFrames.
 
-The ``binaryFile`` source lists files and hands out path, size and time; the content column
-is pruned unless asked for, so an inventory opens no file. Like all of Spark's file sources it
-passes over hidden names (``_*``, ``.*``) and files of length zero; these, often markers that
-something waits for, are added from the file system's own listing, which the driver walks
-once without keeping any other name.
+Spark's file sources pass over hidden names (``_*``, ``.*``) and files of length zero, which are often markers that
+something waits for. So inventories come from the file system's own listing: folders are listed many at a time,
+each in a few calls whatever the number of its files, and no file is opened. Bodies are read by tasks through the
+``binaryFile`` source; empty files have none to read, and hidden ones are copied to the work folder under names
+that Spark reads.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.storage import Folders
+from lodeworks.storage import Folders, work_folder
 
-
-def _binary_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(root)
-    )
-
-
-def _qualified(spark: SparkSession, root: str) -> str:
-    """``root`` spelled as the file source spells it, without a trailing slash."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
-
-
-def _relative(spark: SparkSession, root: str):
-    """Path below ``root``, taken by length so no character needs escaping."""
-    return F.substring("path", F.lit(len(_qualified(spark, root)) + 2), F.length("path"))
-
-
-def _passed_over(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
-    """Files below ``root`` that are empty or hidden, as `_binary_files` spells the others."""
-    base = len(_qualified(spark, root)) + 1
-    found = [
-        (path, length, time)
-        for path, length, time in Folders(spark).walk(root)
-        if path.endswith(suffix) and (length == 0 or any(part[:1] in ("_", ".") for part in path[base:].split("/")))
-    ]
-    rows = spark.createDataFrame(found, "path string, length long, time long")
-    return rows.select("path", F.timestamp_millis("time").alias("modificationTime"), "length")
+_LISTED = "path string, relative_path string, length long, modificationTime timestamp"
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
     """Every file below ``root`` whose name ends with ``suffix``."""
-    found = _binary_files(spark, root, suffix).select("path", "modificationTime", "length")
-    hidden = F.exists(F.split(_relative(spark, root), "/"), lambda part: F.substring(part, 1, 1).isin("_", "."))
-    found = found.filter((F.col("length") > 0) & ~hidden).unionByName(_passed_over(spark, root, suffix))
-    return found.select("path", _relative(spark, root).alias("relative_path"), "length", "modificationTime")
+    folders = Folders(spark)
+    base = len(folders.qualified(root).rstrip("/")) + 1
+    found = [f for f in chain.from_iterable(folders.walk(root)) if f[0].endswith(suffix)]
+    if not found:
+        return spark.createDataFrame([], _LISTED)
+    paths, lengths, times = zip(*found)
+    stamps = pa.array(times, pa.int64()).cast(pa.timestamp("ms", "UTC")).cast(pa.timestamp("us", "UTC"))
+    columns = [pa.array(paths), pa.array([p[base:] for p in paths]), pa.array(lengths, pa.int64()), stamps]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, _LISTED.replace(",", "").split()[::2]))
+
+
+def _hidden(path) -> F.Column:
+    return F.exists(F.split(path, "/"), lambda part: F.substring(part, 1, 1).isin("_", "."))
 
 
 def list_prefixes(spark: SparkSession, root: str) -> DataFrame:
@@ -62,11 +43,29 @@ def list_prefixes(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(c,) for c in Folders(spark).children(root)], "prefix string")
 
 
+def _bodies(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+    return found.load(root).select("path", "length", "content")
+
+
 def read_objects(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
-    """File bodies as bytes, one row per file."""
-    return _binary_files(spark, root, suffix).select(
-        "path", _relative(spark, root).alias("relative_path"), "length", "content"
-    )
+    """File bodies as bytes, one row per file, empty and hidden ones included."""
+    base = len(Folders(spark).qualified(root).rstrip("/")) + 1
+    relative = F.substring("path", F.lit(base + 1), F.length("path"))  # by length, so no character needs escaping
+    out = _bodies(spark, root, suffix).filter((F.col("length") > 0) & ~_hidden(relative))
+    out = out.select("path", relative.alias("relative_path"), "length", "content")
+    listed = list_files(spark, root, suffix)
+    empty = listed.filter("length = 0").select("path", "relative_path", "length", F.lit(b"").alias("content"))
+    named = listed.filter((F.col("length") > 0) & _hidden(F.col("relative_path"))).select("path", "relative_path").collect()
+    out = out.unionByName(empty)
+    if not named:
+        return out
+    copies = work_folder(spark, "hidden")
+    Folders(spark).make(copies)
+    Folders(spark).copy_files([(r["path"], f"{copies}/{i}") for i, r in enumerate(named)])
+    names = spark.createDataFrame([(str(i), *r) for i, r in enumerate(named)], "name string, path string, relative_path string")
+    copied = _bodies(spark, copies).select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "length", "content")
+    return out.unionByName(copied.join(names, "name").drop("name"))
 
 
 def check_expected(spark: SparkSession, root: str, expected: DataFrame, key: str = "relative_path") -> DataFrame:

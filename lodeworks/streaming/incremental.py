@@ -1,4 +1,4 @@
-"""Incremental file ingest with a resettable bookmark (B1, B2).
+"""Incremental ingest into files or into a table, with a resettable bookmark (B1, B2).
 
 The bookmark is a Structured Streaming checkpoint: a run takes the files that no committed
 run has taken, and a failed run does not advance. Output lives in generations::
@@ -12,6 +12,7 @@ batches it has written: a fresh checkpoint over old output would be skipped sile
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 
@@ -23,6 +24,7 @@ from lodeworks.functions.columns import spelled
 from lodeworks.functions.lineage import Transform, apply_transforms, stamp_bronze, stamp_silver
 from lodeworks.layout import parse_partition_cols
 from lodeworks.operators import quality
+from lodeworks.operators.tables import TableStore
 from lodeworks.sinks.writers import SINK_DEFAULTS, SINKS, cluster_for, csv_options, marked
 from lodeworks.sources.readers import CSV_DEFAULTS, SILVER_SOURCES, read_source, require_format, unmarked
 from lodeworks.storage import Folders
@@ -81,6 +83,14 @@ class IncrementalIngest:
     def _steps(self, incoming: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
         return apply_transforms(self.stamp(incoming, self.source_label, run_ts), self.transforms)
 
+    def _incoming(self) -> DataFrame:
+        """The source folder as a stream."""
+        reader = self.spark.readStream.format(self.fmt).schema(self.schema)
+        if self.fmt == "csv":
+            reader = reader.options(**CSV_DEFAULTS)
+        incoming = reader.options(**{**_SOURCE_DEFAULTS, **self.options}).load(self.source_path)
+        return unmarked(incoming) if self.fmt == "csv" else incoming
+
     def run(self, run_ts: datetime | str | None = None) -> None:
         """Take everything that is new, then stop.
 
@@ -88,13 +98,7 @@ class IncrementalIngest:
         ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``; each batch commits on its own.
         """
         home = self._home((self.generations() or [0])[-1])
-        reader = self.spark.readStream.format(self.fmt).schema(self.schema)
-        if self.fmt == "csv":
-            reader = reader.options(**CSV_DEFAULTS)
-        incoming = reader.options(**{**_SOURCE_DEFAULTS, **self.options}).load(self.source_path)
-        if self.fmt == "csv":
-            incoming = unmarked(incoming)
-        rows = self._steps(incoming, run_ts)
+        rows = self._steps(self._incoming(), run_ts)
         parts = spelled(self.partition_cols, rows.columns)
         options = SINK_DEFAULTS[self.sink_format]
         if self.sink_format == "csv":
@@ -131,6 +135,40 @@ class IncrementalIngest:
         return out
 
 
+class IncrementalTable(IncrementalIngest):
+    """Ingest of a growing folder into a stored table, each source file once per generation (B1 into K8).
+
+    A batch is one append of the table, under an id made of the stream's and the batch's number, which the
+    table's version takes with the rows. So a batch that failed after its append, and comes again as its checkpoint
+    doesn't know of it, adds nothing. Readers of the table see whole batches only. ``root`` holds checkpoints.
+    """
+
+    def __init__(self, spark: SparkSession, store: TableStore, table: str, source_path: str, fmt: str,
+                 schema: StructType | str, root: str, **settings):
+        super().__init__(spark, source_path, fmt, schema, root, **settings)
+        self.store = store
+        self.table = table
+
+    def run(self, run_ts: datetime | str | None = None) -> None:
+        home = self._home((self.generations() or [0])[-1])
+        checkpoint = f"{home}/checkpoint"
+
+        def take(batch: DataFrame, number: int) -> None:
+            # Spark keeps the stream's own id beside its bookmark, so a bookmark made anew has another.
+            stream = json.loads(self.folders.read_text(f"{checkpoint}/metadata"))["id"]
+            rows = self._steps(batch, run_ts)
+            self.store.append(self.table, rows, self.partition_cols, run_id=f"{stream}/{number}")
+
+        writer = self._incoming().writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    def read(self) -> DataFrame:
+        """The table, with whatever else was written to it."""
+        if not self.store.exists(self.table):
+            raise DataError("Nothing has been ingested yet", source="incremental", path=self.root)
+        return self.store.read(self.table)
+
+
 def incremental_split(
     spark: SparkSession,
     source_path: str,

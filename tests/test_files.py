@@ -9,7 +9,7 @@ import pytest
 from lodeworks.errors import DataError, LakeError, PipelineError, ValidationError
 from lodeworks.layout import LakeLayout
 from lodeworks.sources import inventory
-from lodeworks.storage import work_folder
+from lodeworks.storage import Folders, work_folder
 from tests.conftest import rows
 
 FILES = {"a/x.csv": b"12345", "a/b/y.csv": b"1", "c d/z.json": b"\x00\xff", "top.csv": b"abc", "p=a b/q.csv": b"7"}
@@ -98,3 +98,48 @@ def test_errors():
     assert DataError("x").to_dict()["error_code"] == "DATA_ERROR"
     assert PipelineError("x", pipeline_name="p", stage="load").details == {"pipeline_name": "p", "stage": "load"}
     assert LakeError("x").error_code == "UNKNOWN_ERROR"
+
+
+def test_bodies_of_empty_and_hidden_files(spark, tmp_path):
+    bodies = {"_SUCCESS": b"", "d/DONE": b"", "d/data.csv": b"1", "_d/x.csv": b"12", ".h": b"\x00\xff", "e f/_x.csv": b"", "_d/_y": b"3"}
+    for name, body in bodies.items():
+        file = tmp_path / name
+        file.parent.mkdir(exist_ok=True)
+        file.write_bytes(body)
+    got = inventory.read_objects(spark, str(tmp_path)).collect()
+    assert {r.relative_path: bytes(r.content) for r in got} == bodies and len(got) == len(bodies)
+    assert all(r.length == len(r.content) for r in got)
+    some = inventory.read_objects(spark, str(tmp_path), ".csv").collect()
+    assert {r.relative_path: bytes(r.content) for r in some} == {k: v for k, v in bodies.items() if k.endswith(".csv")}
+
+
+@pytest.mark.parametrize("name", ["a; isDirectory=true; length=5", "path=b", "{c}", "d;e", "f, g", "h\ni"])
+def test_names_that_look_like_a_status(spark, tmp_path, name):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / name).write_bytes(b"123")
+    (tmp_path / "x" / "plain").write_bytes(b"1")
+    folders = Folders(spark)
+    assert sorted((n, d, size) for n, d, size, _ in folders.listing(str(tmp_path / "x"))) == sorted([(name, False, 3), ("plain", False, 1)])
+    assert folders.children(str(tmp_path)) == ["x"] and folders.listing(str(tmp_path / "none")) == []
+    assert folders.listing(str(tmp_path / "x" / "plain")) == []
+
+
+def test_large_trees_are_listed_in_few_calls(spark, tmp_path, monkeypatch):
+    """However many files a folder has, and with folders side by side."""
+    for d in range(40):
+        (tmp_path / f"d{d}" / "inner").mkdir(parents=True)
+        for f in range(100):
+            (tmp_path / f"d{d}" / "inner" / f"f{f}").touch()
+    calls, real = [], spark._jvm._gateway_client.send_command
+
+    def counted(command, *args, **kwargs):
+        calls.append(command)
+        return real(command, *args, **kwargs)
+
+    monkeypatch.setattr(spark._jvm._gateway_client, "send_command", counted)
+    found = [f for files in Folders(spark).walk(str(tmp_path)) for f in files]
+    assert len(found) == 4000 and len(set(found)) == 4000
+    assert len(calls) < 4000
+    stamps = inventory.list_files(spark, str(tmp_path)).selectExpr("min(modificationTime) a", "max(modificationTime) b").first()
+    times = [os.stat(p[0].removeprefix("file:")).st_mtime for p in found]
+    assert abs(stamps.a.timestamp() - min(times)) < 1 and abs(stamps.b.timestamp() - max(times)) < 1

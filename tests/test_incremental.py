@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lodeworks.errors import DataError
-from lodeworks.streaming.incremental import IncrementalIngest, incremental_split
+from lodeworks.streaming.incremental import IncrementalIngest, IncrementalTable, incremental_split
 from tests.conftest import rows
 
 SCHEMA = "id int, name string"
@@ -133,3 +133,45 @@ def test_text_from_csv_is_whole(spark, tmp_path):
     ingest = make(spark, tmp_path, sink_format="csv")
     ingest.run()
     assert rows(ingest.read().select("id", "name")) == rows(df)
+
+
+def into_table(spark, store, tmp_path, **settings):
+    return IncrementalTable(spark, store, "t", str(tmp_path / "in"), "csv", SCHEMA, str(tmp_path / "out"), **settings)
+
+
+def test_into_a_table(spark, store, tmp_path, deliver):
+    ingest = into_table(spark, store, tmp_path, partition_cols="name")
+    with pytest.raises(DataError):
+        ingest.read()
+    deliver(0)
+    ingest.run()
+    ingest.run()
+    deliver(3)
+    into_table(spark, store, tmp_path).run()
+    assert ids(store.read("t")) == [0, 1, 2, 3, 4, 5] and store.partition_columns("t") == ["name"]
+    ingest.reset()
+    ingest.run()
+    assert ids(store.read("t")) == sorted([0, 1, 2, 3, 4, 5] * 2)
+
+
+@pytest.mark.parametrize("before", [False, True])
+def test_a_batch_that_failed_about_its_append_is_there_once(spark, store, tmp_path, deliver, before):
+    ingest, append = into_table(spark, store, tmp_path, options={"maxFilesPerTrigger": "1"}), store.append
+    for start in (0, 3, 6):
+        deliver(start)
+    calls = []
+
+    def lost(*args, **kwargs):
+        calls.append(1)
+        if before and len(calls) == 2:
+            raise OSError("lost")
+        append(*args, **kwargs)
+        if len(calls) == 2:
+            raise OSError("lost")
+
+    store.append = lost
+    with pytest.raises(PySparkException):
+        ingest.run()
+    assert store.read("t").count() == (3 if before else 6)
+    ingest.run()
+    assert ids(store.read("t")) == list(range(9))

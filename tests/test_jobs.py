@@ -19,6 +19,7 @@ from lodeworks.operators.audit import AuditLog, RunAudit, run_history, run_metri
 from lodeworks.operators.tables import TableStore
 from lodeworks.plans.jobs import BronzeJob, SilverJob, bronze_to_silver, ingest_bronze, process_silver, small_ingest
 from lodeworks.sources import inventory
+from lodeworks.storage import Folders
 from tests.conftest import rows
 
 RUN_TS = "2024-06-01 12:34:56"
@@ -261,3 +262,51 @@ def test_empty_text_through_csv_stays_valid(spark, layout, tmp_path):
     _, audit = bronze_to_silver(spark, layout, bronze, SilverJob(bronze.target_path, "csv", "t", schema=stamped))
     assert (audit.rows_valid, audit.rows_invalid) == (2, 1)
     assert rows(TableStore(spark, layout).read("t", ["id", "v"])) == [(1, ""), (2, "a\nb")]
+
+
+@pytest.mark.parametrize("lost", ["write", "_commit", "_write"])
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_a_run_that_failed_is_done_over(spark, layout, store, landing, log, monkeypatch, lost, mode):
+    bronze, silver = jobs(landing, layout, run_id="a/b c", mode=mode)
+    ingest_bronze(spark, bronze)
+    for _ in range(2):
+        with monkeypatch.context() as m:
+            m.setattr(TableStore, lost, lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                process_silver(spark, layout, silver, log)
+        assert not store.exists("t")
+    for _ in range(2):
+        audit = process_silver(spark, layout, silver, log)
+        assert (audit.rows_read, audit.rows_valid, audit.rows_invalid) == (3, 1, 2)
+        assert (store.read("t").count(), spark.read.parquet(layout.quarantine_path("t")).count()) == (1, 2)
+    process_silver(spark, layout, replace(silver, run_id="later"), log)
+    assert store.read("t").count() == (2 if mode == "append" else 1)
+    assert spark.read.parquet(layout.quarantine_path("t")).count() == 4
+    process_silver(spark, layout, replace(silver, run_id=None), log)
+    assert spark.read.parquet(layout.quarantine_path("t")).count() == 6
+
+
+def test_a_quarantine_that_is_half_there_is_replaced(spark, layout, store, landing, monkeypatch):
+    bronze, silver = jobs(landing, layout, run_id="r")
+    ingest_bronze(spark, bronze)
+    real = Folders.move
+
+    def half(self, path, to):
+        real(self, path, to)
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Folders, "move", half)
+        with pytest.raises(OSError):
+            process_silver(spark, layout, silver)
+    process_silver(spark, layout, silver)
+    assert (store.read("t").count(), spark.read.parquet(layout.quarantine_path("t")).count()) == (1, 2)
+
+
+def test_a_run_without_checks_is_written_once(spark, layout, store, landing):
+    bronze, silver = jobs(landing, layout, run_id="r", quality_checks="false")
+    ingest_bronze(spark, bronze)
+    for _ in range(2):
+        audit = process_silver(spark, layout, silver)
+        assert (audit.rows_read, audit.rows_written, audit.rows_invalid) == (3, 3, None)
+    assert store.read("t").count() == 3

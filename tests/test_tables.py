@@ -398,3 +398,193 @@ def test_stale_reader_after_swap_sees_new_rows(store, people):
     assert store.read("t").count() == 3
     store.overwrite("t", people.limit(1))
     assert store.read("t").count() == 1
+
+
+def lose_commits(store):
+    """The next commit fails, as if the driver were lost between a write and its version; returns how to go on."""
+    real = store.folders.write_text
+
+    def lost(*_):
+        store.folders.write_text = real
+        raise OSError("lost")
+
+    store.folders.write_text = lost
+
+
+@pytest.mark.parametrize("parts", [None, "p"])
+def test_an_append_that_is_lost_before_its_commit_has_no_rows(store, people, parts):
+    store.append("t", people, parts)
+    for _ in range(2):
+        lose_commits(store)
+        with pytest.raises(OSError):
+            store.append("t", people)
+        for one in (store, another(store)):
+            assert one.read("t").count() == 3 and one.spark.table(f"{one.layout.database}.t").count() == 3
+    store.append("t", people)
+    for one in (store, another(store)):
+        assert one.read("t").count() == 6 and one.stats("t").first().row_count == 6
+    assert len(store.vacuum("t", timedelta(0))) == 2 and store.read("t").count() == 6
+
+
+def test_a_run_is_written_once(store, people):
+    assert store.append("t", people, "p", run_id="a").get["rows"] == 3
+    assert store.append("t", people.limit(1), run_id="a").get["rows"] == 3
+    assert another(store).append("t", people, run_id="a").get["rows"] == 3
+    assert store.read("t").count() == 3 and store.written("t", "a") == 3 and store.written("t", "b") is None
+    lose_commits(store)
+    with pytest.raises(OSError):
+        store.append("t", people, run_id="b")
+    assert store.written("t", "b") is None
+    store.append("t", people, run_id="b")
+    assert store.read("t").count() == 6
+    store.overwrite("t", people.limit(2), run_id="c")
+    store.overwrite("t", people, run_id="c")
+    assert store.read("t").count() == 2 and store.written("t", "a") == 3
+
+
+def test_appends_meet(store, people, monkeypatch):
+    """Two sessions append at once, one with a new column: both stay."""
+    store.append("t", people, "p")
+    other, real = another(store), store._write
+
+    def meanwhile(df, parts, path):
+        seen = real(df, parts, path)
+        monkeypatch.setattr(store, "_write", real)
+        other.append("t", people.withColumn("extra", F.lit(1)))
+        return seen
+
+    monkeypatch.setattr(store, "_write", meanwhile)
+    store.append("t", people.withColumn("more", F.lit("m")))
+    for one in (store, other, another(store)):
+        got = one.read("t")
+        assert got.count() == 9 and got.filter("extra = 1").count() == got.filter("more = 'm'").count() == 3
+
+
+@pytest.mark.parametrize("change", ["append", "merge", "overwrite"])
+@pytest.mark.parametrize("touched_only", [False, True])
+def test_a_merge_that_another_change_came_before_is_refused(store, people, spark, monkeypatch, touched_only, change):
+    store.append("t", people, "p")
+    store.append("s", people.withColumn("name", F.upper("name")))
+    other, real = another(store), store._write
+
+    def meanwhile(df, parts, path):
+        seen = real(df, parts, path)
+        monkeypatch.setattr(store, "_write", real)
+        if change == "append":
+            other.append("t", people)
+        elif change == "merge":
+            other.merge("s", "t", ["id", "p"], touched_only=touched_only)
+        else:
+            other.overwrite("t", people.limit(2))
+        return seen
+
+    monkeypatch.setattr(store, "_write", meanwhile)
+    with pytest.raises(DataError, match="another writer"):
+        store.merge("s", "t", ["id", "p"], touched_only=touched_only)
+    expected = {"append": 6, "merge": 3, "overwrite": 2}[change]
+    assert store.read("t").count() == another(store).read("t").count() == expected
+    if change != "append":
+        store.merge("s", "t", ["id", "p"], touched_only=touched_only)
+        assert {r.name for r in store.read("t").collect()} <= {"A", "B", "C"}
+
+
+def test_deltas_replace_the_partitions_of_all_layers_before(store, spark):
+    cols = "id int, name string, p string"
+    store.append("t", spark.createDataFrame([(i, "old", f"p{i % 3}") for i in range(6)], cols), "p")
+    store.append("t", spark.createDataFrame([(i, "old", f"p{i % 4}") for i in range(6, 14)], cols))
+    store.append("s", spark.createDataFrame([(1, "new", "p1"), (7, "new", "p3"), (50, "new", "p8")], cols))
+    assert store.merge("s", "t", ["id"], ["name"], touched_only=True).inserted == 1
+    store.append("t", spark.createDataFrame([(60, "late", "p1")], cols))
+    for one in (store, another(store)):
+        got = {r.id: r.name for r in one.read("t").collect()}
+        assert len(got) == one.read("t").count() == 16
+        assert {i for i, name in got.items() if name == "new"} == {1, 7, 50} and got[60] == "late"
+    assert [x.split("-")[0] for x in store.layers("t")] == ["snapshot", "append", "delta", "append"]
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_compaction(store, people, spark, whole):
+    store.append("t", people, "p")
+    for i in range(5):
+        store.append("t", people.withColumn("id", F.col("id") + 10 * i), run_id=f"r{i}")
+    held, before = store.read("t"), rows(store.read("t"))
+    files = store.stats("t").first().file_count
+    gone = store.compact("t", whole)
+    assert len(gone) == (6 if whole else 5) and len(store.layers("t")) == (1 if whole else 2)
+    for one in (store, another(store)):
+        assert rows(one.read("t")) == before and one.stats("t").first().file_count < files
+    assert rows(held) == before
+    assert store.compact("t", whole) == [] and store.written("t", "r4") == 3
+    store.append("t", people)
+    assert set(store.vacuum("t", timedelta(0))) == set(gone)
+    assert store.read("t").count() == another(store).read("t").count() == 21
+
+
+def test_compaction_beside_other_writers(store, people, monkeypatch):
+    store.append("t", people, "p")
+    store.append("t", people)
+    store.append("t", people)
+    other, real = another(store), store._write
+
+    def during(action):
+        def meanwhile(df, parts, path):
+            seen = real(df, parts, path)
+            monkeypatch.setattr(store, "_write", real)
+            action()
+            return seen
+
+        monkeypatch.setattr(store, "_write", meanwhile)
+
+    during(lambda: other.append("t", people))
+    store.compact("t", whole=True)
+    assert store.read("t").count() == other.read("t").count() == 12 and len(store.layers("t")) == 2
+    during(lambda: other.overwrite("t", people))
+    with pytest.raises(DataError, match="another writer"):
+        store.compact("t", whole=True)
+    assert store.read("t").count() == other.read("t").count() == 3
+
+
+def test_names_and_existence_from_metadata_alone(store, people, spark, monkeypatch):
+    for i in range(6):
+        store.append(f"t{i}", people, "p")
+    other, said = another(store), []
+    real = spark.sql
+    monkeypatch.setattr(spark, "sql", lambda text, *a, **k: (said.append(text), real(text, *a, **k))[1])
+    assert other.names() == [f"t{i}" for i in range(6)] and other.exists("t3") and not other.exists("t9")
+    assert said == []
+
+
+def test_one_listing_of_metadata_a_call(store, people, monkeypatch):
+    store.append("t", people, "p")
+    listed, real = [], store.folders.listing
+    monkeypatch.setattr(store.folders, "listing", lambda path: (listed.append(path), real(path))[1])
+    calls = [lambda: store.read("t"), lambda: store.schema("t"), lambda: store.stats("t"), lambda: store.partitions("t")]
+    for call in calls:
+        listed.clear()
+        call()
+        assert sum(path.endswith("_metadata") for path in listed) == 1
+    listed.clear()
+    store.append("t", people)
+    assert sum(path.endswith("_metadata") for path in listed) == 2  # before the write and before the commit
+
+
+def test_old_versions_are_trimmed(store, people, monkeypatch):
+    monkeypatch.setattr("lodeworks.operators.tables.VERSIONS", 3)
+    for _ in range(6):
+        store.append("t", people)
+    assert len(store.folders.files(store.layout.metadata_path("t"))) == 3 and another(store).read("t").count() == 18
+
+
+def test_a_column_called_like_the_layer(store, spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "__layer int, __LAYER_ string")
+    store.append("t", df)
+    store.append("t", df)
+    assert rows(another(store).read("t")) == rows(df.unionByName(df))
+
+
+def test_types_that_change_their_meaning_are_refused(store, spark):
+    store.append("t", spark.createDataFrame([(1, 2)], "id bigint, n bigint"))
+    store.append("t", spark.createDataFrame([(1, 2)], "id int, n smallint"))
+    with pytest.raises(DataError, match="bigint, not string"):
+        store.append("t", spark.createDataFrame([("1", 2)], "id string, n int"))
+    assert store.read("t").count() == 2 and len(store.folders.children(store.layout.table_path("t"))) == 3
