@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodeworks.llm.frames import documents, text_of, written
+from lodeworks.llm.frames import boxed, documents, text_of, unboxed, written
 from lodeworks.storage import Folders, work_folder
 
 
@@ -95,16 +95,15 @@ def keep(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
     Rows are matched by id and digest, so a text that a third of the rows share is no hot key.
     """
-    names = docs.columns
 
     def key(digest: Column, row_id: str) -> Column:
         return F.concat(digest, F.lit(":"), F.coalesce(F.col(row_id).cast("long").cast("string"), F.lit("")))
 
     # One key column, so that the window needs no shuffle beyond the join's.
-    accepted = index.rows().select(key(F.col("digest"), "keep_id").alias("__key"))
-    kept = docs.withColumn("__key", key(digest_of(), "doc_id")).join(accepted, "__key", "left_semi")
-    once = Window.partitionBy("__key").orderBy(F.lit(0))
-    return kept.withColumn("__copy", F.row_number().over(once)).filter("__copy = 1").select(*names)
+    accepted = index.rows().select(key(F.col("digest"), "keep_id").alias("at"))
+    kept = docs.select(boxed(docs), key(digest_of(), "doc_id").alias("at")).join(accepted, "at", "left_semi")
+    once = Window.partitionBy("at").orderBy(F.lit(0))
+    return unboxed(kept.withColumn("copy", F.row_number().over(once)).filter("copy = 1"), docs.columns)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +113,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     that stays is the one with the largest id.
     """
     stamped = written(stamp(documents(spark, sf_dir)), "stamped")
-    middle = stamped.agg(F.floor((F.min("id") + F.max("id")) / 2)).first()[0] or 0
+    low, high = stamped.agg(F.min("id"), F.max("id")).first()
+    middle = ((low or 0) + (high or 0)) // 2  # ids may span the whole range of long
     index = DigestIndex(spark, work_folder(spark, "digest-index"))
     upper = F.coalesce(F.col("id") > middle, F.lit(False))
     index.absorb(stamped.filter(upper))

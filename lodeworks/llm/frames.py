@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodeworks.functions.columns import named
 from lodeworks.storage import work_folder
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -36,6 +37,16 @@ def remainder(column: str, by: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % by
 
 
+def boxed(docs: DataFrame) -> Column:
+    """A whole row as one column, ``row``, beside which any name is free; `unboxed` takes it apart."""
+    return F.struct(*[named(c) for c in docs.columns]).alias("row")
+
+
+def unboxed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns of ``row``, whatever their names."""
+    return df.select(*[F.col("row").getField(c).alias(c) for c in names])
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, kept in the shared work folder, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
@@ -44,7 +55,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str):
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema):
     """``df`` through ``run`` in Arrow batches, with this package importable where the driver's folder is seen.
 
     Machines that don't see it need the package installed or sent with ``--py-files``.

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodeworks.llm.frames import WORD, documents, written
+from lodeworks.llm.frames import WORD, boxed, documents, unboxed, written
 
 #: Weights by the rank of the source's name, repeating.
 WEIGHTS = (5, 2, 1)
@@ -134,9 +134,9 @@ def training_order(docs: DataFrame) -> DataFrame:
     Texts stay whole; the one document of a source at which its target is reached is in if the larger part
     of it is. Columns are those of ``docs``.
     """
-    names = docs.columns
-    turns = plan(docs).withColumn("__turn", F.explode("__turns")).filter("2 * __turn.words >= __size")
-    return turns.orderBy(F.col("__turn.position"), "doc_id").select(*names)
+    planned = plan(docs.select("doc_id", "source", "text", boxed(docs)))
+    turns = planned.select("row", "doc_id", "__size", F.explode("__turns").alias("turn")).filter("2 * turn.words >= __size")
+    return unboxed(turns.orderBy(F.col("turn.position"), "doc_id"), docs.columns)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

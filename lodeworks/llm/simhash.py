@@ -11,8 +11,8 @@ yields about one row per member. Components are then found by rounds of joins.
 
 Edge cases: a text without words (null, empty, blanks) has fingerprint zero, linked like any other; one
 with fewer words than a shingle is one shingle; repeated rows have equal fingerprints and one component;
-a null id is carried but never names a component unless all ids of it are null; an empty table gives an
-empty result.
+a null id is carried but never names a component unless all ids of it are null; very long texts are read
+whole; other columns are handed on by `keep`, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeworks.llm.components import components
-from lodeworks.llm.frames import documents, map_batches, text_of, written
+from lodeworks.llm.frames import boxed, documents, map_batches, text_of, unboxed, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -186,17 +186,16 @@ def keep(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` that (component_id, key) name, each once."""
-    names = docs.columns
 
     def key(row_id: str, text_key: Column) -> Column:
         return F.concat(F.coalesce(F.col(row_id).cast("long").cast("string"), F.lit("")), F.lit(":"), text_key)
 
     # One key column, so that the window needs no shuffle beyond the join's.
-    chosen = chosen.select(key("component_id", F.col("key").cast("string")).alias("__key")).distinct()
-    marked = docs.withColumn("__key", key("doc_id", F.xxhash64(text_of()).cast("string")))
-    kept = marked.join(chosen, "__key", "left_semi")
-    once = Window.partitionBy("__key").orderBy(F.lit(0))
-    return kept.withColumn("__copy", F.row_number().over(once)).filter("__copy = 1").select(*names)
+    chosen = chosen.select(key("component_id", F.col("key").cast("string")).alias("at")).distinct()
+    marked = docs.select(boxed(docs), key("doc_id", F.xxhash64(text_of()).cast("string")).alias("at"))
+    kept = marked.join(chosen, "at", "left_semi")
+    once = Window.partitionBy("at").orderBy(F.lit(0))
+    return unboxed(kept.withColumn("copy", F.row_number().over(once)).filter("copy = 1"), docs.columns)
 
 
 def op3_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:

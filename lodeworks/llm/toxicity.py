@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lodeworks.llm.frames import documents, map_batches, remainder, text_of
+from lodeworks.llm.frames import boxed, documents, map_batches, remainder, text_of, unboxed
 
 #: Most labelled rows that are learned from.
 SAMPLE = 20_000
@@ -245,17 +246,22 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
 def scored(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
     """The named columns of ``docs``, and __score."""
+    found = _scored(docs, model)
+    return found.select(*[F.col("row").getField(c).alias(c) for c in columns], F.col("score").alias("__score"))
+
+
+def _scored(docs: DataFrame, model: Model) -> DataFrame:
+    """(row, score): the rows of ``docs``, each as one column, and their scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 score = pa.array(model.score([t or "" for t in part.column(0).to_pylist()]), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, score], [*part.schema.names, "__score"])
+                yield pa.RecordBatch.from_arrays([part.column(1), score], ["row", "score"])
 
-    slim = docs.select("text", *[c for c in columns if c != "text"])
-    kinds = ", ".join(f"`{c}` {kind}" for c, kind in slim.dtypes)
-    return map_batches(slim, run, f"{kinds}, __score double").select(*columns, "__score")
+    slim = docs.select("text", boxed(docs))
+    return map_batches(slim, run, StructType([slim.schema["row"], StructField("score", DoubleType())]))
 
 
 def held_out(column: str = "doc_id"):
@@ -268,8 +274,7 @@ def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that score below 0.5, with the columns of ``docs``."""
-    names = docs.columns
-    return scored(docs, model, *names).filter("__score < 0.5").select(*names)
+    return unboxed(_scored(docs, model).filter("score < 0.5"), docs.columns)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@
 A text's words are hashed, every ``GRAM`` neighbouring word hashes are hashed again, and of each window of
 ``WINDOW`` such hashes the smallest is chosen, of equal ones the rightmost. The chosen (hash, place) pairs
 are the fingerprint. So any passage of GRAM + WINDOW - 1 words that two texts share has a chosen hash in
-common, and its place is known in both. A text with fewer words than a gram has one gram, all its words;
-one with fewer grams than a window has one window.
+common, and its place is known in both. A text with fewer words than that, or with over ``LONG`` characters
+to a word, as where words aren't set apart, goes by its characters instead, blanks left out, with the same
+guarantee for characters. One with fewer characters than a gram has one gram; one with fewer grams than a window
+has one window.
 
 Hash and place are one number, hash * 2^32 + (2^32 - 1 - place), whose minimum is what a window chooses.
 The minimum of a window is the least of two half windows, so it takes log2(WINDOW) passes over an array.
@@ -18,6 +20,7 @@ text are read, so other columns may have any name.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,6 +29,10 @@ from pyspark.sql import functions as F
 from lodeworks.llm.frames import documents, text_of, written
 
 GRAM, WINDOW = 5, 8
+#: Characters to a word, blanks included, beyond which words are no units.
+LONG = 24
+#: Ranges of ids at most.
+RANGES = 1 << 16
 _PLACES = 2**32 - 1
 
 
@@ -36,7 +43,14 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """The fingerprint of a text: chosen hashes with their places, by place."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def units(words: Column) -> Column:
+        plain = (F.size(words) >= gram + window - 1) & (F.char_length(text) <= LONG * F.size(words))
+        return F.when(plain | (F.size(words) == 0), words).otherwise(
+            F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]"), F.lit(0))
+        )
+
+    words = _let(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""), units)
 
     def grams(hashes: Column) -> Column:
         def one(i: Column) -> Column:
@@ -91,19 +105,43 @@ def likeness(a: Column, b: Column) -> Column:
     return _let(F.array(hashes(a), hashes(b)), ratio)
 
 
+def _borders(keyed: DataFrame) -> list[int]:
+    """Ids at which ranges of about sqrt(rows) rows begin."""
+    many = keyed.count()
+    cuts = min(RANGES, math.isqrt(many))
+    if cuts < 2:
+        return []
+    shares = [i / cuts for i in range(1, cuts)]
+    found = keyed.agg(F.percentile_approx("id", shares, 10 * cuts)).first()[0] or []
+    return sorted(set(found))
+
+
+def _range(row_id: Column, borders: list[int]) -> Column:
+    """How many borders an id has reached, by halving; ids without a value make a range below all."""
+    steps = [1 << i for i in reversed(range(len(borders).bit_length()))]
+    if not borders:
+        return F.when(row_id.isNull(), -1).otherwise(0)
+    known = F.array(*[F.lit(b).cast("long") for b in borders]) if len(borders) < 100 else F.from_json(F.lit(str(borders)), "array<bigint>")
+
+    def found(at: Column) -> Column:
+        def on(place: Column, step: Column) -> Column:
+            return F.when(F.get(at, place + step - 1) <= row_id, place + step).otherwise(place)
+
+        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), on)
+
+    return F.when(row_id.isNull(), -1).otherwise(_let(known, found))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(id, body, found, next_body, next_found): each document and the next by descending id, in a circle.
 
-    Ids are cut into about sqrt(rows) ranges. Inside a range a window finds the next document; the last of
-    a range is followed by the first of the range below, a row per range, which is joined to it.
+    Ids are cut into about sqrt(rows) ranges of about as many rows each, at quantiles of the ids, however these
+    are spread. Inside a range a window finds the next document; the last of a range is followed by the first
+    of the range below, a row per range, which is joined to it.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("body"))
     keyed = keyed.withColumn("tie", F.xxhash64("body"))
-    low, high, many = keyed.agg(F.min("id"), F.max("id"), F.count("*")).first()
-    low, high = low or 0, high or 0
-    width = max(1, round((high - low + 1) / max(1, many**0.5)))
-    # Ids without a value make the lowest range.
-    keyed = keyed.withColumn("range", F.coalesce(F.floor((F.col("id") - low) / width), F.lit(-1)))
+    keyed = keyed.withColumn("range", _range(F.col("id"), _borders(keyed)))
     full = keyed.withColumn("found", winnow(F.col("body")))
     # A row per range: at most sqrt(rows) + 2.
     order = Window.orderBy("range")
@@ -112,11 +150,12 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"),
         F.coalesce(F.lead("range").over(order), F.min("range").over(Window.partitionBy())).alias("above"),
     )
-    heads = full.join(
+    heads = keyed.join(
         F.broadcast(written(firsts, "firsts")),
         F.col("id").eqNullSafe(F.col("first_id")) & (F.col("tie") == F.col("first_tie")),
     )
-    heads = heads.groupBy("above").agg(F.first("body").alias("head_body"), F.first("found").alias("head_found"))
+    heads = heads.groupBy("above").agg(F.first("body").alias("head_body"))
+    heads = heads.withColumn("head_found", winnow(F.col("head_body")))
     down = Window.partitionBy("range").orderBy(F.col("id").desc_nulls_last(), F.col("tie").desc())
     rows = full.select(
         "id", "range", "body", "found", F.lead("body").over(down).alias("after_body"),

@@ -276,12 +276,48 @@ def test_toxicity(spark, docs, labels):
     assert got.columns == [*docs.columns, "__score"]
     scores = got.collect()
     assert Counter(r["doc_id"] for r in scores) == Counter(i for i, _ in rows_of(docs))
-    assert all(0 <= r["__score"] <= 1 for r in scores)
+    assert all(0 <= r[-1] <= 1 for r in scores)  # the input has a column of this name too
     kept = toxicity.keep(docs, model)
-    assert kept.columns == docs.columns and kept.count() == sum(r["__score"] < 0.5 for r in scores)
+    assert kept.columns == docs.columns and kept.count() == sum(r[-1] < 0.5 for r in scores)
 
 
 def test_isotonic_is_monotone_and_fits():
     at, share = toxicity.isotonic(np.array([0.0, 1, 2, 3, 4, 5]), np.array([0.0, 1, 0, 1, 1, 1]))
     assert (np.diff(share) >= 0).all() and (np.diff(at) >= 0).all()
     assert np.interp([0, 1.5, 4], at, share).tolist() == [0, 0.5, 1]
+
+
+def test_ids_of_the_whole_range(spark):
+    """Exact dedup and fingerprints where the difference of two ids is no long."""
+    rng = np.random.default_rng(1)
+    ids = [-(2**63), -(2**63) + 5, 2**63 - 10, 2**63 - 1, 0, *rng.integers(-(2**63), 2**63 - 1, 60).tolist(), *range(2**62, 2**62 + 40)]
+    texts = {i: f"{i % 7} " + "some words that all of them have and a few of their own such as these ones " * (1 + i % 3) for i in ids}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    rows = {r["id"]: r for r in winnowing.with_next(docs).collect()}
+    order = sorted(texts, reverse=True)
+    assert len(rows) == len(texts)
+    assert all(rows[i]["next_body"] == texts[j] for i, j in zip(order, [*order[1:], order[0]]))
+
+
+def test_ranges_of_uneven_ids(spark):
+    """A dense block and an outlier: ranges hold about as many rows each."""
+    ids = [*range(400), 2**61]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    keyed = docs.select(docs["doc_id"].alias("id"))
+    borders = winnowing._borders(keyed)
+    placed = keyed.select("id", winnowing._range(keyed["id"], borders).alias("range")).collect()
+    assert all(r["range"] == sum(b <= r["id"] for b in borders) for r in placed)
+    assert max(Counter(r["range"] for r in placed).values()) <= 60
+    many = sorted({int(x) for x in np.random.default_rng(2).integers(0, 2**40, 300)})
+    wide = spark.range(400).selectExpr("id * 2500000000 AS id")
+    placed = wide.select("id", winnowing._range(wide["id"], many).alias("range")).collect()
+    assert all(r["range"] == sum(b <= r["id"] for b in many) for r in placed)
+
+
+@pytest.mark.parametrize("text", ["".join(chr(0x4E00 + (i * i * 37 + 11 * i) % 5000) for i in range(300)), "six words are not very many"])
+def test_fingerprints_of_texts_without_many_words(spark, text):
+    edited = text[: len(text) - len(text) // 3] + "x" * (len(text) // 3)
+    df = spark.createDataFrame([(text, edited)], "a string, b string")
+    found = df.select(winnowing.winnow(df["a"]).alias("a"), winnowing.winnow(df["b"]).alias("b"))
+    near = found.select(winnowing.likeness(found["a"], found["b"]).alias("near")).first()["near"]
+    assert near > 0.4

@@ -11,7 +11,7 @@ import pytest
 import corpus_pipeline
 from lodeworks.llm import bpe, toxicity
 from lodeworks.llm.frames import documents
-from tests.llm.odd import odd
+from tests.llm.odd import REST, odd
 from tests.llm.test_near_copies import _kept
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -78,6 +78,7 @@ def test_stages_on_odd_tables(spark, rows):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF_DIR)
         assert out.columns == docs.columns, name
+        assert all(r.asDict()[c] == value for r in out.collect() for c, value in REST.items()), name
         kept = out.select("doc_id", "text").collect()
         assert {(r[0], r[1]) for r in kept} <= {(r[0], r[1]) for r in docs.select("doc_id", "text").collect()}, name
         if name in ("exact_dedup", "simhash_near_dedup"):

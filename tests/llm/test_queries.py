@@ -86,6 +86,8 @@ def test_bpe(spark, texts):
 
 def _winnowed(text, gram=5, window=8):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    if words and (len(words) < gram + window - 1 or len(text) > 24 * len(words)):
+        words = re.findall(r"[^\x20\x09-\x0D]", text)
     hashes = [xxhash.xxh64_intdigest(w.encode(), 42).to_bytes(8, "little") for w in words]
     grams = []
     for i in range(max(1, len(hashes) - gram + 1) if hashes else 0):
