@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from lodeworks.llm.frames import documents, map_batches, text_of
 
-#: Pre-tokens and runs of them that one Python worker keeps, the longest that it keeps, and pairs with their ranks.
-KEPT, LONGEST, PAIRS = 700_000, 64, 200_000
+#: Pre-tokens and runs of them that one Python worker keeps, twice, as it forgets the half that it has met before the
+#: other; the longest that it keeps; and pairs with their ranks.
+KEPT, LONGEST, PAIRS = 350_000, 64, 200_000
 
 #: White space as patterns of tokenizers mean it: Unicode's White_Space.
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -43,44 +44,18 @@ CHUNK = rf" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
 class RankQueue:
     """Positions by rank; the lowest rank first, inside a rank the leftmost position first.
 
-    Empty again after use, so that one serves every pre-token.
+    Three levels of bits over the buckets: a word has a bit per rank, a group one per word, the top one per group. Words
+    are of 32 bits, as Python is quicker with small integers.
+    Empty again after use, so that one serves every pre-token. `Encoder.merge` works on its parts, with the top
+    level in a variable of its own: a call for each push and pop would cost as much as what it does.
     """
 
-    __slots__ = ("buckets", "words", "groups", "top")
+    __slots__ = ("buckets", "words", "groups")
 
     def __init__(self, ranks: int):
         self.buckets: list[list[int]] = [[] for _ in range(ranks)]
-        self.words = [0] * ((ranks >> 6) + 1)
-        self.groups = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-
-    def push(self, rank: int, at: int) -> None:
-        bucket = self.buckets[rank]
-        if bucket:
-            heappush(bucket, at)
-        else:
-            bucket.append(at)
-            self.words[rank >> 6] |= 1 << (rank & 63)
-            self.groups[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-
-    def pop(self) -> tuple[int, int]:
-        """Rank and position; only while ``top`` isn't 0."""
-        top = self.top
-        group = (top & -top).bit_length() - 1
-        bits = self.groups[group]
-        word = group << 6 | (bits & -bits).bit_length() - 1
-        low = self.words[word]
-        rank = word << 6 | (low & -low).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        self.words[word] = low = low & (low - 1)
-        if not low:
-            self.groups[group] = bits = bits & (bits - 1)
-            if not bits:
-                self.top = top & (top - 1)
-        return rank, bucket.pop()
+        self.words = [0] * ((ranks >> 5) + 1)
+        self.groups = [0] * ((ranks >> 10) + 1)
 
 
 class Encoder:
@@ -94,10 +69,13 @@ class Encoder:
             self.tokens[rank] = token
         self._bytes = [self.ranks[bytes([b])] for b in range(256)]
         self._queue = RankQueue(len(self.tokens))
+        #: The rank of each two bytes, -1 without one, and of pairs of tokens that came up.
+        self._first = [self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
         self._pairs: dict[int, int] = {}
         self._runs = re.compile(CHUNK).findall
         self._split = regex.compile(pattern).findall
         self._kept: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _rank(self, key: int) -> int:
         """The rank of a pair that isn't kept yet, -1 without one."""
@@ -112,47 +90,95 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        ids = [self._bytes[b] for b in piece]
+        ids = list(map(self._bytes.__getitem__, piece))
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue, known, rank_of = self._queue, self._pairs.get, self._rank
-        push, pop = queue.push, queue.pop
-        at = 0
-        for a, b in zip(ids, ids[1:]):
-            rank = known(key := a << 32 | b)
-            if rank is None:
-                rank = rank_of(key)
+        buckets, words, groups = self._queue.buckets, self._queue.words, self._queue.groups
+        known, rank_of, first, top, at = self._pairs.get, self._rank, self._first, 0, 0
+        # The rank of the pair that begins at each position, -1 without one.
+        ranks = [first[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        # Every pair of bytes goes to the end of its bucket: positions rise.
+        for rank in ranks:
             if rank >= 0:
-                push(rank, at)
+                bucket = buckets[rank]
+                if not bucket:
+                    word = words[at_word := rank >> 5]
+                    words[at_word] = word | 1 << (rank & 31)
+                    if not word:
+                        groups[rank >> 10] |= 1 << (at_word & 31)
+                        top |= 1 << (rank >> 10)
+                bucket.append(at)
             at += 1
-        while queue.top:
-            rank, at = pop()
-            right = after[at]
+        while top:
+            # Find-first-set on every level gives the lowest rank that has positions.
+            group = (top & -top).bit_length() - 1
+            bits = groups[group]
+            at_word = group << 5 | (bits & -bits).bit_length() - 1
+            word = words[at_word]
+            rank = at_word << 5 | (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                at = heappop(bucket)
+            else:
+                at = bucket.pop()
+                words[at_word] = word = word & (word - 1)
+                if not word:
+                    groups[group] = bits = bits & (bits - 1)
+                    if not bits:
+                        top &= top - 1
             # Stale: the position was merged away, or what begins there now is another pair.
-            if right >= n or ids[at] < 0:
-                continue
-            if known(key := ids[at] << 32 | ids[right]) != rank and rank_of(key) != rank:
+            if ranks[at] != rank:
                 continue
+            right = after[at]
             ids[at], ids[right] = rank, -1
-            after[at] = right = after[right]
-            if right < n:
-                before[right] = at
-                new = known(key := rank << 32 | ids[right])
+            following = after[right]
+            left = before[at]
+            if following >= n:
+                ranks[at] = -1
+                after[at] = n
+            else:
+                ranks[right] = -1
+                after[at] = following
+                before[following] = at
+                new = known(key := rank << 32 | ids[following])
                 if new is None:
                     new = rank_of(key)
+                ranks[at] = new
                 if new >= 0:
-                    push(new, at)
-            left = before[at]
+                    bucket = buckets[new]
+                    if bucket:
+                        heappush(bucket, at)
+                    else:
+                        bucket.append(at)
+                        word = words[at_word := new >> 5]
+                        words[at_word] = word | 1 << (new & 31)
+                        if not word:
+                            groups[new >> 10] |= 1 << (at_word & 31)
+                            top |= 1 << (new >> 10)
             if left >= 0:
                 new = known(key := ids[left] << 32 | rank)
                 if new is None:
                     new = rank_of(key)
+                ranks[left] = new
                 if new >= 0:
-                    push(new, left)
+                    bucket = buckets[new]
+                    if bucket:
+                        heappush(bucket, left)
+                    else:
+                        bucket.append(left)
+                        word = words[at_word := new >> 5]
+                        words[at_word] = word | 1 << (new & 31)
+                        if not word:
+                            groups[new >> 10] |= 1 << (at_word & 31)
+                            top |= 1 << (new >> 10)
         return [i for i in ids if i >= 0]
 
     def _new(self, run: str) -> bytes:
-        """Ids of a run of text, or of a pre-token inside one, that isn't kept yet."""
+        """Ids of a run of text, or of a pre-token inside one, that isn't among the newest kept."""
+        packed = self._older.get(run)
+        if packed is not None:
+            self._kept[run] = packed
+            return packed
         pieces = self._split(run)
         if len(pieces) == 1:
             ids = self.merge(run.encode("utf-8", "surrogatepass"))
@@ -161,7 +187,7 @@ class Encoder:
             packed = b"".join([self._kept.get(piece) or self._new(piece) for piece in pieces])
         if len(run) <= LONGEST:
             if len(self._kept) >= KEPT:
-                self._kept.clear()
+                self._older, self._kept = self._kept, {}
             self._kept[run] = packed
         return packed
 
