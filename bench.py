@@ -32,7 +32,8 @@ HEADLINE = (
     "bronze_to_silver dq_annotate dq_valid_rows dq_invalid_rows dq_summary dq_violations merge_upsert "
     "merge_counts merge_composite_key scan_project_filter csv_roundtrip json_roundtrip parquet_roundtrip "
     "orc_roundtrip partitioned_write append_evolve table_overwrite table_copy table_merge table_partitions "
-    "table_stats incremental_ingest run_metrics binary_scan"
+    "table_stats incremental_ingest run_metrics binary_scan table_merge_touched append_run_twice table_compact "
+    "silver_retry incremental_table"
 ).split()
 
 
@@ -41,6 +42,8 @@ SCALED = {
     "bronze_to_silver": ["events"],
     "table_merge": ["orders", "lineitem"],
     "table_merge_touched": ["orders"],
+    "append_run_twice": ["orders"],
+    "table_compact": ["orders"],
     "partitioned_write": ["orders"],
     "merge_upsert": ["orders", "lineitem"],
 }
