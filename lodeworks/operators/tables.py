@@ -5,7 +5,8 @@ The folder of a table is its truth, whatever session looks at it::
     <silver_root>/processed/<table>/snapshot-<time>-<id>/   a complete set of rows
     <silver_root>/processed/<table>/append-<time>-<id>/     rows that were added
     <silver_root>/processed/<table>/delta-<time>-<id>/      partitions that replace those of all layers before
-    <silver_root>/processed/<table>/_metadata/v<number>.json   schema, partition columns, layers in order
+    <silver_root>/processed/<table>/_metadata/v<number>.json   schema, partition columns, layers in order,
+                                                               and files of layers that count no longer
 
 Every write puts its rows into a folder of its own, a layer, that nothing names yet; then a version that lists it
 appears by one rename. The version with the highest number counts. So a failure at any moment leaves the version
@@ -57,7 +58,8 @@ _ADDED = 500
 class _Version:
     """One state of a table, as its metadata file has it. ``entry`` changes with all but appends.
 
-    ``runs`` has the rows of writes that were given a run id.
+    ``runs`` has the rows of writes that were given a run id, ``dropped`` the files that a merge has
+    replaced inside layers that stay, as `_file` says them.
     """
 
     number: int
@@ -66,6 +68,7 @@ class _Version:
     schema: StructType
     partition_columns: tuple[str, ...]
     runs: dict[str, int] = field(default_factory=dict)
+    dropped: tuple[str, ...] = ()
 
     def to_json(self) -> str:
         return json.dumps({**self.__dict__, "schema": json.loads(self.schema.json())})
@@ -75,7 +78,7 @@ class _Version:
         found = json.loads(text)
         if "snapshot" in found:  # as versions were written before appends had layers
             found["layers"] = [found.pop("snapshot"), *found.pop("deltas")]
-        lists = {k: tuple(found[k]) for k in ("layers", "partition_columns")}
+        lists = {k: tuple(found.get(k, ())) for k in ("layers", "partition_columns", "dropped")}
         return cls(**{**found, **lists, "schema": StructType.fromJson(found["schema"])})
 
     @property
@@ -108,6 +111,11 @@ class Written:
         return {"rows": self.rows}
 
 
+def _file(version: _Version) -> str:
+    """SQL for the file that a row comes from: its layer, partition folders and name."""
+    return f"substring_index(_metadata.file_path, '/', {-2 - len(version.partition_columns)})"
+
+
 def _column_or_null(df: DataFrame, field: StructField) -> Column:
     if field.name in df.columns:
         return named(field.name)
@@ -243,14 +251,20 @@ class TableStore:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {columns} FROM {self._id(self._entry(table, version))} "
             f"WHERE {quoted(version.layer_column)} IN ({layers})"
+            + (f" AND {_file(version)} NOT IN ({', '.join(map(sql_text, version.dropped))})" if version.dropped else "")
         )
 
     def _rows(self, table: str, version: _Version | None) -> DataFrame:
         """All rows of a version; an unknown table fails as Spark reports it."""
         if version is None:
             return self.spark.table(self._id(table))
-        rows = self.spark.table(self._id(self._attach(table, version)))
-        rows = rows.filter(named(version.layer_column).isin(*version.layers))
+        return self._of_layers(table, version, version.layers)
+
+    def _of_layers(self, table: str, version: _Version, layers: Sequence[str]) -> DataFrame:
+        """The rows that some layers have in a version. Spark leaves out the other layers, and dropped files, unread."""
+        rows = self.spark.table(self._id(self._attach(table, version))).filter(named(version.layer_column).isin(*layers))
+        if version.dropped:
+            rows = rows.filter(~F.expr(_file(version)).isin(*version.dropped))
         return rows.select(*[named(c) for c in version.schema.names])
 
     def _commit(self, table: str, base: _Version | None, version: _Version) -> _Version:
@@ -571,11 +585,10 @@ class TableStore:
             first -= 1
         first = 0 if whole else first
         folded = version.layers[first:]
-        if len(folded) < 2:
+        if len(folded) < 2 and not (whole and version.dropped):
             return []
         with self._reporting(table, "compact"):
-            rows = self.spark.table(self._id(self._attach(table, version)))
-            rows = rows.filter(named(version.layer_column).isin(*folded)).select(*[named(c) for c in version.schema.names])
+            rows = self._of_layers(table, version, folded)
             layer, token = self._folder(_APPEND if first else _SNAPSHOT)
             parts = list(version.partition_columns)
             grouped = cluster_for(rows, parts) if parts else rows.hint("rebalance")
@@ -586,7 +599,8 @@ class TableStore:
                     raise DataError(f"Table {table} was changed by another writer", source="tables", table=table)
                 layers = (*version.layers[:first], layer, *now.layers[len(version.layers) :])
                 try:
-                    self._commit(table, now, replace(now, entry=token, layers=layers))
+                    dropped = now.dropped if first else tuple(x for x in now.dropped if x not in version.dropped)
+                    self._commit(table, now, replace(now, entry=token, layers=layers, dropped=dropped))
                     return list(folded)
                 except LakeError as e:
                     if isinstance(e, DataError) or self._stored(table) == now:
@@ -646,13 +660,18 @@ class TableStore:
         update_columns: Sequence[str] | None = None,
         order_by: Sequence[str] = (),
         touched_only: bool = False,
+        by_file: bool = False,
     ) -> MergeResult:
         """Upsert the rows of ``source`` into ``dest``, keeping its partitioning.
 
         By default a new snapshot replaces the table, so that the cost follows the destination's size.
         ``touched_only`` rewrites just the partitions that matching or new rows fall into, into a delta of
         their own; the others are neither read nor written. It applies to partitioned tables whose
-        partition columns the merge does not update; for others a new snapshot is the only way.
+        partition columns the merge does not update.
+
+        ``by_file`` works for every table: it finds the files that hold a matching key, by a scan of the keys
+        alone, rewrites just these together with the new rows into a layer of their own, and names them in the
+        version as dropped. Its cost beyond that scan follows the files touched. `compact` folds such layers.
 
         The counts need no extra join: updates never change the number of rows, so what the table gained
         is what was inserted.
@@ -664,6 +683,9 @@ class TableStore:
             incoming, current = self.read(source), self._rows(dest, version)
             offered = incoming.count()
             parts = self._parts(dest, version)
+            if by_file and version is not None:
+                inserted = self._merge_files(dest, version, incoming, current, keys, update_columns, order_by)
+                return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
             moves = set(parts) & set(update_set(incoming, current, keys, update_columns, order_by))
             whole = not touched_only or not parts or bool(moves)
             if not whole:
@@ -677,6 +699,35 @@ class TableStore:
         inserted = after - before
         return MergeResult(self.layout.table_path(dest), offered, offered - inserted, inserted)
 
+    def _merge_files(
+        self,
+        table: str,
+        base: _Version,
+        source: DataFrame,
+        dest: DataFrame,
+        keys: Sequence[str],
+        update_columns: Sequence[str] | None,
+        order_by: Sequence[str],
+    ) -> int:
+        """Merge into the files that hold matching keys; returns the number of new rows."""
+        parts, column = list(base.partition_columns), f"file_{uuid.uuid4().hex}"
+        file = F.expr(_file(base))
+        placed = dest.select(*[named(k) for k in spelled(keys, dest.columns)], file.alias(column))
+        # Names of files, no more than the version will list.
+        touched = [r[0] for r in matching_rows(source, placed, keys).select(column).distinct().collect()]
+        rows = dest.filter(file.isin(*touched)) if touched else dest.limit(0)
+        before = rows.count()
+        merged = merge(source, rows, keys, update_columns, order_by, parts)
+        schema = self._widened(base.schema, parts, merged)
+        layer, _ = self._folder(_APPEND)
+        rewritten = merged.select(*[_column_or_null(merged, f) for f in schema])
+        seen = self._write(rewritten, parts, f"{self.layout.table_path(table)}/{layer}")
+        after = seen.get["rows"]
+        if after:
+            dropped = (*base.dropped, *touched)
+            self._commit_alone(table, base, replace(base, layers=(*base.layers, layer), schema=schema, dropped=dropped))
+        return after - before
+
     def _in_touched(self, source: DataFrame, dest: DataFrame, keys: Sequence[str], parts: list[str]) -> Column:
         """A predicate for every partition of ``dest`` that a merge may change.
 

@@ -110,6 +110,16 @@ def table_merge_touched(spark, sf_dir):
     return store.read("orders")
 
 
+@registry.query("merge_by_file", merging.MERGED)
+def merge_by_file(spark, sf_dir):
+    """Upsert into an unpartitioned table that rewrites only the files with matching keys."""
+    store = fresh_store(spark)
+    store.append("orders", table(spark, sf_dir, "orders").repartitionByRange(16, "o_orderkey"), cluster=False)
+    store.append("revisions", merging.revisions(spark, sf_dir))
+    store.merge("revisions", "orders", merging.KEYS, order_by=merging.ORDER_BY, by_file=True)
+    return _elsewhere(store, spark).read("orders")
+
+
 def _one_file_each(spark, sf_dir, parts):
     """Orders in a table with one file in each partition."""
     store = fresh_store(spark)

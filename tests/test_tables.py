@@ -588,3 +588,55 @@ def test_types_that_change_their_meaning_are_refused(store, spark):
     with pytest.raises(DataError, match="bigint, not string"):
         store.append("t", spark.createDataFrame([("1", 2)], "id string, n int"))
     assert store.read("t").count() == 2 and len(store.folders.children(store.layout.table_path("t"))) == 3
+
+
+@pytest.mark.parametrize("parts", [None, "p"])
+def test_merge_by_file_leaves_other_files_alone(store, spark, parts):
+    cols = "id int, name string, p string"
+    first = spark.createDataFrame([(i, "old", f"p{i % 3}") for i in range(80)], cols).repartitionByRange(8, "id")
+    store.append("t", first, parts, cluster=False)
+    store.append("t", spark.createDataFrame([(100, "old", "p0"), (None, "old", None)], cols).coalesce(1), cluster=False)
+    source = [(3, "new", "p0"), (100, "new", "p9"), (None, "new", "p1"), (500, "in", "p7"), (500, "in", "p7")]
+    store.append("s", spark.createDataFrame(source, cols).withColumn("extra", F.lit(1)))
+    before, held = _files(store, "t"), store.read("t")
+    result = store.merge("s", "t", ["id"], by_file=True)
+    assert (result.rows_updated, result.updated, result.inserted) == (5, 3, 2)
+    after = _files(store, "t")
+    gone = before - after
+    # The file with id 3, by range one of eight, and those of the later append.
+    assert len(gone) == (2 if parts is None else 3) and len(before & after) == len(before) - len(gone)
+    for one in (store, another(store)):
+        got = {(r.id, r.name, r.p) for r in one.read("t").collect()}
+        assert one.read("t").count() == 84 and one.spark.table(f"{one.layout.database}.t").count() == 84
+        assert {r for r in got if r[1] != "old"} == {(3, "new", "p0"), (100, "new", "p9"), (None, "new", "p1"), (500, "in", "p7")}
+    assert held.count() == 82 and held.filter("name <> 'old'").count() == 0
+    assert store.stats("t").first().row_count == 84
+    again = store.merge("s", "t", ["id"], ["name"], order_by=["name"], by_file=True)
+    assert (again.updated, again.inserted, store.read("t").count()) == (5, 0, 84)
+    store.compact("t", whole=True)
+    assert store.read("t").count() == 84 and store.compact("t", whole=True) == []
+    store.vacuum("t", timedelta(0))
+    assert another(store).read("t").count() == 84
+
+
+def test_merge_by_file_of_nothing_and_of_new_rows(store, spark, people):
+    store.append("t", people)
+    store.append("s", people.limit(0))
+    layers = store.layers("t")
+    assert store.merge("s", "t", ["id"], by_file=True).rows_updated == 0 and store.layers("t") == layers
+    store.overwrite("s", people.withColumn("id", F.col("id") + 100))
+    before = _files(store, "t")
+    assert store.merge("s", "t", ["id"], by_file=True).inserted == 3
+    assert before < _files(store, "t") and store.read("t").count() == 6
+
+
+def test_dropped_files_are_left_out_before_they_are_read(store, spark):
+    store.append("t", spark.range(0, 1000, 1, 10).withColumn("v", F.lit("a")), cluster=False)
+    store.append("s", spark.range(5).withColumn("v", F.lit("b")))
+    store.merge("s", "t", ["id"], by_file=True)
+    rows_read = store.read("t")
+    rows_read.collect()
+    scan = rows_read._jdf.queryExecution().executedPlan().collectLeaves().head()
+    files = scan.metrics().get("numFiles").get().value()
+    assert files == len(_files(store, "t")) < 10 + len(_files(store, "s"))
+    assert store.read("t").filter("v = 'b'").count() == 5
