@@ -145,7 +145,7 @@ class TableStore:
         self.layout = layout
         self.folders = Folders(spark)
         #: The version last read of each table, and the one its catalog entry was last brought up to.
-        self._read: dict[str, _Version] = {}
+        self._read: dict[str, tuple[tuple, _Version]] = {}
         self._known: dict[str, _Version] = {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(layout.database)} LOCATION {sql_text(layout.database_path)}")
 
@@ -171,13 +171,13 @@ class TableStore:
     def _stored(self, table: str) -> _Version | None:
         """The current version on storage, by one listing."""
         home = self.layout.metadata_path(table)
-        numbers = [f for f in self.folders.files(home) if f.startswith("v") and f.endswith(".json")]
-        if not numbers:
+        found = [f for f in self.folders.listing(home) if not f[1] and f[0].startswith("v") and f[0].endswith(".json")]
+        if not found:
             return None
-        read = self._read.get(table)
-        if read is None or numbers[-1] != _file_name(read.number):
-            read = self._read[table] = _Version.of(self.folders.read_text(f"{home}/{numbers[-1]}"))
-        return read
+        last = max(found)  # with its size and time, as a table may be dropped and made anew by someone else
+        if self._read.get(table, (None, None))[0] != last:
+            self._read[table] = last, _Version.of(self.folders.read_text(f"{home}/{last[0]}"))
+        return self._read[table][1]
 
     def _entry(self, table: str, version: _Version) -> str:
         return f"{table}{_ENTRY}{version.entry}"
@@ -272,7 +272,6 @@ class TableStore:
         version = replace(version, number=base.number + 1 if base else 1)
         home = self.layout.metadata_path(table)
         self.folders.write_text(f"{home}/{_file_name(version.number)}", version.to_json())
-        self._read[table] = version
         if version.number > VERSIONS:
             self.folders.remove(f"{home}/{_file_name(version.number - VERSIONS)}")
         self._attach(table, version)

@@ -640,3 +640,12 @@ def test_dropped_files_are_left_out_before_they_are_read(store, spark):
     files = scan.metrics().get("numFiles").get().value()
     assert files == len(_files(store, "t")) < 10 + len(_files(store, "s"))
     assert store.read("t").filter("v = 'b'").count() == 5
+
+
+def test_a_table_that_another_session_made_anew(store, people):
+    store.append("t", people, "p")
+    assert store.read("t").count() == 3
+    other = another(store)
+    other.drop("t")
+    other.append("t", people.select("id").limit(2))
+    assert store.read("t").columns == ["id"] and store.read("t").count() == 2
