@@ -7,6 +7,7 @@ The folder of a table is its truth, whatever session looks at it::
     <silver_root>/processed/<table>/delta-<time>-<id>/      partitions that replace those of all layers before
     <silver_root>/processed/<table>/_metadata/v<number>.json   schema, partition columns, layers in order,
                                                                and files of layers that count no longer
+    <silver_root>/processed/<table>/ranges-<time>-<id>/     the least and greatest values that files of layers hold
 
 Every write puts its rows into a folder of its own, a layer, that nothing names yet; then a version that lists it
 appears by one rename. The version with the highest number counts. So a failure at any moment leaves the version
@@ -47,7 +48,7 @@ from lodeworks.storage import Folders
 _ENTRY = "__v"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 #: Kinds of layers, by how their folders are called.
-_SNAPSHOT, _APPEND, _DELTA = "snapshot", "append", "delta"
+_SNAPSHOT, _APPEND, _DELTA, _RANGES = "snapshot", "append", "delta", "ranges"
 #: Runs that a version remembers, and versions whose files are kept, the current one included.
 RUNS, VERSIONS = 1000, 100
 #: Partitions that one statement adds.
@@ -59,7 +60,8 @@ class _Version:
     """One state of a table, as its metadata file has it. ``entry`` changes with all but appends.
 
     ``runs`` has the rows of writes that were given a run id, ``dropped`` the files that a merge has
-    replaced inside layers that stay, as `_file` says them.
+    replaced inside layers that stay, as `_file` says them. ``ranges`` has what `index` has written: a folder
+    and the columns and layers it covers.
     """
 
     number: int
@@ -69,6 +71,7 @@ class _Version:
     partition_columns: tuple[str, ...]
     runs: dict[str, int] = field(default_factory=dict)
     dropped: tuple[str, ...] = ()
+    ranges: tuple[dict, ...] = ()
 
     def to_json(self) -> str:
         return json.dumps({**self.__dict__, "schema": json.loads(self.schema.json())})
@@ -78,7 +81,7 @@ class _Version:
         found = json.loads(text)
         if "snapshot" in found:  # as versions were written before appends had layers
             found["layers"] = [found.pop("snapshot"), *found.pop("deltas")]
-        lists = {k: tuple(found.get(k, ())) for k in ("layers", "partition_columns", "dropped")}
+        lists = {k: tuple(found.get(k, ())) for k in ("layers", "partition_columns", "dropped", "ranges")}
         return cls(**{**found, **lists, "schema": StructType.fromJson(found["schema"])})
 
     @property
@@ -260,12 +263,15 @@ class TableStore:
             return self.spark.table(self._id(table))
         return self._of_layers(table, version, version.layers)
 
-    def _of_layers(self, table: str, version: _Version, layers: Sequence[str]) -> DataFrame:
+    def _of_layers(
+        self, table: str, version: _Version, layers: Sequence[str], hidden: dict[str, str] | None = None
+    ) -> DataFrame:
         """The rows that some layers have in a version. Spark leaves out the other layers, and dropped files, unread."""
         rows = self.spark.table(self._id(self._attach(table, version))).filter(named(version.layer_column).isin(*layers))
         if version.dropped:
             rows = rows.filter(~F.expr(_file(version)).isin(*version.dropped))
-        return rows.select(*[named(c) for c in version.schema.names])
+        more = [F.expr(sql).alias(name) for name, sql in (hidden or {}).items()]
+        return rows.select(*[named(c) for c in version.schema.names], *more)
 
     def _commit(self, table: str, base: _Version | None, version: _Version) -> _Version:
         """Make ``version`` the one that follows ``base``; from here on it is the table."""
@@ -361,10 +367,94 @@ class TableStore:
         columns: Sequence[str] | None = None,
         predicate: Column | str | None = None,
         limit: int | None = None,
+        between: dict[str, tuple] | None = None,
     ) -> DataFrame:
-        """T5, S12."""
+        """T5, S12.
+
+        ``between`` names columns with a least and a greatest value, None for an open end; rows outside, and
+        nulls, are left out as by a predicate. Files that `index` knows to hold no such row are not opened.
+        """
         with self._reporting(table, "read from"):
-            return scan(self._rows(table, self._stored(table)), columns, predicate, limit)
+            version = self._stored(table)
+            rows = self._rows(table, version)
+            if between:
+                names = spelled(list(between), rows.columns)
+                wanted = dict(zip(names, between.values()))
+                files = self._holding(table, version, wanted) if version else None
+                rows = rows.filter(all_of([_within(named(c), named(c), *ends) for c, ends in wanted.items()]))
+                rows = rows if files is None else rows.filter(files)
+            return scan(rows, columns, predicate, limit)
+
+    def index(self, table: str, columns: Sequence[str]) -> int:
+        """note the least and greatest values that each file holds of ``columns``; returns the files looked at.
+
+        Only layers that aren't covered yet are read, and of them these columns. What `read` takes ``between``
+        two values then leaves out whole files, which pays where rows lie in an order (`compact` with
+        ``order_by``). Files of later writes are read by all until the next call. A row per file is kept, in a
+        folder that the version names.
+        """
+        self._require(table, "The")
+        version = self._stored(table)
+        if version is None:
+            raise DataError(f"Table {table} isn't one of this layout's", source="tables", table=table)
+        columns = spelled(columns, version.schema.names)
+        unknown = [c for c in columns if c not in version.schema.names]
+        if unknown or not columns:
+            raise DataError(f"Table {table} has no columns {unknown} to index", source="tables", table=table)
+        with self._reporting(table, "index"):
+            done = [set(r["layers"]) for r in version.ranges if set(columns) <= set(r["columns"])]
+            layers = [x for x in version.layers if not any(x in d for d in done)]
+            if not layers:
+                return 0
+            found = self._of_layers(table, version, layers, hidden={"__file": _file(version)}).groupBy("__file").agg(
+                F.count(F.lit(1)).alias("__rows"),
+                *[f(named(c)).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in (("low", F.min), ("high", F.max))],
+            )
+            folder, _ = self._folder(_RANGES)
+            seen = self._write(found, (), f"{self.layout.table_path(table)}/{folder}")
+            note = {"folder": folder, "columns": columns, "layers": layers}
+            while True:
+                now = self._stored(table)
+                if now is None or now.layers[:1] != version.layers[:1]:
+                    raise DataError(f"Table {table} was changed by another writer", source="tables", table=table)
+                try:
+                    self._commit(table, now, replace(now, ranges=(*now.ranges, note)))
+                    return seen.get["rows"]
+                except LakeError as e:
+                    if isinstance(e, DataError) or self._stored(table) == now:
+                        raise
+
+    def _holding(self, table: str, version: _Version, wanted: dict[str, tuple]) -> Column | None:
+        """A condition on files that may hold wanted rows; None where nothing is known.
+
+        It names files that fit or files that don't, whichever are fewer. The names of files that fit come to
+        the driver as Spark's own file index has them.
+        """
+        known, covered = None, set()
+        for note in version.ranges:
+            ends = {i: wanted[c] for i, c in enumerate(note["columns"]) if c in wanted}
+            if not ends or not set(note["layers"]) & set(version.layers):
+                continue
+            rows = self.spark.read.format(self.layout.table_format).load(f"{self.layout.table_path(table)}/{note['folder']}")
+            fits = all_of([_within(F.col(f"low{i}"), F.col(f"high{i}"), *e) for i, e in ends.items()])
+            rows = rows.select(F.col("__file").alias("file"), F.coalesce(fits, F.lit(False)).alias("fits"))
+            known = rows if known is None else known.unionByName(rows)
+            covered |= set(note["layers"])
+        if known is None:
+            return None
+        live = known.filter(F.substring_index("file", "/", 1).isin(*version.layers))
+        if version.dropped:
+            live = live.filter(~F.col("file").isin(*version.dropped))
+        live = live.groupBy("file").agg(F.min("fits").alias("fits"))
+        many = {r["fits"]: r["count"] for r in live.groupBy("fits").count().collect()}
+        if not many.get(False):
+            return None
+        whole = covered >= set(version.layers)
+        kept = whole and many.get(True, 0) <= many[False]
+        names = [r["file"] for r in live.filter(F.col("fits") == kept).select("file").collect()]
+        if not names:
+            return F.lit(False)
+        return F.expr(f"{_file(version)} {'' if kept else 'NOT '}IN ({', '.join(map(sql_text, names))})")
 
     def _files(self, table: str, version: _Version | None, parts: Sequence[str]) -> DataFrame:
         """A row per file that holds rows: partition values, ``__file``, ``__bytes`` and ``__rows``.
@@ -568,11 +658,12 @@ class TableStore:
         self._commit_alone(table, base, _Version(0, token, (snapshot,), schema, tuple(parts), runs))
         return seen
 
-    def compact(self, table: str, whole: bool = False) -> list[str]:
+    def compact(self, table: str, whole: bool = False, order_by: Sequence[str] = ()) -> list[str]:
         """Fold layers into fewer, larger files; returns the folders that the table no longer uses.
 
         Appends that no delta follows become one layer, at the cost of their rows alone. ``whole`` folds all layers
-        into a new snapshot. Adaptive execution sizes the files. Readers keep the old layers until `vacuum`; appends
+        into a new snapshot. Adaptive execution sizes the files. With ``order_by`` rows are laid out by ranges of these
+        columns, in order within a file; a value that many rows have is spread over files. Readers keep the old layers until `vacuum`; appends
         that come meanwhile stay, and any other change refuses the fold.
         """
         self._require(table, "The")
@@ -584,13 +675,16 @@ class TableStore:
             first -= 1
         first = 0 if whole else first
         folded = version.layers[first:]
-        if len(folded) < 2 and not (whole and version.dropped):
+        if len(folded) < 2 and not (whole and (version.dropped or order_by)):
             return []
         with self._reporting(table, "compact"):
             rows = self._of_layers(table, version, folded)
             layer, token = self._folder(_APPEND if first else _SNAPSHOT)
             parts = list(version.partition_columns)
-            grouped = cluster_for(rows, parts) if parts else rows.hint("rebalance")
+            order = [named(c) for c in spelled(order_by, rows.columns)]
+            if order:
+                rows = self._by_ranges(rows, [*map(named, parts), *order])
+            grouped = rows if order else cluster_for(rows, parts) if parts else rows.hint("rebalance")
             self._write(grouped, parts, f"{self.layout.table_path(table)}/{layer}")
             while True:
                 now = self._stored(table)
@@ -599,12 +693,19 @@ class TableStore:
                 layers = (*version.layers[:first], layer, *now.layers[len(version.layers) :])
                 try:
                     dropped = now.dropped if first else tuple(x for x in now.dropped if x not in version.dropped)
-                    self._commit(table, now, replace(now, entry=token, layers=layers, dropped=dropped))
+                    ranges = tuple(r for r in now.ranges if set(r["layers"]) & set(layers))
+                    self._commit(table, now, replace(now, entry=token, layers=layers, dropped=dropped, ranges=ranges))
                     return list(folded)
                 except LakeError as e:
                     if isinstance(e, DataError) or self._stored(table) == now:
                         raise
 
+    @staticmethod
+    def _by_ranges(rows: DataFrame, order: list[Column]) -> DataFrame:
+        """Rows in ranges of ``order``, ties apart by a digest of the row, so that no range is one hot value's alone."""
+        plain = [named(f.name) for f in rows.schema if "map<" not in f.dataType.simpleString()]
+        return rows.repartitionByRange(*order, F.xxhash64(*plain)).sortWithinPartitions(*order)
+
     def vacuum(self, table: str, older_than: timedelta = timedelta(days=7)) -> list[str]:
         """Remove what the current version doesn't use and is older than that; returns the folders' names.
 
@@ -613,10 +714,10 @@ class TableStore:
         """
         stored, home = self._stored(table), self.layout.table_path(table)
         limit = (datetime.now(timezone.utc) - older_than).strftime(_STAMP)
-        used = set(stored.layers) if stored else set()
+        used = {*stored.layers, *(r["folder"] for r in stored.ranges)} if stored else set()
         gone = [
             f for f in self.folders.children(home)
-            if f.split("-")[0] in (_SNAPSHOT, _APPEND, _DELTA) and f not in used and f.split("-")[1] < limit
+            if f.split("-")[0] in (_SNAPSHOT, _APPEND, _DELTA, _RANGES) and f not in used and f.split("-")[1] < limit
         ]
         for folder in gone:
             self.folders.remove(f"{home}/{folder}")
@@ -808,6 +909,13 @@ class TableStore:
 _STAMP = "%Y%m%dT%H%M%S%f"
 
 
+def _within(low: Column, high: Column, least, greatest) -> Column:
+    """Whether values from ``low`` to ``high`` may lie between two values, None for an open end."""
+    ends = [high >= F.lit(least)] if least is not None else []
+    ends += [low <= F.lit(greatest)] if greatest is not None else []
+    return all_of(ends) if ends else low.isNotNull()
+
+
 def _with_run(base: _Version | None, run_id: str | None, seen: Observation) -> dict[str, int]:
     """The runs of ``base``, the oldest forgotten if there are too many, and this one."""
     runs = dict(base.runs) if base else {}

@@ -250,6 +250,26 @@ def table_compact(spark, sf_dir):
     return store.read("orders").withColumn("fewer", F.lit(files[0] > files[1] > files[2]))
 
 
+@registry.query(
+    "table_skip",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true AS skipped FROM orders
+       WHERE o_totalprice BETWEEN 100000 AND 110000
+       UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true FROM orders
+       WHERE o_totalprice BETWEEN 100000 AND 110000 AND o_orderkey % 2 = 0""",
+)
+def table_skip(spark, sf_dir):
+    """A range of prices out of a table laid out and indexed by price, and of an append that isn't indexed."""
+    store, orders = fresh_store(spark), table(spark, sf_dir, "orders")
+    cheap_first = orders.repartitionByRange(8, "o_totalprice")
+    store.append("orders", cheap_first, cluster=False)
+    store.index("orders", ["o_totalprice", "o_orderdate"])
+    wanted = {"o_totalprice": (100000, 110000)}
+    few = store.read("orders", between=wanted).select(F.input_file_name().alias("f")).distinct().count()
+    store.append("orders", orders.filter("o_orderkey % 2 = 0"))
+    skipped = few < store.stats("orders").first()["file_count"]
+    return store.read("orders", between=wanted).withColumn("skipped", F.lit(skipped))
+
+
 @registry.query("table_merge_conflict", merging.MERGED)
 def table_merge_conflict(spark, sf_dir):
     """Of two merges that meet the later is refused: the table has all of the earlier one and nothing else."""

@@ -649,3 +649,84 @@ def test_a_table_that_another_session_made_anew(store, people):
     other.drop("t")
     other.append("t", people.select("id").limit(2))
     assert store.read("t").columns == ["id"] and store.read("t").count() == 2
+
+
+def _opened(df):
+    """The rows, and the number of files that were opened for them."""
+    got = df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    metric = scan.metrics().get("numFiles") if scan.metrics().contains("numFiles") else None
+    return got, metric.get().value() if metric is not None else 0
+
+
+def _skipping(store, spark, parts=None):
+    rows_ = [(i, float(i) if i % 10 else None, f"n{i:03d}", f"p{i % 2}") for i in range(100)]
+    df = spark.createDataFrame(rows_, "id int, v double, `a.b` string, p string").repartitionByRange(10, "id")
+    store.append("t", df, parts, cluster=False)
+    return rows_
+
+
+@pytest.mark.parametrize("parts", [None, ["p"]])
+def test_files_outside_a_range_are_not_opened(store, spark, parts):
+    _skipping(store, spark, parts)
+    before = store.read("t", between={"id": (25, 34)})
+    got, opened = _opened(before)
+    many = len(_files(store, "t"))
+    assert len(got) == 10 and opened == many
+    assert store.index("t", ["ID", "a.b"]) == many and store.index("t", ["id"]) == 0
+    for one in (store, another(store)):
+        for wanted, ids in (
+            ({"id": (25, 34)}, range(25, 35)),
+            ({"id": (None, 4)}, range(5)),
+            ({"id": (95, None)}, range(95, 100)),
+            ({"a.b": ("n020", "n029"), "id": (25, None)}, range(25, 30)),
+            ({"id": (200, 300)}, ()),
+            ({"id": (5, 95)}, range(5, 96)),
+        ):
+            got, opened = _opened(one.read("t", between=wanted))
+            assert sorted(r.id for r in got) == list(ids)
+            assert opened < many or wanted == {"id": (5, 95)}
+    assert [r.id for r in store.read("t", ["id"], "id % 2 = 0", between={"id": (10, 13)}).orderBy("id").collect()] == [10, 12]
+
+
+def test_skipping_follows_appends_merges_and_compaction(store, spark):
+    rows_ = _skipping(store, spark)
+    store.index("t", ["id", "v"])
+    store.append("t", spark.createDataFrame([(30, 1.0, "late", "p0"), (None, None, None, None)], "id int, v double, `a.b` string, p string"))
+    wanted = {"id": (30, 30)}
+    assert sorted(r["a.b"] for r in store.read("t", between=wanted).collect()) == ["late", "n030"]
+    assert store.index("t", ["id", "v"]) > 0
+    got, opened = _opened(store.read("t", between=wanted))
+    assert len(got) == 2 and opened == 2
+    assert store.read("t", between={"v": (None, None)}).count() == 91  # nulls are outside every range
+    store.append("s", spark.createDataFrame([(31, 7.5, "new", "p0")], "id int, v double, `a.b` string, p string"))
+    store.merge("s", "t", ["id"], by_file=True)
+    assert [r.v for r in store.read("t", between={"id": (31, 31)}).collect()] == [7.5]
+    assert store.compact("t", whole=True, order_by=["id"]) and store.read("t").count() == len(rows_) + 2
+    assert store.read("t", between={"id": (30, 31)}).count() == 3
+    store.index("t", ["id"])
+    assert store.read("t", between={"id": (30, 31)}).count() == 3
+    store.vacuum("t", timedelta(0))
+    assert another(store).read("t", between={"id": (30, 31)}).count() == 3
+
+
+def test_a_hot_value_is_laid_out_over_several_files(spark):
+    df = spark.range(6000).withColumn("v", F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        laid = TableStore._by_ranges(df, [F.col("v")]).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sum(r.n for r in laid) == 6000 and max(r.n for r in laid) < 2000
+
+
+def test_index_of_unknown_columns_and_of_empty_tables(store, spark):
+    store.create("t", "id int, v string")
+    assert store.index("t", ["id"]) in (0, 1)
+    assert store.read("t", between={"id": (1, 2)}).count() == 0
+    with pytest.raises(DataError):
+        store.index("t", ["nothing"])
+    with pytest.raises(DataError):
+        store.index("missing", ["id"])
