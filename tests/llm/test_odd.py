@@ -253,22 +253,64 @@ def test_language_model(spark, docs, monkeypatch):
                 assert r["base_score"] == pytest.approx(base[r["id"], r["n_tokens"]])
 
 
-def test_probabilities_sum_to_one(spark):
+def _small_corpus(spark):
     rows = [(i, f"the w{i % 40} of a thing{i % 7} and x{i}") for i in range(300)]
     docs = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "cast(text AS binary) AS body")
-    counts = language_model.count_words(docs)
+    return rows, docs, language_model.count_words(docs)
+
+
+def test_probabilities_sum_to_one(spark):
+    _, docs, counts = _small_corpus(spark)
     words = language_model.vocabulary(counts)
-    near, far, sums = language_model.train(docs, words).tables()
-    for last, before in ((3, 5), (language_model.START, language_model.START), (400, 1)):
-        events = np.exp(near[last] + far[before] - sums[before, last])
+    model, wide = language_model.train(docs, words), words.wide
+    sums, every = model.sums(), np.arange(wide)
+    for last, before in ((3, 5), (wide, wide), (wide - 20, 1)):
+        events = np.exp(model.scores(np.full(wide, before), np.full(wide, last), every) - sums[before, last])
         assert events.sum() == pytest.approx(1, abs=1e-4)
     # Within a class, the known words and one unknown.
-    for event in range(language_model.EVENTS - language_model.CLASSES, language_model.EVENTS):
+    for event in range(wide - wide // 2, wide):
         tokens, many = words.event_tokens[event], words.event_words[event]
         inside = [words.count[at] for w, at in words.words.items() if words.event[at] == event]
         assert (sum(c + 1 for c in inside) + 1) / (tokens + many + 1) == pytest.approx(1)
 
 
+def test_scores_are_plain_sums(spark, monkeypatch):
+    """Every score against one worked out token by token in doubles, with words that come by the join too."""
+    rows, docs, counts = _small_corpus(spark)
+    monkeypatch.setattr(language_model, "KNOWN", 20)
+    words = language_model.vocabulary(counts)
+    model, wide = language_model.train(docs, words), words.wide
+    known = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    far, near, out, bias = (np.float64(x) for x in (model.far, model.near, model.out, model.bias))
+    own = {w: int(words.event[at]) for w, at in words.words.items() if words.event[at] < wide - wide // 2}
+    classes = {w: language_model.class_of(w, wide) for w in known if w not in own}
+    others = [(4000, "the unseen words of w3"), (4001, "")]
+    both = docs.unionByName(spark.createDataFrame(others, "id long, text string").selectExpr("id", "cast(text AS binary) AS body"))
+    got = {r["id"]: r["score"] for r in language_model.scored(both, counts, words, model).collect()}
+    assert len(got) == len(rows) + 2
+    for i, text in [*rows[::17], *others]:
+        before, last, score = wide, wide, 0.0
+        for word in language_model.tokens(text.encode()):
+            event = own.get(word, language_model.class_of(word, wide))
+            each = out @ (far[before] + near[last]) + bias
+            score += each[event] / math.log(10) - math.log10(np.exp(each).sum())
+            if word not in own:
+                inside = [known[w] for w, c in classes.items() if c == event]
+                score += math.log10((known.get(word, 0) + 1) / (sum(inside) + len(inside) + 1))
+            before, last = last, event
+        assert got[i] == pytest.approx(score, rel=1e-4)
+
+
+def test_the_model_does_not_depend_on_partitions_and_grows(spark):
+    assert [language_model.events_of(n) for n in (0, 1 << 21, 1 << 27)] == [128, 1024, 2048]
+    _, docs, counts = _small_corpus(spark)
+    words = language_model.vocabulary(counts)
+    flats = [language_model.train(docs.repartition(n), words, part).flat for part in (1 << 22, 600) for n in (1, 4, 64)]
+    for one, same in ((0, 1), (0, 2), (3, 4), (3, 5)):
+        assert np.allclose(flats[one], flats[same], atol=1e-5)
+    assert not np.allclose(flats[0], flats[3], atol=1e-5)  # four parts, averaged
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0)], [(8, 1), (4, 0), (5, 0), (6, 1), (None, 1), (9, None), (8, 0)]])
 def test_toxicity(spark, docs, labels):
     model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
