@@ -1,7 +1,8 @@
 """Licence scan by canonical digests.
 
-A text is brought to a canonical form: A-Z in lower case, lines of copyright holders dropped, punctuation
-turned into single blanks, equivalent spellings made one. The digest of the entire form is hash-joined to
+A text is brought to a canonical form: A-Z in lower case, lines of copyright holders dropped, punctuation, and
+with it line ends and the marks of comments, turned into single blanks, equivalent spellings made one. A line names
+a holder if it begins, comment marks aside, with the word copyright and a sign or year, or a sign and a year. The digest of the entire form is hash-joined to
 the digests of known licence texts. Whole documents are looked up, and so is every line of a document as a
 text of its own, which finds licence notices inside other text. The known digests are a fixed, small table,
 so the join shuffles no text; only matched lines are grouped.
@@ -20,7 +21,10 @@ from pyspark.sql import functions as F
 from lodeworks.llm.frames import LOWER, UPPER, documents, lower_ascii, text_of, written
 
 #: Steps of the canonical form as patterns and replacements, in Java's and RE2's common syntax.
-COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|\x{A9})[^\n]*"
+COPYRIGHT = (
+    r"(^|\n)[ \t#*;/%!<>-]*(portions[ \t]+)?"
+    r"(copyright[ \t:,]*(\(c\)|\x{A9}|[<\[]?[0-9]{4}|[<\[]year)|(\(c\)|\x{A9})[ \t]*(copyright[ \t]*)?[0-9]{4})[^\n]*"
+)
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{A0}\x{A9}\x{2010}-\x{2027}]+"
 
 #: Equivalent spellings, as whole words between blanks.
@@ -48,19 +52,99 @@ _ISC_AS_IS = (
     "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
     "USE OR PERFORMANCE OF THIS SOFTWARE."
 )
-#: Licence texts and notices by identifier. More are given by `scan`'s parameter.
-KNOWN = (
-    ("MIT", "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this "
+_BSD_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+    "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this "
+    "list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+    "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution.\n\n"
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.\n\n"
+)
+#: Identifier, title and body of whole texts; a copy may have the title or not.
+_TITLED = (
+    ("MIT", "MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
      'software and associated documentation files (the "Software"), to deal in the Software without restriction, '
      "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or "
      "sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
      "following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies "
      "or substantial portions of the Software.\n\n" + _AS_IS),
-    ("ISC", "ISC License\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or "
+    ("MIT-0", "MIT No Attribution", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+     'this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
+     "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or "
+     "sell copies of the Software, and to permit persons to whom the Software is furnished to do so.\n\n" + _AS_IS),
+    ("ISC", "ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
      "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
      "all copies.\n\n" + _ISC_AS_IS),
-    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
-     "is hereby granted.\n\n" + _ISC_AS_IS),
+    ("0BSD", "BSD Zero Clause License", "Permission to use, copy, modify, and/or distribute this software for any "
+     "purpose with or without fee is hereby granted.\n\n" + _ISC_AS_IS),
+    ("BSD-2-Clause", "BSD 2-Clause License", _BSD + _BSD_AS_IS),
+    ("BSD-3-Clause", "BSD 3-Clause License", _BSD + _BSD_NAMES + _BSD_AS_IS),
+    ("Zlib", "zlib License", "This software is provided 'as-is', without any express or implied warranty. In no event "
+     "will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted "
+     "to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+     "redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not be "
+     "misrepresented; you must not claim that you wrote the original software. If you use this software in a product, "
+     "an acknowledgment in the product documentation would be appreciated but is not required.\n\n2. Altered source "
+     "versions must be plainly marked as such, and must not be misrepresented as being the original software.\n\n"
+     "3. This notice may not be removed or altered from any source distribution."),
+    ("Unlicense", "The Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone "
+     "is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+     "as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\nIn jurisdictions that "
+     "recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the "
+     "software to the public domain. We make this dedication for the benefit of the public at large and to the "
+     "detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+     "perpetuity of all present and future rights to this software under copyright law.\n\n"
+     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+     "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+     "AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+     "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+     "\n\nFor more information, please refer to <https://unlicense.org>"),
+    ("Apache-2.0", "Apache License 2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use '
+     "this file except in compliance with the License. You may obtain a copy of the License at\n\n"
+     "http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software "
+     'distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
+     "either express or implied. See the License for the specific language governing permissions and limitations under "
+     "the License."),
+    ("MPL-2.0", "Mozilla Public License 2.0", "This Source Code Form is subject to the terms of the Mozilla Public "
+     "License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
+     "http://mozilla.org/MPL/2.0/."),
+)
+
+
+def _gnu(name: str, version: int, later: str) -> str:
+    """The notice that files under a GNU licence carry."""
+    return (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the {name} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or {later}any later "
+        "version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        f"even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more "
+        f"details.\n\nYou should have received a copy of the {name} along with this program. If not, see "
+        "<https://www.gnu.org/licenses/>."
+    )
+
+
+_GNU = (
+    ("GPL-2.0-or-later", "GNU General Public License", 2), ("GPL-3.0-or-later", "GNU General Public License", 3),
+    ("LGPL-3.0-or-later", "GNU Lesser General Public License", 3),
+    ("AGPL-3.0-or-later", "GNU Affero General Public License", 3),
+)
+#: Licence texts, and as fixed values notices, by identifier. More are given by `scan`'s parameter.
+KNOWN = (
+    *[(name, f"{title}\n\n{body}") for name, title, body in _TITLED],
+    *[(name, body) for name, _, body in _TITLED],
+    *[(name, _gnu(title, version, later)) for name, title, version in _GNU for later in ("(at your option) ", "")],
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
@@ -83,10 +167,16 @@ KNOWN = (
 def canonical(text: Column) -> Column:
     """The canonical form of a text, between blanks that are trimmed."""
     out = F.regexp_replace(lower_ascii(text), COPYRIGHT, "\n")
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, PUNCTUATION, " ")), F.lit(" "))
+    # Two blanks between words, so that each of two neighbours has its own.
+    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, PUNCTUATION, "  ")), F.lit(" "))
     for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} " if new else " "))
-    return F.trim(out)
+        out = F.replace(out, F.lit(_apart(old)), F.lit(_apart(new)))
+    return F.trim(F.regexp_replace(out, " +", " "))
+
+
+def _apart(words: str) -> str:
+    """Words as they stand among others, each between blanks of its own."""
+    return "".join(f" {w} " for w in words.split())
 
 
 def digest(text: Column) -> Column:
@@ -127,10 +217,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _canonical_sql(text: str) -> str:
     out = f"regexp_replace(translate({text}, '{UPPER}', '{LOWER}'), '{COPYRIGHT}', chr(10), 'g')"
-    out = f"' ' || trim(regexp_replace({out}, '{PUNCTUATION}', ' ', 'g')) || ' '"
+    out = f"' ' || trim(regexp_replace({out}, '{PUNCTUATION}', '  ', 'g')) || ' '"
     for old, new in SPELLINGS:
-        out = f"replace({out}, ' {old} ', '{f' {new} ' if new else ' '}')"
-    return f"sha256(trim({out}))"
+        out = f"replace({out}, '{_apart(old)}', '{_apart(new)}')"
+    return f"sha256(trim(regexp_replace({out}, ' +', ' ', 'g')))"
 
 
 def _quoted(text: str) -> str:

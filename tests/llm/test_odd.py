@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -31,6 +32,28 @@ def test_license_scan(spark, docs):
     assert all(r["license"] is None and r["n_notices"] == 0 for r in got)
 
 
+@pytest.mark.parametrize("mark", ["", "# ", "// ", " * ", ";; ", "-- "])
+@pytest.mark.parametrize("width", [40, 72, 100, 10_000])
+def test_licenses_in_any_wrapping(spark, mark, width):
+    """Every whole text, wrapped and commented as files have it, below a line that names the holder."""
+    rows, names = [], {}
+    for at, (name, body) in enumerate(k for k in licenses.KNOWN if len(k[1]) > 150):
+        lines = ["Copyright (c) 2020-2024 Ann Author <ann@example.org>", "(c) 2019 others", ""]
+        for paragraph in body.split("\n\n"):
+            lines += [*textwrap.wrap(paragraph, width, break_long_words=False, break_on_hyphens=False), ""]
+        rows.append((at, "\n".join(mark + x for x in lines)))
+        names[at] = name
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in got} == names and len(names) > 20
+
+
+def test_license_prose_and_neighbours_are_kept(spark):
+    known = [("x", "copyright notice here"), ("y", "a license license b"), ("z", "(c) you must keep it")]
+    rows = [(1, "Copyright notice\nhere"), (2, "a licence licence b"), (3, "Copyright 2020 me\n(c) You must keep it"), (4, "(c)")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
+    assert {r["doc_id"]: r["license"] for r in got} == {1: "x", 2: "y", 3: "z", 4: None}
+
+
 def test_license_of_whole_texts_and_lines(spark):
     mit = licenses.KNOWN[0][1]
     changed = mit.replace("MIT License\n", "MIT Licence\n\nCopyright (c) 2020 A. Person, all rights reserved\n").upper()
