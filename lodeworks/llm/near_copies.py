@@ -269,7 +269,12 @@ def keep(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("least")
     nodes = prefixes(docs, heavy).groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"), least)
     nodes = written(nodes, "nodes")
-    named = components(written(links(nodes, docs), "links")).withColumnRenamed("node", "member")
-    heads = nodes.select("node", "least").join(named, F.col("node") == F.col("member"), "left")
-    heads = heads.groupBy(F.coalesce("component", "node").alias("part")).agg(F.min("least").alias("head"))
-    return only(docs, heads.select(F.col("head.id").alias("component_id"), F.col("head.key").alias("key")))
+    return heads(docs, nodes, links(nodes, docs))
+
+
+def heads(docs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have the least id of each component of ``nodes`` under ``edges``."""
+    named = components(written(edges, "links")).withColumnRenamed("node", "member")
+    least = nodes.select("node", "least").join(named, F.col("node") == F.col("member"), "left")
+    least = least.groupBy(F.coalesce("component", "node").alias("part")).agg(F.min("least").alias("head"))
+    return only(docs, least.select(F.col("head.id").alias("component_id"), F.col("head.key").alias("key")))
