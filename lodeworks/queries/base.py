@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodeworks.functions.columns import all_of, named
 from lodeworks.layout import LakeLayout
 from lodeworks.operators.tables import TableStore
 from lodeworks.storage import work_folder
@@ -59,6 +60,17 @@ def fresh_store(spark: SparkSession) -> TableStore:
     return TableStore(spark, fresh_layout(spark))
 
 
+def one_task_each(df: DataFrame, *parts: str) -> DataFrame:
+    """The rows of each value of ``parts`` in a task of their own, so that a write makes one file per folder.
+
+    A value's rows are all that a task reads and sorts; a single task for all would grow with the whole table.
+    """
+    folders = df.select(*[named(p).alias(f"__{p}") for p in parts]).distinct()
+    folders = folders.withColumn("__task", F.row_number().over(Window.orderBy(*[named(c) for c in folders.columns])) - 1)
+    dealt = df.join(F.broadcast(folders), all_of([named(p).eqNullSafe(named(f"__{p}")) for p in parts]))
+    return dealt.repartitionById(max(1, folders.count()), F.col("__task")).select(*[named(c) for c in df.columns])
+
+
 # The given tables hold no NULL, so quality queries blank some cells by fixed rules. Every row stays.
 DIRTY_SQL = """
 SELECT event_id, ts,
