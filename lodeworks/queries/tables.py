@@ -8,10 +8,11 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from lodeworks.errors import DataError
+from lodeworks.layout import parse_partition_cols
 from lodeworks.operators import merge as m
 from lodeworks.operators.tables import TableStore
 from lodeworks.queries import merging
-from lodeworks.queries.base import Registry, fresh_store, table
+from lodeworks.queries.base import Registry, fresh_store, one_task_each, table
 
 registry = Registry()
 
@@ -123,7 +124,8 @@ def merge_by_file(spark, sf_dir):
 def _one_file_each(spark, sf_dir, parts):
     """Orders in a table with one file in each partition."""
     store = fresh_store(spark)
-    store.append("orders", table(spark, sf_dir, "orders").coalesce(1), parts, cluster=False)
+    orders = one_task_each(table(spark, sf_dir, "orders"), *parse_partition_cols(parts))
+    store.append("orders", orders, parts, cluster=False)
     return store
 
 
