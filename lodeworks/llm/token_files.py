@@ -3,10 +3,10 @@
 Documents are range-partitioned and sorted by id, encoded, ended with id 0 and gathered into shards of
 whole documents. A shard's ids are compressed by Re-Pair: frequent pairs of neighbours are replaced by
 nonterminals, again and again, until no pair has ``LEAST_USES`` places without overlap. A round
-counts pairs in hashed bins, takes a pair of each of the fullest bins, counts those
-exactly, settles overlaps from left to right in favour of the more frequent, and replaces all at once;
-a rule is made only for a pair replaced at least ``LEAST_USES`` times. Once such a round would save less than
-``LEAST_GAIN`` of the sequence, rounds count all pairs exactly instead.
+sorts the places that may count by their pair, takes the ``MOST`` most frequent pairs, settles overlaps from left
+to right in favour of the more frequent, and replaces all at once; a rule is made only for a pair replaced at least
+``LEAST_USES`` times. Once a round saves less than ``LEAST_GAIN`` of the sequence, rounds take all pairs. The places of a
+round are those of frequent pairs in the round before, and those beside a new symbol: no other pair can be frequent.
 
 The format is a Parquet table, a row per shard in order of ``shard``:
 
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,13 +48,20 @@ from lodeworks.storage import work_folder
 
 #: Ids at which a shard is closed.
 SHARD = 1 << 21
-#: Bins of a round's counting, and how many of the fullest are looked at.
-BINS, FULLEST = 1 << 20, 1 << 14
-#: Uses of a rule, and share of the sequence that a round by bins must save; below it all pairs are counted.
+#: Pairs that a round takes.
+MOST = 1 << 14
+#: Uses of a rule, and share of the sequence that a round must save; below it rounds take all pairs.
 LEAST_USES, LEAST_GAIN = 4, 0.01
 END = 0
 #: Runs of text kept by a Python worker, and the longest that is kept.
 KEPT, LONGEST = 1_400_000, 64
+#: Bytes of text that are encoded at a time, and a text more; eight times as many are no faster and take 160 MB more.
+BLOCK = 1 << 20
+#: Texts whose runs aren't plain: three blanks or line ends together, two at the end, any other blank (as in `CHUNK`), the mark.
+UNEVEN = (
+    r"[ \n]{3}|[ \n]{2}$|"
+    r"[\x01\t\x0B-\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
 _NULL = -(1 << 63)
 
 SCHEMA = (
@@ -64,103 +72,121 @@ SCHEMA = (
 
 def repair(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, lengths, sequence) of ids below ``first``."""
-    sequence = ids.astype(np.uint32)
-    rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    exact, turn = False, 0
-    while len(sequence) > 1:
-        pairs = sequence[:-1].astype(np.uint64)
-        pairs <<= np.uint64(32)
-        pairs |= sequence[1:]
-        turn += 1
-        at, rule, new = _all_pairs(pairs, turn) if exact else _full_bins(pairs, turn)
-        if not exact and len(at) - 2 * len(new) < LEAST_GAIN * len(sequence):
-            exact = True
-            continue
-        if not len(new):
+    sequence, rules, lengths = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), np.ones(first, np.uint32)
+    at, most = np.arange(max(len(sequence) - 1, 0)), MOST
+    while len(at):
+        kinds, counts, at, kind = _frequent(sequence, at, len(lengths))
+        best = _chosen(at, kind, counts, most)
+        if not len(best):
             break
-        new = np.stack([new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-        sequence[at] = first + len(rules) + rule
-        left = np.ones(len(sequence), bool)
-        left[at + 1] = False
-        sequence = sequence[left]
-        known = np.concatenate([np.ones(first, np.uint32), lengths])
-        rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, known[new].sum(1, dtype=np.uint32)])
-    return rules, lengths, sequence
-
-
-def _bins(pairs: np.ndarray, turn: int) -> np.ndarray:
-    """A bin for each pair, by another hash in every round."""
-    by = (0x9E3779B97F4A7C15 * (2 * turn - 1)) & 0xFFFFFFFFFFFFFFFF
-    return ((pairs * np.uint64(by)) >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
-
-
-def _full_bins(pairs: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, number of the rule at each, pairs of the rules): a pair of each of the fullest bins."""
-    bins = _bins(pairs, turn)
-    counts = np.bincount(bins, minlength=BINS)
-    least = max(LEAST_USES, int(np.partition(counts, BINS - FULLEST)[BINS - FULLEST]))
-    at = np.flatnonzero((counts >= least)[bins])
-    # A bin stands for one pair, the last seen in it; others wait for a round that bins them apart.
-    most = np.zeros(BINS, np.uint64)
-    most[bins[at]] = pairs[at]
-    at = at[most[bins[at]] == pairs[at]]
-    counts = np.bincount(bins[at], minlength=BINS)
-    at = at[counts[bins[at]] >= LEAST_USES]
-    at = _apart(at, counts[bins[at]])
-    used = np.bincount(bins[at], minlength=BINS)
-    chosen = np.flatnonzero(used >= LEAST_USES)
-    at = at[used[bins[at]] >= LEAST_USES]
-    number = np.zeros(BINS, np.uint32)
-    number[chosen] = np.arange(len(chosen))
-    return at, number[bins[at]], most[chosen]
-
-
-def _all_pairs(pairs: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same for all pairs with ``LEAST_USES``; no rule only if none has as many places without overlap."""
-    bins = _bins(pairs, turn)
-    at = np.flatnonzero((np.bincount(bins, minlength=BINS) >= LEAST_USES)[bins])
-    kinds, kind, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
-    often = counts[kind] >= LEAST_USES
-    at, kind = at[often], kind[often]
-    of = np.zeros(len(pairs), np.int64)
-    of[at] = kind
-    best = _apart(at, counts[kind])
-    used = np.bincount(of[best], minlength=len(kinds))
-    if not (used >= LEAST_USES).any():
-        # Pairs block each other: one after the other, the more frequent first, at the places still free.
-        order = np.argsort(kind, kind="stable")
-        ends = np.cumsum(np.bincount(kind, minlength=len(kinds)))
-        taken, best = np.zeros(len(pairs) + 2, bool), []
-        for k in np.argsort(-counts, kind="stable").tolist():
-            if counts[k] < LEAST_USES:
-                break
-            places = at[order[ends[k] - counts[k] : ends[k]]]
-            # taken is shifted by one: the place before, the place, the place after.
-            places = places[~(taken[places] | taken[places + 1] | taken[places + 2])]
-            places = _apart(places, np.ones(len(places), np.int64))
-            if len(places) >= LEAST_USES:
-                taken[places + 1] = True
-                best.append(places)
-        best = np.sort(np.concatenate(best)) if best else np.zeros(0, np.int64)
-        used = np.bincount(of[best], minlength=len(kinds))
-    chosen = np.flatnonzero(used >= LEAST_USES)
-    best = best[used[of[best]] >= LEAST_USES]
-    number = np.zeros(len(kinds), np.uint32)
-    number[chosen] = np.arange(len(chosen))
-    return best, number[of[best]], kinds[chosen]
+        used = np.bincount(kind[best], minlength=len(kinds)) > 0
+        new, number, best_at = kinds[used], np.cumsum(used) - 1, at[best]
+        sequence[best_at] = len(lengths) + number[kind[best]]
+        lengths = np.concatenate([lengths, lengths[new].sum(1, dtype=np.uint32)])
+        rules = np.concatenate([rules, new])
+        if len(best) - 2 * len(new) < LEAST_GAIN * len(sequence):
+            most = len(sequence)
+        sequence, at = _closed(sequence, at, best_at)
+    return rules, lengths[first:], sequence
+
+
+def _frequent(sequence: np.ndarray, at: np.ndarray, symbols: int) -> tuple[np.ndarray, ...]:
+    """(pairs, number of places, places, which pair is at each): the pairs with ``LEAST_USES`` places among ``at``, which stay ascending."""
+    bits, place_bits = np.uint64(symbols.bit_length()), np.uint64(len(sequence).bit_length())
+    whole = len(at) == len(sequence) - 1
+    keys = (sequence[:-1] if whole else sequence[at]).astype(np.uint64)
+    keys <<= bits
+    keys |= sequence[1:] if whole else sequence[at + 1]
+    if 2 * int(bits) + int(place_bits) <= 64:  # pair and place are one number, which sorts fastest
+        keys <<= place_bits
+        keys |= at.astype(np.uint64)
+        keys.sort()
+        at = (keys & np.uint64((1 << int(place_bits)) - 1)).astype(np.int32 if place_bits < 32 else np.int64)
+        keys >>= place_bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        at, keys = at[order], keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    counts = np.diff(np.append(starts, len(keys))).astype(np.int32 if place_bits < 32 else np.int64)
+    often = counts >= LEAST_USES
+    kinds, at = keys[starts[often]], at[np.repeat(often, counts)]
+    counts = counts[often]
+    kind = np.repeat(np.arange(len(kinds), dtype=np.int32), counts)
+    if 16 * len(at) > len(sequence):  # by place again, in an array of all places if many count
+        of = np.full(len(sequence), -1, np.int32)
+        of[at] = kind
+        at = np.flatnonzero(of >= 0)
+        kind = of[at]
+    else:
+        order = np.argsort(at)
+        at, kind = at[order], kind[order]
+    kinds = np.stack([kinds >> bits, kinds & np.uint64((1 << int(bits)) - 1)], 1).astype(np.uint32)
+    return kinds, counts, at, kind
+
+
+def _chosen(at: np.ndarray, kind: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """Which of the places to replace, of the ``most`` frequent pairs; none only if no pair has enough without overlap."""
+    n_kinds, of = len(counts), counts[kind]
+    if n_kinds > most:
+        some = np.flatnonzero(of >= np.partition(counts, n_kinds - most)[n_kinds - most])
+        best = some[_apart(at[some], of[some])]
+    else:
+        best = _apart(at, of)
+    used = np.bincount(kind[best], minlength=n_kinds) >= LEAST_USES
+    if used.any():
+        return best[used[kind[best]]]
+    # Pairs block each other: one after the other, the more frequent first, at the places still free.
+    order, ends = np.argsort(kind, kind="stable"), np.cumsum(counts)
+    # free[i + 1] is place at[i]; a place is next to another in the list or to none.
+    beside = np.concatenate([[False], at[1:] == at[:-1] + 1, [False]])
+    taken, found = np.zeros(len(at) + 2, bool), []
+    for k in np.argsort(-counts, kind="stable").tolist():
+        places = order[ends[k] - counts[k] : ends[k]]
+        blocked = taken[places + 1] | (taken[places] & beside[places]) | (taken[places + 2] & beside[places + 1])
+        places = places[~blocked]
+        places = places[_apart(at[places], np.ones(len(places), np.int64))]
+        if len(places) >= LEAST_USES:
+            taken[places + 1] = True
+            found.append(places)
+    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def _closed(sequence: np.ndarray, at: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence without the second symbols of the pairs at ``best``, and the places that may count from now on."""
+    gone = best + 1
+    new = best - np.arange(len(best))
+    left = np.ones(len(sequence), bool)
+    left[gone] = False
+    at = at[left[at]]
+    if 16 * len(at) > len(sequence):
+        at = (np.cumsum(left) - 1)[at]
+    else:
+        at = at - np.searchsorted(gone, at)
+    sequence = sequence[left]
+    may = np.zeros(len(sequence) + 1, bool)
+    may[at] = True
+    may[new] = True
+    may[new - 1] = True  # of the first symbol: the spare place at the end
+    return sequence, np.flatnonzero(may[: max(len(sequence) - 1, 0)])
 
 
 def _apart(at: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Places of pairs without overlaps: the more frequent of two neighbours, of equals every second."""
+    """Which places of pairs to take without overlaps: the more frequent of two neighbours, of equals every second."""
     touching = at[1:] == at[:-1] + 1
     stay = np.ones(len(at), bool)
     stay[:-1] &= ~(touching & (counts[1:] > counts[:-1]))
     stay[1:] &= ~(touching & (counts[:-1] > counts[1:]))
-    at = at[stay]
-    starts = np.ones(len(at), bool)
-    starts[1:] = at[1:] != at[:-1] + 1
-    order = np.arange(len(at))
-    return at[(order - np.maximum.accumulate(np.where(starts, order, 0))) % 2 == 0]
+    some = np.flatnonzero(stay)
+    at = at[some]
+    take = np.ones(len(at), bool)
+    take[1:] = at[1:] != at[:-1] + 1
+    # Of the places that follow another one directly, every second.
+    later = np.flatnonzero(~take)
+    starts = np.ones(len(later), bool)
+    starts[1:] = later[1:] != later[:-1] + 1
+    order = np.arange(len(later))
+    take[later[(order - np.maximum.accumulate(np.where(starts, order, 0))) % 2 == 1]] = True
+    return some[take]
 
 
 class Shard:
@@ -206,9 +232,9 @@ class Shard:
 class Encoder:
     """The tokenizer of a file of the tokenizers library, with the ids of recent runs of text kept.
 
-    A text is encoded run by run between blanks, bounds that no token of a byte-level tokenizer crosses. New
-    runs go through the library many at a time, as one text; the bytes that each token stands for say which
-    run it belongs to.
+    A text is encoded run by run between blanks, bounds that no token of a byte-level tokenizer crosses. Arrow splits
+    texts and finds their different runs. New runs go through the library many at a time, as one text; the bytes that
+    each token stands for say which run it belongs to.
     """
 
     def __init__(self, path: str):
@@ -224,41 +250,53 @@ class Encoder:
         self._kept: dict[str, bytes] = {}
 
     def _learn(self, runs: set[str]) -> None:
-        kept, ends = self._kept, {}
-        stems = set()
-        for run in runs:
-            # A stop after a Latin letter is a token of its own.
-            if run[-1] in ".," and len(run) > 2 and run[-2].isalpha() and run[-2] < "\u0250":
-                ends[run] = run[:-1]
-                run = run[:-1]
-            if run not in kept:
-                stems.add(run)
+        kept = self._kept
+        # A stop after a Latin letter is a token of its own.
+        ends = {run for run in runs if run[-1] in ".," and len(run) > 2 and run[-2].isalpha() and run[-2] < "\u0250"}
+        stems = {run[:-1] for run in ends}
+        stems.difference_update([run for run in stems if run in kept])
+        stems |= runs - ends
         plain = [run for run in stems if run[0] == " " and len(run) > 1 and not run[1].isspace()]
         others = [*stems.difference(plain), ".", ","]
-        for at in range(0, len(plain), 10_000):
-            some = plain[at : at + 10_000]
-            ids = np.array(self._tokenizer.encode("".join(some), add_special_tokens=False).ids, "<u4")
-            sizes = np.cumsum([len(run.encode("utf-8", "surrogatepass")) for run in some])
+        for at in range(0, len(plain), 2_000):
+            some = plain[at : at + 2_000]
+            # The fast form leaves out offsets in the text, not tokens.
+            ids = np.array(self._tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            sizes = np.cumsum(pc.binary_length(pa.array(some)).to_numpy(), dtype=np.int64)
             stops = (4 * np.searchsorted(np.cumsum(self._bytes[ids]), sizes) + 4).tolist()
             packed = ids.tobytes()
             kept.update(zip(some, map(packed.__getitem__, map(slice, [0, *stops[:-1]], stops))))
         for run, found in zip(others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False)):
             kept[run] = np.array(found.ids, "<u4").tobytes()
-        for run, stem in ends.items():
-            kept[run] = kept[stem] + kept[run[-1]]
+        for run in ends:
+            kept[run] = kept[run[:-1]] + kept[run[-1]]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of whole texts, as little-endian 32-bit integers."""
+    def _split(self, texts: pa.Array, even: bool) -> pa.Array:
+        """The runs of each text; of even ones a blank begins a run and a line end is one."""
+        if not even:
+            return pa.array([self._runs(t) for t in texts.to_pylist()], pa.list_(pa.large_string()))
+        marked = pc.replace_substring(texts.cast(pa.large_string()), " ", "\x01 ")
+        return pc.split_pattern(pc.replace_substring(marked, "\n", "\x01\n\x01"), "\x01")
+
+    def _encode(self, split: pa.Array) -> list[bytes]:
         kept = self._kept
-        split = [self._runs(t) for t in texts]
-        found = [list(map(kept.get, runs)) for runs in split]
-        missing = {run for runs, ids in zip(split, found) for run, x in zip(runs, ids) if x is None}
+        coded = pc.list_flatten(split).dictionary_encode()
+        runs = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # ten times as fast as to_pylist
+        found = list(map(kept.get, runs))
+        missing = {run for run, ids in zip(runs, found) if ids is None and run}
         if missing:
             self._learn(missing)
-            for runs, ids in zip(split, found):
-                if None in ids:
-                    ids[:] = [kept[run] if x is None else x for run, x in zip(runs, ids)]
-        packed = [b"".join(ids) for ids in found]
+            found = [kept.get(run, b"") if ids is None else ids for run, ids in zip(runs, found)]
+        else:
+            found = [ids or b"" for ids in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids, codes = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy()
+        sizes = sizes[codes]
+        ends = np.cumsum(sizes)
+        packed = ids[np.repeat(starts[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        n_runs = np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)
+        stops = (4 * np.concatenate([[0], ends])[n_runs]).tolist()
         if len(kept) > KEPT:
             kept.clear()
         else:
@@ -266,7 +304,17 @@ class Encoder:
                 if len(run) > LONGEST:
                     kept.pop(run, None)  # it may have gone with the run that a stop follows
                     kept.pop(run[:-1], None)
-        return packed
+        return [packed[a:b] for a, b in zip([0, *stops], stops)]
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """The ids of whole texts, as little-endian 32-bit integers."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        uneven, out = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False), [b""] * len(texts)
+        for even, at in ((True, np.flatnonzero(~uneven)), (False, np.flatnonzero(uneven))):
+            if len(at):
+                for i, ids in zip(at.tolist(), self._encode(self._split(texts.take(pa.array(at)), even))):
+                    out[i] = ids
+        return out
 
 
 _open: dict[str, Encoder] = {}
@@ -302,9 +350,10 @@ def shards(docs: DataFrame, path: str) -> DataFrame:
             return pa.RecordBatch.from_pylist([row], schema=_arrow)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                some = batch.slice(at, 200)
-                packed = encoder.encode(some.column(1).to_pylist())
+            blocks = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64) // BLOCK
+            for rows in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(blocks)) + 1):
+                some = batch.take(pa.array(rows))
+                packed = encoder.encode(some.column(1))
                 for doc_id, ids in zip(some.column(0).to_pylist(), packed):
                     doc_ids.append(_NULL if doc_id is None else doc_id)
                     parts.append(ids + end)

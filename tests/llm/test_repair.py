@@ -7,7 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lodeworks.llm.token_files import LEAST_USES, Shard, repair
+from lodeworks.llm import token_files
+from lodeworks.llm.token_files import LEAST_USES, Shard, _apart, repair
 
 
 def _uses(sequence):
@@ -38,3 +39,28 @@ def test_no_pair_is_left(kind):
     assert max(_uses(sequence).values(), default=0) < LEAST_USES
     files = [x.astype("<u4").tobytes() for x in (rules, lengths, sequence)]
     assert Shard(5_000, *files).ids().tolist() == ids.tolist()
+
+
+def test_places_apart_with_runs():
+    """Of places in a row every second, from the first of each run of equals; the more frequent of two others."""
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        at = np.sort(rng.choice(120, rng.integers(1, 100), replace=False))
+        counts = rng.integers(1, 4, len(at))
+        count, taken, last = dict(zip(at.tolist(), counts.tolist())), [], None
+        stay = [p for p in count if count[p] >= max(count.get(p - 1, 0), count.get(p + 1, 0))]
+        for p in stay:
+            if last != p - 1:
+                taken.append(p)
+            last = p if taken[-1] == p else None
+        assert at[_apart(at, counts)].tolist() == taken
+
+
+def test_rounds_look_at_few_places(monkeypatch):
+    """Later rounds count only what may have become frequent, not the whole sequence again."""
+    seen = []
+    frequent = token_files._frequent
+    monkeypatch.setattr(token_files, "_frequent", lambda seq, at, n: seen.append(len(at)) or frequent(seq, at, n))
+    ids = np.random.default_rng(1).zipf(1.3, 60_000) % 5_000
+    rules, lengths, sequence = repair(ids.astype(np.uint32), 5_000)
+    assert seen[0] == len(ids) - 1 and len(seen) > 4 and seen[-1] < len(sequence) / 10 and sum(seen) < 4 * len(ids)
