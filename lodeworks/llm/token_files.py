@@ -34,6 +34,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,14 +54,14 @@ MOST = 1 << 14
 #: Uses of a rule, and share of the sequence that a round must save; below it rounds take all pairs.
 LEAST_USES, LEAST_GAIN = 4, 0.01
 END = 0
-#: Runs of text kept by a Python worker, and the longest that is kept.
-KEPT, LONGEST = 1_400_000, 64
-#: Bytes of text that are encoded at a time, and a text more; eight times as many took an executor over 3,000 MB.
-BLOCK = 1 << 20
-#: Texts whose runs aren't plain: three blanks or line ends together, two at the end, any other blank (as in `CHUNK`), the mark.
+#: Runs of text kept by a Python worker, the longest that is kept in bytes, and ids at which all are forgotten.
+KEPT, LONGEST, IDS = 1_400_000, 64, 8_000_000
+#: New words that go through the model at a time, and bytes of text that are encoded at a time, and a text more.
+WORDS, BLOCK = 32, 1 << 22
+#: Texts whose runs aren't plain: three blanks or line ends together, two at the end, any other blank (as in `CHUNK`).
 UNEVEN = (
     r"[ \n]{3}|[ \n]{2}$|"
-    r"[\x01\t\x0B-\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    r"[\t\x0B-\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 _NULL = -(1 << 63)
 
@@ -76,22 +77,25 @@ def repair(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     at, most = np.arange(max(len(sequence) - 1, 0)), MOST
     while len(at):
         kinds, counts, at, kind = _frequent(sequence, at, len(lengths))
-        best = _chosen(at, kind, counts, most)
+        best, of = _chosen(at, kind, counts, most)
         if not len(best):
             break
-        used = np.bincount(kind[best], minlength=len(kinds)) > 0
-        new, number, best_at = kinds[used], np.cumsum(used) - 1, at[best]
-        sequence[best_at] = len(lengths) + number[kind[best]]
+        used = np.bincount(of, minlength=len(kinds)) > 0
+        new, number = kinds[used], np.cumsum(used) - 1
+        sequence[best] = len(lengths) + number[of]
         lengths = np.concatenate([lengths, lengths[new].sum(1, dtype=np.uint32)])
         rules = np.concatenate([rules, new])
         if len(best) - 2 * len(new) < LEAST_GAIN * len(sequence):
             most = len(sequence)
-        sequence, at = _closed(sequence, at, best_at)
+        sequence, at = _closed(sequence, kind >= 0 if at is None else at, best)
     return rules, lengths[first:], sequence
 
 
-def _frequent(sequence: np.ndarray, at: np.ndarray, symbols: int) -> tuple[np.ndarray, ...]:
-    """(pairs, number of places, places, which pair is at each): the pairs with ``LEAST_USES`` places among ``at``, which stay ascending."""
+def _frequent(sequence: np.ndarray, at: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]:
+    """(pairs, number of places, places, which pair is at each): the pairs with ``LEAST_USES`` places among ``at``, which stay ascending.
+
+    If many places are left, they aren't listed (None): the last array has all of the sequence, -1 at the others.
+    """
     bits, place_bits = np.uint64(symbols.bit_length()), np.uint64(len(sequence).bit_length())
     whole = len(at) == len(sequence) - 1
     keys = (sequence[:-1] if whole else sequence[at]).astype(np.uint64)
@@ -99,42 +103,52 @@ def _frequent(sequence: np.ndarray, at: np.ndarray, symbols: int) -> tuple[np.nd
     keys |= sequence[1:] if whole else sequence[at + 1]
     if 2 * int(bits) + int(place_bits) <= 64:  # pair and place are one number, which sorts fastest
         keys <<= place_bits
-        keys |= at.astype(np.uint64)
+        keys |= at.view(np.uint64)
         keys.sort()
-        at = (keys & np.uint64((1 << int(place_bits)) - 1)).astype(np.int32 if place_bits < 32 else np.int64)
+        at = (keys & np.uint64((1 << int(place_bits)) - 1)).view(np.int64)
         keys >>= place_bits
     else:
         order = np.argsort(keys, kind="stable")
         at, keys = at[order], keys[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    counts = np.diff(np.append(starts, len(keys))).astype(np.int32 if place_bits < 32 else np.int64)
+    begins = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=begins[1:])
+    starts = np.flatnonzero(begins)
+    counts = np.diff(starts, append=len(keys)).astype(np.int32 if place_bits < 32 else np.int64)
     often = counts >= LEAST_USES
-    kinds, at = keys[starts[often]], at[np.repeat(often, counts)]
-    counts = counts[often]
-    kind = np.repeat(np.arange(len(kinds), dtype=np.int32), counts)
-    if 16 * len(at) > len(sequence):  # by place again, in an array of all places if many count
-        of = np.full(len(sequence), -1, np.int32)
-        of[at] = kind
-        at = np.flatnonzero(of >= 0)
-        kind = of[at]
-    else:
-        order = np.argsort(at)
-        at, kind = at[order], kind[order]
+    kinds = keys[starts[often]]
     kinds = np.stack([kinds >> bits, kinds & np.uint64((1 << int(bits)) - 1)], 1).astype(np.uint32)
-    return kinds, counts, at, kind
-
-
-def _chosen(at: np.ndarray, kind: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
-    """Which of the places to replace, of the ``most`` frequent pairs; none only if no pair has enough without overlap."""
-    n_kinds, of = len(counts), counts[kind]
-    if n_kinds > most:
-        some = np.flatnonzero(of >= np.partition(counts, n_kinds - most)[n_kinds - most])
-        best = some[_apart(at[some], of[some])]
+    if 16 * counts[often].sum() > len(sequence):
+        kind = np.full(len(sequence), -1, np.int32)
+        kind[at] = np.repeat(np.where(often, np.cumsum(often) - 1, -1).astype(np.int32), counts)
+        return kinds, counts[often], None, kind
+    at, counts = at[np.repeat(often, counts)], counts[often]
+    order = np.argsort(at)
+    return kinds, counts, at[order], np.repeat(np.arange(len(kinds), dtype=np.int32), counts)[order]
+
+
+def _chosen(at: np.ndarray | None, kind: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places to replace, of the ``most`` frequent pairs, and the pair at each; none only if no pair has enough without overlap."""
+    n_kinds = len(counts)
+    least = LEAST_USES if n_kinds <= most else np.partition(counts, n_kinds - most)[n_kinds - most]
+    if at is None:
+        weight = np.append(np.where(counts >= least, counts, 0), counts.dtype.type(0))[kind]
+        stay = weight > 0
+        stay[:-1] &= weight[:-1] >= weight[1:]
+        stay[1:] &= weight[1:] >= weight[:-1]
+        best = np.flatnonzero(stay)
+        best = best[np.flatnonzero(_alternate(best))]
+        of = kind[best]
     else:
-        best = _apart(at, of)
-    used = np.bincount(kind[best], minlength=n_kinds) >= LEAST_USES
+        some = np.flatnonzero(counts[kind] >= least)
+        some = some[_apart(at[some], counts[kind[some]])]
+        best, of = at[some], kind[some]
+    used = np.bincount(of, minlength=n_kinds) >= LEAST_USES
     if used.any():
-        return best[used[kind[best]]]
+        enough = np.flatnonzero(used[of])
+        return best[enough], of[enough]
+    if at is None:
+        at = np.flatnonzero(kind >= 0)
+        kind = kind[at]
     # Pairs block each other: one after the other, the more frequent first, at the places still free.
     order, ends = np.argsort(kind, kind="stable"), np.cumsum(counts)
     # free[i + 1] is place at[i]; a place is next to another in the list or to none.
@@ -148,26 +162,24 @@ def _chosen(at: np.ndarray, kind: np.ndarray, counts: np.ndarray, most: int) ->
         if len(places) >= LEAST_USES:
             taken[places + 1] = True
             found.append(places)
-    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    some = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return at[some], kind[some]
 
 
 def _closed(sequence: np.ndarray, at: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sequence without the second symbols of the pairs at ``best``, and the places that may count from now on."""
+    """The sequence without the second symbols of the pairs at ``best``, and the places that may count from now on; ``at``: places or a mask."""
     gone = best + 1
-    new = best - np.arange(len(best))
-    left = np.ones(len(sequence), bool)
-    left[gone] = False
-    at = at[left[at]]
-    if 16 * len(at) > len(sequence):
-        at = (np.cumsum(left) - 1)[at]
-    else:
-        at = at - np.searchsorted(gone, at)
-    sequence = sequence[left]
-    may = np.zeros(len(sequence) + 1, bool)
-    may[at] = True
-    may[new] = True
-    may[new - 1] = True  # of the first symbol: the spare place at the end
-    return sequence, np.flatnonzero(may[: max(len(sequence) - 1, 0)])
+    # The symbol before a new one counts too; where that is gone, it was the end of another new one.
+    if at.dtype == bool:
+        left, may = np.ones(len(sequence), bool), np.append(at, False)  # the spare place is before the first
+        left[gone] = False
+        may[best] = may[best - 1] = True
+        left = np.flatnonzero(left)  # places are several times as fast as a mask
+        return sequence[left], np.flatnonzero(may[left[:-1]])
+    sequence, at = np.delete(sequence, gone), np.unique(np.concatenate([at, best, best - 1]))
+    before = np.searchsorted(gone, at)
+    at = (at - before)[(at >= 0) & (gone[np.minimum(before, len(gone) - 1)] != at)]
+    return sequence, at[at < len(sequence) - 1]
 
 
 def _apart(at: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -177,7 +189,11 @@ def _apart(at: np.ndarray, counts: np.ndarray) -> np.ndarray:
     stay[:-1] &= ~(touching & (counts[1:] > counts[:-1]))
     stay[1:] &= ~(touching & (counts[:-1] > counts[1:]))
     some = np.flatnonzero(stay)
-    at = at[some]
+    return some[_alternate(at[some])]
+
+
+def _alternate(at: np.ndarray) -> np.ndarray:
+    """Which places to take without overlaps: of places in a row every second, from the first."""
     take = np.ones(len(at), bool)
     take[1:] = at[1:] != at[:-1] + 1
     # Of the places that follow another one directly, every second.
@@ -186,7 +202,7 @@ def _apart(at: np.ndarray, counts: np.ndarray) -> np.ndarray:
     starts[1:] = later[1:] != later[:-1] + 1
     order = np.arange(len(later))
     take[later[(order - np.maximum.accumulate(np.where(starts, order, 0))) % 2 == 1]] = True
-    return some[take]
+    return take
 
 
 class Shard:
@@ -232,91 +248,150 @@ class Shard:
 class Encoder:
     """The tokenizer of a file of the tokenizers library, with the ids of recent runs of text kept.
 
-    A text is encoded run by run between blanks, bounds that no token of a byte-level tokenizer crosses. Arrow splits
-    texts and finds their different runs. New runs go through the library many at a time, as one text; the bytes that
-    each token stands for say which run it belongs to.
+    A text is encoded run by run, cut before blanks and between a letter and a mark, bounds that no token of a byte-level
+    tokenizer crosses. Runs are slices of the text's own bytes, and Arrow finds the different ones. New words go to the
+    library's model some at a time, spelt as the tokenizer spells bytes, with a letter between them that no longer token
+    holds, so that none crosses it. Other new runs go through the whole tokenizer, and whole texts do if it has other steps.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.first = self._tokenizer.get_vocab_size(with_added_tokens=True)
-        # A byte-level token is written with a letter per byte.
-        self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.first)])
+        cut, model, added = (
+            self._tokenizer.pre_tokenizer, self._tokenizer.model, self._tokenizer.get_added_tokens_decoder().values()
+        )
+        tokens = self._tokenizer.get_vocab(with_added_tokens=False)
+        longer = set("".join(token for token in tokens if len(token) > 1))
+        #: Letters of bytes that are tokens and in no longer one, of control characters, which no word holds.
+        apart = [code for code in _SPELT[:32].tolist() if chr(code) in tokens and chr(code) not in longer]
+        self._usual = (
+            self._tokenizer.normalizer is None and self._tokenizer.truncation is None and self._tokenizer.padding is None
+            and isinstance(cut, pre_tokenizers.ByteLevel) and cut.use_regex and not cut.add_prefix_space
+            and isinstance(model, models.BPE) and not model.dropout and all(token.special for token in added)
+            and bool(apart)
+        )
+        self._words = Tokenizer(model)
+        if self._usual:
+            self._apart, self._apart_id = apart[0], tokens[chr(apart[0])]
         self._runs = re.compile(CHUNK).findall
-        self._kept: dict[str, bytes] = {}
-
-    def _learn(self, runs: set[str]) -> None:
-        kept = self._kept
-        # A stop after a Latin letter is a token of its own.
-        ends = {run for run in runs if run[-1] in ".," and len(run) > 2 and run[-2].isalpha() and run[-2] < "\u0250"}
-        stems = {run[:-1] for run in ends}
-        stems.difference_update([run for run in stems if run in kept])
-        stems |= runs - ends
-        plain = [run for run in stems if run[0] == " " and len(run) > 1 and not run[1].isspace()]
-        others = [*stems.difference(plain), ".", ","]
-        for at in range(0, len(plain), 2_000):
-            some = plain[at : at + 2_000]
+        self._forget()
+
+    def _forget(self) -> None:
+        #: The number of each run that is kept; the ids of run n are _ids[_starts[n] : _starts[n + 1]].
+        self._kept: dict[bytes, int] = {}
+        self._starts, self._ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, words: pa.Array, runs: list[bytes]) -> np.ndarray:
+        """The numbers of runs that aren't kept yet; they are kept from now on, unless they are long."""
+        data, ends = _bytes_of(words)
+        letter = _after_letter(data)
+        letter[:-1] |= (data[:-1] == 0xC3) & letter[1:]
+        letter[ends[:-1]] |= data[ends[:-1]] == 32
+        others = np.concatenate([[0], np.cumsum(~letter)])[ends]
+        lengths = np.diff(ends)
+        plain, long = (others[1:] == others[:-1]) & (lengths > 1), np.flatnonzero(lengths > LONGEST)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        n_plain, found, sizes = np.count_nonzero(plain), [], np.zeros(len(runs), np.int64)
+        if n_plain:
+            data, ends = _bytes_of(words.take(pa.array(order[:n_plain])))
+            marked = np.insert(_SPELT[data], ends[:-1], self._apart)
+            cuts = [*(ends[:-1] + np.arange(n_plain))[::WORDS].tolist(), len(marked)]
+            some = [marked[a:b].tobytes().decode("utf-32-le") for a, b in zip(cuts, cuts[1:])]
             # The fast form leaves out offsets in the text, not tokens.
-            ids = np.array(self._tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            sizes = np.cumsum(pc.binary_length(pa.array(some)).to_numpy(), dtype=np.int64)
-            stops = (4 * np.searchsorted(np.cumsum(self._bytes[ids]), sizes) + 4).tolist()
-            packed = ids.tobytes()
-            kept.update(zip(some, map(packed.__getitem__, map(slice, [0, *stops[:-1]], stops))))
-        for run, found in zip(others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            kept[run] = np.array(found.ids, "<u4").tobytes()
-        for run in ends:
-            kept[run] = kept[run[:-1]] + kept[run[-1]]
-
-    def _split(self, texts: pa.Array, even: bool) -> pa.Array:
-        """The runs of each text; of even ones a blank begins a run and a line end is one."""
+            encoded = self._words.encode_batch_fast(some, add_special_tokens=False)
+            ids = np.concatenate([np.array(x.ids, np.uint32) for x in encoded])
+            begins = np.flatnonzero(ids == self._apart_id)
+            sizes[:n_plain] = np.diff(begins, append=len(ids)) - 1
+            found.append(np.delete(ids, begins))
+        rest = [runs[i].decode() for i in order[n_plain:].tolist()]
+        for i, encoding in enumerate(self._tokenizer.encode_batch_fast(rest, add_special_tokens=False), n_plain):
+            found.append(np.array(encoding.ids, np.uint32))
+            sizes[i] = len(encoding.ids)
+        numbers = np.empty(len(runs), np.int64)
+        numbers[order] = np.arange(len(self._starts) - 1, len(self._starts) - 1 + len(runs))
+        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+        self._ids = np.concatenate([self._ids, *found])
+        self._kept.update(zip(runs, numbers.tolist()))
+        for i in long.tolist():
+            del self._kept[runs[i]]
+        return numbers
+
+    def _split(self, texts: pa.Array, even: bool) -> tuple[pa.Array, np.ndarray]:
+        """(runs of all texts, how many end with each text); of even ones a blank begins a run and a line end is one."""
         if not even:
-            return pa.array([self._runs(t) for t in texts.to_pylist()], pa.list_(pa.large_string()))
-        marked = pc.replace_substring(texts.cast(pa.large_string()), " ", "\x01 ")
-        return pc.split_pattern(pc.replace_substring(marked, "\n", "\x01\n\x01"), "\x01")
-
-    def _encode(self, split: pa.Array) -> list[bytes]:
-        kept = self._kept
-        coded = pc.list_flatten(split).dictionary_encode()
+            split = [self._runs(t) for t in texts.to_pylist()]
+            runs = pa.array([run.encode() for some in split for run in some], pa.large_binary())
+            return runs, np.cumsum(list(map(len, split)), dtype=np.int64)
+        data, ends = _bytes_of(texts)
+        line, begins = data == 10, np.zeros(len(data) + 1, bool)
+        begins[:-1] = line | (data == 32)
+        begins[1:] |= line
+        begins[1:-1] |= _after_letter(data)[:-1] & _marks(data)[1:]
+        begins[ends] = True
+        places = np.flatnonzero(begins)
+        buffers = [None, pa.py_buffer(places), pa.py_buffer(data)]
+        return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, buffers), np.searchsorted(places, ends[1:])
+
+    def _encode(self, split: pa.Array, n_runs: np.ndarray) -> list[bytes]:
+        coded = split.dictionary_encode()
         runs = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # ten times as fast as to_pylist
-        found = list(map(kept.get, runs))
-        missing = {run for run, ids in zip(runs, found) if ids is None and run}
-        if missing:
-            self._learn(missing)
-            found = [kept.get(run, b"") if ids is None else ids for run, ids in zip(runs, found)]
-        else:
-            found = [ids or b"" for ids in found]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        ids, codes = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy()
-        sizes = sizes[codes]
+        number = np.fromiter(map(self._kept.get, runs, repeat(-1)), np.int64, len(runs))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self._learn(coded.dictionary.take(pa.array(new)), [runs[i] for i in new.tolist()])
+        starts, codes = self._starts[number], coded.indices.to_numpy()
+        sizes = (self._starts[number + 1] - starts)[codes]
         ends = np.cumsum(sizes)
-        packed = ids[np.repeat(starts[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
-        n_runs = np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)
-        stops = (4 * np.concatenate([[0], ends])[n_runs]).tolist()
-        if len(kept) > KEPT:
-            kept.clear()
-        else:
-            for run in missing:
-                if len(run) > LONGEST:
-                    kept.pop(run, None)  # it may have gone with the run that a stop follows
-                    kept.pop(run[:-1], None)
+        ids = self._ids[np.repeat(starts[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        packed, stops = ids.astype("<u4").tobytes(), (4 * np.concatenate([[0], ends])[n_runs]).tolist()
+        if len(self._kept) > KEPT or len(self._ids) > IDS:
+            self._forget()
         return [packed[a:b] for a, b in zip([0, *stops], stops)]
 
     def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
         """The ids of whole texts, as little-endian 32-bit integers."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not self._usual:
+            found = self._tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            return [np.array(x.ids, "<u4").tobytes() for x in found]
         uneven, out = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False), [b""] * len(texts)
         for even, at in ((True, np.flatnonzero(~uneven)), (False, np.flatnonzero(uneven))):
             if len(at):
-                for i, ids in zip(at.tolist(), self._encode(self._split(texts.take(pa.array(at)), even))):
+                for i, ids in zip(at.tolist(), self._encode(*self._split(texts.take(pa.array(at)), even))):
                     out[i] = ids
         return out
 
 
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts, where each begins and the last ends), without a copy of the bytes."""
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    _, places, data = texts.buffers()
+    ends = np.frombuffer(places, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+    return data, ends.astype(np.int64) - ends[0]
+
+
+def _after_letter(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 end a letter, of those up to U+00FF; from U+00C0 all but two are letters, and begin with C3."""
+    ends = (data | 32) - 97 < 26  # bytes below wrap around
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    ends[second] = (data[second] != 0x97) & (data[second] != 0xB7)
+    return ends
+
+
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Which bytes are ASCII but no letter, digit, blank or control character."""
+    return (data - 33 < 94) & ((data | 32) - 97 >= 26) & (data - 48 >= 10)
+
+
+#: The letter with which a byte-level tokenizer spells each byte: printable Latin-1 itself, others from U+0100 on.
+_shown = np.array([chr(b).isprintable() and b not in (0x20, 0xA0) for b in range(256)])
+_SPELT = np.where(_shown, np.arange(256), 255 + np.cumsum(~_shown)).astype("<u4")
+
 _open: dict[str, Encoder] = {}
 
 

@@ -64,3 +64,20 @@ def test_rounds_look_at_few_places(monkeypatch):
     ids = np.random.default_rng(1).zipf(1.3, 60_000) % 5_000
     rules, lengths, sequence = repair(ids.astype(np.uint32), 5_000)
     assert seen[0] == len(ids) - 1 and len(seen) > 4 and seen[-1] < len(sequence) / 10 and sum(seen) < 4 * len(ids)
+
+
+def test_late_rounds_do_not_scan_the_sequence():
+    """Where few places count, closing a round looks at these alone; the result is that of a scan."""
+    rng = np.random.default_rng(4)
+    for n, few in ((50, 3), (3_000, 40), (3_000, 900)):
+        sequence = rng.integers(0, 99, n).astype(np.uint32)
+        at = np.sort(rng.choice(n - 1, few, replace=False))
+        best = at[token_files._alternate(at)]
+        may = np.zeros(n, bool)
+        may[at] = True
+        for places in (at, may):
+            closed, found = token_files._closed(sequence, places, best)
+            left = np.setdiff1d(np.arange(n), best + 1)
+            new = np.searchsorted(left, best)
+            expected = {*np.searchsorted(left, np.intersect1d(at, left)), *new, *(new - 1)} - {-1, len(left) - 1}
+            assert closed.tolist() == sequence[left].tolist() and found.tolist() == sorted(expected)
